@@ -172,7 +172,7 @@ STANDINS: dict[str, tuple[str, dict[str, str]]] = {
             "t2_peo_id": "case when floor(c_custkey / 15) % 6 = 2 then 'PAS' else 'SOI' end",
             "pf_corp": "case when floor(c_custkey / 15) % 10 = 3 then 'PEOCN' else concat('PEO', cast(c_nationkey as string)) end",
             "t2_legal_name": "concat(c_name, ', Inc.')",
-            "t2_comp_term_dt": "case when c_custkey % 3 = 1 then cast('1997-06-01' as date) + cast(c_custkey % 1000 as int) end",
+            "t2_comp_term_dt": "case when cast(floor(c_custkey / 15) as bigint) % 3 = 1 then cast('1997-06-01' as date) + cast(c_custkey % 1000 as int) end",
         },
     ),
     "ps_names": (

@@ -41,11 +41,10 @@ def _order_code(df: DataFrame, effdt: str, seq: str | None) -> Column:
 
 def _keep_best(rows: DataFrame, best: DataFrame, keys: Sequence[str], code: Column) -> DataFrame:
     """Rows whose key and code equal the best one of the key. ``best`` has keys ``_k*`` and ``_best``."""
-    marked = rows.withColumn("_code", code)
-    on = marked["_code"] == best["_best"]
+    on = code == F.col("_best")
     for i, key in enumerate(keys):
-        on = on & (marked[key] == best[f"_k{i}"])
-    return marked.join(best, on, "left_semi").drop("_code")
+        on = on & (F.col(key) == F.col(f"_k{i}"))
+    return rows.join(best, on, "left_semi")
 
 
 def _key_columns(keys: Sequence[str]) -> list[Column]:
@@ -72,11 +71,12 @@ def latest_as_of(
     keys = list(keys)
     if status is not None and status_in_key:
         keys.append(status)
-    rows = df.where(F.col(effdt).isNotNull())
+    eligible = F.col(effdt).isNotNull()
     if cutoff is not None:
-        rows = rows.where(F.col(effdt) <= as_date(cutoff))
+        eligible = eligible & (F.col(effdt) <= as_date(cutoff))
     if status is not None and status_in_key:
-        rows = rows.where(F.col(status) == status_value)
+        eligible = eligible & (F.col(status) == status_value)
+    rows = df.where(eligible)
     code = _order_code(df, effdt, seq)
     best = rows.groupBy(*_key_columns(keys)).agg(F.max(code).alias("_best"))
     kept = _keep_best(rows, best, keys, code)

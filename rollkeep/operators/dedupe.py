@@ -49,10 +49,10 @@ def keep_best(df: DataFrame, key: str, ended: str, codes: Sequence[str]) -> Data
         )
         .select("_k", "_e", F.col("_p._c").alias("_c"), F.col("_p._l").alias("_l"), F.lit(True).alias("_hit"))
     )
-    on = (df[key] == best["_k"]) & df[ended].eqNullSafe(best["_e"])
+    on = (F.col(key) == F.col("_k")) & F.col(ended).eqNullSafe(F.col("_e"))
     joined = df.join(best, on, "left")
     keep = F.col("_hit") & (
         (F.col(first).isNull() | F.col("_c").isNull() | (F.col(first) == F.col("_c")))
         & (F.col(second).isNull() | F.col("_l").isNull() | (F.col(second) == F.col("_l")))
     )
-    return joined.where(df[key].isNull() | F.coalesce(keep, F.lit(False))).select(*[df[c] for c in df.columns])
+    return joined.where(F.col(key).isNull() | F.coalesce(keep, F.lit(False))).select(*df.columns)

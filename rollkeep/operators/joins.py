@@ -8,6 +8,8 @@ where adaptive execution splits skewed partitions.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,48 +25,46 @@ def _pairs(on: Keys) -> list[tuple[str, str]]:
     return list(on.items()) if isinstance(on, Mapping) else [(key, key) for key in on]
 
 
-def _condition(df: DataFrame, other: DataFrame, on: Keys) -> Column:
-    condition = F.lit(True)
-    for left, right in _pairs(on):
-        condition = condition & (df[left] == other[right])
-    return condition
+def _condition(on: Keys) -> Column:
+    """Equality of the left keys with the right ones, which carry names of their own by then."""
+    return reduce(and_, [F.col(left) == F.col(f"_r{i}") for i, (left, _) in enumerate(_pairs(on))])
 
 
 def _right_keys(other: DataFrame, on: Keys) -> list[Column]:
     return [F.col(right).alias(f"_r{i}") for i, (_, right) in enumerate(_pairs(on))]
 
 
-def _right_names(on: Keys) -> dict[str, str]:
-    return {left: f"_r{i}" for i, (left, _) in enumerate(_pairs(on))}
+def _renamed(other: DataFrame, on: Keys) -> DataFrame:
+    """The right side with its keys renamed and its other columns as they are."""
+    names = {right for _, right in _pairs(on)}
+    return other.select(*_right_keys(other, on), *[F.col(c) for c in other.columns if c not in names])
+
+
+def _result(df: DataFrame, right: DataFrame) -> list[str]:
+    return df.columns + [c for c in right.columns if not c.startswith("_r")]
 
 
 def inner(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
     """Equi-join; the right keys are dropped."""
-    names = [right for _, right in _pairs(on)]
-    payload = [F.col(c) for c in other.columns if c not in names]
-    right = other.select(*_right_keys(other, on), *payload)
-    renamed = _right_names(on)
-    return df.join(right, _condition(df, right, renamed), "inner").drop(*renamed.values())
+    right = _renamed(other, on)
+    return df.join(right, _condition(on), "inner").select(*_result(df, right))
 
 
 def semi(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
     """Rows with a partner, as ``IN (subquery)`` and ``EXISTS`` keep them."""
-    right = other.select(*_right_keys(other, on))
-    return df.join(right, _condition(df, right, _right_names(on)), "left_semi")
+    return df.join(other.select(*_right_keys(other, on)), _condition(on), "left_semi")
 
 
 def anti(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
     """Rows without a partner, as ``NOT EXISTS`` keeps them. Rows with a null key stay."""
-    right = other.select(*_right_keys(other, on))
-    return df.join(right, _condition(df, right, _right_names(on)), "left_anti")
+    return df.join(other.select(*_right_keys(other, on)), _condition(on), "left_anti")
 
 
 def flag_keys(df: DataFrame, other: DataFrame, on: Keys, name: str) -> DataFrame:
     """Add a boolean column: does the row's key occur on the right side."""
-    right = other.select(*_right_keys(other, on)).distinct().withColumn(name, F.lit(True))
-    renamed = _right_names(on)
-    joined = df.join(right, _condition(df, right, renamed), "left")
-    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False))).drop(*renamed.values())
+    right = other.select(*_right_keys(other, on)).distinct().select("*", F.lit(True).alias("_hit"))
+    joined = df.join(right, _condition(on), "left")
+    return joined.select(*df.columns, F.coalesce("_hit", F.lit(False)).alias(name))
 
 
 def in_keys(df: DataFrame, sets: Sequence[tuple[DataFrame, Keys]], mode: str = "and") -> DataFrame:
@@ -75,12 +75,11 @@ def in_keys(df: DataFrame, sets: Sequence[tuple[DataFrame, Keys]], mode: str = "
         return df
     if mode != "or":
         raise ValueError(f"unknown mode {mode!r}")
-    columns = df.columns
-    hit = F.lit(False)
+    flagged, hit = df, F.lit(False)
     for i, (other, on) in enumerate(sets):
-        df = flag_keys(df, other, on, f"_in{i}")
+        flagged = flag_keys(flagged, other, on, f"_in{i}")
         hit = hit | F.col(f"_in{i}")
-    return df.where(hit).select(*columns)
+    return flagged.where(hit).select(*df.columns)
 
 
 def not_in_flag(df: DataFrame, column: str, other: DataFrame, other_column: str, name: str) -> DataFrame:
@@ -100,8 +99,8 @@ def not_in_flag(df: DataFrame, column: str, other: DataFrame, other_column: str,
         .when(F.col(column).isNull() | (nulls > 0), F.lit(None).cast("boolean"))
         .otherwise(F.lit(True))
     )
-    joined = df.join(listed, df[column] == listed["_v"], "left")
-    return joined.withColumn(name, answer).drop("_v", "_listed")
+    joined = df.join(listed, F.col(column) == F.col("_v"), "left")
+    return joined.select(*df.columns, answer.alias(name))
 
 
 def null_aware_not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
@@ -111,13 +110,10 @@ def null_aware_not_in(df: DataFrame, column: str, other: DataFrame, other_column
 
 def valid_at(df: DataFrame, other: DataFrame, on: Keys, at: ColumnLike, lo: str, hi: str) -> DataFrame:
     """Equi-join restricted to the validity interval ``lo..hi`` that holds on the row's date."""
-    marked = df.withColumn("_at", _col(at))
-    names = [right for _, right in _pairs(on)]
-    payload = [F.col(c) for c in other.columns if c not in names]
-    right = other.select(*_right_keys(other, on), *payload)
-    renamed = _right_names(on)
-    condition = _condition(marked, right, renamed) & valid_on(marked["_at"], right[lo], right[hi])
-    return marked.join(right, condition, "inner").drop("_at", *renamed.values())
+    right = _renamed(other, on)
+    condition = _condition(on) & valid_on("_at", lo, hi)
+    joined = df.select("*", _col(at).alias("_at")).join(right, condition, "inner")
+    return joined.select(*_result(df, right))
 
 
 def lookup_one(df: DataFrame, other: DataFrame, on: Keys, column: ColumnLike, name: str) -> DataFrame:
@@ -125,16 +121,13 @@ def lookup_one(df: DataFrame, other: DataFrame, on: Keys, column: ColumnLike, na
 
     A row that meets more than one partner stops the job, as a scalar subquery does.
     """
-    renamed = _right_names(on)
-    table = (
-        other.select(*_right_keys(other, on), _col(column).alias("_value"))
-        .groupBy(*renamed.values())
-        .agg(F.first("_value").alias("_value"), F.count(F.lit(1)).alias("_n"))
+    table = other.groupBy(*_right_keys(other, on)).agg(
+        F.first(_col(column)).alias("_value"), F.count(F.lit(1)).alias("_n")
     )
-    message = F.lit(f"more than one row for {name}")
-    value = F.when(F.col("_n") > 1, F.raise_error(message).cast(other.select(_col(column)).schema[0].dataType))
-    joined = df.join(table, _condition(df, table, renamed), "left")
-    return joined.withColumn(name, value.otherwise(F.col("_value"))).drop(*renamed.values(), "_value", "_n")
+    # the message is the value of a null-typed expression, so the result keeps the column's type
+    stop = F.raise_error(F.lit(f"more than one row for {name}"))
+    joined = df.join(table, _condition(on), "left")
+    return joined.select(*df.columns, F.when(F.col("_n") > 1, stop).otherwise(F.col("_value")).alias(name))
 
 
 def lookup_as_of(
@@ -162,5 +155,5 @@ def address_roles(
     work = current.where(F.col("address_type") == work_type).select(
         F.col("emplid").alias("_w"), F.col("postal").alias("work_postal")
     )
-    joined = df.join(home, df[key] == home["_h"], "inner")
-    return joined.join(work, joined[key] == work["_w"], "inner").drop("_h", "_w")
+    joined = df.join(home, F.col(key) == F.col("_h"), "inner")
+    return joined.join(work, F.col(key) == F.col("_w"), "inner").drop("_h", "_w")

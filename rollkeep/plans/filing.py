@@ -167,7 +167,8 @@ def industry_codes(tables: Tables, counts: DataFrame, effective: p.DateLike) ->
 def unnumbered_filing(tables: Tables, policy_start: p.DateLike, effective: p.DateLike, variant: str) -> DataFrame:
     """The filing rows before the record id is given, in the result's column order."""
     rule = VARIANTS[variant]
-    places = staged(locations(tables, effective, rule), "filing-locations")
+    places = locations(tables, effective, rule)
+    # read by three later steps, and the only one over the job table
     counts = staged(employee_counts(tables, places, effective, rule), "filing-counts")
 
     company = latest_as_of(
