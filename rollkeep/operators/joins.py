@@ -50,6 +50,12 @@ def inner(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
     return df.join(right, _condition(on), "inner").select(*_result(df, right))
 
 
+def left(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
+    """Left join that keeps rows without a partner; the right keys are dropped."""
+    right = _renamed(other, on)
+    return df.join(right, _condition(on), "left").select(*_result(df, right))
+
+
 def semi(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
     """Rows with a partner, as ``IN (subquery)`` and ``EXISTS`` keep them."""
     return df.join(other.select(*_right_keys(other, on)), _condition(on), "left_semi")
