@@ -274,6 +274,149 @@ STANDINS: dict[str, tuple[str, dict[str, str]]] = {
             "pf_client_ein": "c_custkey * 7919",
         },
     ),
+    # feed C: members and coverages
+    "subscribers": (
+        "customer",
+        {
+            "subscriber_id": "lpad(cast(c_custkey as string), 9, '0')",
+            "member_seq": "0",
+            "is_subscriber": "'Y'",
+            "relationship": "'18'",
+            "maintenance_type": "'030'",
+            "maintenance_reason": "'XN'",
+            "benefit_status": "case when c_custkey % 90 = 1 then 'C' else 'A' end",
+            "employment_status": "case when c_custkey % 83 = 7 then null when c_custkey % 9 = 2 then 'TE' when c_custkey % 70 = 3 then 'L1' else 'FT' end",
+            "student_status": "cast(null as string)",
+            "member_code": "'00'",
+            "last_name": "concat('Last', cast(c_custkey % 89 as string))",
+            "first_name": "concat('First', cast(c_custkey % 53 as string))",
+            "middle_name": "case when c_custkey % 4 = 1 then substr(c_mktsegment, 1, 1) end",
+            "national_id": "lpad(cast(c_custkey * 31 as string), 9, '0')",
+            "phone": "case when c_custkey % 3 > 0 then lpad(cast(c_custkey as string), 10, '5') end",
+            "address1": "case when c_custkey % 17 <> 5 then concat(cast(c_custkey as string), ' Main St') end",
+            "address2": "case when c_custkey % 17 <> 5 and c_custkey % 5 = 1 then concat('Unit ', cast(c_custkey % 10 as string)) end",
+            "city": "concat('Town ', cast(c_nationkey as string))",
+            "state": "case when c_custkey % 97 = 3 then 'NYS' when c_nationkey % 2 = 0 then 'NY' else 'CA' end",
+            "postal": "lpad(cast(c_custkey % 90000 as string), 5, '0')",
+            "birth_date": "cast('1950-01-01' as date) + cast(c_custkey * 13 % 18000 as int)",
+            "sex": "case when c_custkey % 2 = 0 then 'M' else 'F' end",
+            "maintenance_date": "case when c_custkey % 2 = 1 then cast('2020-01-01' as date) + cast(c_custkey % 300 as int) end",
+        },
+    ),
+    "dependents": (
+        "orders",
+        {
+            "subscriber_id": "lpad(cast(o_custkey as string), 9, '0')",
+            "member_seq": "cast(o_orderkey + 1 as int)",
+            "is_subscriber": "'N'",
+            "relationship": "case when o_orderkey % 4 = 1 then '01' when o_orderkey % 90 = 3 then '53' else '19' end",
+            "maintenance_type": "'030'",
+            "maintenance_reason": "'XN'",
+            "benefit_status": "case when o_orderkey % 300 = 1 then 'C' else 'A' end",
+            "employment_status": "cast(null as string)",
+            "student_status": "case when o_orderkey % 701 = 5 then 'U' when o_orderkey % 30 = 2 then 'F' when o_orderkey % 30 = 3 then 'P' else 'N' end",
+            "member_code": "lpad(cast(o_orderkey % 100 as string), 2, '0')",
+            "last_name": "concat('Last', cast(o_custkey % 89 as string))",
+            "first_name": "concat('First', cast(o_orderkey % 53 as string))",
+            "middle_name": "case when o_orderkey % 4 = 1 then 'Q' end",
+            "national_id": "case when o_orderkey % 50 <> 7 then lpad(cast(o_orderkey * 17 % 900000000 as string), 9, '0') end",
+            "phone": "cast(null as string)",
+            "address1": "cast(null as string)",
+            "address2": "cast(null as string)",
+            "city": "case when o_orderkey % 1009 = 11 then 'Far Town' end",
+            "state": "case when o_orderkey % 1009 = 11 then 'FARST' end",
+            "postal": "cast(null as string)",
+            "birth_date": "cast('1990-01-01' as date) + cast(o_orderkey * 7 % 9000 as int)",
+            "sex": "case when o_orderkey % 2 = 0 then 'M' else 'F' end",
+            "maintenance_date": "cast(null as date)",
+        },
+    ),
+    "covers_own": (
+        "customer",
+        {
+            "subscriber_id": "lpad(cast(c_custkey as string), 9, '0')",
+            "member_seq": "0",
+            "coverage_seq": "1",
+            "maintenance_type": "'030'",
+            "insurance_line": "'VIS'",
+            "plan": "cast(null as string)",
+            "coverage_level": "case when c_custkey % 3 = 0 then 'EMP' when c_custkey % 3 = 1 then 'FAM' else 'ECH' end",
+            "benefit_begin": "cast('2019-01-01' as date) + cast(c_custkey % 300 as int)",
+            "benefit_end": "case when c_custkey % 25 = 3 then cast('2020-01-01' as date) + cast(c_custkey % 90 as int) end",
+        },
+    ),
+    "covers_second": (
+        "supplier",
+        {
+            "subscriber_id": "lpad(cast(s_suppkey as string), 9, '0')",
+            "member_seq": "0",
+            "coverage_seq": "2",
+            "maintenance_type": "'030'",
+            "insurance_line": "'PPO'",
+            "plan": "concat('PLAN', cast(s_nationkey as string))",
+            "coverage_level": "'EMP'",
+            "benefit_begin": "cast('2019-06-01' as date)",
+            "benefit_end": "cast(null as date)",
+        },
+    ),
+    "covers_dependents": (
+        "orders",
+        {
+            "subscriber_id": "lpad(cast(o_custkey as string), 9, '0')",
+            "member_seq": "cast(o_orderkey + 1 as int)",
+            "coverage_seq": "1",
+            "maintenance_type": "'030'",
+            "insurance_line": "'VIS'",
+            "plan": "cast(null as string)",
+            "coverage_level": "case when o_custkey % 3 = 1 then 'FAM' else 'ECH' end",
+            "benefit_begin": "cast('2019-01-01' as date) + cast(o_orderkey % 300 as int)",
+            "benefit_end": "case when o_orderkey % 60 = 3 then cast('2020-01-01' as date) + cast(o_orderkey % 90 as int) end",
+        },
+    ),
+    # feed C: the run ledger
+    "file_definition": (
+        "nation",
+        {
+            "file_definition_id": "n_nationkey",
+            "vendor_id": "n_regionkey",
+            "file_definition_name": "concat(case when n_nationkey % 3 = 1 then 'Vision ' else 'Dental ' end, n_name, ' 834')",
+            "status": "case when n_nationkey % 7 = 5 then 'inactive' else 'active' end",
+            "members_per_transaction_set_soft_limit": "990",
+            "member_term_limit": "3",
+        },
+    ),
+    "file_instance": (
+        "orders",
+        {
+            "file_instance_id": "o_orderkey",
+            "file_definition_id": "cast(o_custkey % 25 as int)",
+            "file_instance_start_time": "o_orderdate",
+            "file_instance_status": "case when o_orderstatus = 'F' then 'failed' else 'sent' end",
+            "file_name": "concat('run-', cast(o_orderkey as string), '.x12')",
+        },
+    ),
+    "file_transfer": (
+        "customer",
+        {
+            "file_instance_id": "c_custkey * 3",
+            "file_instance_transfer_status_id": "c_custkey",
+            "file_instance_transfer_status": "case when c_nationkey % 2 = 0 then 'sent' else 'failed' end",
+            "return_code": "c_nationkey",
+        },
+    ),
+    "file_exception": (
+        "lineitem",
+        {
+            "file_instance_id": "l_orderkey",
+            "file_record_id": "l_partkey",
+            "exception_type": "'ERROR'",
+            "category": "'DATA ELEMENT'",
+            "sub_category": "case when l_returnflag = 'R' then 'Illegal element value.' when l_returnflag = 'A' then 'Invalid element length.' else 'Missing required element.' end",
+            "detail": "concat('Element ', cast(l_linenumber as string))",
+            "subscriber_id": "lpad(cast(l_suppkey as string), 9, '0')",
+            "member_id": "lpad(cast(l_linenumber as string), 2, '0')",
+        },
+    ),
 }
 
 
