@@ -367,7 +367,7 @@ _VIEW = {
 }
 _VIEW_SELECT = ", ".join(
     f"{table}.{column}" for table, columns in _VIEW.items() for column in columns
-)
+).replace("file_instance.file_instance_start_time", "cast(file_instance_start_time as date) as file_instance_start_time")
 
 
 @query(
@@ -384,7 +384,8 @@ def exception_view(spark, sf_dir):
     view = ledger.exception_view(
         tables["file_exception"], tables["file_definition"], tables["file_instance"], tables["file_transfer"]
     )
-    return view.select(*[column for columns in _VIEW.values() for column in columns])
+    columns = [column for columns in _VIEW.values() for column in columns]
+    return view.withColumn("file_instance_start_time", F.col("file_instance_start_time").cast("date")).select(*columns)
 
 
 @query(

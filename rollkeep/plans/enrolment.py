@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeep.functions.predicates import DateLike, as_date
-from rollkeep.functions.scalars import compact_date, element, parse_compact_date
+from rollkeep.functions.scalars import element, parse_compact_date
 from rollkeep.operators import joins
 from rollkeep.operators.ordering import running_before
-from rollkeep.sources.segments import read_segments, segment, with_loops, write_segments
+from rollkeep.sources.segments import Lines, dated, read_segments, segment, with_loops, write_segments
 from rollkeep.sources.staging import staged
 
 # --- reading -------------------------------------------------------------------------------
@@ -334,61 +334,112 @@ class Envelope:
 _ORDER = ["section", "set_no", "part", "subscriber_id", "member_seq", "coverage_seq", "line"]
 
 
-def member_segments(rows: DataFrame) -> Column:
-    """All segments of a member before its coverages, in file order."""
-    date = F.lit("D8")
-    return F.array_compact(
-        F.array(
-            segment(
-                "INS",
-                *[F.col(c) for c in ("is_subscriber", "relationship", "maintenance_type", "maintenance_reason")],
-                F.col("benefit_status"),
-                F.lit(""),
-                F.lit(""),
-                F.col("employment_status"),
-                F.col("student_status"),
-                *[F.lit("")] * 7,
-                F.when(F.col("is_subscriber") == "N", F.col("member_seq")),
-            ),
-            segment("REF", F.lit("0F"), F.col("subscriber_id")),
-            segment("REF", F.lit("23"), F.col("member_code")),
-            _dated("DTP", "303", "maintenance_date", date),
-            segment(
-                "NM1",
-                F.lit("IL"),
-                F.lit("1"),
-                F.col("last_name"),
-                F.col("first_name"),
-                F.col("middle_name"),
-                F.lit(""),
-                F.lit(""),
-                F.when(F.col("national_id").isNotNull(), F.lit("34")),
-                F.col("national_id"),
-            ),
-            F.when(F.col("phone").isNotNull(), segment("PER", F.lit("IP"), F.lit(""), F.lit("HP"), F.col("phone"))),
-            segment("N3", F.col("address1"), F.col("address2"), optional=True),
-            segment("N4", F.col("city"), F.col("state"), F.col("postal"), optional=True),
-            segment("DMG", date, compact_date("birth_date"), F.col("sex")),
-        )
-    )
-
-
-def _dated(tag: str, qualifier: str, column: str, form: Column) -> Column:
-    text = segment(tag, F.lit(qualifier), form, compact_date(column))
-    return F.when(F.col(column).isNotNull(), text)
+def _filled(*columns: str) -> str:
+    return "(" + " or ".join(f"coalesce({c}, '') <> ''" for c in columns) + ")"
+
+
+# the segments of a member before its coverages, and of a coverage
+MEMBER_LINES = Lines(
+    (
+        "true",
+        segment(
+            "INS",
+            "is_subscriber",
+            "relationship",
+            "maintenance_type",
+            "maintenance_reason",
+            "benefit_status",
+            "''",
+            "''",
+            "employment_status",
+            "student_status",
+            *["''"] * 7,
+            "case when is_subscriber = 'N' then member_seq end",
+        ),
+    ),
+    ("true", segment("REF", "'0F'", "subscriber_id")),
+    ("true", segment("REF", "'23'", "member_code")),
+    ("maintenance_date is not null", dated("DTP", "303", "maintenance_date")),
+    (
+        "true",
+        segment(
+            "NM1",
+            "'IL'",
+            "'1'",
+            "last_name",
+            "first_name",
+            "middle_name",
+            "''",
+            "''",
+            "case when national_id is not null then '34' end",
+            "national_id",
+        ),
+    ),
+    (_filled("phone"), segment("PER", "'IP'", "''", "'HP'", "phone")),
+    (_filled("address1", "address2"), segment("N3", "address1", "address2")),
+    (_filled("city", "state", "postal"), segment("N4", "city", "state", "postal")),
+    ("true", segment("DMG", "'D8'", "date_format(birth_date, 'yyyyMMdd')", "sex")),
+)
+COVERAGE_LINES = Lines(
+    ("true", segment("HD", "maintenance_type", "''", "insurance_line", "plan", "coverage_level")),
+    ("benefit_begin is not null", dated("DTP", "348", "benefit_begin")),
+    ("benefit_end is not null", dated("DTP", "349", "benefit_end")),
+)
 
 
 def member_elements(rows: DataFrame) -> DataFrame:
     """The element rows of members that are about to be written, for :func:`validate`."""
-    lines = rows.select(
-        "subscriber_id", "member_code", "is_subscriber", F.explode(member_segments(rows)).alias("value")
-    )
+    lines = rows.select("subscriber_id", "member_code", "is_subscriber", F.explode(MEMBER_LINES.texts()).alias("value"))
     parts = F.split("value", r"\*")
     return lines.select(
         "subscriber_id", "member_code", "is_subscriber", F.element_at(parts, 1).alias("tag"), parts.alias("elements")
     )
 
 
+def _header(envelope: Envelope) -> Lines:
+    """The segments that open a transaction, over its ``control`` and quantities."""
+    day = f"'{envelope.stamp:%Y%m%d}'"
+    sponsor, sponsor_id = f"'{envelope.sponsor}'", f"'{envelope.sponsor_id}'"
+    insurer, insurer_id = f"'{envelope.insurer}'", f"'{envelope.insurer_id}'"
+    return Lines(
+        ("true", segment("ST", "'834'", "control", f"'{envelope.version}'")),
+        (
+            "true",
+            segment(
+                "BGN",
+                f"'{envelope.purpose}'",
+                "control",
+                day,
+                f"'{envelope.stamp:%H%M}'",
+                "'LT'",
+                "''",
+                "''",
+                f"'{envelope.action}'",
+            ),
+        ),
+        ("true", segment("REF", "'38'", f"'{envelope.policy}'")),
+        ("true", segment("DTP", "'007'", "'D8'", day)),
+        ("true", segment("QTY", "'DT'", "dependents")),
+        ("true", segment("QTY", "'ET'", "employees")),
+        ("true", segment("QTY", "'TO'", "total")),
+        ("true", segment("N1", "'P5'", sponsor, "'FI'", sponsor_id)),
+        ("true", segment("N1", "'IN'", insurer, "'FI'", insurer_id)),
+    )
+
+
+def _envelope(envelope: Envelope) -> tuple[Column, Column]:
+    """The segments around the transactions of an interchange, over its ``control`` and ``sets``."""
+    stamp = envelope.stamp
+    isa = (
+        f"ISA*00*{'':10}*00*{'':10}*30*{envelope.sender:15.15}*30*{envelope.receiver:15.15}"
+        f"*{stamp:%y%m%d}*{stamp:%H%M}*^*00501*"
+    )
+    gs = f"GS*BE*{envelope.sender}*{envelope.receiver}*{stamp:%Y%m%d}*{stamp:%H%M}*"
+    opening = f"array(concat('{isa}', control, '*0*P*>'), concat('{gs}', control, '*X*{envelope.version}'))"
+    closing = f"array({segment('GE', 'sets', 'control')}, {segment('IEA', '1', 'control')})"
+    return F.expr(opening), F.expr(closing)
+
+
 def edi_rows(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFrame:
     """Every segment of the output with its interchange and place."""
     placed = staged(split_sets(rows, envelope.soft_limit), "sets").select("subscriber_id", "set_no")
@@ -396,94 +447,66 @@ def edi_rows(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFram
     kept = joins.semi(covers, rows, ["subscriber_id", "member_seq"])
     cover = joins.inner(kept, placed, ["subscriber_id"])
 
-    def body(source: DataFrame, coverage: Column, texts: Column) -> DataFrame:
-        return source.select(
-            F.lit(1).alias("section"),
-            "set_no",
-            F.lit(1).alias("part"),
-            "subscriber_id",
-            "member_seq",
-            coverage.alias("coverage_seq"),
-            F.posexplode(texts).alias("line", "value"),
-        )
-
-    level = F.array_compact(
-        F.array(
-            segment("HD", F.col("maintenance_type"), F.lit(""), F.col("insurance_line"), F.col("plan"), F.col("coverage_level")),
-            _dated("DTP", "348", "benefit_begin", F.lit("D8")),
-            _dated("DTP", "349", "benefit_end", F.lit("D8")),
-        )
-    )
-    own = body(member, F.lit(0), member_segments(rows))
-    inside = own.unionAll(body(cover, F.col("coverage_seq"), level))
-
-    counts = member.groupBy("set_no").agg(
-        F.count_if(F.col("is_subscriber") == "N").alias("dependents"),
-        F.count_if(F.col("is_subscriber") == "Y").alias("employees"),
-        F.count(F.lit(1)).alias("total"),
-        F.sum(F.size(member_segments(rows))).alias("_own"),
-    )
-    cover_lines = cover.groupBy("set_no").agg(F.sum(F.size(level)).alias("_cover"))
-    sets = staged(joins.left(counts, cover_lines, ["set_no"]), "set-counts")
-
-    control = F.lpad((F.col("set_no") + 1).cast("string"), 9, "0")
-    day, time = envelope.stamp.strftime("%Y%m%d"), envelope.stamp.strftime("%H%M")
-    header = F.array(
-        segment("ST", F.lit("834"), control, F.lit(envelope.version)),
-        segment("BGN", F.lit(envelope.purpose), control, F.lit(day), F.lit(time), F.lit("LT"), F.lit(""), F.lit(""), F.lit(envelope.action)),
-        segment("REF", F.lit("38"), F.lit(envelope.policy)),
-        segment("DTP", F.lit("007"), F.lit("D8"), F.lit(day)),
-        segment("QTY", F.lit("DT"), F.col("dependents")),
-        segment("QTY", F.lit("ET"), F.col("employees")),
-        segment("QTY", F.lit("TO"), F.col("total")),
-        segment("N1", F.lit("P5"), F.lit(envelope.sponsor), F.lit("FI"), F.lit(envelope.sponsor_id)),
-        segment("N1", F.lit("IN"), F.lit(envelope.insurer), F.lit("FI"), F.lit(envelope.insurer_id)),
-    )
-    lines = F.col("_own") + F.coalesce("_cover", F.lit(0)) + F.size(header) + 1
-    trailer = F.array(segment("SE", lines, control))
-
-    def frame(source: DataFrame, section: int, part: int, texts: Column, set_no: Column) -> DataFrame:
-        none = F.lit("")
+    def lines(source: DataFrame, section: int, part: int, texts: Column, **place: str) -> DataFrame:
+        at = {"set_no": "set_no", "subscriber_id": "''", "member_seq": "0", "coverage_seq": "0"} | place
         return source.select(
             F.lit(section).alias("section"),
-            set_no.alias("set_no"),
+            F.expr(at["set_no"]).alias("set_no"),
             F.lit(part).alias("part"),
-            none.alias("subscriber_id"),
-            F.lit(0).alias("member_seq"),
-            F.lit(0).alias("coverage_seq"),
+            *[F.expr(at[c]).alias(c) for c in ("subscriber_id", "member_seq", "coverage_seq")],
             F.posexplode(texts).alias("line", "value"),
         )
 
-    per_file = F.lit(envelope.sets_per_interchange)
-    files = sets.groupBy(F.floor(F.col("set_no") / per_file).cast("long").alias("_file")).agg(
-        F.count(F.lit(1)).alias("_sets")
+    sizes = member.select(
+        "set_no",
+        MEMBER_LINES.count().alias("lines"),
+        F.expr("case when is_subscriber = 'N' then 1 else 0 end").alias("dependent"),
+        F.expr("case when is_subscriber = 'Y' then 1 else 0 end").alias("employee"),
+        F.lit(1).alias("one"),
     )
-    number = F.lpad((F.col("_file") + 1).cast("string"), 9, "0")
-    opening = F.array(_isa(envelope, number), _gs(envelope, number))
-    closing = F.array(segment("GE", F.col("_sets"), number), segment("IEA", F.lit(1), number))
-    first = F.col("_file") * per_file
-
-    everything = (
-        frame(files, 0, 0, opening, first)
-        .unionAll(frame(sets, 1, 0, header, F.col("set_no")))
-        .unionAll(inside)
-        .unionAll(frame(sets, 1, 2, trailer, F.col("set_no")))
-        .unionAll(frame(files, 2, 0, closing, first))
+    none = F.lit(0)
+    cover_sizes = cover.select("set_no", COVERAGE_LINES.count(), none, none, none)
+    header = _header(envelope)
+    sets = staged(
+        sizes.unionAll(cover_sizes)
+        .groupBy("set_no")
+        .agg(
+            F.sum("dependent").alias("dependents"),
+            F.sum("employee").alias("employees"),
+            F.sum("one").alias("total"),
+            F.sum("lines").alias("body_lines"),
+        ),
+        "set-counts",
+    ).select("*", F.expr("lpad(cast(set_no + 1 as string), 9, '0')").alias("control"))
+    per_file = envelope.sets_per_interchange
+    files = (
+        sets.groupBy(F.expr(f"cast(floor(set_no / {per_file}) as bigint)").alias("number"))
+        .agg(F.count(F.lit(1)).alias("sets"))
+        .select("number", "sets", F.expr("lpad(cast(number + 1 as string), 9, '0')").alias("control"))
     )
-    return everything.select(F.floor(F.col("set_no") / per_file).cast("long").alias("interchange"), "*")
-
+    opening, closing = _envelope(envelope)
+    first = f"number * {per_file}"
+    trailer = sets.select("set_no", "control", (F.col("body_lines") + header.count() + 1).alias("lines"))
 
-def _isa(envelope: Envelope, number: Column) -> Column:
-    fixed = (
-        f"ISA*00*{'':10}*00*{'':10}*30*{envelope.sender:15.15}*30*{envelope.receiver:15.15}"
-        f"*{envelope.stamp:%y%m%d}*{envelope.stamp:%H%M}*^*00501*"
+    everything = (
+        lines(files, 0, 0, opening, set_no=first)
+        .unionAll(lines(sets, 1, 0, header.texts()))
+        .unionAll(lines(member, 1, 1, MEMBER_LINES.texts(), subscriber_id="subscriber_id", member_seq="member_seq"))
+        .unionAll(
+            lines(
+                cover,
+                1,
+                1,
+                COVERAGE_LINES.texts(),
+                subscriber_id="subscriber_id",
+                member_seq="member_seq",
+                coverage_seq="coverage_seq",
+            )
+        )
+        .unionAll(lines(trailer, 1, 2, F.expr(f"array({segment('SE', 'lines', 'control')})")))
+        .unionAll(lines(files, 2, 0, closing, set_no=first))
     )
-    return F.concat(F.lit(fixed), number, F.lit("*0*P*>"))
-
-
-def _gs(envelope: Envelope, number: Column) -> Column:
-    fixed = f"GS*BE*{envelope.sender}*{envelope.receiver}*{envelope.stamp:%Y%m%d}*{envelope.stamp:%H%M}*"
-    return F.concat(F.lit(fixed), number, F.lit(f"*X*{envelope.version}"))
+    return everything.select(F.expr(f"cast(floor(set_no / {per_file}) as bigint)").alias("interchange"), "*")
 
 
 def write_edi(rows: DataFrame, covers: DataFrame, path: str, envelope: Envelope = Envelope()) -> None:

@@ -11,10 +11,10 @@ from rollkeep.operators import joins
 from rollkeep.operators.layout import to_layout
 from rollkeep.operators.ordering import number_rows
 
-_LONG = "exception_id file_record_id".split()
+_LONG = "exception_id file_record_id file_instance_id file_instance_transfer_status_id".split()
 _INT = (
     "file_definition_id job_id vendor_id business_id client_id member_term_limit members_per_transaction_set_soft_limit "
-    "file_instance_id file_instance_transfer_status_id return_code"
+    "return_code"
 ).split()
 _BOOLEAN = "show_dependent_total show_employee_total show_total is_prod_file".split()
 _DATE = "file_definition_effective_date file_effective_date lookback_min_date termination_min_date".split()

@@ -106,13 +106,34 @@ def with_loops(segments: DataFrame) -> DataFrame:
     )
 
 
-def segment(tag: str, *elements: Column, optional: bool = False) -> Column:
-    """One segment as text, without trailing empty elements. Separator characters inside a value
-    become blanks. An ``optional`` segment without any value is null."""
-    values = [F.coalesce(F.translate(e.cast("string"), "*~>^", "    "), F.lit("")) for e in elements]
-    body = F.rtrim(F.concat_ws(ELEMENT, *values), F.lit(ELEMENT))
-    text = F.concat(F.lit(tag + ELEMENT), body)
-    return F.when(body != "", text) if optional else F.rtrim(text, F.lit(ELEMENT))
+def segment(tag: str, *elements: str) -> str:
+    """One segment as a SQL text expression, without trailing empty elements.
+
+    The elements are SQL expressions; nulls are empty, and separator characters inside a value
+    become blanks.
+    """
+    values = [f"coalesce(translate(cast({x} as string), '*~>^', '    '), '')" for x in elements]
+    return f"trim(trailing '{ELEMENT}' from concat_ws('{ELEMENT}', '{tag}', {', '.join(values)}))"
+
+
+def dated(tag: str, qualifier: str, column: str) -> str:
+    return segment(tag, f"'{qualifier}'", "'D8'", f"date_format({column}, 'yyyyMMdd')")
+
+
+class Lines:
+    """Segments in order, each with the condition under which it is written."""
+
+    def __init__(self, *lines: tuple[str, str]) -> None:
+        self._lines = lines
+
+    def texts(self) -> Column:
+        """The segments that are present, as an array."""
+        shown = ", ".join(f"case when {present} then {text} end" for present, text in self._lines)
+        return F.expr(f"array_compact(array({shown}))")
+
+    def count(self) -> Column:
+        """How many are present, without building them."""
+        return F.expr(" + ".join(f"case when {present} then 1 else 0 end" for present, _ in self._lines))
 
 
 def write_segments(rows: DataFrame, path: str, order: Sequence[str], separator: str = SEGMENT) -> None:
