@@ -13,7 +13,16 @@ from rollkeep.functions.predicates import DateLike, as_date
 from rollkeep.functions.scalars import element, parse_compact_date
 from rollkeep.operators import joins
 from rollkeep.operators.ordering import running_before
-from rollkeep.sources.segments import Lines, dated, read_segments, segment, with_loops, write_segments
+from rollkeep.sources.segments import (
+    Segment,
+    dated,
+    fields_of,
+    joined,
+    number_of,
+    read_segments,
+    with_loops,
+    write_segments,
+)
 from rollkeep.sources.staging import staged
 
 # --- reading -------------------------------------------------------------------------------
@@ -331,7 +340,7 @@ class Envelope:
     sets_per_interchange: int = 50
 
 
-_ORDER = ["section", "set_no", "part", "subscriber_id", "member_seq", "coverage_seq", "line"]
+_ORDER = ["section", "set_no", "part", "subscriber_id", "member_seq", "coverage_seq"]
 
 
 def _filled(*columns: str) -> str:
@@ -339,176 +348,156 @@ def _filled(*columns: str) -> str:
 
 
 # the segments of a member before its coverages, and of a coverage
-MEMBER_LINES = Lines(
-    (
-        "true",
-        segment(
-            "INS",
-            "is_subscriber",
-            "relationship",
-            "maintenance_type",
-            "maintenance_reason",
-            "benefit_status",
-            "''",
-            "''",
-            "employment_status",
-            "student_status",
-            *["''"] * 7,
-            "case when is_subscriber = 'N' then member_seq end",
-        ),
+MEMBER_SEGMENTS = (
+    Segment(
+        "INS",
+        "is_subscriber",
+        "relationship",
+        "maintenance_type",
+        "maintenance_reason",
+        "benefit_status",
+        "''",
+        "''",
+        "employment_status",
+        "student_status",
+        *["''"] * 7,
+        "case when is_subscriber = 'N' then member_seq end",
     ),
-    ("true", segment("REF", "'0F'", "subscriber_id")),
-    ("true", segment("REF", "'23'", "member_code")),
-    ("maintenance_date is not null", dated("DTP", "303", "maintenance_date")),
-    (
-        "true",
-        segment(
-            "NM1",
-            "'IL'",
-            "'1'",
-            "last_name",
-            "first_name",
-            "middle_name",
-            "''",
-            "''",
-            "case when national_id is not null then '34' end",
-            "national_id",
-        ),
+    Segment("REF", "'0F'", "subscriber_id"),
+    Segment("REF", "'23'", "member_code"),
+    dated("DTP", "303", "maintenance_date"),
+    Segment(
+        "NM1",
+        "'IL'",
+        "'1'",
+        "last_name",
+        "first_name",
+        "middle_name",
+        "''",
+        "''",
+        "case when national_id is not null then '34' end",
+        "national_id",
     ),
-    (_filled("phone"), segment("PER", "'IP'", "''", "'HP'", "phone")),
-    (_filled("address1", "address2"), segment("N3", "address1", "address2")),
-    (_filled("city", "state", "postal"), segment("N4", "city", "state", "postal")),
-    ("true", segment("DMG", "'D8'", "date_format(birth_date, 'yyyyMMdd')", "sex")),
+    Segment("PER", "'IP'", "''", "'HP'", "phone", when=_filled("phone")),
+    Segment("N3", "address1", "address2", when=_filled("address1", "address2")),
+    Segment("N4", "city", "state", "postal", when=_filled("city", "state", "postal")),
+    Segment("DMG", "'D8'", "date_format(birth_date, 'yyyyMMdd')", "sex"),
 )
-COVERAGE_LINES = Lines(
-    ("true", segment("HD", "maintenance_type", "''", "insurance_line", "plan", "coverage_level")),
-    ("benefit_begin is not null", dated("DTP", "348", "benefit_begin")),
-    ("benefit_end is not null", dated("DTP", "349", "benefit_end")),
+COVERAGE_SEGMENTS = (
+    Segment("HD", "maintenance_type", "''", "insurance_line", "plan", "coverage_level"),
+    dated("DTP", "348", "benefit_begin"),
+    dated("DTP", "349", "benefit_end"),
 )
 
 
-def member_elements(rows: DataFrame) -> DataFrame:
-    """The element rows of members that are about to be written, for :func:`validate`."""
-    lines = rows.select("subscriber_id", "member_code", "is_subscriber", F.explode(MEMBER_LINES.texts()).alias("value"))
-    parts = F.split("value", r"\*")
-    return lines.select(
-        "subscriber_id", "member_code", "is_subscriber", F.element_at(parts, 1).alias("tag"), parts.alias("elements")
-    )
+def member_elements(rows: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The element rows of members that are about to be written, for :func:`validate`. Only
+    segments that have a rule are made."""
+    ruled = {rule.tag for rule in rules}
+    wanted = [s for s in MEMBER_SEGMENTS if s.tag in ruled]
+    lines = rows.select("subscriber_id", "member_code", "is_subscriber", F.explode(fields_of(*wanted)).alias("elements"))
+    return lines.select("subscriber_id", "member_code", "is_subscriber", F.element_at("elements", 1).alias("tag"), "elements")
 
 
-def _header(envelope: Envelope) -> Lines:
+def _header(envelope: Envelope) -> tuple[Segment, ...]:
     """The segments that open a transaction, over its ``control`` and quantities."""
-    day = f"'{envelope.stamp:%Y%m%d}'"
-    sponsor, sponsor_id = f"'{envelope.sponsor}'", f"'{envelope.sponsor_id}'"
-    insurer, insurer_id = f"'{envelope.insurer}'", f"'{envelope.insurer_id}'"
-    return Lines(
-        ("true", segment("ST", "'834'", "control", f"'{envelope.version}'")),
-        (
-            "true",
-            segment(
-                "BGN",
-                f"'{envelope.purpose}'",
-                "control",
-                day,
-                f"'{envelope.stamp:%H%M}'",
-                "'LT'",
-                "''",
-                "''",
-                f"'{envelope.action}'",
-            ),
-        ),
-        ("true", segment("REF", "'38'", f"'{envelope.policy}'")),
-        ("true", segment("DTP", "'007'", "'D8'", day)),
-        ("true", segment("QTY", "'DT'", "dependents")),
-        ("true", segment("QTY", "'ET'", "employees")),
-        ("true", segment("QTY", "'TO'", "total")),
-        ("true", segment("N1", "'P5'", sponsor, "'FI'", sponsor_id)),
-        ("true", segment("N1", "'IN'", insurer, "'FI'", insurer_id)),
+    day, time = f"'{envelope.stamp:%Y%m%d}'", f"'{envelope.stamp:%H%M}'"
+    return (
+        Segment("ST", "'834'", "control", f"'{envelope.version}'"),
+        Segment("BGN", f"'{envelope.purpose}'", "control", day, time, "'LT'", "''", "''", f"'{envelope.action}'"),
+        Segment("REF", "'38'", f"'{envelope.policy}'"),
+        Segment("DTP", "'007'", "'D8'", day),
+        Segment("QTY", "'DT'", "dependents"),
+        Segment("QTY", "'ET'", "employees"),
+        Segment("QTY", "'TO'", "total"),
+        Segment("N1", "'P5'", f"'{envelope.sponsor}'", "'FI'", f"'{envelope.sponsor_id}'"),
+        Segment("N1", "'IN'", f"'{envelope.insurer}'", "'FI'", f"'{envelope.insurer_id}'"),
     )
 
 
-def _envelope(envelope: Envelope) -> tuple[Column, Column]:
-    """The segments around the transactions of an interchange, over its ``control`` and ``sets``."""
+def _opening(envelope: Envelope) -> str:
+    """The two segments before the transactions of an interchange, the first of fixed width."""
     stamp = envelope.stamp
     isa = (
         f"ISA*00*{'':10}*00*{'':10}*30*{envelope.sender:15.15}*30*{envelope.receiver:15.15}"
         f"*{stamp:%y%m%d}*{stamp:%H%M}*^*00501*"
     )
-    gs = f"GS*BE*{envelope.sender}*{envelope.receiver}*{stamp:%Y%m%d}*{stamp:%H%M}*"
-    opening = f"array(concat('{isa}', control, '*0*P*>'), concat('{gs}', control, '*X*{envelope.version}'))"
-    closing = f"array({segment('GE', 'sets', 'control')}, {segment('IEA', '1', 'control')})"
-    return F.expr(opening), F.expr(closing)
+    gs = f"~GS*BE*{envelope.sender}*{envelope.receiver}*{stamp:%Y%m%d}*{stamp:%H%M}*"
+    return f"concat('{isa}', control, '*0*P*>', '{gs}', control, '*X*{envelope.version}')"
 
 
-def edi_rows(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFrame:
-    """Every segment of the output with its interchange and place."""
+def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFrame:
+    """What the output is made of, one row each: the interchange's ends, a transaction's ends,
+    a member, a coverage. ``kind`` tells them apart; each has the columns its segments need."""
     placed = staged(split_sets(rows, envelope.soft_limit), "sets").select("subscriber_id", "set_no")
     member = joins.inner(rows, placed, ["subscriber_id"])
     kept = joins.semi(covers, rows, ["subscriber_id", "member_seq"])
     cover = joins.inner(kept, placed, ["subscriber_id"])
 
-    def lines(source: DataFrame, section: int, part: int, texts: Column, **place: str) -> DataFrame:
-        at = {"set_no": "set_no", "subscriber_id": "''", "member_seq": "0", "coverage_seq": "0"} | place
-        return source.select(
-            F.lit(section).alias("section"),
-            F.expr(at["set_no"]).alias("set_no"),
-            F.lit(part).alias("part"),
-            *[F.expr(at[c]).alias(c) for c in ("subscriber_id", "member_seq", "coverage_seq")],
-            F.posexplode(texts).alias("line", "value"),
-        )
-
+    zero = F.lit(0)
     sizes = member.select(
         "set_no",
-        MEMBER_LINES.count().alias("lines"),
+        number_of(*MEMBER_SEGMENTS).alias("lines"),
         F.expr("case when is_subscriber = 'N' then 1 else 0 end").alias("dependent"),
         F.expr("case when is_subscriber = 'Y' then 1 else 0 end").alias("employee"),
         F.lit(1).alias("one"),
-    )
-    none = F.lit(0)
-    cover_sizes = cover.select("set_no", COVERAGE_LINES.count(), none, none, none)
-    header = _header(envelope)
+    ).unionAll(cover.select("set_no", number_of(*COVERAGE_SEGMENTS), zero, zero, zero))
     sets = staged(
-        sizes.unionAll(cover_sizes)
-        .groupBy("set_no")
-        .agg(
+        sizes.groupBy("set_no").agg(
             F.sum("dependent").alias("dependents"),
             F.sum("employee").alias("employees"),
             F.sum("one").alias("total"),
-            F.sum("lines").alias("body_lines"),
+            (F.sum("lines") + len(_header(envelope)) + 1).alias("lines"),
+            F.expr("lpad(cast(set_no + 1 as string), 9, '0')").alias("control"),
         ),
         "set-counts",
-    ).select("*", F.expr("lpad(cast(set_no + 1 as string), 9, '0')").alias("control"))
+    )
     per_file = envelope.sets_per_interchange
     files = (
         sets.groupBy(F.expr(f"cast(floor(set_no / {per_file}) as bigint)").alias("number"))
         .agg(F.count(F.lit(1)).alias("sets"))
-        .select("number", "sets", F.expr("lpad(cast(number + 1 as string), 9, '0')").alias("control"))
-    )
-    opening, closing = _envelope(envelope)
-    first = f"number * {per_file}"
-    trailer = sets.select("set_no", "control", (F.col("body_lines") + header.count() + 1).alias("lines"))
-
-    everything = (
-        lines(files, 0, 0, opening, set_no=first)
-        .unionAll(lines(sets, 1, 0, header.texts()))
-        .unionAll(lines(member, 1, 1, MEMBER_LINES.texts(), subscriber_id="subscriber_id", member_seq="member_seq"))
-        .unionAll(
-            lines(
-                cover,
-                1,
-                1,
-                COVERAGE_LINES.texts(),
-                subscriber_id="subscriber_id",
-                member_seq="member_seq",
-                coverage_seq="coverage_seq",
-            )
+        .select(
+            F.expr(f"number * {per_file}").alias("set_no"),
+            "sets",
+            F.expr("lpad(cast(number + 1 as string), 9, '0')").alias("control"),
         )
-        .unionAll(lines(trailer, 1, 2, F.expr(f"array({segment('SE', 'lines', 'control')})")))
-        .unionAll(lines(files, 2, 0, closing, set_no=first))
     )
+
+    def units(source: DataFrame, kind: str, section: int, part: int) -> DataFrame:
+        missing = [c for c in ("member_seq", "coverage_seq") if c not in source.columns]
+        return source.select(
+            F.lit(kind).alias("kind"),
+            F.lit(section).alias("section"),
+            F.lit(part).alias("part"),
+            *[zero.alias(c) for c in missing],
+            "*",
+        )
+
+    everything = units(files, "opening", 0, 0)
+    for more in (
+        units(sets, "header", 1, 0),
+        units(member, "member", 1, 1),
+        units(cover, "coverage", 1, 1),
+        units(sets, "trailer", 1, 2),
+        units(files, "closing", 2, 0),
+    ):
+        everything = everything.unionByName(more, allowMissingColumns=True)
     return everything.select(F.expr(f"cast(floor(set_no / {per_file}) as bigint)").alias("interchange"), "*")
 
 
+def unit_text(envelope: Envelope) -> str:
+    """The segments of a unit, as a SQL expression."""
+    texts = {
+        "opening": _opening(envelope),
+        "header": joined(*_header(envelope)),
+        "member": joined(*MEMBER_SEGMENTS),
+        "coverage": joined(*COVERAGE_SEGMENTS),
+        "trailer": joined(Segment("SE", "lines", "control")),
+        "closing": joined(Segment("GE", "sets", "control"), Segment("IEA", "1", "control")),
+    }
+    return "case kind " + " ".join(f"when '{kind}' then {text}" for kind, text in texts.items()) + " end"
+
+
 def write_edi(rows: DataFrame, covers: DataFrame, path: str, envelope: Envelope = Envelope()) -> None:
     """Write members (one row each) and their coverages as enrolment interchanges.
 
@@ -516,7 +505,7 @@ def write_edi(rows: DataFrame, covers: DataFrame, path: str, envelope: Envelope
     columns :func:`members` returns; coverages have ``subscriber_id, member_seq, coverage_seq``.
     Without members an empty folder is written.
     """
-    write_segments(edi_rows(rows, covers, envelope), path, _ORDER)
+    write_segments(edi_units(rows, covers, envelope), path, _ORDER, unit_text(envelope))
 
 
 # --- a whole run ---------------------------------------------------------------------------
@@ -535,7 +524,7 @@ def run_file(
     Returns the one-row counts of the run and its exceptions. Without subscribers nothing is
     written. A closed gate raises before anything is written; the exceptions stay staged.
     """
-    exceptions = staged(validate(member_elements(rows), rules), "exceptions")
+    exceptions = staged(validate(member_elements(rows, rules), rules), "exceptions")
     kept = reject_families(rows, exceptions)
     counts = staged(run_counts(rows, kept, exceptions), "run-counts")
     if counts.first()["loaded"] == 0:

@@ -106,45 +106,60 @@ def with_loops(segments: DataFrame) -> DataFrame:
     )
 
 
-def segment(tag: str, *elements: str) -> str:
-    """One segment as a SQL text expression, without trailing empty elements.
+class Segment:
+    """One segment to write: its tag, its elements as SQL expressions over the row, and the
+    condition under which it is there."""
 
-    The elements are SQL expressions; nulls are empty, and separator characters inside a value
-    become blanks.
-    """
-    values = [f"coalesce(translate(cast({x} as string), '*~>^', '    '), '')" for x in elements]
-    return f"trim(trailing '{ELEMENT}' from concat_ws('{ELEMENT}', '{tag}', {', '.join(values)}))"
+    def __init__(self, tag: str, *elements: str, when: str = "true") -> None:
+        self.tag, self.elements, self.when = tag, elements, when
+
+    def text(self) -> str:
+        """The segment as a SQL expression: nulls are empty, trailing empty elements are cut, and
+        separator characters inside a value become blanks. Null when it is not there."""
+        values = ", ".join(f"coalesce(cast({x} as string), '')" for x in self.elements)
+        clean = f"translate(concat_ws(chr(1), '{self.tag}', {values}), concat('*~>^', chr(1)), '    *')"
+        text = f"trim(trailing '*' from {clean})"
+        return text if self.when == "true" else f"case when {self.when} then {text} end"
+
+    def fields(self) -> str:
+        """Tag and elements as a SQL array. Null when the segment is not there."""
+        values = ", ".join(f"cast({x} as string)" for x in self.elements)
+        return f"case when {self.when} then array('{self.tag}', {values}) end"
 
 
-def dated(tag: str, qualifier: str, column: str) -> str:
-    return segment(tag, f"'{qualifier}'", "'D8'", f"date_format({column}, 'yyyyMMdd')")
+def joined(*segments: Segment) -> str:
+    """The segments that are there, as one text."""
+    return f"concat_ws('{SEGMENT}', {', '.join(s.text() for s in segments)})"
 
 
-class Lines:
-    """Segments in order, each with the condition under which it is written."""
+def number_of(*segments: Segment) -> Column:
+    """How many of the segments are there, without building them."""
+    return F.expr(" + ".join(f"case when {s.when} then 1 else 0 end" for s in segments))
 
-    def __init__(self, *lines: tuple[str, str]) -> None:
-        self._lines = lines
 
-    def texts(self) -> Column:
-        """The segments that are present, as an array."""
-        shown = ", ".join(f"case when {present} then {text} end" for present, text in self._lines)
-        return F.expr(f"array_compact(array({shown}))")
+def fields_of(*segments: Segment) -> Column:
+    """The segments that are there, as an array of element arrays."""
+    return F.expr(f"array_compact(array({', '.join(s.fields() for s in segments)}))")
 
-    def count(self) -> Column:
-        """How many are present, without building them."""
-        return F.expr(" + ".join(f"case when {present} then 1 else 0 end" for present, _ in self._lines))
+
+def dated(tag: str, qualifier: str, column: str) -> Segment:
+    return Segment(
+        tag, f"'{qualifier}'", "'D8'", f"date_format({column}, 'yyyyMMdd')", when=f"{column} is not null"
+    )
 
 
-def write_segments(rows: DataFrame, path: str, order: Sequence[str], separator: str = SEGMENT) -> None:
-    """Write segment texts (column ``value``) in the given order, one folder per ``interchange``.
+def write_segments(rows: DataFrame, path: str, order: Sequence[str], value: str, separator: str = SEGMENT) -> None:
+    """Write one text per row, a SQL expression of one or more joined segments, in the given
+    order, one folder per ``interchange``.
 
     The rows are range partitioned on the order, so an interchange of any size is spread over
-    as many tasks as it needs; its part files in number order are the file.
+    as many tasks as it needs; its part files in number order are the file. The texts are made
+    after the exchange, from rows that are smaller than they are.
     """
     columns = ["interchange", *order]
     placed = rows.repartitionByRange(*columns).sortWithinPartitions(*columns)
-    placed.select("interchange", "value").write.partitionBy("interchange").option("lineSep", separator).text(path)
+    texts = placed.select("interchange", F.expr(value).alias("value"))
+    texts.write.partitionBy("interchange").option("lineSep", separator).text(path)
 
 
 def archive_segments(spark: SparkSession, path: str, target: str, separator: str = SEGMENT) -> None:
