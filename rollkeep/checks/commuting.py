@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rollkeep.checks.registry import query
 from rollkeep.checks.standins import ASOF, standins, with_standins
+from rollkeep.operators.joins import semi
 from rollkeep.operators.sets import union_distinct
 from rollkeep.plans import commuter as c
 
@@ -224,8 +225,8 @@ def commuter_extract(spark, sf_dir):
 def union_branches(spark, sf_dir):
     """The three branches as a union of their own filters, restricted to persons with an address."""
     tables = standins(spark, sf_dir, *SOURCE2)
-    rows = c.job_rows(tables, ASOF)
-    homes = c._current_addresses(tables, ASOF).where(F.col("address_type") == "HOME").select("emplid").distinct()
-    rows = rows.join(homes, "emplid", "left_semi")
+    addresses = c.current_addresses(tables, ASOF)
+    rows = c.job_rows(tables, addresses, ASOF)
+    rows = semi(rows, addresses.where(F.col("address_type") == "HOME"), ["emplid"])
     columns = ["emplid", "empl_rcd", "eligible"]
     return union_distinct(*[rows.where(branch).select(*columns) for branch in ("b1", "b2", "b3")])

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollkeep.session import prepare
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -19,7 +22,12 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
         name = function.__name__
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = function
+
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return function(prepare(spark), sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return function

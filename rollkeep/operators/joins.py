@@ -3,6 +3,12 @@
 Nothing here forces a broadcast: Spark broadcasts a side when its measured size is below
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise exchanges both sides on the keys,
 where adaptive execution splits skewed partitions.
+
+Adaptive splitting needs an exchange right below each side of the join. A right side that was
+just grouped on the join keys has none, as it is partitioned that way already, and a key with
+very many rows on the left would stay in one task. Joins against such a side therefore match
+a hash of the keys too: that makes Spark exchange the (reduced) right side again, and the left
+side can be split.
 """
 
 from __future__ import annotations
@@ -25,9 +31,16 @@ def _pairs(on: Keys) -> list[tuple[str, str]]:
     return list(on.items()) if isinstance(on, Mapping) else [(key, key) for key in on]
 
 
-def _condition(on: Keys) -> Column:
-    """Equality of the left keys with the right ones, which carry names of their own by then."""
-    return reduce(and_, [F.col(left) == F.col(f"_r{i}") for i, (left, _) in enumerate(_pairs(on))])
+def _condition(on: Keys, grouped: bool = False) -> Column:
+    """Equality of the left keys with the right ones, which carry names of their own by then.
+
+    ``grouped`` says that the right side was grouped on its keys (see the module text).
+    """
+    pairs = [(F.col(left), F.col(f"_r{i}")) for i, (left, _) in enumerate(_pairs(on))]
+    if grouped:
+        lefts, rights = zip(*pairs, strict=True)
+        pairs.append((F.xxhash64(*lefts), F.xxhash64(*rights)))
+    return reduce(and_, [left == right for left, right in pairs])
 
 
 def _right_keys(other: DataFrame, on: Keys) -> list[Column]:
@@ -50,10 +63,10 @@ def inner(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
     return df.join(right, _condition(on), "inner").select(*_result(df, right))
 
 
-def left(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
+def left(df: DataFrame, other: DataFrame, on: Keys, grouped: bool = False) -> DataFrame:
     """Left join that keeps rows without a partner; the right keys are dropped."""
     right = _renamed(other, on)
-    return df.join(right, _condition(on), "left").select(*_result(df, right))
+    return df.join(right, _condition(on, grouped), "left").select(*_result(df, right))
 
 
 def semi(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
@@ -69,7 +82,7 @@ def anti(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
 def flag_keys(df: DataFrame, other: DataFrame, on: Keys, name: str) -> DataFrame:
     """Add a boolean column: does the row's key occur on the right side."""
     right = other.select(*_right_keys(other, on)).distinct().select("*", F.lit(True).alias("_hit"))
-    joined = df.join(right, _condition(on), "left")
+    joined = df.join(right, _condition(on, grouped=True), "left")
     return joined.select(*df.columns, F.coalesce("_hit", F.lit(False)).alias(name))
 
 
@@ -95,17 +108,18 @@ def not_in_flag(df: DataFrame, column: str, other: DataFrame, other_column: str,
     anywhere in the list gives null where the answer is not already false. The list is read as
     a set of distinct values plus two counts, so the row side needs one equi-join only.
     """
-    values = other.select(F.col(other_column).alias("_v"))
+    on = {column: other_column}
+    values = other.select(F.col(other_column).alias("_r0"))
     size = values.agg(F.count(F.lit(1))).scalar()
-    nulls = values.agg(F.count_if(F.col("_v").isNull())).scalar()
-    listed = values.where(F.col("_v").isNotNull()).distinct().withColumn("_listed", F.lit(True))
+    nulls = values.agg(F.count_if(F.col("_r0").isNull())).scalar()
+    listed = values.where(F.col("_r0").isNotNull()).distinct().withColumn("_listed", F.lit(True))
     answer = (
         F.when(size == 0, F.lit(True))
         .when(F.col("_listed"), F.lit(False))
         .when(F.col(column).isNull() | (nulls > 0), F.lit(None).cast("boolean"))
         .otherwise(F.lit(True))
     )
-    joined = df.join(listed, F.col(column) == F.col("_v"), "left")
+    joined = df.join(listed, _condition(on, grouped=True), "left")
     return joined.select(*df.columns, answer.alias(name))
 
 
@@ -132,7 +146,7 @@ def lookup_one(df: DataFrame, other: DataFrame, on: Keys, column: ColumnLike, na
     )
     # the message is the value of a null-typed expression, so the result keeps the column's type
     stop = F.raise_error(F.lit(f"more than one row for {name}"))
-    joined = df.join(table, _condition(on), "left")
+    joined = df.join(table, _condition(on, grouped=True), "left")
     return joined.select(*df.columns, F.when(F.col("_n") > 1, stop).otherwise(F.col("_value")).alias(name))
 
 

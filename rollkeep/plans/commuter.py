@@ -156,10 +156,13 @@ def _jobs(tables: Tables, asof: dt.date | str, eligible: bool) -> DataFrame:
     )
 
 
-def job_rows(tables: Tables, asof: dt.date | str, eligible: bool | None = None) -> DataFrame:
+def job_rows(
+    tables: Tables, addresses: DataFrame, asof: dt.date | str, eligible: bool | None = None
+) -> DataFrame:
     """Jobs with option, name, person and the three branch flags ``b1``, ``b2``, ``b3``.
 
-    ``eligible`` picks one population; without it both run through the same joins once.
+    ``addresses`` are the current ones. ``eligible`` picks one population; without it both run
+    through the same joins once.
     """
     if eligible is None:
         jobs = _jobs(tables, asof, True).unionAll(_jobs(tables, asof, False))
@@ -172,8 +175,7 @@ def job_rows(tables: Tables, asof: dt.date | str, eligible: bool | None = None)
     )
     names = latest_as_of(tables["ps_names"], ["emplid", "name_type"], "effdt").where("name_type = 'PRI'")
     people = (
-        _current_addresses(tables, asof)
-        .where(p.in_list("country", ["USA"]) & p.city_ok("city", **city))
+        addresses.where(p.in_list("country", ["USA"]) & p.city_ok("city", **city))
         .groupBy("emplid")
         .agg(F.bool_or(F.col("address_type") == "HOME").alias("_home_ok"))
     )
@@ -182,7 +184,7 @@ def job_rows(tables: Tables, asof: dt.date | str, eligible: bool | None = None)
     rows = joins.inner(jobs, option.select("company", "pf_client"), ["company", "pf_client"])
     rows = joins.inner(rows, names.select("emplid", "first_name", "last_name", "middle_name"), ["emplid"])
     rows = joins.inner(rows, tables["ps_person"].select("emplid", "birthdate"), ["emplid"])
-    rows = joins.left(rows, people, ["emplid"])
+    rows = joins.left(rows, people, ["emplid"], grouped=True)
     rows = joins.flag_keys(rows, taxed, ["tax_location_cd"], "_tax_ok")
 
     any_ok = F.col("_home_ok").isNotNull()
@@ -198,7 +200,7 @@ def job_rows(tables: Tables, asof: dt.date | str, eligible: bool | None = None)
     )
 
 
-def _current_addresses(tables: Tables, asof: dt.date | str) -> DataFrame:
+def current_addresses(tables: Tables, asof: dt.date | str) -> DataFrame:
     return latest_as_of(
         tables["ps_addresses"],
         ["emplid", "address_type"],
@@ -222,11 +224,11 @@ def source2(
     They differ in filters only, so one pass keeps a row that any branch takes, and the
     distinct at the end is the union's.
     """
-    taken = job_rows(tables, asof, eligible).where("b1 or b2 or b3")
+    # read three times: for the branch flags, as home and as work address
+    addresses = staged(current_addresses(tables, asof), "addresses")
+    taken = job_rows(tables, addresses, asof, eligible).where("b1 or b2 or b3")
     address_columns = ["address1", "address_type", "address2", "city", "state", F.col("postal").alias("home_postal")]
-    rows = joins.address_roles(
-        taken, _current_addresses(tables, asof), "emplid", address_columns, work_type=work_type
-    )
+    rows = joins.address_roles(taken, addresses, "emplid", address_columns, work_type=work_type)
     phone = tables["ps_personal_phone"].where("pref_phone_flag = 'Y'")
     nid = tables["ps_pers_nid"].where("primary_nid = 'Y'")
     rows = joins.lookup_one(rows, phone, ["emplid"], s.digits("phone"), "home_phone")

@@ -112,7 +112,7 @@ def check_totals(segments: DataFrame) -> DataFrame:
             for code, name in (("DT", "dependents"), ("ET", "employees"), ("TO", "total"))
         ]
     )
-    both = joins.left(stated, txn_totals(segments), ["file", "txn_id"])
+    both = joins.left(stated, txn_totals(segments), ["file", "txn_id"], grouped=True)
     names = ["dependents", "employees", "total"]
     counted = both.select(
         "file", "txn_id", *[f"stated_{n}" for n in names], *[F.coalesce(n, F.lit(0)).alias(n) for n in names]
@@ -241,7 +241,7 @@ def exception_counts(exceptions: DataFrame) -> DataFrame:
 
 def reject_families(rows: DataFrame, exceptions: DataFrame) -> DataFrame:
     """Rows whose subscriber has no exception; one bad member removes its whole family."""
-    return joins.anti(rows, exceptions.select("subscriber_id").distinct(), ["subscriber_id"])
+    return joins.anti(rows, exceptions, ["subscriber_id"])
 
 
 def run_counts(loaded: DataFrame, kept: DataFrame, exceptions: DataFrame) -> DataFrame:

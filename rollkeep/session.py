@@ -1,4 +1,4 @@
-"""A local session for tests, checks and the bench."""
+"""Session settings, and a local session for checks and the bench."""
 
 from __future__ import annotations
 
@@ -7,6 +7,22 @@ import os
 from pyspark.sql import SparkSession
 
 
+# Adaptive settings the plans rely on for skewed keys. The last one lets Spark split a skewed
+# join although a later join would have reused its partitioning.
+ADAPTIVE = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set the adaptive settings on a session, cluster or local."""
+    for name, value in ADAPTIVE.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def local_session(name: str, cores: int | None = None) -> SparkSession:
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
     spark = (
@@ -16,10 +32,9 @@ def local_session(name: str, cores: int | None = None) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
-        .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call sites: faster plan building
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return prepare(spark)

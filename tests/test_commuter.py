@@ -8,7 +8,8 @@ from rollkeep.plans import commuter as c
 
 
 def test_second_branch_contains_the_others(spark):
-    jobs = c.job_rows(standins(spark, SMALL, *SOURCE2), ASOF)
+    tables = standins(spark, SMALL, *SOURCE2)
+    jobs = c.job_rows(tables, c.current_addresses(tables, ASOF), ASOF)
     assert jobs.where("(b1 or b3) and not coalesce(b2, false)").count() == 0
     assert jobs.where("b2").count() > 0
 

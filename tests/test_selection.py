@@ -9,7 +9,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from rollkeep.operators.asof import conditional_as_of, latest_as_of
+from rollkeep.operators import joins
 from rollkeep.operators.dedupe import keep_best
+from rollkeep.session import ADAPTIVE
 
 DAYS = [None] + [dt.date(2020, 1, d) for d in range(1, 7)]
 CUTOFF = dt.date(2020, 1, 4)
@@ -133,6 +135,7 @@ def _skewed(spark):
 
 def _skew_options(conf):
     conf(
+        **{name.replace(".", "__"): value for name, value in ADAPTIVE.items()},
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="40KB",
@@ -165,3 +168,27 @@ def test_hot_key_is_split_in_dedupe(spark, conf):
     assert "skew=true" in plan
     assert "Window" not in plan
     assert kept.count() == 60000
+
+
+def test_hot_key_is_split_in_lookups(spark, conf):
+    _skew_options(conf)
+    df = _skewed(spark)
+    codes = spark.range(-1, 60000, 2).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    for joined in (
+        joins.flag_keys(df, codes, ["k"], "hit").where("hit"),
+        joins.not_in_flag(df, "k", codes, "k", "out").where("not out"),
+        joins.lookup_one(df, codes, ["k"], "v", "v").where("v is not null"),
+        joins.semi(df, codes, ["k"]),
+        joins.inner(df, codes, ["k"]),
+    ):
+        assert "skew=true" in _final_plan(joined)
+        assert joined.count() == 40000
+
+
+def test_hot_key_is_split_in_a_chain_of_joins(spark, conf):
+    """Two joins on the same key: the second would reuse the partitioning of the first."""
+    _skew_options(conf)
+    codes = spark.range(-1, 60000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    chain = joins.lookup_one(joins.lookup_one(_skewed(spark), codes, ["k"], "v", "a"), codes, ["k"], "v", "b")
+    assert _final_plan(chain).count("skew=true") >= 2
+    assert chain.where("a = b").count() == 60000
