@@ -415,6 +415,19 @@ def runs_like(spark, sf_dir):
     return ledger.runs_like(tables["file_definition"], tables["file_instance"], "%Vision%")
 
 
+@query(
+    with_standins(
+        ["file_event"],
+        """select v.* from file_event v
+        where v.event_time = (select max(w.event_time) from file_event w where w.file_instance_id = v.file_instance_id)
+        and v.event_no = (select max(w.event_no) from file_event w
+          where w.file_instance_id = v.file_instance_id and w.event_time = v.event_time)""",
+    )
+)
+def run_status(spark, sf_dir):
+    return ledger.current_status(standin(spark, sf_dir, "file_event"))
+
+
 @query(with_standins(["file_exception"], "select * from file_exception where file_instance_id = 77"))
 def run_rows(spark, sf_dir):
     return ledger.run_rows(standin(spark, sf_dir, "file_exception"), 77)

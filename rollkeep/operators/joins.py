@@ -20,7 +20,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollkeep.functions.predicates import ColumnLike, DateLike, _col, valid_on
+from rollkeep.functions.predicates import ColumnLike, DateLike, _col, as_date, valid_on
 from rollkeep.operators.asof import latest_as_of
 
 Keys = Sequence[str] | Mapping[str, str]
@@ -128,9 +128,23 @@ def null_aware_not_in(df: DataFrame, column: str, other: DataFrame, other_column
     return not_in_flag(df, column, other, other_column, "_out").where("_out").drop("_out")
 
 
-def valid_at(df: DataFrame, other: DataFrame, on: Keys, at: ColumnLike, lo: str, hi: str) -> DataFrame:
-    """Equi-join restricted to the validity interval ``lo..hi`` that holds on the row's date."""
+def valid_at(
+    df: DataFrame,
+    other: DataFrame,
+    on: Keys,
+    at: ColumnLike,
+    lo: str,
+    hi: str,
+    within: tuple[DateLike, DateLike] | None = None,
+) -> DataFrame:
+    """Equi-join restricted to the validity interval ``lo..hi`` that holds on the row's date.
+
+    ``within`` states the range all the row dates lie in. Intervals that do not touch it are
+    then left out by the scan, before anything is exchanged.
+    """
     right = _renamed(other, on)
+    if within is not None:
+        right = right.where((F.col(hi) >= as_date(within[0])) & (F.col(lo) <= as_date(within[1])))
     condition = _condition(on) & valid_on("_at", lo, hi)
     joined = df.select("*", _col(at).alias("_at")).join(right, condition, "inner")
     return joined.select(*_result(df, right))

@@ -52,6 +52,10 @@ EXCLUDED_CITIES = ["SFO"]
 FULL_TIME_HOURS = 30
 
 
+def _date(value: dt.date | str) -> dt.date:
+    return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
+
+
 def source1(
     tables: Tables,
     client_window: Window,
@@ -79,18 +83,27 @@ def source1(
         "allowed",
     ).where(p.open_or_closed_in("terminated", *employee_window, F.col("allowed")))
     at = F.coalesce("terminated", p.as_date(asof))
+    # every row date is the as-of date or an end date inside the window
+    dates = [_date(d) for d in (asof, *employee_window)]
+    span = (min(dates), max(dates))
     primary = tables["soemploc"].where("primary_yn = 'Y'")
     person = tables["syemsad"].where(p.in_list("country", COUNTRIES))
 
     rows = joins.inner(year.drop("term_reason_code", "allowed"), person.drop("country"), ["empl_id"])
-    rows = joins.valid_at(rows, primary, ["empl_id"], at, "effective_date", "expiry_date")
+    rows = joins.valid_at(rows, primary, ["empl_id"], at, "effective_date", "expiry_date", within=span)
     rows = joins.inner(
         rows.drop("effective_date", "expiry_date", "primary_yn"),
         client.select("payroll_type", "client_id"),
         ["payroll_type", "client_id"],
     )
     rows = joins.valid_at(
-        rows, tables["sthclocra"], ["client_id", "location_id"], at, "effective_date", "expiry_date"
+        rows,
+        tables["sthclocra"],
+        ["client_id", "location_id"],
+        at,
+        "effective_date",
+        "expiry_date",
+        within=span,
     )
     return to_layout(
         rows,

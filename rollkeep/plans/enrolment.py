@@ -315,7 +315,7 @@ def split_sets(rows: DataFrame, soft_limit: int) -> DataFrame:
     """
     families = rows.groupBy("subscriber_id").agg(F.count(F.lit(1)).alias("family_size"))
     placed = running_before(families, ["subscriber_id"], {"members_before": "family_size"})
-    return placed.select("*", F.floor(F.col("members_before") / F.lit(soft_limit)).cast("long").alias("set_no"))
+    return placed.select("*", F.expr(f"members_before div {soft_limit}").alias("set_no"))
 
 
 # --- writing -------------------------------------------------------------------------------
@@ -454,7 +454,7 @@ def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFra
     )
     per_file = envelope.sets_per_interchange
     files = (
-        sets.groupBy(F.expr(f"cast(floor(set_no / {per_file}) as bigint)").alias("number"))
+        sets.groupBy(F.expr(f"set_no div {per_file}").alias("number"))
         .agg(F.count(F.lit(1)).alias("sets"))
         .select(
             F.expr(f"number * {per_file}").alias("set_no"),
@@ -482,7 +482,7 @@ def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFra
         units(files, "closing", 2, 0),
     ):
         everything = everything.unionByName(more, allowMissingColumns=True)
-    return everything.select(F.expr(f"cast(floor(set_no / {per_file}) as bigint)").alias("interchange"), "*")
+    return everything.select(F.expr(f"set_no div {per_file}").alias("interchange"), "*")
 
 
 def unit_text(envelope: Envelope) -> str:

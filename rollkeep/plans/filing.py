@@ -249,3 +249,32 @@ def register_filing(
     rows = filing(tables, policy_start, effective, variant)
     rows.createOrReplaceTempView(name)
     return rows
+
+
+# The address columns a change is looked for in.
+ADDRESS_COLUMNS = (
+    "company_address1 company_address2 company_city company_state company_zip "
+    "location_address1 location_address2 location_city location_state location_zip"
+).split()
+
+
+def change_filing(current: DataFrame, sent: DataFrame, effective: dt.date | str) -> DataFrame:
+    """The rows of a change file against what was sent before, in the filing's layout.
+
+    ``ADD`` for companies never sent (all of them in a first, full feed), ``ADDRESS`` for rows
+    whose address was not sent like that, ``CANCEL`` for sent companies that are gone. The
+    comparison is by sets of rows, so a company with several rows is fine. Without changes the
+    result is empty.
+    """
+    added = joins.anti(current, sent, ["company"]).withColumn("status", F.lit("ADD"))
+    known = joins.semi(current, sent, ["company"])
+    old = sent.select("company", F.struct(*ADDRESS_COLUMNS).alias("_old"))
+    unsent = (F.col("company") == F.col("_c")) & F.struct(*ADDRESS_COLUMNS).eqNullSafe(F.col("_old"))
+    moved = known.join(old.withColumnRenamed("company", "_c"), unsent, "left_anti").withColumn(
+        "status", F.lit("ADDRESS")
+    )
+    gone = joins.anti(sent, current, ["company"]).withColumns(
+        {"status": F.lit("CANCEL"), "cancel_reason": F.lit("Client's Request")}
+    )
+    changed = added.unionByName(moved).unionByName(gone).withColumn("status_date", p.as_date(effective))
+    return typed(changed, RESULT)

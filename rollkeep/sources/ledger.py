@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from rollkeep.functions.predicates import like
 from rollkeep.operators import joins
+from rollkeep.operators.asof import latest_as_of
 from rollkeep.operators.layout import to_layout
 from rollkeep.operators.ordering import number_rows
 
@@ -70,6 +71,11 @@ def ledger_append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def current_status(events: DataFrame) -> DataFrame:
+    """The last event of each run by time and number: its status now."""
+    return latest_as_of(events, ["file_instance_id"], "event_time", seq="event_no")
+
+
 def number_exceptions(exceptions: DataFrame, start: int = 0) -> DataFrame:
     """Give ``exception_id`` in subscriber order, after ``start``."""
     order = ["file_instance_id", "subscriber_id", "member_id", "detail", "file_record_id"]

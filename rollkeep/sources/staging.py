@@ -13,19 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode without it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by ``spark.checkpoint.dir``, or else the context's checkpoint folder. Only
+    a local session without either gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="rollkeep-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rollkeep-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/rollkeep/{label}-{uuid.uuid4().hex}"
+    """A folder name of its own; one level per application."""
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/rollkeep/{spark.conf.get('spark.app.id')}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -34,3 +39,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application staged. Results that were not yet written are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

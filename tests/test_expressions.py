@@ -11,6 +11,7 @@ from rollkeep.functions import predicates as p
 from rollkeep.functions import scalars as s
 from rollkeep.operators import joins
 from rollkeep.operators.ordering import number_rows, ordered, running_before
+from rollkeep.sources import staging
 
 
 def _one(spark, column, value, kind="string"):
@@ -64,6 +65,8 @@ def test_interval_ends_count(spark):
     df = spark.createDataFrame([("a", dt.date(2020, 1, d)) for d in (1, 2, 5, 6)], "k string, at date")
     spans = spark.createDataFrame([("a", dt.date(2020, 1, 2), dt.date(2020, 1, 5))], "k string, lo date, hi date")
     found = joins.valid_at(df, spans, ["k"], "at", "lo", "hi")
+    span = (dt.date(2020, 1, 1), dt.date(2020, 1, 6))
+    assert rows(joins.valid_at(df, spans, ["k"], "at", "lo", "hi", within=span)) == rows(found)
     assert [r[1].day for r in rows(found, "k", "at")] == [2, 5]
 
 
@@ -123,3 +126,15 @@ def test_numbers_and_running_sums_span_partitions(spark, conf):
     before = dict(zip(sorted(values), itertools.accumulate([0] + [values[x] for x in sorted(values)])))
     found = {r["x"]: r["b"] for r in running_before(df, ["x"], {"b": "n"}).collect()}
     assert found == before
+
+
+def test_release_deletes_what_was_staged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path))
+    assert staging.staged(spark.range(3), "x").count() == 3
+    assert list(tmp_path.glob("rollkeep/*/x-*"))
+    staging.release(spark)
+    assert not list(tmp_path.glob("rollkeep/*"))
+
+
+def test_shared_folder_is_the_sessions(spark):
+    assert staging.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
