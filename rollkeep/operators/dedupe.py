@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollkeep.operators.joins import hash_condition
+
 
 def keep_best(df: DataFrame, key: str, ended: str, codes: Sequence[str]) -> DataFrame:
     """Per key: open rows before ended ones, else the latest end date; then the smallest first
@@ -50,7 +52,7 @@ def keep_best(df: DataFrame, key: str, ended: str, codes: Sequence[str]) -> Data
         .select("_k", "_e", F.col("_p._c").alias("_c"), F.col("_p._l").alias("_l"), F.lit(True).alias("_hit"))
     )
     on = (F.col(key) == F.col("_k")) & F.col(ended).eqNullSafe(F.col("_e"))
-    joined = df.join(best, on, "left")
+    joined = df.join(best, on & hash_condition(df, [key], ["_k"]), "left")
     keep = F.col("_hit") & (
         (F.col(first).isNull() | F.col("_c").isNull() | (F.col(first) == F.col("_c")))
         & (F.col(second).isNull() | F.col("_l").isNull() | (F.col(second) == F.col("_l")))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,16 +31,26 @@ def _pairs(on: Keys) -> list[tuple[str, str]]:
     return list(on.items()) if isinstance(on, Mapping) else [(key, key) for key in on]
 
 
-def _condition(on: Keys, grouped: bool = False) -> Column:
-    """Equality of the left keys with the right ones, which carry names of their own by then.
+def _condition(on: Keys) -> Column:
+    """Equality of the left keys with the right ones, which carry names of their own by then."""
+    return reduce(and_, [F.col(left) == F.col(f"_r{i}") for i, (left, _) in enumerate(_pairs(on))])
 
-    ``grouped`` says that the right side was grouped on its keys (see the module text).
+
+def hash_condition(df: DataFrame, keys: Sequence[str], right_keys: Sequence[str]) -> Column:
+    """Equality of a hash of the keys, to go with the equality of the keys (see the module text).
+
+    Left rows with a null key match nothing; they get a hash of the whole row instead, so that an
+    outer join does not gather them all in one partition.
     """
-    pairs = [(F.col(left), F.col(f"_r{i}")) for i, (left, _) in enumerate(_pairs(on))]
-    if grouped:
-        lefts, rights = zip(*pairs, strict=True)
-        pairs.append((F.xxhash64(*lefts), F.xxhash64(*rights)))
-    return reduce(and_, [left == right for left, right in pairs])
+    unknown = reduce(or_, [F.col(key).isNull() for key in keys])
+    return F.when(unknown, F.xxhash64(*df.columns)).otherwise(F.xxhash64(*keys)) == F.xxhash64(*right_keys)
+
+
+def _left_grouped(df: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
+    """Left join against a side that was grouped on the join keys."""
+    keys = [left for left, _ in _pairs(on)]
+    hashes = hash_condition(df, keys, [f"_r{i}" for i in range(len(keys))])
+    return df.join(right, _condition(on) & hashes, "left")
 
 
 def _right_keys(other: DataFrame, on: Keys) -> list[Column]:
@@ -64,9 +74,11 @@ def inner(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
 
 
 def left(df: DataFrame, other: DataFrame, on: Keys, grouped: bool = False) -> DataFrame:
-    """Left join that keeps rows without a partner; the right keys are dropped."""
+    """Left join that keeps rows without a partner; the right keys are dropped. ``grouped`` says
+    that the right side was grouped on its keys."""
     right = _renamed(other, on)
-    return df.join(right, _condition(on, grouped), "left").select(*_result(df, right))
+    joined = _left_grouped(df, right, on) if grouped else df.join(right, _condition(on), "left")
+    return joined.select(*_result(df, right))
 
 
 def semi(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
@@ -82,7 +94,7 @@ def anti(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
 def flag_keys(df: DataFrame, other: DataFrame, on: Keys, name: str) -> DataFrame:
     """Add a boolean column: does the row's key occur on the right side."""
     right = other.select(*_right_keys(other, on)).distinct().select("*", F.lit(True).alias("_hit"))
-    joined = df.join(right, _condition(on, grouped=True), "left")
+    joined = _left_grouped(df, right, on)
     return joined.select(*df.columns, F.coalesce("_hit", F.lit(False)).alias(name))
 
 
@@ -119,7 +131,7 @@ def not_in_flag(df: DataFrame, column: str, other: DataFrame, other_column: str,
         .when(F.col(column).isNull() | (nulls > 0), F.lit(None).cast("boolean"))
         .otherwise(F.lit(True))
     )
-    joined = df.join(listed, _condition(on, grouped=True), "left")
+    joined = _left_grouped(df, listed, on)
     return joined.select(*df.columns, answer.alias(name))
 
 
@@ -160,7 +172,7 @@ def lookup_one(df: DataFrame, other: DataFrame, on: Keys, column: ColumnLike, na
     )
     # the message is the value of a null-typed expression, so the result keeps the column's type
     stop = F.raise_error(F.lit(f"more than one row for {name}"))
-    joined = df.join(table, _condition(on, grouped=True), "left")
+    joined = _left_grouped(df, table, on)
     return joined.select(*df.columns, F.when(F.col("_n") > 1, stop).otherwise(F.col("_value")).alias(name))
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 import duckdb
 import pytest
@@ -192,3 +193,26 @@ def test_hot_key_is_split_in_a_chain_of_joins(spark, conf):
     chain = joins.lookup_one(joins.lookup_one(_skewed(spark), codes, ["k"], "v", "a"), codes, ["k"], "v", "b")
     assert _final_plan(chain).count("skew=true") >= 2
     assert chain.where("a = b").count() == 60000
+
+
+def test_null_keys_are_spread(spark, conf):
+    """Rows without a key match nothing and must not gather in one partition of a left join."""
+    _skew_options(conf)
+    conf(spark__sql__adaptive__enabled="false")
+    df = spark.range(40000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"),
+        F.when(F.col("id") % 2 == 0, F.lit("2020-01-01")).cast("date").alias("ended"),
+        F.lit("c").alias("company"),
+        F.lit("l").alias("location"),
+        "id",
+    )
+    codes = spark.range(40000).select(F.col("id").alias("k"))
+    for joined in (
+        joins.flag_keys(df, codes, ["k"], "hit"),
+        joins.not_in_flag(df, "k", codes, "k", "out"),
+        joins.lookup_one(df, codes, ["k"], "k", "v"),
+        keep_best(df, "k", "ended", ["company", "location"]),
+    ):
+        table = joined.select("*", F.spark_partition_id().alias("part")).toArrow()  # all columns, so the join stays
+        assert table.num_rows == 40000
+        assert max(Counter(table["part"].to_pylist()).values()) < 8000
