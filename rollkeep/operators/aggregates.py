@@ -56,6 +56,12 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
+def location_kinds(pattern: str = "%REMOTE%", blank_address_ok: bool = True) -> tuple[Column, Column]:
+    """Conditions for an office and for a remote location that may be filed."""
+    remote = like("descr", pattern, fold_case=True)
+    return ~remote, remote if blank_address_ok else remote & (F.col("address1") != " ")
+
+
 def choose_location(
     counts: DataFrame, locations: DataFrame, pattern: str = "%REMOTE%", blank_address_ok: bool = True
 ) -> DataFrame:
@@ -66,11 +72,10 @@ def choose_location(
     whose first address line is blank or unknown is no candidate.
     """
     joined = inner(counts.select("company", "location"), locations.select("location", "descr", "address1"), ["location"])
-    remote = like("descr", pattern, fold_case=True)
-    remote_ok = remote if blank_address_ok else remote & (F.col("address1") != " ")
+    office, remote = location_kinds(pattern, blank_address_ok)
     picked = joined.groupBy("company").agg(
-        F.min(F.when(~remote, F.col("location"))).alias("_office"),
-        F.min(F.when(remote_ok, F.col("location"))).alias("_remote"),
+        F.min(F.when(office, F.col("location"))).alias("_office"),
+        F.min(F.when(remote, F.col("location"))).alias("_remote"),
     )
     chosen = picked.select("company", F.coalesce("_office", "_remote").alias("location"))
     return chosen.where(F.col("location").isNotNull() & F.col("company").isNotNull())

@@ -63,14 +63,16 @@ def _renamed(other: DataFrame, on: Keys) -> DataFrame:
     return other.select(*_right_keys(other, on), *[F.col(c) for c in other.columns if c not in names])
 
 
-def _result(df: DataFrame, right: DataFrame) -> list[str]:
-    return df.columns + [c for c in right.columns if not c.startswith("_r")]
+def _result(df: DataFrame, right: DataFrame, on: Keys) -> list[str]:
+    """All left columns and the right ones but the keys."""
+    keys = {f"_r{i}" for i in range(len(_pairs(on)))}
+    return df.columns + [c for c in right.columns if c not in keys]
 
 
 def inner(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
     """Equi-join; the right keys are dropped."""
     right = _renamed(other, on)
-    return df.join(right, _condition(on), "inner").select(*_result(df, right))
+    return df.join(right, _condition(on), "inner").select(*_result(df, right, on))
 
 
 def left(df: DataFrame, other: DataFrame, on: Keys, grouped: bool = False) -> DataFrame:
@@ -78,7 +80,7 @@ def left(df: DataFrame, other: DataFrame, on: Keys, grouped: bool = False) -> Da
     that the right side was grouped on its keys."""
     right = _renamed(other, on)
     joined = _left_grouped(df, right, on) if grouped else df.join(right, _condition(on), "left")
-    return joined.select(*_result(df, right))
+    return joined.select(*_result(df, right, on))
 
 
 def semi(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
@@ -159,7 +161,7 @@ def valid_at(
         right = right.where((F.col(hi) >= as_date(within[0])) & (F.col(lo) <= as_date(within[1])))
     condition = _condition(on) & valid_on("_at", lo, hi)
     joined = df.select("*", _col(at).alias("_at")).join(right, condition, "inner")
-    return joined.select(*_result(df, right))
+    return joined.select(*_result(df, right, on))
 
 
 def lookup_one(df: DataFrame, other: DataFrame, on: Keys, column: ColumnLike, name: str) -> DataFrame:

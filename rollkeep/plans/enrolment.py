@@ -267,10 +267,13 @@ class TooManyErrors(RuntimeError):
 
 def enforce_gate(exceptions: DataFrame, max_errors: int = 0) -> int:
     """Stop before publishing when there are more errors than allowed; returns the error count."""
-    row = gate(exceptions, max_errors).first()
-    if not row["passed"]:
-        raise TooManyErrors(f"the number of errors ({row['errors']}) exceeds the maximum of {max_errors}")
-    return row["errors"]
+    return _gate_check(gate(exceptions, max_errors).first()["errors"], max_errors)
+
+
+def _gate_check(errors: int, max_errors: int) -> int:
+    if errors > max_errors:
+        raise TooManyErrors(f"the number of errors ({errors}) exceeds the maximum of {max_errors}")
+    return errors
 
 
 # --- selection and splitting ---------------------------------------------------------------
@@ -526,9 +529,11 @@ def run_file(
     """
     exceptions = staged(validate(member_elements(rows, rules), rules), "exceptions")
     kept = reject_families(rows, exceptions)
-    counts = staged(run_counts(rows, kept, exceptions), "run-counts")
-    if counts.first()["loaded"] == 0:
+    counts = run_counts(rows, kept, exceptions)
+    found = counts.first()
+    counts = rows.sparkSession.createDataFrame([tuple(found)], counts.schema)
+    if found["loaded"] == 0:
         return counts, exceptions
-    enforce_gate(exceptions, max_errors)
+    _gate_check(found["errors"], max_errors)
     write_edi(staged(kept, "kept"), covers, path, envelope)
     return counts, exceptions

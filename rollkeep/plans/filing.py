@@ -1,8 +1,9 @@
 """The disability filing: one row per company with head counts, payroll and a filing address.
 
 The steps follow the data: locations in force, employees counted per company and location,
-company totals, one filing location per company, industry code, and the joined result. The
-counts are grouped once per (company, location); totals and location choice read that result.
+company totals, one filing location per company, industry code, and the joined result. Each
+step is a function of its own; the filing itself takes totals and location choice from one
+grouping, so the job table is read by a single plan.
 """
 
 from __future__ import annotations
@@ -10,18 +11,17 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollkeep.functions import predicates as p
 from rollkeep.functions import scalars as s
 from rollkeep.operators import joins
-from rollkeep.operators.aggregates import choose_location, count_when, rollup_counts, subtotals
+from rollkeep.operators.aggregates import choose_location, count_when, location_kinds, rollup_counts, subtotals
 from rollkeep.operators.asof import latest_as_of
 from rollkeep.operators.layout import typed
 from rollkeep.operators.ordering import number_rows
-from rollkeep.sources.staging import staged
 from rollkeep.sources.tables import Tables, insert_select
 
 # The population the filing counts.
@@ -124,8 +124,8 @@ def locations(tables: Tables, effective: p.DateLike, variant: Variant) -> DataFr
     return insert_select(here.select(*LOCATIONS.names).distinct(), LOCATIONS)
 
 
-def employee_counts(tables: Tables, places: DataFrame, effective: p.DateLike, variant: Variant) -> DataFrame:
-    """Head counts and payroll rolled up over company and location, with the roll-up ``level``."""
+def counted_rows(tables: Tables, places: DataFrame, effective: p.DateLike, variant: Variant) -> DataFrame:
+    """The employees to count, one row each, with company, location, sex and pay."""
     job = latest_as_of(tables["ps_job"], variant.job_key, "effdt", effective, seq="effseq")
     owners = p.not_in_or_null if variant.null_class_ok else p.not_in
     counted = job.where(
@@ -138,14 +138,22 @@ def employee_counts(tables: Tables, places: DataFrame, effective: p.DateLike, va
     person = latest_as_of(tables["ps_pers_data_effdt"], ["emplid"], "effdt", effective).select("emplid", "sex")
     # a location listed twice (two addresses on one date) counts its employees twice
     here = joins.inner(counted, places.select("location"), ["location"])
-    rows = joins.inner(here, person, ["emplid"])
-    measures = {
+    return joins.inner(here, person, ["emplid"])
+
+
+def measures() -> dict[str, Column]:
+    return {
         "total_employees": F.count(F.lit(1)),
         "dbl_males": count_when((F.col("sex") == "M") | (F.col("sex") == "U")),
         "dbl_females": count_when(F.col("sex") == "F"),
         "covered_annual_payroll": F.sum("annual_rt"),
     }
-    return typed(rollup_counts(rows, ["company", "location"], measures), COUNTS)
+
+
+def employee_counts(tables: Tables, places: DataFrame, effective: p.DateLike, variant: Variant) -> DataFrame:
+    """Head counts and payroll rolled up over company and location, with the roll-up ``level``."""
+    rows = counted_rows(tables, places, effective, variant)
+    return typed(rollup_counts(rows, ["company", "location"], measures()), COUNTS)
 
 
 def company_totals(counts: DataFrame) -> DataFrame:
@@ -158,6 +166,28 @@ def filing_locations(counts: DataFrame, places: DataFrame, variant: Variant) ->
     return choose_location(detail, places, blank_address_ok=variant.blank_address_ok)
 
 
+def counted_companies(tables: Tables, places: DataFrame, effective: p.DateLike, variant: Variant) -> DataFrame:
+    """Totals and filing location of each company in one row.
+
+    The same as :func:`company_totals` joined to :func:`filing_locations`, from one grouping of
+    the counted employees; the filing uses this one.
+    """
+    rows = counted_rows(tables, places, effective, variant)
+    detail = rows.groupBy("company", "location").agg(*[m.alias(name) for name, m in measures().items()])
+    office, remote = location_kinds(blank_address_ok=variant.blank_address_ok)
+    kinds = places.groupBy("location").agg(F.bool_or(office).alias("_office"), F.bool_or(remote).alias("_remote"))
+    typed_detail = joins.left(detail, kinds, ["location"], grouped=True)
+    found = typed_detail.groupBy("company").agg(
+        F.sum("dbl_males").cast("int").alias("dbl_males"),
+        F.sum("dbl_females").cast("int").alias("dbl_females"),
+        F.sum("covered_annual_payroll").cast(COUNTS["covered_annual_payroll"].dataType).alias("covered_annual_payroll"),
+        F.min(F.when(F.col("_office"), F.col("location"))).alias("_first"),
+        F.min(F.when(F.col("_remote"), F.col("location"))).alias("_second"),
+    )
+    chosen = found.withColumn("filing_location", F.coalesce("_first", "_second")).drop("_first", "_second")
+    return chosen.where(F.col("filing_location").isNotNull())
+
+
 def industry_codes(tables: Tables, counts: DataFrame, effective: p.DateLike) -> DataFrame:
     """Distinct codes of counted companies; a company with two codes gives two filing rows."""
     current = latest_as_of(tables["ps_estab_tbl_usa"], ["estabid"], "effdt", effective)
@@ -168,8 +198,8 @@ def unnumbered_filing(tables: Tables, policy_start: p.DateLike, effective: p.Dat
     """The filing rows before the record id is given, in the result's column order."""
     rule = VARIANTS[variant]
     places = locations(tables, effective, rule)
-    # read by three later steps, and the only one over the job table
-    counts = staged(employee_counts(tables, places, effective, rule), "filing-counts")
+    counted = counted_companies(tables, places, effective, rule)
+    codes = latest_as_of(tables["ps_estab_tbl_usa"], ["estabid"], "effdt", effective).select("estabid", "naics")
 
     company = latest_as_of(
         tables["ps_company_tbl"], ["company"], "effdt", effective, status="eff_status", status_value="A"
@@ -180,15 +210,12 @@ def unnumbered_filing(tables: Tables, policy_start: p.DateLike, effective: p.Dat
         option = option.where(p.term_after("t2_comp_term_dt", limit))
 
     option = option.select("company", "pf_client", "t2_legal_name", "t2_comp_term_dt")
-    totals = company_totals(counts).drop("total_employees")
-    chosen = filing_locations(counts, places, rule).select("company", F.col("location").alias("filing_location"))
     office = places.select(
         "location", F.col("descr").alias("filing_descr"), *[F.col(c).alias(f"location_{c}") for c in LOCATIONS.names[2:]]
     )
     joined = joins.inner(company, option, ["company", "pf_client"])
-    joined = joins.inner(joined, totals, ["company"])
-    joined = joins.inner(joined, chosen, ["company"])
-    joined = joins.inner(joined, industry_codes(tables, counts, effective), {"company": "estabid"})
+    joined = joins.inner(joined, counted, ["company"])
+    joined = joins.inner(joined, codes.distinct(), {"company": "estabid"})
     joined = joins.inner(joined, office, {"filing_location": "location"})
 
     blank = F.lit(" ")

@@ -111,6 +111,21 @@ def test_keys_with_other_names(spark):
     assert rows(joins.flag_keys(df, other, {"k": "code"}, "f"), "k", "f") == [("a", True), ("b", False), (None, False)]
 
 
+def test_columns_with_like_names_survive_joins(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, _r int")
+    other = spark.createDataFrame([("a", 2, 3)], "k string, _remote int, _rate int")
+    for joined in (joins.inner(df, other, ["k"]), joins.left(df, other, ["k"]), joins.left(df, other, ["k"], grouped=True)):
+        assert joined.columns == ["k", "_r", "_remote", "_rate"]
+        assert rows(joined) == [("a", 1, 2, 3)]
+
+
+def test_end_on_the_limit_is_dropped(spark):
+    limit = dt.date(2018, 1, 1)
+    ends = [None, limit - dt.timedelta(1), limit, limit + dt.timedelta(1)]
+    df = spark.createDataFrame([(d,) for d in ends], "t date")
+    assert [r[0] for r in df.where(p.term_after("t", limit)).collect()] == [None, limit + dt.timedelta(1)]
+
+
 def test_order_follows_the_database_default(spark):
     df = spark.createDataFrame([("b", 1), (None, 2), ("a", None), ("a", 3)], "x string, y int")
     found = [tuple(r) for r in ordered(df, ["x", ("y", False, "first")]).collect()]
