@@ -323,10 +323,13 @@ def interval_join(spark, sf_dir):
     )
     zips = standin(spark, sf_dir, "sthclocra")
     at = F.coalesce("terminated", p.as_date(ASOF))
-    placed = joins.valid_at(people, places, ["empl_id"], at, "effective_date", "expiry_date").drop(
+    span = ("1998-01-01", "1998-12-31")  # the as-of date and all end dates lie in it
+    placed = joins.valid_at(people, places, ["empl_id"], at, "effective_date", "expiry_date", within=span).drop(
         "effective_date", "expiry_date"
     )
-    zipped = joins.valid_at(placed, zips, ["client_id", "location_id"], at, "effective_date", "expiry_date")
+    zipped = joins.valid_at(
+        placed, zips, ["client_id", "location_id"], at, "effective_date", "expiry_date", within=span, bucket_days=90
+    )
     return zipped.select("empl_id", "client_id", "location_id", "terminated", "postal_zip")
 
 

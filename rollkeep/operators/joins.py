@@ -150,18 +150,36 @@ def valid_at(
     lo: str,
     hi: str,
     within: tuple[DateLike, DateLike] | None = None,
+    bucket_days: int | None = None,
 ) -> DataFrame:
     """Equi-join restricted to the validity interval ``lo..hi`` that holds on the row's date.
 
     ``within`` states the range all the row dates lie in. Intervals that do not touch it are
     then left out by the scan, before anything is exchanged.
+
+    ``bucket_days`` is for keys with many rows on both sides whose dates are spread: the join
+    also matches on date buckets of that width, so a row meets only the intervals near its
+    date. An interval is repeated once per bucket it shares with ``within``, which bounds it.
     """
     right = _renamed(other, on)
-    if within is not None:
-        right = right.where((F.col(hi) >= as_date(within[0])) & (F.col(lo) <= as_date(within[1])))
+    columns = _result(df, right, on)
     condition = _condition(on) & valid_on("_at", lo, hi)
-    joined = df.select("*", _col(at).alias("_at")).join(right, condition, "inner")
-    return joined.select(*_result(df, right, on))
+    left = df.select("*", _col(at).alias("_at"))
+    if within is not None:
+        first, last = as_date(within[0]), as_date(within[1])
+        right = right.where((F.col(hi) >= first) & (F.col(lo) <= last))
+    if bucket_days is not None:
+        if within is None:
+            raise ValueError("bucket_days needs within")
+
+        def bucket(date: Column) -> Column:
+            return F.floor(F.unix_date(date) / F.lit(bucket_days))
+
+        span = F.sequence(bucket(F.greatest(lo, first)), bucket(F.least(hi, last)))
+        right = right.where(F.col(lo) <= F.col(hi)).select("*", F.explode(span).alias("_rb"))
+        left = left.select("*", bucket(F.col("_at")).alias("_b"))
+        condition = condition & (F.col("_b") == F.col("_rb"))
+    return left.join(right, condition, "inner").select(*columns)
 
 
 def lookup_one(df: DataFrame, other: DataFrame, on: Keys, column: ColumnLike, name: str) -> DataFrame:

@@ -70,6 +70,24 @@ def test_interval_ends_count(spark):
     assert [r[1].day for r in rows(found, "k", "at")] == [2, 5]
 
 
+@pytest.mark.parametrize("bucket_days", [1, 7, 400])
+def test_date_buckets_change_nothing(spark, bucket_days):
+    first = dt.date(1969, 12, 1)  # day numbers change sign in the range
+    days = [first + dt.timedelta(n) for n in range(0, 60, 3)]
+    df = spark.createDataFrame([("ab"[i % 2], d) for i, d in enumerate(days)] + [(None, first), ("a", None)], "k string, at date")
+    ends = [(0, 9), (5, 5), (10, 4), (-100, 30), (20, 40000), (59, 80), (70, 90), (None, 20), (3, None)]
+    spans = [
+        (k, *[None if n is None else first + dt.timedelta(n) for n in pair], f"{k}{pair}") for pair in ends for k in "ab"
+    ]
+    intervals = spark.createDataFrame(spans, "k string, lo date, hi date, name string")
+    within = (first, first + dt.timedelta(60))
+    plain = joins.valid_at(df, intervals, ["k"], "at", "lo", "hi")
+    assert plain.count() > 20
+    assert rows(joins.valid_at(df, intervals, ["k"], "at", "lo", "hi", within=within)) == rows(plain)
+    bucketed = joins.valid_at(df, intervals, ["k"], "at", "lo", "hi", within=within, bucket_days=bucket_days)
+    assert rows(bucketed) == rows(plain)
+
+
 @pytest.mark.parametrize("codes", [[], ["a"], ["a", None], [None], ["b", "b"]])
 def test_not_in_keeps_three_valued_logic(spark, codes):
     left = [("a",), ("b",), (None,)]
