@@ -314,9 +314,11 @@ def split_sets(rows: DataFrame, soft_limit: int) -> DataFrame:
     """Transaction set per family: ``subscriber_id, family_size, members_before, set_no``.
 
     Families go in subscriber order and stay whole. A family belongs to the set in which its
-    first member falls, so a set may run over the limit by the rest of one family.
+    first member falls, so a set may run over the limit by the rest of one family. A member
+    without a subscriber id has no place in a file and stops the job.
     """
-    families = rows.groupBy("subscriber_id").agg(F.count(F.lit(1)).alias("family_size"))
+    known = F.coalesce("subscriber_id", F.raise_error(F.lit("a member has no subscriber id")))
+    families = rows.groupBy(known.alias("subscriber_id")).agg(F.count(F.lit(1)).alias("family_size"))
     placed = running_before(families, ["subscriber_id"], {"members_before": "family_size"})
     return placed.select("*", F.expr(f"members_before div {soft_limit}").alias("set_no"))
 

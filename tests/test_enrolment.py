@@ -5,6 +5,7 @@ import glob
 
 import pytest
 from conftest import SMALL, rows
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rollkeep.checks import enrolling as q
@@ -118,6 +119,12 @@ def test_families_stay_whole(spark, limit, sets):
     assert [r["set_no"] for r in found] == sets
 
 
+def test_member_without_subscriber_stops_the_job(spark):
+    members = spark.createDataFrame([("a",), (None,)], "subscriber_id string")
+    with pytest.raises(PySparkException, match="no subscriber id"):
+        e.split_sets(members, 10).collect()
+
+
 def _written(spark, tmp_path, **options):
     path = str(tmp_path / "out")
     envelope = e.Envelope(**options)
