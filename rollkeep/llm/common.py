@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,15 +34,25 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 def split_count(df: DataFrame, target_bytes: int = 24 << 20) -> int:
     """Partitions for an exchange of this table, from the optimiser's size of it; never under the session's own number."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # A size that no source states is a huge guess; the session's number is then all there is.
     return least if size >= 1 << 60 else max(least, -(-size // target_bytes))
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Arrow batches of few rows: a batch of whole texts must fit a Python worker many times over."""
+def python_tasks(spark: SparkSession, rows: int = 512) -> None:
+    """Make this package importable in tasks, and Arrow batches small: one of whole texts must fit a worker many times."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    context = spark.sparkContext
+    if getattr(context, "_rollkeep_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="rollkeep-code-")) / "rollkeep_code.zip"  # the driver sends it to executors
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._rollkeep_shipped = True
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.llm import blob_ledger, line_rules
+from rollkeep.llm import blob_ledger, byte_pairs, harmonic, line_rules, token_counts, token_frames
 from rollkeep.llm.common import documents, hex_sha256
 from rollkeep.session import prepare
 from rollkeep.sources.staging import new_folder
@@ -29,6 +30,28 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_byte_pair_round_trip")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_pairs.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@query("op4_token_frames")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-frames")
+    return token_frames.read(token_frames.write(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cache = new_folder(spark, "token-counts")
+    return token_counts.token_counts(documents(spark, sf_dir), cache, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op7_harmonic_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harmonic.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op9_line_first_cleaning")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked, name = line_rules.with_line_rules(documents(spark, sf_dir).select("doc_id", "text"))
