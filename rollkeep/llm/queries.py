@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.llm import blob_ledger, byte_pairs, harmonic, line_rules, token_counts, token_frames
+from rollkeep.llm import blob_ledger, byte_pairs, harmonic, jaccard_join, line_rules, token_counts, token_frames
 from rollkeep.llm.common import documents, hex_sha256
 from rollkeep.session import prepare
 from rollkeep.sources.staging import new_folder
@@ -52,6 +52,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op8_jaccard_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(documents(spark, sf_dir))[0].select("doc_id", "n_shingles", "component_id")
+
+
 @query("op9_line_first_cleaning")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked, name = line_rules.with_line_rules(documents(spark, sf_dir).select("doc_id", "text"))
