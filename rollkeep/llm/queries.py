@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.llm import blob_ledger, byte_pairs, harmonic, jaccard_join, line_rules, token_counts, token_frames
+from rollkeep.llm import blob_ledger, byte_pairs, disclosure, harmonic, jaccard_join, line_rules, token_counts, token_frames, weak_labels
 from rollkeep.llm.common import documents, hex_sha256
 from rollkeep.session import prepare
 from rollkeep.sources.staging import new_folder
@@ -35,6 +35,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def _listed(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query("op3_disclosure")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked, name = disclosure.sanitise(documents(spark, sf_dir).select("doc_id", "text"), keep_text=False)
+    number = lambda kind: F.size(F.filter(F.col(name)["base"], lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    listed = _listed(F.col(name)["base"])
+    return marked.select("doc_id", *map(number, disclosure.KINDS), hex_sha256(listed).alias("base_sha256"), _listed(F.col(name)["spans"]).alias("spans"))
+
+
 @query("op4_token_frames")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-frames")
@@ -47,6 +59,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), cache, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op6_weak_labels")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return weak_labels.score(docs, weak_labels.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 @query("op7_harmonic_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
