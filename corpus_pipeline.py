@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.llm import line_rules
+from rollkeep.llm import disclosure, harmonic, jaccard_join, line_rules, weak_labels
 from rollkeep.llm.common import documents
 from rollkeep.session import prepare
 from rollkeep.sources.staging import staged
@@ -15,19 +16,52 @@ from rollkeep.sources.staging import staged
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _with_text(docs: DataFrame, text: str) -> DataFrame:
+    changed = docs.withColumn("text", F.col(text))
+    return changed.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for toxic go. Its voters and labels come from the training folds."""
+    rules = weak_labels.WeakLabels()
+    model = weak_labels.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), rules)
+    return docs.select(*COLUMNS).where(weak_labels.scores_of(model)(F.col("text")) < rules.threshold)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failing lines go, then documents that the rules reject."""
-    checked, rules = line_rules.with_line_rules(docs)
-    cleaned = checked.where(F.col(rules)["kept"]).withColumn("text", F.col(rules)["clean_text"])
-    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return _with_text(line_rules.cleaned(docs.select(*COLUMNS)), "text")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return jaccard_join.one_of_each(docs.select(*COLUMNS))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it are replaced or removed; every document stays."""
+    marked, found = disclosure.sanitise(docs.select(*COLUMNS))
+    return _with_text(marked, f"{found}.clean_text")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in sequences of 1024."""
+    return harmonic.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, keep_ids=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality)]
-ORACLE_SQL: str | None = None  # the stages before and after are models, exact joins and tokenizers
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
+ORACLE_SQL: str | None = None  # models, tokenizers and bounded searches have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each one's result written and read again."""
     prepare(spark)
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import python_tasks, split_count, texts
+from rollkeep.llm.common import free_name, python_tasks, split_count, texts
 from rollkeep.llm.links import components
 from rollkeep.llm.shingle_sets import bits_apart, mix, parity_bits, shingle_sets
 from rollkeep.sources.staging import staged
@@ -352,13 +352,16 @@ def _ordered(a: str, b: str) -> list:
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``members`` (doc_id, n_shingles, set_id, component_id) and the ``links`` (a, b) found between sets."""
+    """``members`` (doc_id, n_shingles, set_id, component_id, rep, kept) and the ``links`` (a, b) found between sets.
+
+    ``rep`` is a hash of the id and the text; ``kept`` marks the row with the smallest id of each component.
+    """
     rows = texts(docs, key, text)
     found = staged(members(rows), "members")
     proofs = F.when(F.min("proof") != F.max("proof"), F.raise_error(F.lit("two sets have one id"))).otherwise(F.first("n_shingles"))
     classes = found.where("n_shingles > 0").groupBy("set_id").agg(
         proofs.alias("n_shingles"), F.first("slack").alias("slack"), F.max("lacking").alias("lacking"), F.first("bits").alias("bits"),
-        F.min("rep").alias("rep"), F.min("doc_id").alias("least"),
+        F.min("rep").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rep")).alias("least"),
     )
     classes = staged(classes, "classes")
     lacking = frozenset(r["lacking"] for r in classes.where("lacking >= 0").select("lacking").distinct().collect())  # bands
@@ -389,8 +392,18 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
 
     named = classes.select("set_id", "least").join(roots, F.col("set_id") == F.col("node"), "left")
     named = named.withColumn("root", F.coalesce("root", "set_id"))
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = named.join(smallest, "root").select("set_id", "component_id")
-    joined = found.join(of, "set_id", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", "set_id", component.alias("component_id")), links
+    smallest = named.groupBy("root").agg(F.min("least").alias("first"))
+    joined = found.join(named.join(smallest, "root").select("set_id", "first"), "set_id", "left")
+    empty = F.col("n_shingles") == 0
+    chosen = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("rep") == F.col("first.rep"))
+    component = F.when(empty, F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    return joined.select("doc_id", "n_shingles", "set_id", component.alias("component_id"), "rep", (empty | chosen).alias("kept")), links
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without near duplicates: of each component the row with the smallest id; the columns stay."""
+    kept = join(docs, key, text)[0].where("kept").select(F.col("doc_id").alias("kept_id"), F.col("rep").alias("kept_rep")).distinct()
+    rep = free_name(docs, "rep")
+    named = docs.withColumn(rep, F.xxhash64(F.col(key).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    same = F.col(key).cast("long").eqNullSafe(F.col("kept_id")) & (F.col(rep) == F.col("kept_rep"))
+    return named.join(kept.hint("shuffle_hash"), same, "left_semi").dropDuplicates([key, rep]).drop(rep)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollkeep.llm.common import BLANKS, GAP, free_name
+from rollkeep.sources.staging import staged
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -116,3 +117,15 @@ def with_line_rules(docs: DataFrame, rules: LineRules = LineRules(), text: str =
         (~failed & (lost * 100 <= chars * rules.lost_pct)).alias("kept"),
     )
     return df.select(*[F.col(f"`{x}`") for x in docs.columns], result.alias(name)), name
+
+
+def cleaned(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text") -> DataFrame:
+    """The documents that are kept, with their clean texts.
+
+    The rules' result is staged before the filter: pushed below the steps that build it, the filter would repeat each of
+    them for every use of the one before.
+    """
+    checked, name = with_line_rules(docs, rules, text)
+    verdict = free_name(docs, "kept")
+    columns = [F.col(f"{name}.clean_text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    return staged(checked.select(*columns, F.col(f"{name}.kept").alias(verdict)), "checked").where(verdict).drop(verdict)

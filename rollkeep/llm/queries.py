@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.llm import blob_ledger, byte_pairs, disclosure, harmonic, jaccard_join, line_rules, token_counts, token_frames, weak_labels
+from rollkeep.llm import blob_ledger, byte_pairs, disclosure, harmonic, jaccard_join, line_rules, multi_index, token_counts, token_frames, weak_labels
 from rollkeep.llm.common import documents, hex_sha256
 from rollkeep.session import prepare
 from rollkeep.sources.staging import new_folder
@@ -30,6 +30,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_multi_index")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 @query("op2_byte_pair_round_trip")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
