@@ -40,7 +40,7 @@ class WeakLabels:
     ``threshold``: a document is toxic from this score on."""
 
     labelled_rows: int = 20_000
-    voters: int = 512
+    voters: int = 256
     beginnings: tuple[int, ...] = (4, 5, 6)
     evidence: float = 1.0
     rounds: int = 30
@@ -145,14 +145,16 @@ def voted(rows: DataFrame, voters: list[str], rules: WeakLabels) -> np.ndarray:
 def label_model(votes: np.ndarray, guess: np.ndarray, prior: float, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of toxic for each row, each voter's accuracy and its independence, by expectation maximisation.
 
-    ``guess``: first accuracies; each counts as ten rows. A row's evidence is the log odds of the voters that fire.
+    ``guess``: first accuracies (of the rows in which a voter fires, the share that is toxic); each counts as ten rows.
+    A voter that fires moves a row's log odds from the prior's towards its accuracy's.
     Voters that fire together in the rows taken for toxic, beyond what their rates explain, share their evidence.
     """
     n, _ = votes.shape
+    odds = math.log(prior / (1 - prior))
     accuracy, independence = np.clip(guess, 0.02, 0.995), np.ones(len(guess))
     posterior = np.full(n, prior)
     for _ in range(rounds):
-        after = votes @ (independence * np.log(accuracy / (1 - accuracy))) + math.log(prior / (1 - prior))
+        after = votes @ (independence * (np.log(accuracy / (1 - accuracy)) - odds)) + odds
         after = 1 / (1 + np.exp(-np.clip(after, -30, 30)))
         change, posterior = np.abs(after - posterior).max() if n else 0, after
         accuracy = np.clip((posterior @ votes + 10 * guess) / (votes.sum(axis=0) + 10), 0.02, 0.995)

@@ -92,6 +92,14 @@ def components(rows):
         if 100 * n >= 75 * (len(sets[a][1]) + len(sets[b][1]) - n):
             parent[top(a)] = top(b)
     least = {}
-    for i, (d, _) in enumerate(sets):
-        least[top(i)] = min(d, least.get(top(i), d))
-    return [(d, len(s), least[top(i)]) for i, (d, s) in enumerate(sets)]
+    for i, (d, s) in enumerate(sets):
+        if d is not None and s:
+            least[top(i)] = min(d, least.get(top(i), d))
+    return [(d, len(s), least.get(top(i)) if s else d) for i, (d, s) in enumerate(sets)]
+
+
+def links(rows):
+    """Pairs of places whose sets are similar."""
+    sets = [shingles(t) for _, t in rows]
+    pairs = ((a, b) for a in range(len(sets)) for b in range(a) if sets[a] and sets[b])
+    return {(b, a) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
