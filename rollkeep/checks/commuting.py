@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rollkeep.checks.registry import query
-from rollkeep.checks.standins import ASOF, standins, with_standins
+from rollkeep.checks.standins import ASOF, newest, out_of_town, phone_digits, standins, with_standins
 from rollkeep.operators.joins import semi
 from rollkeep.operators.sets import union_distinct
 from rollkeep.plans import commuter as c
@@ -105,54 +105,39 @@ _CLEANED = ",\n".join(
     ]
 )
 
-_TOWN = "((upper({t}.city) not like 'SAN%FRAN%' and upper({t}.city) <> 'SFO') or {t}.city is null)"
-
-
-def _in_force(table: str, alias: str, keys: str) -> str:
-    match = " and ".join(f"w.{key} = {alias}.{key}" for key in keys.split())
-    return f"{alias}.effdt = (select max(w.effdt) from {table} w where {match} and w.effdt <= {_DAY})"
-
-
-def _branch_sql(eligible: bool, branch: int) -> str:
-    """One of the three branches, each a join of its own."""
-    latest = f"w.effdt <= {_DAY}" if eligible else f"w.termination_dt between {_DAY} - 36 and {_DAY} - 1"
-    statuses = "('A', 'P', 'S')" if eligible else "('T')"
-    home = "" if branch == 1 else "and d.address_type = 'HOME'"
-    address = f"""j.emplid in (select d.emplid from ps_addresses d where d.eff_status = 'A' {home} and d.country = 'USA'
-      and {_TOWN.format(t='d')} and {_in_force('ps_addresses', 'd', 'emplid address_type')})"""
-    tax = f"j.tax_location_cd in (select x.tax_location_cd from ps_tax_location1 x where {_TOWN.format(t='x')})"
-    extra = {
-        1: f"cast(j.std_hours as double) >= 30 and j.full_part_time = 'F' and j.reg_temp = 'R' and {address} and {tax}",
-        2: f"({address} or {tax})",
-        3: f"j.std_hours < 30 and ({address} or {tax})",
-    }[branch]
-    return f"""select n.first_name, n.last_name, n.middle_name, q.birthdate, j.emplid, j.empl_rcd, j.company, j.last_hire_dt,
-    j.termination_dt, j.pf_client, j.full_part_time, j.reg_temp, j.std_hours,
-    (select regexp_replace(f.phone, '[-a-zA-Z `~!&@#$%^*_+=|:,./}}{{><' || chr(92) || chr(92) || chr(34) || ']', '', 'g')
-      from ps_personal_phone f where f.emplid = j.emplid and f.pref_phone_flag = 'Y') as home_phone,
-    (select i.national_id from ps_pers_nid i where i.emplid = j.emplid and i.primary_nid = 'Y') as national_id,
-    (select g.sex from ps_pers_data_effdt g where g.emplid = j.emplid
-      and {_in_force('ps_pers_data_effdt', 'g', 'emplid')}) as sex,
-    '{'Y' if eligible else 'N'}' as eligible,
-    h.address1, h.address2, h.city, h.state, h.postal as home_postal, k.postal as work_postal
-  from ps_job j, ps_t2_cloptn_effdt o, ps_names n, ps_person q, ps_addresses h, ps_addresses k
-  where j.effdt = (select max(w.effdt) from ps_job w where w.emplid = j.emplid and w.empl_rcd = j.empl_rcd and {latest})
-  and j.effseq = (select max(w.effseq) from ps_job w
-    where w.emplid = j.emplid and w.empl_rcd = j.empl_rcd and w.effdt = j.effdt)
-  and j.empl_status in {statuses} and j.emplid not like 'C%' and (j.empl_class not in ('U') or j.empl_class is null)
-  and o.company = j.company and o.pf_client = j.pf_client and o.t2_peo_id = 'SOI' and o.pf_corp <> 'PEOCN'
-  and {_in_force('ps_t2_cloptn_effdt', 'o', 'company pf_client')}
-  and n.emplid = j.emplid and q.emplid = j.emplid and n.name_type = 'PRI'
-  and n.effdt = (select max(w.effdt) from ps_names w where w.emplid = n.emplid and w.name_type = n.name_type)
-  and h.emplid = j.emplid and h.address_type = 'HOME' and h.eff_status = 'A'
-  and {_in_force('ps_addresses', 'h', 'emplid address_type')}
-  and k.emplid = j.emplid and k.address_type = 'HOME' and k.eff_status = 'A'
-  and {_in_force('ps_addresses', 'k', 'emplid address_type')}
-  and {extra}"""
-
-
-def _source2_sql(eligible: bool) -> str:
-    return " union ".join(_branch_sql(eligible, branch) for branch in (1, 2, 3))
+_UPTO = f"effdt <= {_DAY}"
+
+
+def _source2_sql(eligible: bool, branches: tuple[str, ...] = ("full time", "any", "part time")) -> str:
+    """People with their facts, one newest row per fact, and the branches as conditions on them."""
+    counted = _UPTO if eligible else f"termination_dt between {_DAY} - 36 and {_DAY} - 1"
+    statuses = "'A', 'P', 'S'" if eligible else "'T'"
+    home = newest("ps_addresses", "emplid address_type", _UPTO)
+    outside = f"select emplid, address_type from {home} where eff_status = 'A' and country = 'USA' and {out_of_town('city')}"
+    taxed = f"tax_location_cd in (select tax_location_cd from ps_tax_location1 where {out_of_town('city')})"
+    somewhere = f"emplid in (select emplid from ({outside}))"
+    either = f"(emplid in (select emplid from ({outside}) where address_type = 'HOME') or {taxed})"
+    conditions = {
+        "full time": f"(full_part_time = 'F' and reg_temp = 'R' and std_hours::double >= 30 and {somewhere} and {taxed})",
+        "any": either,
+        "part time": f"(std_hours::double < 30 and {either})",
+    }
+    return f"""select emplid, empl_rcd, company, pf_client, last_hire_dt, termination_dt, full_part_time, reg_temp, std_hours,
+    first_name, last_name, middle_name, birthdate, {phone_digits('phone')} as home_phone, national_id, sex,
+    '{'Y' if eligible else 'N'}' as eligible, lives.address1, lives.address2, lives.city, lives.state,
+    lives.postal as home_postal, works.postal as work_postal
+  from {newest('ps_job', 'emplid empl_rcd', counted, sequence=True)}
+    join (select company, pf_client from {newest('ps_t2_cloptn_effdt', 'company pf_client', _UPTO)}
+      where t2_peo_id = 'SOI' and pf_corp <> 'PEOCN') using (company, pf_client)
+    join (select emplid, first_name, last_name, middle_name from {newest('ps_names', 'emplid name_type')} where name_type = 'PRI') using (emplid)
+    join (select emplid, birthdate from ps_person) using (emplid)
+    join (select emplid, address1, address2, city, state, postal from {home} where address_type = 'HOME' and eff_status = 'A') lives using (emplid)
+    join (select emplid, postal from {home} where address_type = 'HOME' and eff_status = 'A') works using (emplid)
+    left join (select emplid, phone from ps_personal_phone where pref_phone_flag = 'Y') using (emplid)
+    left join (select emplid, national_id from ps_pers_nid where primary_nid = 'Y') using (emplid)
+    left join (select emplid, sex from {newest('ps_pers_data_effdt', 'emplid', _UPTO)}) using (emplid)
+  where empl_status in ({statuses}) and not starts_with(emplid, 'C') and coalesce(empl_class <> 'U', true)
+    and ({' or '.join(conditions[b] for b in branches)})"""
 
 
 _LAYOUT2 = _layout_sql(
@@ -216,9 +201,9 @@ def commuter_extract(spark, sf_dir):
     with_standins(
         SOURCE2,
         " union ".join(
-            f"select distinct emplid, empl_rcd, eligible from ({_branch_sql(eligible, branch)})"
+            f"select distinct emplid, empl_rcd, eligible from ({_source2_sql(eligible, (branch,))})"
             for eligible in (True, False)
-            for branch in (1, 2, 3)
+            for branch in ("full time", "any", "part time")
         ),
     )
 )

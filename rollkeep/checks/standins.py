@@ -2,7 +2,7 @@
 
 Each stand-in is one projection over one whole driver table, written as expressions that
 Spark SQL and DuckDB read alike, so both engines start from the same rows. Everything after
-that is written separately: DataFrame operators here, literal correlated SQL in the oracles.
+that is written separately: grouped reductions and joins here, windows over whole tables in the oracles.
 All values are invented from keys.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollkeep.functions.scalars import DIGITS, LEGAL_FORM_DEFAULT, LEGAL_FORMS, PHONE_DROPPED
 from rollkeep.sources.tables import scan
 
 ASOF = "1998-06-01"
@@ -454,3 +455,35 @@ def with_standins(names: list[str], body: str, more: str = "") -> str:
     if more.strip():
         parts.append(more.strip())
     return "with " + ",\n".join(parts) + "\n" + body.strip()
+
+
+# --- pieces of oracle text ------------------------------------------------------------------
+
+
+def newest(table: str, keys: str, counted: str | None = None, sequence: bool = False) -> str:
+    """Rows of the newest date of each key, as a subquery with windows. ``counted`` limits the rows whose dates count.
+
+    A row with an unknown key has no newest date. With ``sequence`` only the highest sequence of that date stays.
+    """
+    columns = keys.split()
+    by, known = ", ".join(columns), " and ".join(f"{c} is not null" for c in columns)
+    limit = f" filter (where {counted})" if counted else ""
+    rows = f"select * from {table} where {known} qualify effdt = max(effdt){limit} over (partition by {by})"
+    if sequence:
+        rows = f"select * from ({rows}) qualify effseq = max(effseq) over (partition by {by})"
+    return f"({rows})"
+
+
+def legal_form(column: str) -> str:
+    cases = " ".join(f"when '{code}' then '{form}'" for code, form in LEGAL_FORMS.items())
+    return f"case {column} {cases} else '{LEGAL_FORM_DEFAULT}' end"
+
+
+def phone_digits(column: str) -> str:
+    listed = (DIGITS + PHONE_DROPPED).replace("'", "''")
+    return f"translate({column}, '{listed}', '{DIGITS}')"
+
+
+def out_of_town(column: str) -> str:
+    """Not in the city with its own rules; an unknown city is elsewhere."""
+    return f"coalesce(not (upper({column}) like 'SAN%FRAN%' or upper({column}) = 'SFO'), true)"
