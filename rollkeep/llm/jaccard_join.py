@@ -4,7 +4,7 @@ Two sets within the similarity differ in at most a third of the smaller one's si
 band, the universe of shingles is hashed into segments, and if two sets differ in h shingles, they agree on one of any
 h + 1 segments, or differ by one shingle on one of any (h + 1) / 2. Each set is indexed under the contents of its
 segments, in small bands also under each content with one shingle left out, and the smaller set of a pair probes. A set
-has a few segments more than it needs; once the frequency of every key is known, it skips its most expensive ones.
+has a few segments more than it needs; once the frequency of every key is known, it gives up its most expensive probes.
 
 Steps:
 1. One row per document with its set's id; equal sets are one class from here on.
@@ -23,6 +23,7 @@ Ids of sets are 64-bit hashes; a second hash is kept beside them, and a clash st
 
 from __future__ import annotations
 
+import bisect
 import functools
 import math
 from collections.abc import Iterator
@@ -39,9 +40,11 @@ from rollkeep.llm.shingle_sets import bits_apart, mix, parity_bits, shingle_sets
 from rollkeep.sources.staging import staged
 
 LEAST = 3  # smaller sets are linked with equal ones only
-DOUBLES_BELOW = 192  # bands up to this size index one-deletion neighbourhoods
+DOUBLES_BELOW = 192  # bands up to this size index one-deletion neighbourhoods, and are half as wide
 SPARE = 1.15  # segments beyond what is needed, as a factor, in bands without neighbourhoods
-INDEXED, INDEXED_LESS, PROBES, PROBES_LESS, MARK = 1, 2, 4, 8, 16
+# A record is indexed as a whole content or as one with a shingle left out. A whole content probes whole ones, and those
+# with a shingle left out; a content with a shingle left out probes whole ones.
+INDEXED, INDEXED_LESS, MARK, PROBES, PROBES_LESS, PROBES_NEAR = 1, 2, 4, 8, 16, 32
 HOT = 16  # a key that so many sets have in one flush is known to be shared: its records go to no bucket
 FLUSH = 1 << 20  # records held before they are packed
 
@@ -58,25 +61,39 @@ def needed(n):
     return n // 3
 
 
+def _edges() -> list[int]:
+    half = [round(LEAST * 2 ** (k / 2)) for k in range(24)]
+    low = [e for e in half if e < DOUBLES_BELOW]
+    return low + [DOUBLES_BELOW << k for k in range(40)]
+
+
+EDGES = _edges()  # sizes at which bands begin
+
+
 def band_of(n: int) -> int:
-    return (n // LEAST).bit_length() - 1
+    return bisect.bisect_right(EDGES, n) - 1
 
 
 def upper(band: int) -> int:
-    return LEAST << (band + 1)
+    return EDGES[band + 1]
 
 
 def doubles(band: int) -> bool:
     return upper(band) <= DOUBLES_BELOW
 
 
+def _doubled(n: int) -> int:
+    """Segments of a set of size n where agreement but for one shingle counts twice, and a third more to choose from."""
+    need = (needed(n) + 2) // 2
+    return need + (need + 1) // 3
+
+
 @functools.cache
 def segments(band: int) -> int:
     """Segments of a band's universe: enough for its largest sets."""
     top = upper(band) - 1
     if doubles(band):
-        need = (needed(top) + 2) // 2
-        return need + (need + 1) // 4
+        return _doubled(top)
     count = math.ceil(1.3 * upper(band) / 3) + 3
     while _span(top, count) > count:
         count += 1
@@ -92,8 +109,7 @@ def span(n: int, band: int) -> int:
     if n >= upper(band):
         return segments(band)
     if doubles(band):
-        need = (needed(n) + 2) // 2
-        return need + (need + 1) // 4
+        return _doubled(n)
     return min(segments(band), _span(n, segments(band)))
 
 
@@ -121,14 +137,18 @@ def _segment_sums(shingles: np.ndarray, band: int, used: int) -> tuple[np.ndarra
 
 
 def slack_of(shingles: np.ndarray) -> tuple[int, int]:
-    """Segments that a set may skip when it probes; and its band if it lacks as many with content as it needs, or -1."""
+    """What a set may give up when it probes; and its band if it lacks as many segments with content as it needs, or -1.
+
+    Probing a segment for agreement counts one, for agreement but for one shingle two; what is needed is one more than
+    the most that two sets can differ by.
+    """
     n = len(shingles)
     if n < LEAST:
         return 0, -1
     band = band_of(n)
     used = span(n, band)
     if doubles(band):
-        return used - (needed(n) + 2) // 2, -1
+        return 2 * used - needed(n) - 1, -1
     there = len(_segment_sums(shingles, band, used)[0])
     return there - needed(n) - 1, band if there < needed(n) + 1 else -1
 
@@ -139,20 +159,22 @@ def records(shingles: np.ndarray, identity: int, lacking: frozenset[int]) -> lis
     if n < LEAST:
         return []
     own = band_of(n)
-    below = own > 0 and n <= (upper(own - 1) - 1) * 4 // 3
+    bands = [own] + [b for b in range(own) if n <= (upper(b) - 1) * 4 // 3]
     out = []
-    for band, probes in [(own, True), (own - 1, False)][: 1 + below]:
+    for band in bands:
+        probes = band == own
+        whole = INDEXED | (PROBES | PROBES_NEAR * doubles(band)) * probes
         used = span(n, band)
         slots, sums, place = _segment_sums(shingles, band, used)
-        rows = [(slots, sums, INDEXED | PROBES * probes)]
+        rows = [(slots, sums, whole)]
         if doubles(band) and len(place):
             with np.errstate(over="ignore"):
                 less = sums[place] - mix(shingles[: len(place)])
             rows.append((slots[place], less, INDEXED_LESS | PROBES_LESS * probes))
         if doubles(band) or band in lacking:
             empty = np.setdiff1d(np.arange(used), slots)
-            wants = probes and (doubles(band) or len(slots) < needed(n) + 1)
-            rows.append((empty, np.zeros(len(empty), np.uint64), INDEXED | PROBES * wants))
+            wants = doubles(band) or len(slots) < needed(n) + 1
+            rows.append((empty, np.zeros(len(empty), np.uint64), whole if wants else INDEXED))
         for slot, content, flags in rows:
             record = np.empty(len(slot), dtype=RECORD)
             with np.errstate(over="ignore"):
@@ -286,26 +308,39 @@ def shared_keys(rows: DataFrame, lacking: frozenset[int]) -> DataFrame:
             counts = np.diff(start, append=len(found))
             several = np.minimum.reduceat(found["set"], start) != np.maximum.reduceat(found["set"], start)
             several &= np.bitwise_or.reduceat(found["flags"], start) >= PROBES
-            marked = np.bitwise_or.reduceat(found["flags"], start) >= MARK
+            marked = np.bitwise_or.reduceat(found["flags"], start) & MARK > 0
             found = found[np.repeat(several | marked, counts)]
-            yield _rows(found[found["flags"] < MARK], bucket)
+            yield _rows(found[found["flags"] & MARK == 0], bucket)
 
     packed = rows.mapInPandas(pack, PACKED)
     return packed.repartitionById(buckets, F.col("spread")).mapInPandas(keep, SHARED)
 
 
 def allocated(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """The records without the probes that their sets can spare: those of the segments with the most frequent keys."""
+    """The records without the probes that their sets can give up, the most expensive first.
+
+    Giving up the neighbourhood of a segment saves the records that its whole content and its contents with a shingle
+    left out would meet; giving up the segment saves those that hold the same content. The second comes after the first.
+    """
     shared = shared.distinct()
-    frequent = shared.groupBy("key").agg(F.count("*").alias("frequency"))
+    has = lambda bit: F.col("flags").bitwiseAND(F.lit(bit)) > 0
+    frequent = shared.groupBy("key").agg(F.count_if(has(INDEXED)).alias("same"), F.count_if(has(INDEXED_LESS)).alias("less"))
     probing = shared.where(f"flags >= {PROBES}").join(frequent, "key")
-    slots = probing.groupBy("set_id", "slot").agg(F.max("frequency").alias("cost"))
-    ranked = slots.withColumn("place", F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("cost"), "slot")))
-    spared = ranked.join(classes.select("set_id", "slack"), "set_id").where("place <= slack").select("set_id", "slot", F.lit(True).alias("spared"))
+    near = F.when(has(PROBES_LESS), F.col("same")).when(has(PROBES_NEAR), F.col("less")).otherwise(F.lit(0))
+    slots = probing.groupBy("set_id", "slot").agg(
+        F.sum(near).alias("first"), F.sum(F.when(has(PROBES), F.col("same")).otherwise(0)).alias("second"), F.max(has(PROBES_NEAR | PROBES_LESS)).alias("double")
+    )
+    first = F.greatest(F.col("first").cast("double"), (F.col("first") + F.col("second")) / 2)
+    second = F.least(F.col("second").cast("double"), (F.col("first") + F.col("second")) / 2)
+    both = F.array(F.struct(F.lit(0).alias("turn"), first.alias("cost")), F.struct(F.lit(1).alias("turn"), second.alias("cost")))
+    only = F.array(F.struct(F.lit(1).alias("turn"), F.col("second").cast("double").alias("cost")))
+    units = slots.select("set_id", "slot", F.explode(F.when(F.col("double"), both).otherwise(only)).alias("unit"))
+    order = Window.partitionBy("set_id").orderBy(F.desc("unit.cost"), "slot", "unit.turn")
+    ranked = units.withColumn("place", F.row_number().over(order)).join(classes.select("set_id", "slack"), "set_id")
+    spared = ranked.where("place <= slack").groupBy("set_id", "slot").agg(F.max("unit.turn").alias("upto"))
     marked = shared.join(spared, ["set_id", "slot"], "left")
-    spare = F.col("spared").isNotNull() & (F.col("flags") >= PROBES)
-    index = F.col("flags").bitwiseAND(F.lit(INDEXED | INDEXED_LESS))
-    return marked.select("key", "set_id", "n", F.when(spare, index).otherwise(F.col("flags")).alias("flags"))
+    keep = F.when(F.col("upto").isNull(), 255).when(F.col("upto") == 0, 255 - PROBES_LESS - PROBES_NEAR).otherwise(INDEXED | INDEXED_LESS)
+    return marked.select("key", "set_id", "n", F.col("flags").bitwiseAND(keep).alias("flags"))
 
 
 def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -382,10 +417,9 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
     mixed = mixed.where(f"lo <> hi and most >= {PROBES}").select("key")
     left = staged(placed.join(mixed, "key", "left_semi"), "mixed")
     p, i = left.where(f"flags >= {PROBES}").alias("p"), left.alias("i")
-    match = (
-        "p.key = i.key and p.root <> i.root and p.n <= i.n and 3 * i.n <= 4 * p.n and "
-        f"((p.flags & {PROBES} > 0 and i.flags & {INDEXED | INDEXED_LESS} > 0) or (p.flags & {PROBES_LESS} > 0 and i.flags & {INDEXED} > 0))"
-    )
+    meet = [(PROBES, INDEXED), (PROBES_NEAR, INDEXED_LESS), (PROBES_LESS, INDEXED)]
+    kinds = " or ".join(f"(p.flags & {asks} > 0 and i.flags & {holds} > 0)" for asks, holds in meet)
+    match = f"p.key = i.key and p.root <> i.root and p.n <= i.n and 3 * i.n <= 4 * p.n and ({kinds})"
     rest = p.join(i, F.expr(match)).select(*_ordered("p.set_id", "i.set_id")).distinct().join(tried, ["a", "b"], "left_anti")
     links = staged(links.union(_exact(staged(rest, "rest"), rows, classes)), "all-links")
     roots = staged(components(links), "all-roots")
