@@ -15,11 +15,17 @@ def diff_against_sent(current: DataFrame, sent: DataFrame, key: str, address_col
     (two unknown values are the same), ``CANCEL`` when it is gone. Unchanged keys give no row.
 
     Address columns come from the current row, or from the sent one for a cancelled key. Both
-    inputs hold one row per key.
+    inputs hold one address per key, in one row or in equal ones; a second address stops the job.
     """
     columns = list(address_columns)
-    new = current.select(F.col(key).alias("_key"), F.struct(*columns).alias("_new"))
-    old = sent.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("_old"))
+
+    def single(rows: DataFrame, name: str, value: str) -> DataFrame:
+        address = F.struct(*columns)
+        grouped = rows.groupBy(F.col(key).alias(name)).agg(F.min(address).alias("_lo"), F.max(address).alias("_hi"))
+        stop = F.raise_error(F.concat(F.lit("more than one address for "), F.col(name).cast("string")))
+        return grouped.select(name, F.when(~F.col("_lo").eqNullSafe(F.col("_hi")), stop).otherwise(F.col("_lo")).alias(value))
+
+    new, old = single(current, "_key", "_new"), single(sent, "_old_key", "_old")
     both = new.join(old, F.col("_key") == F.col("_old_key"), "full")
     same = F.lit(True)
     for name in columns:

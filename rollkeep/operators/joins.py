@@ -46,8 +46,14 @@ def hash_condition(df: DataFrame, keys: Sequence[str], right_keys: Sequence[str]
     return F.when(unknown, F.xxhash64(*df.columns)).otherwise(F.xxhash64(*keys)) == F.xxhash64(*right_keys)
 
 
-def _left_grouped(df: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
-    """Left join against a side that was grouped on the join keys."""
+def _left_grouped(df: DataFrame, right: DataFrame, on: Keys, hot: bool = False) -> DataFrame:
+    """Left join against a side that was grouped on the join keys.
+
+    The left rows keep their partitioning by the keys from one such join to the next. ``hot`` is for keys that many
+    rows share or that many rows lack: it takes an exchange of its own, which may be split.
+    """
+    if not hot:
+        return df.join(right, _condition(on), "left")
     keys = [left for left, _ in _pairs(on)]
     hashes = hash_condition(df, keys, [f"_r{i}" for i in range(len(keys))])
     return df.join(right, _condition(on) & hashes, "left")
@@ -75,11 +81,11 @@ def inner(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
     return df.join(right, _condition(on), "inner").select(*_result(df, right, on))
 
 
-def left(df: DataFrame, other: DataFrame, on: Keys, grouped: bool = False) -> DataFrame:
-    """Left join that keeps rows without a partner; the right keys are dropped. ``grouped`` says
-    that the right side was grouped on its keys."""
+def left(df: DataFrame, other: DataFrame, on: Keys, hot: bool = False) -> DataFrame:
+    """Left join that keeps rows without a partner; the right keys are dropped. ``hot`` is for a right side that was
+    grouped on its keys and a left side with hot ones."""
     right = _renamed(other, on)
-    joined = _left_grouped(df, right, on) if grouped else df.join(right, _condition(on), "left")
+    joined = _left_grouped(df, right, on, hot)
     return joined.select(*_result(df, right, on))
 
 
@@ -93,14 +99,14 @@ def anti(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
     return df.join(other.select(*_right_keys(other, on)), _condition(on), "left_anti")
 
 
-def flag_keys(df: DataFrame, other: DataFrame, on: Keys, name: str) -> DataFrame:
+def flag_keys(df: DataFrame, other: DataFrame, on: Keys, name: str, hot: bool = False) -> DataFrame:
     """Add a boolean column: does the row's key occur on the right side."""
     right = other.select(*_right_keys(other, on)).distinct().select("*", F.lit(True).alias("_hit"))
-    joined = _left_grouped(df, right, on)
+    joined = _left_grouped(df, right, on, hot)
     return joined.select(*df.columns, F.coalesce("_hit", F.lit(False)).alias(name))
 
 
-def in_keys(df: DataFrame, sets: Sequence[tuple[DataFrame, Keys]], mode: str = "and") -> DataFrame:
+def in_keys(df: DataFrame, sets: Sequence[tuple[DataFrame, Keys]], mode: str = "and", hot: bool = False) -> DataFrame:
     """Rows whose keys occur in all of the key sets (``and``) or in any of them (``or``)."""
     if mode == "and":
         for other, on in sets:
@@ -110,12 +116,12 @@ def in_keys(df: DataFrame, sets: Sequence[tuple[DataFrame, Keys]], mode: str = "
         raise ValueError(f"unknown mode {mode!r}")
     flagged, hit = df, F.lit(False)
     for i, (other, on) in enumerate(sets):
-        flagged = flag_keys(flagged, other, on, f"_in{i}")
+        flagged = flag_keys(flagged, other, on, f"_in{i}", hot)
         hit = hit | F.col(f"_in{i}")
     return flagged.where(hit).select(*df.columns)
 
 
-def not_in_flag(df: DataFrame, column: str, other: DataFrame, other_column: str, name: str) -> DataFrame:
+def not_in_flag(df: DataFrame, column: str, other: DataFrame, other_column: str, name: str, hot: bool = False) -> DataFrame:
     """Add the three-valued result of ``column NOT IN (select other_column ..)``.
 
     An empty list gives true. Otherwise a listed value gives false, and a null on the left or
@@ -133,13 +139,13 @@ def not_in_flag(df: DataFrame, column: str, other: DataFrame, other_column: str,
         .when(F.col(column).isNull() | (nulls > 0), F.lit(None).cast("boolean"))
         .otherwise(F.lit(True))
     )
-    joined = _left_grouped(df, listed, on)
+    joined = _left_grouped(df, listed, on, hot)
     return joined.select(*df.columns, answer.alias(name))
 
 
-def null_aware_not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
+def null_aware_not_in(df: DataFrame, column: str, other: DataFrame, other_column: str, hot: bool = False) -> DataFrame:
     """Rows for which ``NOT IN`` is true."""
-    return not_in_flag(df, column, other, other_column, "_out").where("_out").drop("_out")
+    return not_in_flag(df, column, other, other_column, "_out", hot).where("_out").drop("_out")
 
 
 def valid_at(
@@ -155,7 +161,7 @@ def valid_at(
     """Equi-join restricted to the validity interval ``lo..hi`` that holds on the row's date.
 
     ``within`` states the range all the row dates lie in. Intervals that do not touch it are
-    then left out by the scan, before anything is exchanged.
+    then left out by the scan, before anything is exchanged. A row dated outside it stops the job.
 
     ``bucket_days`` is for keys with many rows on both sides whose dates are spread: the join
     also matches on date buckets of that width, so a row meets only the intervals near its
@@ -168,6 +174,9 @@ def valid_at(
     if within is not None:
         first, last = as_date(within[0]), as_date(within[1])
         right = right.where((F.col(hi) >= first) & (F.col(lo) <= last))
+        # a column of its own, so that it is tested on the rows given and not pushed below their filters
+        outside = F.raise_error(F.lit("a row is dated outside the stated range"))
+        left = left.withColumn("_inside", F.when(~F.col("_at").between(first, last), outside).otherwise(F.lit(0)))
     if bucket_days is not None:
         if within is None:
             raise ValueError("bucket_days needs within")
@@ -179,10 +188,13 @@ def valid_at(
         right = right.where(F.col(lo) <= F.col(hi)).select("*", F.explode(span).alias("_rb"))
         left = left.select("*", bucket(F.col("_at")).alias("_b"))
         condition = condition & (F.col("_b") == F.col("_rb"))
-    return left.join(right, condition, "inner").select(*columns)
+    joined = left.join(right, condition, "inner")
+    if within is None:
+        return joined.select(*columns)
+    return joined.select(F.when(F.col("_inside") == 0, F.col(columns[0])).alias(columns[0]), *columns[1:])
 
 
-def lookup_one(df: DataFrame, other: DataFrame, on: Keys, column: ColumnLike, name: str) -> DataFrame:
+def lookup_one(df: DataFrame, other: DataFrame, on: Keys, column: ColumnLike, name: str, hot: bool = False) -> DataFrame:
     """Add a scalar looked up by key, null when there is none.
 
     A row that meets more than one partner stops the job, as a scalar subquery does.
@@ -192,7 +204,7 @@ def lookup_one(df: DataFrame, other: DataFrame, on: Keys, column: ColumnLike, na
     )
     # the message is the value of a null-typed expression, so the result keeps the column's type
     stop = F.raise_error(F.lit(f"more than one row for {name}"))
-    joined = _left_grouped(df, table, on)
+    joined = _left_grouped(df, table, on, hot)
     return joined.select(*df.columns, F.when(F.col("_n") > 1, stop).otherwise(F.col("_value")).alias(name))
 
 

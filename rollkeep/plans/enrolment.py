@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollkeep.functions.predicates import DateLike, as_date
@@ -35,20 +35,49 @@ def read_edi(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return staged(with_loops(read_segments(spark, path)), "loops")
 
 
-def _picked(tag: str, position: int, qualifier: str | None = None) -> Column:
-    """The element of the member's segment with this tag (and qualifier in its first element)."""
-    matches = F.col("tag") == tag
-    if qualifier is not None:
-        matches = matches & (element("elements", 1) == qualifier)
-    return F.max(F.when(matches, element("elements", position)))
+# What a member's and a coverage's own columns hold: (tag, qualifier in the first element). Of each, the first segment is
+# read into columns; all others are kept as they are, in order.
+_MEMBER_NAMED = ("INS", "REF|0F", "REF|23", "DTP|303", "NM1|IL", "PER|IP", "N3", "N4", "DMG")
+_COVERAGE_NAMED = ("HD", "DTP|303", "DTP|348", "DTP|349")
+
+
+def _gathered(segments: DataFrame, keys: Sequence[str], named: Sequence[str]) -> DataFrame:
+    """One row per group with its segments in order: those of ``named`` by name, the others as a list of elements.
+
+    A group is a member or a coverage, which holds a few dozen segments.
+    """
+    own = F.sort_array(F.collect_list(F.struct("pos", "tag", "elements")))
+    gathered = segments.groupBy(*keys).agg(F.min("pos").alias("pos"), own.alias("_own"))
+    qualified = [n for n in named if "|" in n]
+
+    def name(segment: Column) -> Column:
+        full = F.concat_ws("|", segment["tag"], F.try_element_at(segment["elements"], F.lit(2)))
+        return F.when(full.isin(*qualified), full).otherwise(segment["tag"])
+
+    gathered = gathered.withColumn("_names", F.transform("_own", name))
+
+    def other(segment: Column, at: Column) -> Column:
+        own_name = F.get("_names", at)
+        return ~(own_name.isin(*named) & (F.array_position("_names", own_name) == at + 1))
+
+    others = F.transform(F.filter("_own", other), lambda segment: segment["elements"])
+    return gathered.withColumn("other_segments", others)
+
+
+def _picked(named: str, position: int) -> Column:
+    """An element of the group's first segment of this name; null when there is none."""
+    at = F.array_position("_names", named)
+    segment = F.when(at > 0, F.get("_own", (at - 1).cast("int")))
+    return element(segment["elements"], position)
 
 
 def members(segments: DataFrame) -> DataFrame:
-    """One row per member from the segments before its first coverage."""
+    """One row per member from the segments before its first coverage, those without a column in ``other_segments``."""
     own = segments.where(F.col("member_id").isNotNull() & F.col("coverage_id").isNull())
     # a coverage id runs on through the following members, so their own segments carry none
-    return own.groupBy(*_MEMBER_KEY).agg(
-        F.min("pos").alias("pos"),
+    return _gathered(own, _MEMBER_KEY, _MEMBER_NAMED).select(
+        *_MEMBER_KEY,
+        "pos",
         _picked("INS", 1).alias("is_subscriber"),
         _picked("INS", 2).alias("relationship"),
         _picked("INS", 3).alias("maintenance_type"),
@@ -57,13 +86,15 @@ def members(segments: DataFrame) -> DataFrame:
         _picked("INS", 8).alias("employment_status"),
         _picked("INS", 9).alias("student_status"),
         _picked("INS", 17).cast("int").alias("member_seq"),
-        _picked("REF", 2, "0F").alias("subscriber_id"),
-        _picked("REF", 2, "23").alias("member_code"),
-        _picked("NM1", 3, "IL").alias("last_name"),
-        _picked("NM1", 4, "IL").alias("first_name"),
-        _picked("NM1", 5, "IL").alias("middle_name"),
-        _picked("NM1", 9, "IL").alias("national_id"),
-        _picked("PER", 4, "IP").alias("phone"),
+        _picked("REF|0F", 2).alias("subscriber_id"),
+        _picked("REF|23", 2).alias("member_code"),
+        _picked("NM1|IL", 3).alias("last_name"),
+        _picked("NM1|IL", 4).alias("first_name"),
+        _picked("NM1|IL", 5).alias("middle_name"),
+        _picked("NM1|IL", 6).alias("name_prefix"),
+        _picked("NM1|IL", 7).alias("name_suffix"),
+        _picked("NM1|IL", 9).alias("national_id"),
+        _picked("PER|IP", 4).alias("phone"),
         _picked("N3", 1).alias("address1"),
         _picked("N3", 2).alias("address2"),
         _picked("N4", 1).alias("city"),
@@ -71,23 +102,26 @@ def members(segments: DataFrame) -> DataFrame:
         _picked("N4", 3).alias("postal"),
         parse_compact_date(_picked("DMG", 2)).alias("birth_date"),
         _picked("DMG", 3).alias("sex"),
-        parse_compact_date(_picked("DTP", 3, "303")).alias("maintenance_date"),
+        _picked("DMG", 4).alias("marital_status"),
+        parse_compact_date(_picked("DTP|303", 3)).alias("maintenance_date"),
+        "other_segments",
     )
 
 
 def coverages(segments: DataFrame) -> DataFrame:
     """One row per coverage; a member may have several."""
-    return (
-        segments.where(F.col("coverage_id").isNotNull())
-        .groupBy(*_MEMBER_KEY, "coverage_id")
-        .agg(
-            _picked("HD", 1).alias("maintenance_type"),
-            _picked("HD", 3).alias("insurance_line"),
-            _picked("HD", 4).alias("plan"),
-            _picked("HD", 5).alias("coverage_level"),
-            parse_compact_date(_picked("DTP", 3, "348")).alias("benefit_begin"),
-            parse_compact_date(_picked("DTP", 3, "349")).alias("benefit_end"),
-        )
+    inside = segments.where(F.col("coverage_id").isNotNull())
+    return _gathered(inside, [*_MEMBER_KEY, "coverage_id"], _COVERAGE_NAMED).select(
+        *_MEMBER_KEY,
+        "coverage_id",
+        _picked("HD", 1).alias("maintenance_type"),
+        _picked("HD", 3).alias("insurance_line"),
+        _picked("HD", 4).alias("plan"),
+        _picked("HD", 5).alias("coverage_level"),
+        parse_compact_date(_picked("DTP|303", 3)).alias("maintenance_date"),
+        parse_compact_date(_picked("DTP|348", 3)).alias("benefit_begin"),
+        parse_compact_date(_picked("DTP|349", 3)).alias("benefit_end"),
+        "other_segments",
     )
 
 
@@ -112,7 +146,7 @@ def check_totals(segments: DataFrame) -> DataFrame:
             for code, name in (("DT", "dependents"), ("ET", "employees"), ("TO", "total"))
         ]
     )
-    both = joins.left(stated, txn_totals(segments), ["file", "txn_id"], grouped=True)
+    both = joins.left(stated, txn_totals(segments), ["file", "txn_id"])
     names = ["dependents", "employees", "total"]
     counted = both.select(
         "file", "txn_id", *[f"stated_{n}" for n in names], *[F.coalesce(n, F.lit(0)).alias(n) for n in names]
@@ -124,7 +158,7 @@ def check_totals(segments: DataFrame) -> DataFrame:
 
 
 def check_envelope(segments: DataFrame) -> DataFrame:
-    """Control counts and numbers: segments per transaction, transactions and groups per file."""
+    """Control counts and numbers: segments per transaction, transactions per group, groups per file."""
     number = element("elements", 1).try_cast("long")
 
     def stated(tag: str) -> Column:
@@ -144,20 +178,26 @@ def check_envelope(segments: DataFrame) -> DataFrame:
         .select("file", F.lit("SE").alias("tag"), "txn_id", "stated", "counted", "same_control")
     )
     ends = segments.where("tag in ('GS', 'GE', 'ISA', 'IEA', 'ST')")
-    group_control = F.max(F.when(F.col("tag") == "GS", element("elements", 6))) == control("GE")
+    # a few rows per transaction; a group reaches from its GS to the next
+    opened = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_group = (
+        ends.where("tag in ('GS', 'GE', 'ST')")
+        .withColumn("group_id", F.count_if(F.col("tag") == "GS").over(opened))
+        .groupBy("file", "group_id")
+        .agg(
+            stated("GE").alias("_ge"),
+            F.count_if(F.col("tag") == "ST").alias("_st"),
+            F.coalesce(F.max(F.when(F.col("tag") == "GS", element("elements", 6))) == control("GE"), F.lit(False)).alias("_ok"),
+        )
+    )
     file_control = F.max(F.when(F.col("tag") == "ISA", element("elements", 13))) == control("IEA")
     per_file = ends.groupBy("file").agg(
-        F.sum(F.when(F.col("tag") == "GE", number)).alias("_ge"),
-        F.count_if(F.col("tag") == "ST").alias("_st"),
-        F.coalesce(group_control, F.lit(False)).alias("_group_ok"),
-        F.sum(F.when(F.col("tag") == "IEA", number)).alias("_iea"),
-        F.count_if(F.col("tag") == "GS").alias("_gs"),
-        F.coalesce(file_control, F.lit(False)).alias("_file_ok"),
-    )
-    none = F.lit(None).cast("long").alias("txn_id")
-    rows = per_txn.unionAll(per_file.select("file", F.lit("GE"), none, "_ge", "_st", "_group_ok")).unionAll(
-        per_file.select("file", F.lit("IEA"), none, "_iea", "_gs", "_file_ok")
+        stated("IEA").alias("_iea"), F.count_if(F.col("tag") == "GS").alias("_gs"), F.coalesce(file_control, F.lit(False)).alias("_ok")
     )
+    none = F.lit(None).cast("long")
+    rows = per_txn.select("file", "tag", none.alias("group_id"), "txn_id", "stated", "counted", "same_control")
+    rows = rows.unionAll(per_group.select("file", F.lit("GE"), "group_id", none, "_ge", "_st", "_ok"))
+    rows = rows.unionAll(per_file.select("file", F.lit("IEA"), none, none, "_iea", "_gs", "_ok"))
     return rows.select("*", (F.coalesce(F.col("stated") == F.col("counted"), F.lit(False)) & F.col("same_control")).alias("ok"))
 
 
@@ -166,7 +206,7 @@ def check_envelope(segments: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """One check on an element: ``allowed`` values, a ``max_length`` or ``required``.
+    """Checks on an element: ``allowed`` values, a ``max_length`` and ``required``, each on its own.
 
     ``of`` limits it to subscribers (``Y``) or dependents (``N``).
     """
@@ -188,43 +228,64 @@ RULES = (
     Rule("2000", "INS", 8, "Employment Status Code", required=True, of="Y"),
 )
 
+# Fixed value, as the texts in the conditions are: what the exception reports say.
+MISSING = "Missing required element."
+
+
+def _conditions(rule: Rule) -> list[tuple[Column, str, Column]]:
+    """Each condition that the rule sets: when it fails, the kind of failure and its text."""
+    value, where = element("elements", rule.position), f"Loop id {rule.loop} Segment ID: {rule.tag} {rule.name}"
+    stated, found = F.concat(F.lit(f"{where} ["), value, F.lit("]")), []
+    if rule.required:
+        found.append((value.isNull(), MISSING, F.lit(where)))
+    if rule.max_length is not None:
+        limit = F.lit(f" exceeds the maximum length of {rule.max_length}")
+        detail = F.concat(stated, F.lit(" length of "), F.length(value).cast("string"), limit)
+        found.append((F.length(value) > rule.max_length, "Invalid element length.", detail))
+    if rule.allowed:
+        listed = F.lit(f" must equal one of {','.join(rule.allowed)}.")
+        found.append((~value.isin(*rule.allowed), "Illegal element value.", F.concat(stated, listed)))
+    return found
+
+
 def validate(elements: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """Exceptions for rows ``subscriber_id, member_code, is_subscriber, tag, elements``.
 
     The rules are few and become columns: each segment is tested against the rules of its tag
-    in place, so the input is read once and only failures are widened to rows.
+    in place, so the input is read once and only failures are widened to rows. A required element
+    of a segment that a member does not have at all is missing too, where the rows show the member.
     """
-    found = []
-    for rule in rules:
-        value = element("elements", rule.position)
-        where = f"Loop id {rule.loop} Segment ID: {rule.tag} {rule.name}"
-        applies = F.col("tag") == rule.tag
-        if rule.of is not None:
-            applies = applies & (F.col("is_subscriber") == rule.of)
-        if rule.required:
-            failed, kind, detail = value.isNull(), "Missing required element.", F.lit(where)
-        elif rule.max_length is not None:
-            failed, kind = F.length(value) > rule.max_length, "Invalid element length."
-            length = F.length(value).cast("string")
-            limit = F.lit(f" exceeds the maximum length of {rule.max_length}")
-            detail = F.concat(F.lit(f"{where} ["), value, F.lit("] length of "), length, limit)
-        else:
-            failed, kind = ~value.isin(*rule.allowed), "Illegal element value."
-            detail = F.concat(F.lit(f"{where} ["), value, F.lit(f"] must equal one of {','.join(rule.allowed)}."))
-        found.append(
-            F.when(applies & failed, F.struct(F.lit(kind).alias("sub_category"), detail.alias("detail")))
-        )
+    who = ["subscriber_id", "member_code", "is_subscriber"]
+
+    def applies(rule: Rule) -> Column:
+        return F.lit(True) if rule.of is None else F.col("is_subscriber") == rule.of
+
+    found = [
+        F.when((F.col("tag") == rule.tag) & applies(rule) & failed, F.struct(F.lit(kind).alias("sub_category"), detail.alias("detail")))
+        for rule in rules
+        for failed, kind, detail in _conditions(rule)
+    ]
     tags = sorted({rule.tag for rule in rules})
-    failures = elements.where(F.col("tag").isin(*tags)).select(
-        "subscriber_id", F.col("member_code").alias("member_id"), F.explode(F.array_compact(F.array(*found))).alias("_e")
-    )
+    failures = elements.where(F.col("tag").isin(*tags)).select(*who, F.explode(F.array_compact(F.array(*found))).alias("_e"))
+    # the INS segment is there for every member, so only other tags can be absent
+    absent = [rule for rule in rules if rule.required and rule.tag not in ("INS", "HD")]
+    if absent:
+        present = elements.groupBy(*who).agg(F.collect_set("tag").alias("_tags"))
+        lacking = [
+            F.when(
+                applies(rule) & ~F.array_contains("_tags", rule.tag),
+                F.struct(F.lit(MISSING).alias("sub_category"), F.lit(f"Loop id {rule.loop} Segment ID: {rule.tag} {rule.name}").alias("detail")),
+            )
+            for rule in absent
+        ]
+        failures = failures.unionAll(present.select(*who, F.explode(F.array_compact(F.array(*lacking))).alias("_e")))
     return failures.select(
         F.lit("ERROR").alias("exception_type"),
         F.lit("DATA ELEMENT").alias("category"),
         "_e.sub_category",
         "_e.detail",
         "subscriber_id",
-        "member_id",
+        F.col("member_code").alias("member_id"),
     )
 
 
@@ -262,17 +323,21 @@ def gate(exceptions: DataFrame, max_errors: int = 0) -> DataFrame:
 
 
 class TooManyErrors(RuntimeError):
-    """The error gate is closed."""
+    """The error gate is closed; ``exceptions`` are the rows that closed it."""
+
+    def __init__(self, message: str, exceptions: DataFrame | None = None) -> None:
+        super().__init__(message)
+        self.exceptions = exceptions
 
 
 def enforce_gate(exceptions: DataFrame, max_errors: int = 0) -> int:
     """Stop before publishing when there are more errors than allowed; returns the error count."""
-    return _gate_check(gate(exceptions, max_errors).first()["errors"], max_errors)
+    return _gate_check(gate(exceptions, max_errors).first()["errors"], max_errors, exceptions)
 
 
-def _gate_check(errors: int, max_errors: int) -> int:
+def _gate_check(errors: int, max_errors: int, exceptions: DataFrame) -> int:
     if errors > max_errors:
-        raise TooManyErrors(f"the number of errors ({errors}) exceeds the maximum of {max_errors}")
+        raise TooManyErrors(f"the number of errors ({errors}) exceeds the maximum of {max_errors}", exceptions)
     return errors
 
 
@@ -289,7 +354,8 @@ def limit_members(
     times_sent: str = "times_sent",
 ) -> DataFrame:
     """Members a run sends: open ones, and ended ones that ended on or after ``termination_min`` and
-    were sent as ended fewer than ``member_term_limit`` times; with ``lookback_min``, changed since then.
+    were sent as ended fewer than ``member_term_limit`` times; with ``lookback_min``, changed since then
+    or at an unknown time.
 
     The meaning of the three limits is inferred from their names; leave one out to skip it.
     """
@@ -300,7 +366,7 @@ def limit_members(
         closed_ok = closed_ok & (F.col(times_sent) < member_term_limit)
     keep = F.col(ended).isNull() | closed_ok
     if lookback_min is not None:
-        keep = keep & (F.col(changed) >= as_date(lookback_min))
+        keep = keep & (F.col(changed).isNull() | (F.col(changed) >= as_date(lookback_min)))
     return rows.where(keep)
 
 
@@ -328,7 +394,10 @@ def split_sets(rows: DataFrame, soft_limit: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Envelope:
-    """What the run states about itself; invented defaults."""
+    """What the run states about itself; invented defaults.
+
+    ``sets_per_interchange``: left out, a run is one interchange; stated, it becomes as many as it takes.
+    """
 
     sender: str = "SENDER"
     receiver: str = "RECEIVER"
@@ -342,7 +411,23 @@ class Envelope:
     purpose: str = "00"
     action: str = "4"
     soft_limit: int = 990
-    sets_per_interchange: int = 50
+    sets_per_interchange: int | None = None
+
+    def __post_init__(self) -> None:
+        for name in (self.sender, self.receiver):
+            if len(name) > 15:
+                raise ValueError(f"the envelope has room for 15 characters: {name}")
+
+
+def _text(value: str) -> str:
+    """A setting as a SQL literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _plain(value: str) -> str:
+    """A setting without separators, for segments that are not built from elements."""
+    return value.translate(str.maketrans("*~>^", "    "))
 
 
 _ORDER = ["section", "set_no", "part", "subscriber_id", "member_seq", "coverage_seq"]
@@ -352,6 +437,8 @@ def _filled(*columns: str) -> str:
     return "(" + " or ".join(f"coalesce({c}, '') <> ''" for c in columns) + ")"
 
 
+_KNOWN = f"(birth_date is not null or {_filled('sex', 'marital_status')})"
+
 # the segments of a member before its coverages, and of a coverage
 MEMBER_SEGMENTS = (
     Segment(
@@ -369,7 +456,7 @@ MEMBER_SEGMENTS = (
         "case when is_subscriber = 'N' then member_seq end",
     ),
     Segment("REF", "'0F'", "subscriber_id"),
-    Segment("REF", "'23'", "member_code"),
+    Segment("REF", "'23'", "member_code", when=_filled("member_code")),
     dated("DTP", "303", "maintenance_date"),
     Segment(
         "NM1",
@@ -378,45 +465,79 @@ MEMBER_SEGMENTS = (
         "last_name",
         "first_name",
         "middle_name",
-        "''",
-        "''",
+        "name_prefix",
+        "name_suffix",
         "case when national_id is not null then '34' end",
         "national_id",
     ),
     Segment("PER", "'IP'", "''", "'HP'", "phone", when=_filled("phone")),
     Segment("N3", "address1", "address2", when=_filled("address1", "address2")),
     Segment("N4", "city", "state", "postal", when=_filled("city", "state", "postal")),
-    Segment("DMG", "'D8'", "date_format(birth_date, 'yyyyMMdd')", "sex"),
+    Segment("DMG", "'D8'", "date_format(birth_date, 'yyyyMMdd')", "sex", "marital_status", when=_KNOWN),
 )
 COVERAGE_SEGMENTS = (
     Segment("HD", "maintenance_type", "''", "insurance_line", "plan", "coverage_level"),
+    dated("DTP", "303", "maintenance_date"),
     dated("DTP", "348", "benefit_begin"),
     dated("DTP", "349", "benefit_end"),
 )
 
 
+# columns that members and coverages may come without
+_MEMBER_OPTIONAL = {"name_prefix": "string", "name_suffix": "string", "marital_status": "string", "other_segments": "array<array<string>>"}
+_COVERAGE_OPTIONAL = {"maintenance_date": "date", "other_segments": "array<array<string>>"}
+
+
+def _complete(rows: DataFrame, optional: dict[str, str]) -> DataFrame:
+    return rows.withColumns({name: F.lit(None).cast(kind) for name, kind in optional.items() if name not in rows.columns})
+
+
+def _elements(rows: DataFrame, segments: Sequence[Segment], rules: Sequence[Rule]) -> DataFrame:
+    who, ruled = ["subscriber_id", "member_code", "is_subscriber"], {rule.tag for rule in rules}
+    # the first segment shows that the member is there
+    wanted = [s for i, s in enumerate(segments) if i == 0 or s.tag in ruled]
+    every = F.concat(fields_of(*wanted), F.coalesce("other_segments", F.array().cast("array<array<string>>")))
+    lines = rows.select(*who, F.explode(every).alias("elements"))
+    return lines.select(*who, F.element_at("elements", 1).alias("tag"), "elements")
+
+
 def member_elements(rows: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The element rows of members that are about to be written, for :func:`validate`. Only
-    segments that have a rule are made."""
-    ruled = {rule.tag for rule in rules}
-    wanted = [s for s in MEMBER_SEGMENTS if s.tag in ruled]
-    lines = rows.select("subscriber_id", "member_code", "is_subscriber", F.explode(fields_of(*wanted)).alias("elements"))
-    return lines.select("subscriber_id", "member_code", "is_subscriber", F.element_at("elements", 1).alias("tag"), "elements")
+    segments that have a rule are made, and the first."""
+    return _elements(_complete(rows, _MEMBER_OPTIONAL), MEMBER_SEGMENTS, rules)
+
+
+def coverage_elements(rows: DataFrame, covers: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The same for the coverages of these members."""
+    key = ["subscriber_id", "member_seq"]
+    who = rows.select(*key, "member_code", "is_subscriber")
+    return _elements(joins.inner(_complete(covers, _COVERAGE_OPTIONAL), who, key), COVERAGE_SEGMENTS, rules)
+
+
+def all_exceptions(rows: DataFrame, covers: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Exceptions of every rule, on members and on coverages."""
+    of_covers = [rule for rule in rules if rule.loop.startswith("23") or rule.tag == "HD"]
+    of_members = [rule for rule in rules if rule not in of_covers]
+    found = validate(member_elements(rows, of_members), of_members) if of_members else None
+    if of_covers:
+        more = validate(coverage_elements(rows, covers, of_covers), of_covers)
+        found = more if found is None else found.unionAll(more)
+    return found
 
 
 def _header(envelope: Envelope) -> tuple[Segment, ...]:
     """The segments that open a transaction, over its ``control`` and quantities."""
     day, time = f"'{envelope.stamp:%Y%m%d}'", f"'{envelope.stamp:%H%M}'"
     return (
-        Segment("ST", "'834'", "control", f"'{envelope.version}'"),
-        Segment("BGN", f"'{envelope.purpose}'", "control", day, time, "'LT'", "''", "''", f"'{envelope.action}'"),
-        Segment("REF", "'38'", f"'{envelope.policy}'"),
+        Segment("ST", "'834'", "control", _text(envelope.version)),
+        Segment("BGN", _text(envelope.purpose), "control", day, time, "'LT'", "''", "''", _text(envelope.action)),
+        Segment("REF", "'38'", _text(envelope.policy)),
         Segment("DTP", "'007'", "'D8'", day),
         Segment("QTY", "'DT'", "dependents"),
         Segment("QTY", "'ET'", "employees"),
         Segment("QTY", "'TO'", "total"),
-        Segment("N1", "'P5'", f"'{envelope.sponsor}'", "'FI'", f"'{envelope.sponsor_id}'"),
-        Segment("N1", "'IN'", f"'{envelope.insurer}'", "'FI'", f"'{envelope.insurer_id}'"),
+        Segment("N1", "'P5'", _text(envelope.sponsor), "'FI'", _text(envelope.sponsor_id)),
+        Segment("N1", "'IN'", _text(envelope.insurer), "'FI'", _text(envelope.insurer_id)),
     )
 
 
@@ -424,16 +545,17 @@ def _opening(envelope: Envelope) -> str:
     """The two segments before the transactions of an interchange, the first of fixed width."""
     stamp = envelope.stamp
     isa = (
-        f"ISA*00*{'':10}*00*{'':10}*30*{envelope.sender:15.15}*30*{envelope.receiver:15.15}"
+        f"ISA*00*{'':10}*00*{'':10}*30*{_plain(envelope.sender):15}*30*{_plain(envelope.receiver):15}"
         f"*{stamp:%y%m%d}*{stamp:%H%M}*^*00501*"
     )
-    gs = f"~GS*BE*{envelope.sender}*{envelope.receiver}*{stamp:%Y%m%d}*{stamp:%H%M}*"
-    return f"concat('{isa}', control, '*0*P*>', '{gs}', control, '*X*{envelope.version}')"
+    gs = f"~GS*BE*{_plain(envelope.sender)}*{_plain(envelope.receiver)}*{stamp:%Y%m%d}*{stamp:%H%M}*"
+    return f"concat({_text(isa)}, control, '*0*P*>', {_text(gs)}, control, {_text('*X*' + _plain(envelope.version))})"
 
 
 def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFrame:
     """What the output is made of, one row each: the interchange's ends, a transaction's ends,
     a member, a coverage. ``kind`` tells them apart; each has the columns its segments need."""
+    rows, covers = _complete(rows, _MEMBER_OPTIONAL), _complete(covers, _COVERAGE_OPTIONAL)
     placed = staged(split_sets(rows, envelope.soft_limit), "sets").select("subscriber_id", "set_no")
     member = joins.inner(rows, placed, ["subscriber_id"])
     kept = joins.semi(covers, rows, ["subscriber_id", "member_seq"])
@@ -442,11 +564,11 @@ def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFra
     zero = F.lit(0)
     sizes = member.select(
         "set_no",
-        number_of(*MEMBER_SEGMENTS).alias("lines"),
+        (number_of(*MEMBER_SEGMENTS) + _more()).alias("lines"),
         F.expr("case when is_subscriber = 'N' then 1 else 0 end").alias("dependent"),
         F.expr("case when is_subscriber = 'Y' then 1 else 0 end").alias("employee"),
         F.lit(1).alias("one"),
-    ).unionAll(cover.select("set_no", number_of(*COVERAGE_SEGMENTS), zero, zero, zero))
+    ).unionAll(cover.select("set_no", number_of(*COVERAGE_SEGMENTS) + _more(), zero, zero, zero))
     sets = staged(
         sizes.groupBy("set_no").agg(
             F.sum("dependent").alias("dependents"),
@@ -458,11 +580,12 @@ def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFra
         "set-counts",
     )
     per_file = envelope.sets_per_interchange
+    number = "0L" if per_file is None else f"set_no div {per_file}"
     files = (
-        sets.groupBy(F.expr(f"set_no div {per_file}").alias("number"))
+        sets.groupBy(F.expr(number).alias("number"))
         .agg(F.count(F.lit(1)).alias("sets"))
         .select(
-            F.expr(f"number * {per_file}").alias("set_no"),
+            F.expr(f"number * {per_file or 1}").alias("set_no"),
             "sets",
             F.expr("lpad(cast(number + 1 as string), 9, '0')").alias("control"),
         )
@@ -487,7 +610,11 @@ def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFra
         units(files, "closing", 2, 0),
     ):
         everything = everything.unionByName(more, allowMissingColumns=True)
-    return everything.select(F.expr(f"set_no div {per_file}").alias("interchange"), "*")
+    return everything.select(F.expr(number).alias("interchange"), "*")
+
+
+def _more() -> Column:
+    return F.coalesce(F.size("other_segments"), F.lit(0))
 
 
 def unit_text(envelope: Envelope) -> str:
@@ -495,8 +622,8 @@ def unit_text(envelope: Envelope) -> str:
     texts = {
         "opening": _opening(envelope),
         "header": joined(*_header(envelope)),
-        "member": joined(*MEMBER_SEGMENTS),
-        "coverage": joined(*COVERAGE_SEGMENTS),
+        "member": joined(*MEMBER_SEGMENTS, others="other_segments"),
+        "coverage": joined(*COVERAGE_SEGMENTS, others="other_segments"),
         "trailer": joined(Segment("SE", "lines", "control")),
         "closing": joined(Segment("GE", "sets", "control"), Segment("IEA", "1", "control")),
     }
@@ -527,15 +654,15 @@ def run_file(
     """Validate, reject families, close the gate if need be, and write.
 
     Returns the one-row counts of the run and its exceptions. Without subscribers nothing is
-    written. A closed gate raises before anything is written; the exceptions stay staged.
+    written. A closed gate raises before anything is written; its error carries the exceptions.
     """
-    exceptions = staged(validate(member_elements(rows, rules), rules), "exceptions")
-    kept = reject_families(rows, exceptions)
+    exceptions = staged(all_exceptions(rows, covers, rules), "exceptions")
+    kept = staged(reject_families(rows, exceptions), "kept")
     counts = run_counts(rows, kept, exceptions)
     found = counts.first()
     counts = rows.sparkSession.createDataFrame([tuple(found)], counts.schema)
     if found["loaded"] == 0:
         return counts, exceptions
-    _gate_check(found["errors"], max_errors)
-    write_edi(staged(kept, "kept"), covers, path, envelope)
+    _gate_check(found["errors"], max_errors, exceptions)
+    write_edi(kept, covers, path, envelope)
     return counts, exceptions

@@ -176,7 +176,7 @@ def counted_companies(tables: Tables, places: DataFrame, effective: p.DateLike,
     detail = rows.groupBy("company", "location").agg(*[m.alias(name) for name, m in measures().items()])
     office, remote = location_kinds(blank_address_ok=variant.blank_address_ok)
     kinds = places.groupBy("location").agg(F.bool_or(office).alias("_office"), F.bool_or(remote).alias("_remote"))
-    typed_detail = joins.left(detail, kinds, ["location"], grouped=True)
+    typed_detail = joins.left(detail, kinds, ["location"])
     found = typed_detail.groupBy("company").agg(
         F.sum("dbl_males").cast("int").alias("dbl_males"),
         F.sum("dbl_females").cast("int").alias("dbl_females"),

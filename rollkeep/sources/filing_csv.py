@@ -52,7 +52,7 @@ def read_filing_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read a filing back with its declared types; the header line is dropped wherever it stands."""
     texts = T.StructType([T.StructField(name, T.StringType()) for name in HEADER])
     raw = spark.read.schema(texts).option("escape", '"').option("header", False).csv(path)
-    rows = raw.where(F.trim(F.col(HEADER[1])) != HEADER[1])
+    rows = raw.where(~F.trim(F.col(HEADER[1])).eqNullSafe(HEADER[1]))
     return rows.select(
         *[
             (F.to_date(f"`{f.name}`", "MM/dd/yyyy") if isinstance(f.dataType, T.DateType) else F.col(f"`{f.name}`"))

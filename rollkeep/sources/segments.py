@@ -24,6 +24,8 @@ ELEMENT = "*"
 ENVELOPE_TAGS = ["ISA", "GS", "GE", "IEA"]
 # segments that open (or, for SE, close) a part of a transaction
 BOUNDARY_TAGS = ["ST", "INS", "HD", "SE"]
+# more files than a task of Spark's writer ever makes
+FILES_PER_PART = 1_000_000
 
 
 def read_segments(
@@ -32,17 +34,20 @@ def read_segments(
     """Segments with their place: ``file, piece, block, row, tag, elements``.
 
     ``file`` is the interchange: a folder ``interchange=N`` as the writer makes it, whose part
-    files follow each other in number order, or else a single file. The result is staged once,
-    so that the block boundaries stay the same for all readers of it.
+    files follow each other in the order of part and file number, or else a single file. With
+    several paths an interchange goes by its folder's full path. The result is staged once, so
+    that the block boundaries stay the same for all readers of it.
     """
-    raw = spark.read.option("lineSep", separator).text(path)
-    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
-    if "interchange" in raw.columns:
-        file = F.col("interchange").cast("string")
-        part = F.coalesce(F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long"), F.lit(0))
-    else:
-        file = F.col("_metadata.file_path")
-        part = F.lit(0).cast("long")
+    raw = spark.read.option("lineSep", separator).option("recursiveFileLookup", True).text(path)
+    steps = F.split("_metadata.file_path", "/")
+    folder, name = F.element_at(steps, -2), F.element_at(steps, -1)
+    written = folder.startswith("interchange=")
+    run = F.regexp_replace("_metadata.file_path", "/[^/]*$", "") if _several(path) else F.split(folder, "=")[1]
+    file = F.when(written, run).otherwise(F.col("_metadata.file_path"))
+    number = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long")
+    count = F.regexp_extract(name, r"[.-]c(\d+)\.", 1).try_cast("long")
+    place = F.coalesce(number, F.lit(0)) * FILES_PER_PART + F.coalesce(count, F.lit(0))
+    part = F.when(written, place).otherwise(F.lit(0).cast("long"))
     text = F.trim(F.regexp_replace("value", r"[\r\n]+", ""))
     placed = raw.select(
         file.alias("file"),
@@ -54,6 +59,10 @@ def read_segments(
     return staged(placed.withColumn("tag", F.element_at("elements", 1)), "segments")
 
 
+def _several(path: str | Sequence[str]) -> bool:
+    return not isinstance(path, str) and len(path) > 1
+
+
 def with_loops(segments: DataFrame) -> DataFrame:
     """Add ``pos`` (place in the file from 1) and the ids ``txn_id``, ``family_id``, ``member_id`` and
     ``coverage_id``, running numbers per file, null for segments outside such a loop."""
@@ -127,9 +136,14 @@ class Segment:
         return f"case when {self.when} then array('{self.tag}', {values}) end"
 
 
-def joined(*segments: Segment) -> str:
-    """The segments that are there, as one text."""
-    return f"concat_ws('{SEGMENT}', {', '.join(s.text() for s in segments)})"
+def joined(*segments: Segment, others: str | None = None) -> str:
+    """The segments that are there, as one text, and after them those of a column of element arrays."""
+    texts = [s.text() for s in segments]
+    if others is not None:
+        # elements that were read may hold the inner separators
+        clean = "translate(concat_ws(chr(1), transform(x, y -> coalesce(y, ''))), concat('*~', chr(1)), '  *')"
+        texts.append(f"transform({others}, x -> trim(trailing '*' from {clean}))")
+    return f"concat_ws('{SEGMENT}', {', '.join(texts)})"
 
 
 def number_of(*segments: Segment) -> Column:

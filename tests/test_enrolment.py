@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rollkeep.checks import enrolling as q
 from rollkeep.plans import enrolment as e
-from rollkeep.plans.snapshot import refresh_snapshot
+from rollkeep.plans.snapshot import read_snapshot, refresh_snapshot
 from rollkeep.sources.segments import read_segments
 
 FILE = (
@@ -177,5 +177,100 @@ def test_snapshot_is_replaced(spark, tmp_path):
     for _ in range(2):
         found = refresh_snapshot(one, two, groups, path)
         assert rows(found) == [("first", 2, 1), ("groups", 1, 1), ("second", 1, 1)]
-    members = spark.read.parquet(f"{path}/members")
+    members = read_snapshot(spark, path)
     assert rows(members, "member", "group_number") == [("m1", "G1"), ("m2", None), ("m3", "G1")]
+
+
+def test_failed_refresh_leaves_the_snapshot(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    one = spark.createDataFrame([("m1", "A")], "member string, company string")
+    groups = spark.createDataFrame([("A", "G1")], "company string, group_number string")
+    refresh_snapshot(one, one.limit(0), groups, path)
+    with pytest.raises(Exception, match="more than one row"):
+        refresh_snapshot(one, one, groups.union(groups), path)
+    assert rows(read_snapshot(spark, path), "member", "group_number") == [("m1", "G1")]
+
+
+# Invented members in the shapes that files of other writers have.
+_FOREIGN = "~".join(
+    [
+        "ISA*00*          *00*          *30*A              *30*B              *200101*0000*^*00501*000000001*0*P*>",
+        "GS*BE*A*B*20200101*0000*1*X*005010X220A1", "ST*834*0001*005010X220A1", "BGN*00*1*20200101*0000*LT***4", "REF*38*P1",
+        "INS*Y*18*030**A***FT", "REF*0F*S1", "REF*DX*77", "REF*17*K5", "REF*1L*G9", "DTP*356*D8*20200105", "DTP*336*D8*20190101",
+        "NM1*IL*1*Doe*Jo*Q*Dr*Jr*34*000000001", "N3*1 Way", "N4*Town*NY*10001", "DMG*D8*19800102*F*M", "LUI*LE*ENG*A>B",
+        "HD*030**VIS*PLANX*EMP", "DTP*303*D8*20200203", "DTP*348*D8*20200301", "REF*1L*G9", "COB*P*890111",
+        "INS*N*01*030**A", "REF*0F*S1", "NM1*IL*1*Doe*Al", "SE*22*0001", "GE*1*1",
+        "GS*BE*A*B*20200101*0000*2*X*005010X220A1", "ST*834*0002*005010X220A1", "SE*3*0002", "GE*4*3", "IEA*2*000000001", "",
+    ]
+)
+
+
+def test_members_of_other_writers_lose_nothing(spark, tmp_path):
+    (tmp_path / "in.x12").write_text(_FOREIGN)
+    segments = e.read_edi(spark, str(tmp_path / "in.x12"))
+    found = e.members(segments).orderBy("pos").collect()
+    first = found[0]
+    assert (first["name_prefix"], first["name_suffix"], first["marital_status"], first["maintenance_date"]) == ("Dr", "Jr", "M", None)
+    assert [s[:2] for s in first["other_segments"]] == [
+        ["REF", "DX"], ["REF", "17"], ["REF", "1L"], ["DTP", "356"], ["DTP", "336"], ["LUI", "LE"],
+    ]
+    cover = e.coverages(segments).first()
+    assert str(cover["maintenance_date"]) == "2020-02-03" and cover["other_segments"] == [["REF", "1L", "G9"], ["COB", "P", "890111"]]
+
+    member = e.members(segments).withColumn("member_seq", F.col("member_id") - 1).drop("pos", "file", "txn_id", "family_id", "member_id")
+    covers = e.coverages(segments).withColumns({"subscriber_id": F.lit("S1"), "member_seq": F.lit(0).cast("long"), "coverage_seq": F.lit(1)})
+    out = str(tmp_path / "out")
+    e.write_edi(member, covers.drop("file", "txn_id", "family_id", "member_id", "coverage_id"), out)
+    again = e.read_edi(spark, out)
+
+    def inside(table):
+        kept = table.where("member_id is not null and tag not in ('SE', 'INS')")
+        return rows(kept.select("member_id", "coverage_id", F.array_join("elements", "*").alias("text")))
+
+    assert inside(again) == inside(segments)
+    assert all(r["ok"] for r in e.check_envelope(again).collect())
+
+
+def test_checks_are_made_per_group(spark, tmp_path):
+    (tmp_path / "in.x12").write_text(_FOREIGN)
+    checks = {(r["tag"], r["group_id"], r["txn_id"]): r for r in e.check_envelope(e.read_edi(spark, str(tmp_path / "in.x12"))).collect()}
+    assert checks["GE", 1, None]["ok"] and not checks["GE", 2, None]["ok"] and not checks["GE", 2, None]["same_control"]
+    assert checks["IEA", None, None]["ok"] and not checks["SE", None, 2]["ok"]
+
+
+def test_every_condition_of_every_rule_runs(spark):
+    member = q._members(spark, SMALL).limit(3).withColumns({"city": F.lit(None).cast("string"), "state": F.lit(None).cast("string"), "postal": F.lit(None).cast("string")})
+    member = spark.createDataFrame(member.toArrow())
+    covers = spark.createDataFrame(q._covers(spark, SMALL).join(member, ["subscriber_id", "member_seq"], "left_semi").toArrow())
+    rules = (
+        e.Rule("2100A", "N4", 1, "City Name", required=True),
+        e.Rule("2300", "HD", 3, "Insurance Line Code", allowed=("NONE",), max_length=1),
+    )
+    found = rows(e.all_exceptions(member, covers, rules).groupBy("sub_category").count())
+    n = covers.count()
+    assert found == [("Illegal element value.", n), ("Invalid element length.", n), ("Missing required element.", 3)]
+
+
+def test_closed_gate_names_its_exceptions(spark, tmp_path):
+    with pytest.raises(e.TooManyErrors) as closed:
+        e.run_file(q._members(spark, SMALL), q._covers(spark, SMALL), str(tmp_path / "out"))
+    assert closed.value.exceptions.count() > 0
+
+
+def test_settings_are_text(spark, tmp_path):
+    with pytest.raises(ValueError):
+        e.Envelope(sender="S" * 16)
+    out = str(tmp_path / "out")
+    e.write_edi(q._members(spark, SMALL), q._covers(spark, SMALL), out, e.Envelope(sponsor="O'Brien*Co", sender="A~B"))
+    names = [r["elements"] for r in e.read_edi(spark, out).where("tag = 'N1'").collect()]
+    assert ["N1", "P5", "O'Brien Co", "FI", "00-0000000"] in names
+
+
+def test_files_of_one_part_keep_their_order(spark, tmp_path, conf):
+    conf(spark__sql__files__maxRecordsPerFile="50")
+    for run in ("one", "two"):
+        e.write_edi(q._members(spark, SMALL), q._covers(spark, SMALL), str(tmp_path / run))
+    segments = e.read_edi(spark, str(tmp_path / "one"))
+    assert all(r["ok"] for r in e.check_envelope(segments).collect())
+    both = e.read_edi(spark, [str(tmp_path / "one"), str(tmp_path / "two")])
+    assert both.count() == 2 * segments.count() and both.select("file").distinct().count() == 2

@@ -132,7 +132,7 @@ def test_keys_with_other_names(spark):
 def test_columns_with_like_names_survive_joins(spark):
     df = spark.createDataFrame([("a", 1)], "k string, _r int")
     other = spark.createDataFrame([("a", 2, 3)], "k string, _remote int, _rate int")
-    for joined in (joins.inner(df, other, ["k"]), joins.left(df, other, ["k"]), joins.left(df, other, ["k"], grouped=True)):
+    for joined in (joins.inner(df, other, ["k"]), joins.left(df, other, ["k"]), joins.left(df, other, ["k"], hot=True)):
         assert joined.columns == ["k", "_r", "_remote", "_rate"]
         assert rows(joined) == [("a", 1, 2, 3)]
 

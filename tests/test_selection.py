@@ -176,9 +176,9 @@ def test_hot_key_is_split_in_lookups(spark, conf):
     df = _skewed(spark)
     codes = spark.range(-1, 60000, 2).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
     for joined in (
-        joins.flag_keys(df, codes, ["k"], "hit").where("hit"),
-        joins.not_in_flag(df, "k", codes, "k", "out").where("not out"),
-        joins.lookup_one(df, codes, ["k"], "v", "v").where("v is not null"),
+        joins.flag_keys(df, codes, ["k"], "hit", hot=True).where("hit"),
+        joins.not_in_flag(df, "k", codes, "k", "out", hot=True).where("not out"),
+        joins.lookup_one(df, codes, ["k"], "v", "v", hot=True).where("v is not null"),
         joins.semi(df, codes, ["k"]),
         joins.inner(df, codes, ["k"]),
     ):
@@ -190,7 +190,7 @@ def test_hot_key_is_split_in_a_chain_of_joins(spark, conf):
     """Two joins on the same key: the second would reuse the partitioning of the first."""
     _skew_options(conf)
     codes = spark.range(-1, 60000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
-    chain = joins.lookup_one(joins.lookup_one(_skewed(spark), codes, ["k"], "v", "a"), codes, ["k"], "v", "b")
+    chain = joins.lookup_one(joins.lookup_one(_skewed(spark), codes, ["k"], "v", "a", hot=True), codes, ["k"], "v", "b", hot=True)
     assert _final_plan(chain).count("skew=true") >= 2
     assert chain.where("a = b").count() == 60000
 
@@ -208,11 +208,31 @@ def test_null_keys_are_spread(spark, conf):
     )
     codes = spark.range(40000).select(F.col("id").alias("k"))
     for joined in (
-        joins.flag_keys(df, codes, ["k"], "hit"),
-        joins.not_in_flag(df, "k", codes, "k", "out"),
-        joins.lookup_one(df, codes, ["k"], "k", "v"),
+        joins.flag_keys(df, codes, ["k"], "hit", hot=True),
+        joins.not_in_flag(df, "k", codes, "k", "out", hot=True),
+        joins.lookup_one(df, codes, ["k"], "k", "v", hot=True),
         keep_best(df, "k", "ended", ["company", "location"]),
     ):
         table = joined.select("*", F.spark_partition_id().alias("part")).toArrow()  # all columns, so the join stays
         assert table.num_rows == 40000
         assert max(Counter(table["part"].to_pylist()).values()) < 8000
+
+
+def test_lookups_on_one_key_share_an_exchange(spark, conf):
+    _skew_options(conf)
+    conf(spark__sql__adaptive__enabled="false")
+    codes = spark.range(500).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    chain = _skewed(spark)
+    for name in ("a", "b", "c"):
+        chain = joins.lookup_one(chain, codes, ["k"], "v", name)
+    plan = chain._jdf.queryExecution().executedPlan().toString()
+    assert sum("payload" not in line and "hashpartitioning" in line for line in plan.splitlines()) <= 4
+    assert plan.count("Exchange hashpartitioning") <= 4
+
+
+def test_rows_outside_the_stated_range_stop_the_join(spark):
+    rows = spark.createDataFrame([("a", "2020-05-01")], "k string, day string").selectExpr("k", "cast(day as date) as day")
+    spans = spark.sql("select 'a' as k, date'2020-01-01' as lo, date'2020-12-31' as hi")
+    assert joins.valid_at(rows, spans, ["k"], "day", "lo", "hi", within=("2020-01-01", "2020-12-31")).count() == 1
+    with pytest.raises(Exception, match="outside the stated range"):
+        joins.valid_at(rows, spans, ["k"], "day", "lo", "hi", within=("2020-06-01", "2020-12-31")).collect()
