@@ -15,7 +15,7 @@ from rollkeep.operators.layout import alias_copy, pad, to_layout
 from rollkeep.operators.ordering import number_rows, running_before
 from rollkeep.operators.sets import missing
 from rollkeep.operators.changes import reconcile
-from rollkeep.sources.tables import insert_select, scan
+from rollkeep.sources.tables import insert_select, literal_rows, scan
 
 _DAY = f"cast('{ASOF}' as date)"
 
@@ -310,3 +310,22 @@ def typed_staging(spark, sf_dir):
     )
     lines = scan(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_shipdate")
     return insert_select(lines, schema)
+
+
+@query(
+    """select v.rank, v.label, count(o_orderkey) as orders from (values ('1-URGENT', 1, 'now'), ('2-HIGH', 2, 'soon'),
+      ('9-NONE', 9, null)) v(priority, rank, label) left join orders on o_orderpriority = v.priority group by v.rank, v.label"""
+)
+def literal_codes(spark, sf_dir):
+    """Rows written in the program, looked up in a table."""
+    schema = T.StructType(
+        [
+            T.StructField("priority", T.StringType()),
+            T.StructField("rank", T.IntegerType()),
+            T.StructField("label", T.StringType()),
+        ]
+    )
+    codes = literal_rows(spark, [("1-URGENT", 1, "now"), ("2-HIGH", 2, "soon"), ("9-NONE", 9, None)], schema)
+    orders = scan(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("priority"))
+    counted = joins.left(codes, orders, ["priority"]).groupBy("rank", "label")
+    return counted.agg(F.count("o_orderkey").alias("orders"))
