@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -55,6 +56,12 @@ def python_tasks(spark: SparkSession, rows: int = 512) -> None:
     context._rollkeep_shipped = True
 
 
+def free(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps now: it does when the driver's objects for them are collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

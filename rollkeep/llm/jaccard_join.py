@@ -12,8 +12,8 @@ Steps:
 3. Frequencies allocate the probes.
 4. Each key's sets are compared with two leaders, the same ones for most keys of a group of near copies; candidates
    pass a parity-bit bound and then an exact intersection. Links give components.
-5. All candidates of different components that were not compared are compared in the same way, so that no link is lost
-   but those inside a component, which cannot change it.
+5. All candidates of different components that were not compared are compared in the same way (the parity bound is part of
+   the join here), so that no link is lost but those inside a component, which cannot change it.
 A group of near copies thus costs what its size costs, not its square.
 
 Defined results: a null text or one without words has an empty set, is linked with nothing and is its own component;
@@ -34,9 +34,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import free_name, python_tasks, split_count, texts
+from rollkeep.llm.common import free, free_name, python_tasks, split_count, texts
 from rollkeep.llm.links import components
-from rollkeep.llm.shingle_sets import bits_apart, mix, parity_bits, shingle_sets
+from rollkeep.llm.shingle_sets import bits_apart, mix, parity_bits, parity_longs, shingle_sets
 from rollkeep.sources.staging import staged
 
 LEAST = 3  # smaller sets are linked with equal ones only
@@ -48,7 +48,7 @@ INDEXED, INDEXED_LESS, MARK, PROBES, PROBES_LESS, PROBES_NEAR = 1, 2, 4, 8, 16,
 HOT = 16  # a key that so many sets have in one flush is known to be shared: its records go to no bucket
 FLUSH = 1 << 20  # records held before they are packed
 
-MEMBERS = "doc_id long, rep long, n_shingles long, set_id long, proof long, slack int, lacking int, bits binary"
+MEMBERS = "doc_id long, rep long, n_shingles long, set_id long, proof long, slack int, lacking int, bits binary, low array<long>, high array<long>"
 PACKED = "bucket int, spread int, payload binary"
 SHARED = "key long, set_id long, n int, flags int, slot long"
 # Key and slot (0 where a segment has only one key), set, its size and what the record is for.
@@ -192,8 +192,8 @@ def members(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = shingle_sets(list(batch["text"]))
-            out = [(len(s), *set_id(s), *slack_of(s), parity_bits(s) if len(s) else b"") for s in found]
-            frame = pd.DataFrame(out, columns=["n_shingles", "set_id", "proof", "slack", "lacking", "bits"])
+            out = [(len(s), *set_id(s), *slack_of(s), parity_bits(s) if len(s) else b"", *parity_longs(s)) for s in found]
+            frame = pd.DataFrame(out, columns=["n_shingles", "set_id", "proof", "slack", "lacking", "bits", "low", "high"])
             ids = batch[["doc_id", "rep"]].reset_index(drop=True)
             yield pd.concat([ids.astype({"doc_id": "Int64"}), frame], axis=1)
 
@@ -343,6 +343,15 @@ def allocated(shared: DataFrame, classes: DataFrame) -> DataFrame:
     return marked.select("key", "set_id", "n", F.col("flags").bitwiseAND(keep).alias("flags"))
 
 
+def _near_sql() -> str:
+    """Whether the parities of p and i leave the similarity possible; part of the join, so that no other pair comes out."""
+    half = [f"bit_count(p.low[{k}] ^ i.low[{k}])" for k in range(8)]
+    upper = [f"bit_count(p.high[{k}] ^ i.high[{k}])" for k in range(8)]
+    lower = [f"bit_count(p.low[{k}] ^ p.high[{k}] ^ i.low[{k}] ^ i.high[{k}])" for k in range(8)]
+    wide = f"(p.high is null or i.high is null or 7 * ({' + '.join(upper + lower)}) <= p.n + i.n)"
+    return f"7 * ({' + '.join(half)}) <= p.n + i.n and {wide}"
+
+
 def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) of sets that are links: first by parity bits, then by the intersection of their shingles."""
     bits = classes.select("set_id", "bits", "n_shingles")
@@ -391,17 +400,19 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
 
     ``rep`` is a hash of the id and the text; ``kept`` marks the row with the smallest id of each component.
     """
-    rows = texts(docs, key, text)
+    rows, spark = texts(docs, key, text), docs.sparkSession
     found = staged(members(rows), "members")
     proofs = F.when(F.min("proof") != F.max("proof"), F.raise_error(F.lit("two sets have one id"))).otherwise(F.first("n_shingles"))
     classes = found.where("n_shingles > 0").groupBy("set_id").agg(
         proofs.alias("n_shingles"), F.first("slack").alias("slack"), F.max("lacking").alias("lacking"), F.first("bits").alias("bits"),
+        F.first("low").alias("low"), F.first("high").alias("high"),
         F.min("rep").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rep")).alias("least"),
     )
     classes = staged(classes, "classes")
     lacking = frozenset(r["lacking"] for r in classes.where("lacking >= 0").select("lacking").distinct().collect())  # bands
 
     shared = staged(shared_keys(rows, lacking), "shared")
+    free(spark)
     kept = staged(allocated(shared, classes), "allocated")
     by_key = kept.groupBy("key").agg(
         F.max("flags").alias("most"), *[F.min_by("set_id", F.xxhash64("set_id", F.lit(seed))).alias(f"leader{seed}") for seed in (1, 2)]
@@ -415,11 +426,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
     placed = kept.join(roots, kept["set_id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "set_id")).drop("node")
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("flags").alias("most"))
     mixed = mixed.where(f"lo <> hi and most >= {PROBES}").select("key")
-    left = staged(placed.join(mixed, "key", "left_semi"), "mixed")
+    quick = classes.select("set_id", "low", "high")
+    left = staged(placed.join(mixed, "key", "left_semi").select("key", "set_id", "n", "flags", "root").join(quick, "set_id"), "mixed")
+    free(spark)
     p, i = left.where(f"flags >= {PROBES}").alias("p"), left.alias("i")
     meet = [(PROBES, INDEXED), (PROBES_NEAR, INDEXED_LESS), (PROBES_LESS, INDEXED)]
     kinds = " or ".join(f"(p.flags & {asks} > 0 and i.flags & {holds} > 0)" for asks, holds in meet)
-    match = f"p.key = i.key and p.root <> i.root and p.n <= i.n and 3 * i.n <= 4 * p.n and ({kinds})"
+    match = f"p.key = i.key and p.root <> i.root and p.n <= i.n and 3 * i.n <= 4 * p.n and ({kinds}) and {_near_sql()}"
     rest = p.join(i, F.expr(match)).select(*_ordered("p.set_id", "i.set_id")).distinct().join(tried, ["a", "b"], "left_anti")
     links = staged(links.union(_exact(staged(rest, "rest"), rows, classes)), "all-links")
     roots = staged(components(links), "all-roots")

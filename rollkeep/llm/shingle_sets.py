@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 WORDS = 5
+WIDE = 256  # sets from this size on have twice as many parity places
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -81,6 +82,16 @@ def parity_bits(shingles: np.ndarray) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
+def parity_longs(shingles: np.ndarray) -> tuple[list[int], list[int] | None]:
+    """Parity over 512 places as eight longs; for larger sets also the upper half of the parity over 1024 places."""
+
+    def longs(size: int) -> np.ndarray:
+        odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+        return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+    return longs(512).tolist(), longs(1024)[8:].tolist() if len(shingles) >= WIDE else None
+
+
 def bits_apart(a: bytes, b: bytes) -> int:
     """Least number of shingles by which two sets differ; the longer bits are folded to the shorter."""
     x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)

@@ -110,6 +110,8 @@ def test_parity_bits_bound_the_difference():
         if len(b):
             apart = shingle_sets.bits_apart(shingle_sets.parity_bits(a), shingle_sets.parity_bits(b))
             assert apart <= len(np.setxor1d(a, b))
+            pairs = [shingle_sets.parity_longs(x) for x in (a, b)]
+            assert sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) + (1 << 64)).bit_count() for x, y in zip(pairs[0][0], pairs[1][0])) <= len(np.setxor1d(a, b))
 
 
 def test_components_of_chains_and_hubs(spark):
