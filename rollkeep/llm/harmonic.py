@@ -17,7 +17,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window

@@ -10,8 +10,7 @@ Training uses a bounded sample of labelled rows (``labelled_rows``, chosen by a
 row in one pass without any exchange. Labels are used only of rows outside the held-out fold.
 
 Defined results: a null or empty text has no vote and gets the base score; repeated rows and null ids are scored like
-any others; a row without label is only scored; a missing or empty label table leaves no voters and a score of a half
-of nothing but the prior; other columns pass through.
+any others; a row without label is only scored; an empty label table leaves no voters, and every score is the prior's.
 """
 
 from __future__ import annotations
@@ -82,14 +81,13 @@ def fold(key: Column, folds: int) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rules: WeakLabels, key: str, text: str, label: str) -> DataFrame:
-    """At most ``labelled_rows`` rows of doc_id, text and label, none of them held out."""
+    """doc_id, text and label of at most ``labelled_rows`` ids, none of them held out."""
     marked = labels.select(F.col(key).cast("long").alias("labelled"), F.col(label).cast("int").alias("y"))
     marked = marked.where((fold(F.col("labelled"), rules.folds) != rules.held_out) & F.col("y").isin(0, 1))
     sample = marked.groupBy("labelled").agg(F.max("y").alias("y")).orderBy(F.xxhash64("labelled"), "labelled").limit(rules.labelled_rows)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    # The sample has at most so many rows of two numbers. Rows that repeat an id are bounded in the same way.
-    rows = rows.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "y")
-    return rows
+    # The sample has at most so many rows of two numbers.
+    return rows.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "y")
 
 
 def mined(rows: DataFrame, rules: WeakLabels) -> tuple[list[tuple[str, int, int]], int, int]:
