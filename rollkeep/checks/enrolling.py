@@ -210,7 +210,7 @@ _COVER_COLUMNS = [c for c in STANDINS["covers_own"][1] if c not in ("subscriber_
 )
 def edi_coverages(spark, sf_dir):
     found = e.coverages(_segments(spark, sf_dir))
-    return found.drop("maintenance_date", "other_segments")
+    return found.drop("maintenance_date", "other_segments", "own_segments")
 
 
 _TOTALS = """select file, txn_id, count(case when is_subscriber = 'N' then 1 end) as dependents,

@@ -14,6 +14,8 @@ from rollkeep.functions.scalars import element, parse_compact_date
 from rollkeep.operators import joins
 from rollkeep.operators.ordering import running_before
 from rollkeep.sources.segments import (
+    DATE,
+    Named,
     Segment,
     dated,
     fields_of,
@@ -36,13 +38,14 @@ def read_edi(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 # What a member's and a coverage's own columns hold: (tag, qualifier in the first element). Of each, the first segment is
-# read into columns; all others are kept as they are, in order.
+# read into columns and kept whole in own_segments; all others are kept as they are, in order.
 _MEMBER_NAMED = ("INS", "REF|0F", "REF|23", "DTP|303", "NM1|IL", "PER|IP", "N3", "N4", "DMG")
 _COVERAGE_NAMED = ("HD", "DTP|303", "DTP|348", "DTP|349")
 
 
 def _gathered(segments: DataFrame, keys: Sequence[str], named: Sequence[str]) -> DataFrame:
-    """One row per group with its segments in order: those of ``named`` by name, the others as a list of elements.
+    """One row per group with its segments in order: those of ``named`` by name, with all their elements in the map
+    ``own_segments``, the others as a list of elements.
 
     A group is a member or a coverage, which holds a few dozen segments.
     """
@@ -61,7 +64,11 @@ def _gathered(segments: DataFrame, keys: Sequence[str], named: Sequence[str]) ->
         return ~(own_name.isin(*named) & (F.array_position("_names", own_name) == at + 1))
 
     others = F.transform(F.filter("_own", other), lambda segment: segment["elements"])
-    return gathered.withColumn("other_segments", others)
+    entries = F.transform(
+        F.filter("_own", lambda segment, at: ~other(segment, at)),
+        lambda segment: F.struct(name(segment).alias("key"), segment["elements"].alias("value")),
+    )
+    return gathered.withColumns({"other_segments": others, "own_segments": F.map_from_entries(entries)})
 
 
 def _picked(named: str, position: int) -> Column:
@@ -71,8 +78,15 @@ def _picked(named: str, position: int) -> Column:
     return element(segment["elements"], position)
 
 
+# The kinds of contact in PER03 that are telephones; a number without a kind is taken for one.
+_PHONES = ("", "AP", "BN", "CP", "HP", "TE", "WP")
+
+
 def members(segments: DataFrame) -> DataFrame:
-    """One row per member from the segments before its first coverage, those without a column in ``other_segments``."""
+    """One row per member from the segments before its first coverage, those without a column in ``other_segments``.
+
+    ``own_segments`` has every element of the segments that columns come from; :func:`write_edi` writes them back.
+    """
     own = segments.where(F.col("member_id").isNotNull() & F.col("coverage_id").isNull())
     # a coverage id runs on through the following members, so their own segments carry none
     return _gathered(own, _MEMBER_KEY, _MEMBER_NAMED).select(
@@ -94,7 +108,7 @@ def members(segments: DataFrame) -> DataFrame:
         _picked("NM1|IL", 6).alias("name_prefix"),
         _picked("NM1|IL", 7).alias("name_suffix"),
         _picked("NM1|IL", 9).alias("national_id"),
-        _picked("PER|IP", 4).alias("phone"),
+        F.when(F.coalesce(_picked("PER|IP", 3), F.lit("")).isin(*_PHONES), _picked("PER|IP", 4)).alias("phone"),
         _picked("N3", 1).alias("address1"),
         _picked("N3", 2).alias("address2"),
         _picked("N4", 1).alias("city"),
@@ -105,6 +119,7 @@ def members(segments: DataFrame) -> DataFrame:
         _picked("DMG", 4).alias("marital_status"),
         parse_compact_date(_picked("DTP|303", 3)).alias("maintenance_date"),
         "other_segments",
+        "own_segments",
     )
 
 
@@ -122,6 +137,7 @@ def coverages(segments: DataFrame) -> DataFrame:
         parse_compact_date(_picked("DTP|348", 3)).alias("benefit_begin"),
         parse_compact_date(_picked("DTP|349", 3)).alias("benefit_end"),
         "other_segments",
+        "own_segments",
     )
 
 
@@ -439,9 +455,19 @@ def _filled(*columns: str) -> str:
 
 _KNOWN = f"(birth_date is not null or {_filled('sex', 'marital_status')})"
 
+def _as_read(places: dict[int, str]) -> dict[int, tuple[str, str]]:
+    return {place: (column, "nullif({raw}, '')") for place, column in places.items()}
+
+
+_PER = "own_segments['PER|IP']"
+_TELEPHONE = f"coalesce(get({_PER}, 3), '') in ({', '.join(repr(kind) for kind in _PHONES)})"
+# a phone that comes to another kind of contact goes before it
+_CONTACTS = f"slice({_PER}, case when {_TELEPHONE} or phone is null then 6 else 4 end, size({_PER}))"
+
 # the segments of a member before its coverages, and of a coverage
 MEMBER_SEGMENTS = (
-    Segment(
+    Named(
+        "INS",
         "INS",
         "is_subscriber",
         "relationship",
@@ -454,11 +480,23 @@ MEMBER_SEGMENTS = (
         "student_status",
         *["''"] * 7,
         "case when is_subscriber = 'N' then member_seq end",
+        read=_as_read(
+            {
+                1: "is_subscriber",
+                2: "relationship",
+                3: "maintenance_type",
+                4: "maintenance_reason",
+                5: "benefit_status",
+                8: "employment_status",
+                9: "student_status",
+            }
+        ),
     ),
-    Segment("REF", "'0F'", "subscriber_id"),
-    Segment("REF", "'23'", "member_code", when=_filled("member_code")),
+    Named("REF|0F", "REF", "'0F'", "subscriber_id", read=_as_read({2: "subscriber_id"})),
+    Named("REF|23", "REF", "'23'", "member_code", when=_filled("member_code"), read=_as_read({2: "member_code"})),
     dated("DTP", "303", "maintenance_date"),
-    Segment(
+    Named(
+        "NM1|IL",
         "NM1",
         "'IL'",
         "'1'",
@@ -469,14 +507,54 @@ MEMBER_SEGMENTS = (
         "name_suffix",
         "case when national_id is not null then '34' end",
         "national_id",
+        read=_as_read({3: "last_name", 4: "first_name", 5: "middle_name", 6: "name_prefix", 7: "name_suffix", 9: "national_id"}),
+        along={8: 9},
+    ),
+    Named(
+        "PER|IP",
+        "PER",
+        "'IP'",
+        "''",
+        "case when phone is not null then 'HP' end",
+        "phone",
+        when=_filled("phone"),
+        read={4: ("phone", f"case when {_TELEPHONE} then nullif({{raw}}, '') end")},
+        along={3: 4},
+        rest=_CONTACTS,
+    ),
+    Named("N3", "N3", "address1", "address2", when=_filled("address1", "address2"), read=_as_read({1: "address1", 2: "address2"})),
+    Named(
+        "N4",
+        "N4",
+        "city",
+        "state",
+        "postal",
+        when=_filled("city", "state", "postal"),
+        read=_as_read({1: "city", 2: "state", 3: "postal"}),
+    ),
+    Named(
+        "DMG",
+        "DMG",
+        "'D8'",
+        "date_format(birth_date, 'yyyyMMdd')",
+        "sex",
+        "marital_status",
+        when=_KNOWN,
+        read={2: ("birth_date", DATE)} | _as_read({3: "sex", 4: "marital_status"}),
+        along={1: 2},
     ),
-    Segment("PER", "'IP'", "''", "'HP'", "phone", when=_filled("phone")),
-    Segment("N3", "address1", "address2", when=_filled("address1", "address2")),
-    Segment("N4", "city", "state", "postal", when=_filled("city", "state", "postal")),
-    Segment("DMG", "'D8'", "date_format(birth_date, 'yyyyMMdd')", "sex", "marital_status", when=_KNOWN),
 )
 COVERAGE_SEGMENTS = (
-    Segment("HD", "maintenance_type", "''", "insurance_line", "plan", "coverage_level"),
+    Named(
+        "HD",
+        "HD",
+        "maintenance_type",
+        "''",
+        "insurance_line",
+        "plan",
+        "coverage_level",
+        read=_as_read({1: "maintenance_type", 3: "insurance_line", 4: "plan", 5: "coverage_level"}),
+    ),
     dated("DTP", "303", "maintenance_date"),
     dated("DTP", "348", "benefit_begin"),
     dated("DTP", "349", "benefit_end"),
@@ -484,8 +562,9 @@ COVERAGE_SEGMENTS = (
 
 
 # columns that members and coverages may come without
-_MEMBER_OPTIONAL = {"name_prefix": "string", "name_suffix": "string", "marital_status": "string", "other_segments": "array<array<string>>"}
-_COVERAGE_OPTIONAL = {"maintenance_date": "date", "other_segments": "array<array<string>>"}
+_KEPT = {"other_segments": "array<array<string>>", "own_segments": "map<string, array<string>>"}
+_MEMBER_OPTIONAL = {"name_prefix": "string", "name_suffix": "string", "marital_status": "string"} | _KEPT
+_COVERAGE_OPTIONAL = {"maintenance_date": "date"} | _KEPT
 
 
 def _complete(rows: DataFrame, optional: dict[str, str]) -> DataFrame:
@@ -634,7 +713,8 @@ def write_edi(rows: DataFrame, covers: DataFrame, path: str, envelope: Envelope
     """Write members (one row each) and their coverages as enrolment interchanges.
 
     Members have ``subscriber_id, member_seq`` (0 for the subscriber, then 1, 2, ..) and the
-    columns :func:`members` returns; coverages have ``subscriber_id, member_seq, coverage_seq``.
+    columns :func:`members` returns; coverages have ``subscriber_id, member_seq, coverage_seq``. Of rows that were read,
+    a segment keeps its elements but those whose column was changed, and INS17 stays as it was read.
     Without members an empty folder is written.
     """
     write_segments(edi_units(rows, covers, envelope), path, _ORDER, unit_text(envelope))

@@ -136,6 +136,62 @@ class Segment:
         return f"case when {self.when} then array('{self.tag}', {values}) end"
 
 
+class Named(Segment):
+    """A segment whose elements as read may be in the map ``own_segments`` under ``name``.
+
+    A column that still says what was read gives the element as read, and so do elements without a column; a changed column
+    is written as :class:`Segment` does. ``read``: place of a column's element, the column, and the SQL of what reading
+    makes of the element ``{raw}``. ``along``: places of qualifiers, and of the column that they go with. ``rest``: SQL of
+    the elements after the last place.
+    """
+
+    def __init__(
+        self,
+        name: str,
+        tag: str,
+        *elements: str,
+        when: str = "true",
+        read: dict[int, tuple[str, str]] | None = None,
+        along: dict[int, int] | None = None,
+        rest: str | None = None,
+    ) -> None:
+        super().__init__(tag, *elements, when=when)
+        self.raw, self.read, self.along = f"own_segments['{name}']", read or {}, along or {}
+        after = f"slice({self.raw}, {len(elements) + 2}, greatest(size({self.raw}) - {len(elements) + 1}, 0))"
+        self.rest = rest or after
+        if when != "true":
+            same = " and ".join(self._same(place) for place in self.read)
+            held = f"exists({after}, x -> x <> '')"
+            self.when = f"({when} or coalesce({self.raw} is not null and (({same}) or {held}), false))"
+
+    def _same(self, place: int) -> str:
+        column, as_read = self.read[place]
+        return f"{column} <=> {as_read.format(raw=f'get({self.raw}, {place})')}"
+
+    def _kept(self) -> str:
+        """The elements after the tag as a SQL array, where the segment was read."""
+        out = []
+        for place, x in enumerate(self.elements, 1):
+            raw = f"translate(get({self.raw}, {place}), concat('*~', chr(1)), '  *')"
+            decides = self.along.get(place, place)
+            if decides in self.read:
+                own = f"translate(cast({x} as string), concat('*~>^', chr(1)), '    *')"
+                raw = f"case when {self._same(decides)} then {raw} else {own} end"
+            out.append(f"coalesce({raw}, '')")
+        rest = f"transform({self.rest}, x -> translate(coalesce(x, ''), concat('*~', chr(1)), '  *'))"
+        return f"concat(array({', '.join(out)}), {rest})"
+
+    def text(self) -> str:
+        kept = f"trim(trailing '*' from concat_ws('*', '{self.tag}', {self._kept()}))"
+        text = f"case when {self.raw} is null then {Segment(self.tag, *self.elements).text()} else {kept} end"
+        return text if self.when == "true" else f"case when {self.when} then {text} end"
+
+    def fields(self) -> str:
+        new = Segment(self.tag, *self.elements).fields()
+        both = f"case when {self.raw} is null then {new} else concat(array('{self.tag}'), {self._kept()}) end"
+        return f"case when {self.when} then {both} end"
+
+
 def joined(*segments: Segment, others: str | None = None) -> str:
     """The segments that are there, as one text, and after them those of a column of element arrays."""
     texts = [s.text() for s in segments]
@@ -156,10 +212,15 @@ def fields_of(*segments: Segment) -> Column:
     return F.expr(f"array_compact(array({', '.join(s.fields() for s in segments)}))")
 
 
+DATE = "try_to_date(nullif({raw}, ''), 'yyyyMMdd')"
+
+
 def dated(tag: str, qualifier: str, column: str) -> Segment:
-    return Segment(
-        tag, f"'{qualifier}'", "'D8'", f"date_format({column}, 'yyyyMMdd')", when=f"{column} is not null"
-    )
+    """A fixed day; one that was read in another form is kept as it is while the column is as read."""
+    return Named(
+        f"{tag}|{qualifier}", tag, f"'{qualifier}'", "'D8'", f"date_format({column}, 'yyyyMMdd')",
+        when=f"{column} is not null", read={3: (column, DATE)}, along={2: 3},
+    )
 
 
 def write_segments(rows: DataFrame, path: str, order: Sequence[str], value: str, separator: str = SEGMENT) -> None:

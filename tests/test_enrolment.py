@@ -274,3 +274,53 @@ def test_files_of_one_part_keep_their_order(spark, tmp_path, conf):
     assert all(r["ok"] for r in e.check_envelope(segments).collect())
     both = e.read_edi(spark, [str(tmp_path / "one"), str(tmp_path / "two")])
     assert both.count() == 2 * segments.count() and both.select("file").distinct().count() == 2
+
+
+_WHOLE = "~".join(
+    [
+        "ISA*00*          *00*          *30*A              *30*B              *200101*0000*^*00501*000000001*0*P*>",
+        "GS*BE*A*B*20200101*0000*1*X*005010X220A1", "ST*834*0001*005010X220A1",
+        "INS*Y*18*030*XN*A*E*1*FT**R*D8*20200202*U*Town*NY*US*2", "REF*0F*S1*note", "REF*23*00*more", "DTP*303*RD8*20200101-20200131",
+        "NM1*IL*2*Doe*Jo****ZZ*N1*01*E", "PER*IP*Jo*EM*jo@mail.example*CP*5550101", "N3*1 Way**X", "N4*Town*ON*K1A*CA*CY*11",
+        "DMG*D6*800102*F*M*A>B^C*1*CA", "HD*030*002*VIS*PLANX*EMP*7**Y", "DTP*303*DT*202002030400", "DTP*348*RD8*20200301-20200331",
+        "DTP*349*D8*20201231", "INS*N*01*030**A************3", "REF*0F*S1", "NM1*IL*1*Doe*Al", "PER*IP**TE*5550102*EM*al@mail.example",
+        "N4****CA", "SE*19*0001", "GE*1*1", "IEA*1*000000001", "",
+    ]
+)
+
+
+def _read_whole(spark, tmp_path):
+    (tmp_path / "in.x12").write_text(_WHOLE)
+    segments = e.read_edi(spark, str(tmp_path / "in.x12"))
+    member = e.members(segments).withColumn("member_seq", F.col("member_id") - 1).drop("pos", "file", "txn_id", "family_id", "member_id")
+    covers = e.coverages(segments).withColumns({"subscriber_id": F.lit("S1"), "member_seq": F.lit(0).cast("long"), "coverage_seq": F.lit(1)})
+    return segments, member, covers.drop("file", "txn_id", "family_id", "member_id", "coverage_id")
+
+
+def _own_texts(segments):
+    kept = segments.where("member_id is not null and tag <> 'SE'")
+    return rows(kept.select("member_id", "coverage_id", F.array_join("elements", "*").alias("text")))
+
+
+def test_elements_without_a_column_come_back(spark, tmp_path):
+    segments, member, covers = _read_whole(spark, tmp_path)
+    assert rows(member, "member_seq", "phone") == [(0, None), (1, "5550102")]
+    e.write_edi(member, covers, str(tmp_path / "out"))
+    again = e.read_edi(spark, str(tmp_path / "out"))
+    assert _own_texts(again) == _own_texts(segments)
+    assert all(r["ok"] for r in e.check_envelope(again).collect())
+
+
+def test_a_changed_column_changes_its_element_only(spark, tmp_path):
+    _, member, covers = _read_whole(spark, tmp_path)
+    day = F.lit("2020-05-06").cast("date")
+    member = member.withColumns({"phone": F.when(F.col("member_seq") == 0, F.lit("5550199")), "city": F.lit("A>b"), "birth_date": day})
+    covers = covers.withColumns({"benefit_begin": day, "benefit_end": F.lit(None).cast("date")})
+    e.write_edi(member, covers, str(tmp_path / "out"))
+    again = e.read_edi(spark, str(tmp_path / "out"))
+    texts = {r[2] for r in _own_texts(again)}
+    assert "PER*IP*Jo*HP*5550199*EM*jo@mail.example*CP*5550101" in texts
+    assert "PER*IP****EM*al@mail.example" in texts  # a phone taken away leaves the other contact
+    assert {"N4*A b*ON*K1A*CA*CY*11", "N4*A b***CA", "DMG*D8*20200506*F*M*A>B^C*1*CA", "DTP*348*D8*20200506"} <= texts
+    assert not any(t.startswith("DTP*349") for t in texts)
+    assert all(r["ok"] for r in e.check_envelope(again).collect())
