@@ -2,13 +2,15 @@
 
 Values found by pattern (mail addresses, network addresses, card and phone numbers) are the protected entities. A term
 discloses an entity as far as the corpus says so: with p(c) the share of rows that hold entity c and p(c|t) the share
-of the rows with term t in which t stands near c, the disclosure is PMI(c; t) / IC(c) = 1 - log p(c|t) / log p(c), which
-is 1 if the term occurs nowhere else. In a document that holds c, every occurrence of a term above one threshold is
-generalised to its class, above a higher one removed. A term must have been seen near c in several different texts;
+of the rows with term t that hold c, wherever in the text, the disclosure is PMI(c; t) / IC(c) = 1 - log p(c|t) / log p(c),
+which is 1 if the term occurs nowhere else. In a document that holds c, every occurrence of a term above one threshold is
+generalised to its class, above a higher one removed. A term must have been seen with c in several different texts;
 equal texts are one observation.
 
-Counts cover all rows. Terms to count are passed to the scan as a bitmap of fixed size over their hashes: it grows with
-nothing, and a term that it lets through by chance is dropped by the join that follows. A document meets only those
+Counts cover all rows and whole texts. An entity in fewer texts than that has no such term, nor has a term in fewer texts
+that hold an entity any entity, so both are left out before pairs are made; pairs are counted within a task first. Terms
+to count are passed to the scan as a bitmap of fixed size over their hashes: it grows with nothing, and a term that it
+lets through by chance is dropped by the join or the exact support that follows. A document meets only those
 disclosing terms that it holds itself, so an entity in a third of all rows is an ordinary key.
 
 Defined results: a null text is empty and has no span; repeated rows give repeated results; a null id is kept; other
@@ -23,10 +25,10 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,11 +54,9 @@ SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struc
 
 @dataclass(frozen=True)
 class Disclosure:
-    """``near``: terms on each side of an entity that count as near it. ``texts``: different texts in which a term must
-    stand near an entity. ``generalise_at``, ``remove_at``: thresholds on the disclosure. ``filter_bits``: of the hash
-    that the bitmaps are indexed by; 24 are 2 MB."""
+    """``texts``: different texts in which a term must stand with an entity. ``generalise_at``, ``remove_at``: thresholds
+    on the disclosure. ``filter_bits``: of the hash that the bitmaps are indexed by; 24 are 2 MB."""
 
-    near: int = 8
     texts: int = 3
     generalise_at: float = 0.85
     remove_at: float = 0.95
@@ -115,18 +115,6 @@ def terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]
     return out
 
 
-def near_terms(text: str, spans: list[tuple[str, int, int]], near: int) -> set[tuple[str, str]]:
-    """(entity, term) for the terms on both sides of each span."""
-    places = terms(text, spans)
-    starts = [a for a, _ in places]
-    found = set()
-    for kind, a, b in spans:
-        i, j = np.searchsorted(starts, [a, b])
-        name = entity(kind, text[a:b])
-        found |= {(name, text[x:y].lower()) for x, y in places[max(0, i - near) : j + near]}
-    return found
-
-
 def _slot(term: str, bits: int) -> int:
     return zlib.crc32(term.encode()) & ((1 << bits) - 1)
 
@@ -180,25 +168,53 @@ def disclosing(found: DataFrame, docs: DataFrame, text: str, name: dict[str, str
         F.col(name["row_number_"]).alias("row"), F.col(name["text_hash_"]).alias("hash"), F.col(text).alias("text"), F.col(name["base_spans_"]).alias("spans")
     )
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Equal texts are one observation: one row stands for all of them.
+    held = held.withColumn("entities", _entities("text", "spans"))
+    alike = held.groupBy("hash").agg(F.min("row").alias("row"), F.count("*").alias("rows"))
+    several = held.select("hash", F.explode("entities").alias("term")).groupBy("term", "hash").agg(F.count("*").alias("rows"))
+    several = several.groupBy("term").agg(F.sum("rows").alias("n_c"), F.count("*").alias("texts")).where(f"texts >= {rules.texts}")
+    entities = staged(several.select(F.col("term").alias("entity"), "n_c"), "entities")
+    if entities.isEmpty():  # no term can be judged, so nothing needs counting
+        return entities.select("entity", F.lit("").alias("term"), F.lit("").alias("action"))
+    bits = rules.filter_bits
+    known_entities = _bitmap(entities.select(F.col("entity").alias("term")), bits)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row, key, value, spans in zip(*(c.to_pylist() for c in batch.columns)):
-                spans = [(s["kind"], s["start"], s["end"]) for s in spans]
-                out += [(row, key, c, t) for c, t in near_terms(value, spans, rules.near)]
-                out += [(row, key, c, None) for c in {entity(k, value[a:b]) for k, a, b in spans}]
-            columns = list(zip(*out)) if out else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.string())],
-                names=["row", "hash", "entity", "term"],
-            )
-
-    seen = staged(held.mapInArrow(pairs, "row long, hash long, entity string, term string"), "near-terms")
-    each = seen.groupBy("entity", "term", "hash").agg(F.count("*").alias("rows"))
-    counts = each.groupBy("entity", "term").agg(F.sum("rows").alias("n_ct"), F.count("*").alias("texts"))
-    entities = counts.where("term is null").select("entity", F.col("n_ct").alias("n_c"))
-    near = staged(counts.where(f"term is not null and texts >= {rules.texts}"), "near-counts")
-    bitmap, bits = _bitmap(near.select("term"), rules.filter_bits), rules.filter_bits
+            for rows, value, spans, names in zip(*(c.to_pylist() for c in batch.columns)):
+                names = [c for c in names if _has(known_entities, _slot(c, bits))]
+                if names:
+                    places = terms(value, [(s["kind"], s["start"], s["end"]) for s in spans])
+                    out.append((rows, names, sorted({value[a:b].lower() for a, b in places})))
+            columns = list(zip(*out)) if out else [[], [], []]
+            texts = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], texts), pa.array(columns[2], texts)], names=["rows", "entities", "terms"])
+
+    firsts = held.join(alike.select("row", "rows"), "row").select("rows", "text", "spans", "entities")
+    seen = staged(firsts.mapInArrow(whole, "rows long, entities array<string>, terms array<string>"), "seen-terms")
+    support = seen.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("texts")).where(f"texts >= {rules.texts}")
+    supported = _bitmap(support.select("term"), bits)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[str, str], list[int]] = {}
+        for batch in batches:
+            for rows, names, words in zip(*(c.to_pylist() for c in batch.columns)):
+                words = [w for w in words if _has(supported, _slot(w, bits))]
+                for name in names:
+                    for word in words:
+                        n = total.setdefault((name, word), [0, 0])
+                        n[0] += rows
+                        n[1] += 1
+                    if len(total) > 200_000:
+                        yield _paired(total)
+                        total = {}
+        yield _paired(total)
+
+    counts = seen.mapInArrow(pairs, "entity string, term string, n long, texts long")
+    counts = counts.groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.sum("texts").alias("texts"))
+    near = staged(counts.where(f"texts >= {rules.texts}"), "pair-counts")
+    bitmap = _bitmap(near.select("term"), bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, bool] = {}
@@ -230,6 +246,23 @@ def disclosing(found: DataFrame, docs: DataFrame, text: str, name: dict[str, str
     return staged(judged.select("entity", "term", action.alias("action")).where("action is not null"), "disclosing")
 
 
+def _entities(text: str, spans: str) -> Column:
+    """The distinct entities of a row, as :func:`entity` names them."""
+
+    @F.pandas_udf("array<string>")
+    def named(values: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([sorted({entity(s["kind"], v[s["start"] : s["end"]]) for s in f}) for v, f in zip(values, found)], dtype=object)
+
+    return named(text, spans)
+
+
+def _paired(total: dict[tuple[str, str], list[int]]) -> pa.RecordBatch:
+    names, words = [c for c, _ in total], [t for _, t in total]
+    rows, texts = [n for n, _ in total.values()], [n for _, n in total.values()]
+    columns = [pa.array(names, pa.string()), pa.array(words, pa.string()), pa.array(rows, pa.int64()), pa.array(texts, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["entity", "term", "n", "texts"])
+
+
 def _counted(total: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
 

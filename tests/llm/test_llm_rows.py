@@ -106,6 +106,21 @@ def test_terms_that_give_an_entity_away(spark):
     assert {s["kind"] for s in rows[1000]["spans"]} == {"email", "removed"}
 
 
+def test_terms_far_from_an_entity_give_it_away_too(spark):
+    rng = random.Random(5)
+    far = lambda: " ".join(rng.choice("alpha beta gamma delta".split()) for _ in range(30))
+    plain = [(i, far()) for i in range(300)]
+    told = [(1000 + i, f"Quillfeather {far()} ann@mail.example {far()} Zorkmid") for i in range(6)]
+    # near in some rows, far in others; in one text only, however often; with an entity of two texts only
+    told += [(2000 + i, f"bob@mail.example {far() if i % 2 else ''} Brandle") for i in range(6)]
+    told += [(3000 + i, "cyd@mail.example alpha Once") for i in range(6)] + [(4000 + i, f"dot@mail.example Twice {far()}") for i in range(2)]
+    marked, name = disclosure.sanitise(spark.createDataFrame(plain + told, "doc_id long, text string"))
+    texts = {r["doc_id"]: r[name]["clean_text"] for r in marked.collect()}
+    assert all("Quillfeather" not in texts[1000 + i] and "Zorkmid" not in texts[1000 + i] for i in range(6))
+    assert all("Brandle" not in texts[2000 + i] for i in range(6))
+    assert "Once" in texts[3000] and "Twice" in texts[4000] and "alpha" in texts[1000]
+
+
 def test_byte_pairs_equal_the_library(spark, docs, none):
     ranks = byte_pairs.ranks_of(RANK_FILE)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
