@@ -16,6 +16,9 @@ Steps:
    the join here), so that no link is lost but those inside a component, which cannot change it.
 A group of near copies thus costs what its size costs, not its square.
 
+:func:`every_link` is the full form: after step 3 it compares every candidate pair of distinct sets, also inside components,
+and counts each document's links. A group of near copies costs its square there, as its links do.
+
 Defined results: a null text or one without words has an empty set, is linked with nothing and is its own component;
 repeated rows and copies share a component; a null id is kept, and counts for no component's smallest id.
 Ids of sets are 64-bit hashes; a second hash is kept beside them, and a clash stops the job.
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollkeep.llm.common import free, free_name, python_tasks, split_count, texts
@@ -47,6 +50,7 @@ SPARE = 1.15  # segments beyond what is needed, as a factor, in bands without ne
 INDEXED, INDEXED_LESS, MARK, PROBES, PROBES_LESS, PROBES_NEAR = 1, 2, 4, 8, 16, 32
 HOT = 16  # a key that so many sets have in one flush is known to be shared: its records go to no bucket
 FLUSH = 1 << 20  # records held before they are packed
+BLOCK = 256  # sets of a key that meet as many others in one group, about, where all pairs are compared
 
 MEMBERS = "doc_id long, rep long, n_shingles long, set_id long, proof long, slack int, lacking int, bits binary, low array<long>, high array<long>"
 PACKED = "bucket int, spread int, payload binary"
@@ -395,17 +399,14 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``members`` (doc_id, n_shingles, set_id, component_id, rep, kept) and the ``links`` (a, b) found between sets.
-
-    ``rep`` is a hash of the id and the text; ``kept`` marks the row with the smallest id of each component.
-    """
+def _indexed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Steps 1 to 3: the rows, their sets, one row per distinct set, and the allocated records."""
     rows, spark = texts(docs, key, text), docs.sparkSession
     found = staged(members(rows), "members")
     proofs = F.when(F.min("proof") != F.max("proof"), F.raise_error(F.lit("two sets have one id"))).otherwise(F.first("n_shingles"))
     classes = found.where("n_shingles > 0").groupBy("set_id").agg(
         proofs.alias("n_shingles"), F.first("slack").alias("slack"), F.max("lacking").alias("lacking"), F.first("bits").alias("bits"),
-        F.first("low").alias("low"), F.first("high").alias("high"),
+        F.first("low").alias("low"), F.first("high").alias("high"), F.count("*").alias("copies"),
         F.min("rep").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rep")).alias("least"),
     )
     classes = staged(classes, "classes")
@@ -413,7 +414,24 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
 
     shared = staged(shared_keys(rows, lacking), "shared")
     free(spark)
-    kept = staged(allocated(shared, classes), "allocated")
+    return rows, found, classes, staged(allocated(shared, classes), "allocated")
+
+
+def _meeting() -> str:
+    """Whether records p and i make their sets a candidate pair, with p as the smaller set."""
+    meet = [(PROBES, INDEXED), (PROBES_NEAR, INDEXED_LESS), (PROBES_LESS, INDEXED)]
+    kinds = " or ".join(f"(p.flags & {asks} > 0 and i.flags & {holds} > 0)" for asks, holds in meet)
+    return f"p.key = i.key and p.n <= i.n and 3 * i.n <= 4 * p.n and ({kinds}) and {_near_sql()}"
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``members`` (doc_id, n_shingles, set_id, component_id, rep, kept) and the ``links`` (a, b) found between sets.
+
+    ``rep`` is a hash of the id and the text; ``kept`` marks the row with the smallest id of each component. The links are
+    those that give the components; :func:`every_link` finds all.
+    """
+    spark = docs.sparkSession
+    rows, found, classes, kept = _indexed(docs, key, text)
     by_key = kept.groupBy("key").agg(
         F.max("flags").alias("most"), *[F.min_by("set_id", F.xxhash64("set_id", F.lit(seed))).alias(f"leader{seed}") for seed in (1, 2)]
     )
@@ -430,13 +448,15 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
     left = staged(placed.join(mixed, "key", "left_semi").select("key", "set_id", "n", "flags", "root").join(quick, "set_id"), "mixed")
     free(spark)
     p, i = left.where(f"flags >= {PROBES}").alias("p"), left.alias("i")
-    meet = [(PROBES, INDEXED), (PROBES_NEAR, INDEXED_LESS), (PROBES_LESS, INDEXED)]
-    kinds = " or ".join(f"(p.flags & {asks} > 0 and i.flags & {holds} > 0)" for asks, holds in meet)
-    match = f"p.key = i.key and p.root <> i.root and p.n <= i.n and 3 * i.n <= 4 * p.n and ({kinds}) and {_near_sql()}"
+    match = f"p.root <> i.root and {_meeting()}"
     rest = p.join(i, F.expr(match)).select(*_ordered("p.set_id", "i.set_id")).distinct().join(tried, ["a", "b"], "left_anti")
     links = staged(links.union(_exact(staged(rest, "rest"), rows, classes)), "all-links")
-    roots = staged(components(links), "all-roots")
+    return _placed(found, classes, links), links
+
 
+def _placed(found: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows with the component that the links put them in."""
+    roots = staged(components(links), "all-roots")
     named = classes.select("set_id", "least").join(roots, F.col("set_id") == F.col("node"), "left")
     named = named.withColumn("root", F.coalesce("root", "set_id"))
     smallest = named.groupBy("root").agg(F.min("least").alias("first"))
@@ -444,7 +464,46 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
     empty = F.col("n_shingles") == 0
     chosen = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("rep") == F.col("first.rep"))
     component = F.when(empty, F.col("doc_id")).otherwise(F.col("first.doc_id"))
-    return joined.select("doc_id", "n_shingles", "set_id", component.alias("component_id"), "rep", (empty | chosen).alias("kept")), links
+    return joined.select("doc_id", "n_shingles", "set_id", component.alias("component_id"), "rep", (empty | chosen).alias("kept"))
+
+
+def every_link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``members`` as :func:`join` gives them, with ``n_links``, and all ``links`` (a, b) between distinct sets, a < b.
+
+    ``n_links`` is the number of other rows whose set is similar: the row's copies and those of each linked set. A row
+    without words has none.
+    """
+    rows, found, classes, kept = _indexed(docs, key, text)
+    held = kept.groupBy("key").agg(F.count_if(F.col("flags") >= PROBES).alias("asking"), F.count("*").alias("held"))
+    held = held.where("asking > 0 and held > 1")
+    parts = lambda count: F.ceil(F.col(count) / BLOCK).cast("int")
+    held = held.select("key", parts("asking").alias("rows_p"), parts("held").alias("rows_i"))
+    quick = classes.select("set_id", "low", "high")
+    left = staged(kept.join(held, "key").join(quick, "set_id"), "candidates")
+    free(docs.sparkSession)
+
+    # The sets of a key are cut in parts; each part that probes meets each part that is indexed in a group of its own.
+    def cut(count: str, seed: int) -> Column:
+        return F.pmod(F.xxhash64("set_id", F.lit(seed)), F.col(count)).cast("int")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    p = left.where(f"flags >= {PROBES}").withColumn("part_p", cut("rows_p", 1)).withColumn("part_i", every("rows_i")).alias("p")
+    i = left.withColumn("part_i", cut("rows_i", 2)).withColumn("part_p", every("rows_p")).alias("i")
+    # Of two sets of one size each probes for the other, so one of the two is enough.
+    once = "(p.n < i.n or p.set_id < i.set_id) and p.set_id <> i.set_id"
+    match = f"p.part_p = i.part_p and p.part_i = i.part_i and {once} and {_meeting()}"
+    pairs = staged(p.join(i, F.expr(match)).select(*_ordered("p.set_id", "i.set_id")).distinct(), "pairs")
+    links = staged(_exact(pairs, rows, classes), "every-link")
+
+    copies = classes.select("set_id", "copies")
+    both = links.select(F.col("a").alias("of"), F.col("b").alias("set_id")).unionAll(links.select("b", "a"))
+    linked = both.join(copies, "set_id").groupBy("of").agg(F.sum("copies").alias("linked"))
+    counted = copies.join(linked, F.col("set_id") == F.col("of"), "left")
+    counted = counted.select("set_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    n_links = F.when(F.col("n_shingles") == 0, F.lit(0)).otherwise(F.col("n_links")).cast("long")
+    return _placed(found, classes, links).join(counted, "set_id", "left").withColumn("n_links", n_links), links
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -77,7 +77,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.join(documents(spark, sf_dir))[0].select("doc_id", "n_shingles", "component_id")
+    return jaccard_join.every_link(documents(spark, sf_dir))[0].select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @query("op9_line_first_cleaning")

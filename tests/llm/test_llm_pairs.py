@@ -39,6 +39,31 @@ def test_jaccard_join_of_nothing(spark):
     assert bag((r["doc_id"], r["n_shingles"], r["component_id"]) for r in empty) == [(1, 0, 1), (2, 0, 2)]
 
 
+def test_every_link_is_found_and_counted(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)  # the keys of the group are cut in parts
+    rng = random.Random(6)
+    group = []
+    base = words(rng, 120)
+    for i in range(40):
+        copy = list(base)
+        copy[i * 3] = f"changed{i}"
+        group.append((90_000 + i, " ".join(copy)))
+    rows = [*ROWS, *group, *[(95_000 + i, group[0][1]) for i in range(3)]]
+    expected = [0] * len(rows)
+    distinct = set()
+    sets = [brute.shingles(t) for _, t in rows]
+    for a, b in brute.links(rows):
+        expected[a] += 1
+        expected[b] += 1
+        if sets[a] != sets[b]:
+            distinct.add(frozenset((sets[a], sets[b])))
+    members, links = jaccard_join.every_link(table(spark, rows))
+    got = bag((r["doc_id"], r["component_id"], r["n_links"]) for r in members.collect())
+    assert got == bag((d, c, n) for (d, _, c), n in zip(brute.components(rows), expected))
+    assert links.count() == links.distinct().count() == len(distinct)
+    assert jaccard_join.every_link(table(spark, []))[0].count() == 0
+
+
 def test_keys_meet_for_every_similar_pair():
     """Of any two similar sets, the smaller probes a key under which the larger is indexed, whatever it spares."""
     rng = random.Random(11)
