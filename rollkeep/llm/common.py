@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +75,21 @@ def hex_sha256(value: Column) -> Column:
 def salted(column: Column, parts: int) -> Column:
     """A small number from the value, to split a group by."""
     return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
+
+
+NAMES = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary", pa.bool_(): "boolean"}
+
+
+def ddl(schema: pa.Schema) -> str:
+    """The same columns as Spark's text form."""
+
+    def name(kind: pa.DataType) -> str:
+        return f"array<{name(kind.value_type)}>" if pa.types.is_list(kind) else NAMES[kind]
+
+    return ", ".join(f"{field.name} {name(field.type)}" for field in schema)
+
+
+def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """Rows as an Arrow batch; unlike pandas, Arrow keeps long ids whole in a column that also holds nulls."""
+    columns = zip(*rows) if rows else [[] for _ in schema]
+    return pa.record_batch([pa.array(list(c), type=f.type) for c, f in zip(columns, schema)], schema=schema)
