@@ -174,7 +174,10 @@ def _headers(head: bytes) -> dict[str, str]:
             raise Damaged("a header line has no colon")
         if CONTROL.search(line):
             raise Damaged("a header line holds control characters")
-        found[name.strip().decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
+        name = name.strip().decode("utf-8", "replace").lower()
+        if name in found:
+            raise Damaged("a header is repeated")
+        found[name] = value.strip().decode("utf-8", "replace")
     return found
 
 
@@ -233,26 +236,38 @@ def _from_plain(source: Window, at: int) -> Record:
     return _checked(at, begin + len(block), headers, block[:length])
 
 
+FORMS = {MEMBER: _from_member, VERSION[:7]: _from_plain}
+
+
+def _next(source: Window, mark: bytes, start: int) -> Record | None:
+    """The next valid record of a form at or after a place."""
+    for place in source.places(mark, start):
+        try:
+            return FORMS[mark](source, place)
+        except Damaged:
+            continue
+    return None
+
+
+def _mark(source: Window) -> bytes:
+    """What the file's records begin with; where its first bytes are damaged, what the first valid record begins with."""
+    for mark in FORMS:
+        if source.read(0, len(mark)) == mark:
+            return mark
+    found = {mark: _next(source, mark, 0) for mark in FORMS}
+    return min(FORMS, key=lambda mark: found[mark].start if found[mark] else source.size)
+
+
 def salvage(file) -> Iterator[Record | Gap]:
     """Records and gaps of a binary file that can seek, in order; every byte belongs to one of them."""
     source = Window(file)
-    first = source.read(0, len(MEMBER))
-    # A file whose first bytes are damaged is taken for what its later records are.
-    plain = first != MEMBER and (first == VERSION[:3] or next(source.places(MEMBER, 0), None) is None)
-    mark, read = (VERSION[:7], _from_plain) if plain else (MEMBER, _from_member)
-    at = 0
+    mark, at = _mark(source), 0
     while at < source.size:
         try:
-            found = read(source, at)
+            found = FORMS[mark](source, at)
         except Damaged as why:
-            start, found = at, None
-            for place in source.places(mark, at + 1):
-                try:
-                    found = read(source, place)
-                    break
-                except Damaged:
-                    continue
-            yield Gap(start, found.start if found else source.size, str(why))
+            found = _next(source, mark, at + 1)
+            yield Gap(at, found.start if found else source.size, str(why))
         if found is None:
             return
         yield found
