@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollkeep.operators.joins import hash_condition
+
 # ASCII white space as the contracts have it: blank and the codes 9 to 13.
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -63,6 +65,17 @@ def free(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join with a side that was grouped on the join keys, such that adaptive execution may split the left side's hot keys."""
+    own = {c: f"_of_right_{c}" for c in on}
+    named = right.withColumnsRenamed(own)
+    same = hash_condition(left, on, list(own.values()))
+    for c, other in own.items():
+        same = same & (F.col(c) == F.col(other))
+    joined = left.join(named, same, how)
+    return joined if how == "left_semi" else joined.drop(*own.values())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
