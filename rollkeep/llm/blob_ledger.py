@@ -14,12 +14,13 @@ once per pair, so a second scan of a pair changes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import exists, hex_sha256, texts
+from rollkeep.llm.common import exists, hex_sha256, split_join, texts
 from rollkeep.sources.staging import staged
 
 
@@ -61,15 +62,30 @@ LEDGER = "blob binary, rule string, version int"
 NO_SPANS = "array<struct<start:int,end:int>>"
 
 
+BLOCK = 256  # matches that are added up in one go
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once: a lambda's parameter holds it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def spans(text: Column, rule: Rule) -> Column:
-    """All matches of a rule that are long enough, as code points, leftmost and without overlap."""
+    """All matches of a rule that are long enough, as code points, leftmost and without overlap.
+
+    The lengths of gaps and matches are put side by side once, then added up block by block: a list that grows by one span
+    at a time is copied each time, so it is kept to a block's length.
+    """
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     judged = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else found
-    gaps = F.split(text, rule.pattern, -1)
-    sizes = F.transform(
-        found,
-        lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), F.length(m).alias("size"), F.length(F.get(judged, i)).alias("judged")),
+    lengths = lambda values: F.transform(values, lambda x: F.length(x))
+    gaps = F.slice(lengths(F.split(text, rule.pattern, -1)), F.lit(1), F.size(found))
+    sizes = F.zip_with(
+        F.zip_with(gaps, lengths(found), lambda gap, size: F.struct(gap.alias("gap"), size.alias("size"))),
+        lengths(judged),
+        lambda x, y: F.struct(x["gap"].alias("gap"), x["size"].alias("size"), y.alias("judged")),
     )
+    none = F.array().cast(NO_SPANS)
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
@@ -77,8 +93,16 @@ def spans(text: Column, rule: Rule) -> Column:
         out = F.when(x["judged"] < rule.least, acc["out"]).otherwise(F.concat(acc["out"], one))
         return F.struct((start + x["size"]).alias("at"), out.alias("out"))
 
-    none = F.array().cast(NO_SPANS)
-    walked = F.aggregate(sizes, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    def add_block(acc: Column, block: Column) -> Column:
+        inner = F.aggregate(block, F.struct(acc["at"].alias("at"), none.alias("out")), step)
+        return _bound(inner, lambda r: F.struct(r["at"].alias("at"), F.concat(acc["blocks"], F.array(r["out"])).alias("blocks")))
+
+    def blocks(all_sizes: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(all_sizes), F.lit(BLOCK))
+        return F.transform(starts, lambda k: F.slice(all_sizes, k, F.lit(BLOCK)))
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{NO_SPANS}>").alias("blocks"))
+    walked = F.aggregate(_bound(sizes, blocks), zero, add_block, lambda acc: F.flatten(acc["blocks"]))
     likely = text.contains(rule.clue) & text.rlike(rule.pattern) if rule.clue else text.rlike(rule.pattern)
     return F.when(likely, walked).otherwise(none)
 
@@ -128,7 +152,7 @@ def scan(versions: DataFrame, ledger_dir: str, rules: tuple[Rule, ...] = RULES,
     of = lambda r: F.max(F.when((F.col("rule") == r.kind) & (F.col("version") == r.version), F.col("spans")))
     by_blob = findings.groupBy("blob").agg(*[of(r).alias(r.kind) for r in rules])
     none = F.array().cast(NO_SPANS)
-    return paths.join(by_blob, "blob", "left").select("doc_id", "blob", *[F.coalesce(r.kind, none).alias(r.kind) for r in rules])
+    return split_join(paths, by_blob, ["blob"], "left").select("doc_id", "blob", *[F.coalesce(r.kind, none).alias(r.kind) for r in rules])
 
 
 def _labelled(rule: Rule, order: int) -> Column:
