@@ -16,9 +16,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import BLANKS, GAP, exists, hex_sha256, python_tasks, texts
+from rollkeep.llm.common import BLANKS, GAP, exists, hex_sha256, python_tasks, split_join, texts
 from rollkeep.llm.encoders import version, word_counter
 
+DONE = 1 << 16  # digests that a task remembers
 STORED = "digest binary, version string, n_tokens long"
 
 
@@ -41,11 +42,15 @@ def token_counts(docs: DataFrame, cache_dir: str, tokenizer: str, limit: int = 2
     label = version(tokenizer)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n_tokens = word_counter(tokenizer)
+        n_tokens, done = word_counter(tokenizer), set()
         for batch in batches:
-            yield pd.DataFrame({"digest": batch["digest"], "version": label, "n_tokens": [n_tokens(t) for t in batch["text"]]})
+            # Rows alike in id and text are all chosen, and stand in one task.
+            new = batch[~batch["digest"].isin(done)].drop_duplicates("digest")
+            done = (done if len(done) < DONE else set()) | set(new["digest"])
+            yield pd.DataFrame({"digest": new["digest"], "version": label, "n_tokens": [n_tokens(t) for t in new["text"]]})
 
     one_each.select("digest", "text").mapInPandas(count, STORED).write.mode("append").parquet(cache_dir)
     counts = stored_counts(spark, cache_dir, tokenizer)
-    joined = rows.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")).join(counts, "digest", "left")
+    sizes = rows.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
+    joined = split_join(sizes, counts, ["digest"], "left")
     return joined.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
