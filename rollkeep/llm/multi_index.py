@@ -1,8 +1,8 @@
 """Nearest neighbours with an inverted multi-index.
 
 Each half of a vector is quantised by its own centroids; a pair of centroids is a cell. A query walks over the pairs in
-the order of their summed distances with a heap, until the cells it has met hold a stated share of all entries, and the
-entries of those cells are reranked by the exact distance.
+the order of their summed distances with a heap, until the cells it has met hold a stated share of all entries and as many
+different candidates as are wanted, or there are no more cells; the entries of those cells are reranked by the exact distance.
 
 Centroids are fitted on a bounded sample; every vector is indexed. Entries are dealt out by region (their first
 centroid) and block, queries by blocks of their own, so that a task holds at most one block of each however many equal
@@ -112,12 +112,15 @@ def search(
             })
 
     schema = "vec_id long, asks boolean, region int, cell int, data binary"
-    index = staged(rows.where(F.size("vector") == width).mapInPandas(place, schema), "multi-index")
+    same_width = rows.where(F.size("vector") == width).dropDuplicates(["vec_id", "vector"])
+    index = staged(same_width.mapInPandas(place, schema), "multi-index")
     sizes = np.zeros((len(left), len(right)), dtype=np.int64)
     for row in index.groupBy("region", "cell").agg(F.count("*").alias("n")).collect():  # one row per cell
         sizes[row["region"], row["cell"]] = row["n"]
-    enough = int(np.ceil(rules.share * sizes.sum()))
-    queries = index.where("asks").select("vec_id", "data").distinct()
+    # Of the entries met, one id may be the query's own, and ids with several vectors are met again.
+    surplus = int(sizes.sum()) - index.agg(F.count_distinct("vec_id")).first()[0]
+    enough = max(int(np.ceil(rules.share * sizes.sum())), k + 1 + surplus)
+    queries = index.where("asks").select("vec_id", "data")
     parts = max(1, -(-queries.count() // rules.block))
     blocks = np.maximum(1, -(-sizes.sum(axis=1) // rules.block))
     per_region = F.array(*[F.lit(int(b)) for b in blocks])
