@@ -262,8 +262,14 @@ class BytePairs:
 
     def __init__(self, path: str):
         self.ranks, self.table = ranks_of(path), class_table_of(path)
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.cache = PieceCache(lambda pieces: [tuple(merge(p, self.ranks)) for p in pieces])
+        # All tokens one after the other, and where each id's lies among them.
+        self.size = np.zeros(max(self.ranks.values()) + 1, dtype=np.int64)
+        by_rank = sorted(self.ranks.items(), key=lambda x: x[1])
+        for token, rank in by_rank:
+            self.size[rank] = len(token)
+        self.begin = np.cumsum(self.size) - self.size
+        self.tokens = np.frombuffer(b"".join(token for token, _ in by_rank), dtype=np.uint8)
 
     def encode(self, values: list[str]) -> list[list[int]]:
         out: list[list[int]] = [[] for _ in values]
@@ -274,10 +280,27 @@ class BytePairs:
 
     def ends(self, ids: list[int]) -> np.ndarray:
         """Where each id's bytes end in the decoded bytes."""
-        return np.cumsum(np.fromiter((len(self.tokens[i]) for i in ids), dtype=np.int64, count=len(ids)))
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        return np.cumsum(self.size[np.array(ids, dtype=np.int64)])
+
+    def between(self, ids: np.ndarray, ends: np.ndarray, start: int, stop: int) -> bytes:
+        """Bytes ``start`` to ``stop`` of the text; only ids that the offsets place there are decoded."""
+        first, last = np.searchsorted(ends, start, side="right"), np.searchsorted(ends, stop, side="left") + 1
+        begin = int(ends[first - 1]) if first else 0
+        some, upto = ids[first:last], ends[first:last] - begin
+        sizes = np.diff(upto, prepend=0)
+        if not np.array_equal(sizes, self.size[some]):
+            raise ValueError("ids and end offsets differ")
+        # Each id's bytes go where its offsets say.
+        place = np.repeat(self.begin[some] - (upto - sizes), sizes) + np.arange(int(upto[-1]) if len(upto) else 0)
+        return self.tokens[place][start - begin : stop - begin].tobytes()
+
+    def decode(self, ids: list[int], ends: np.ndarray, step: int = PART) -> Iterator[bytes]:
+        """The text in pieces of ``step`` bytes, found by the offsets."""
+        listed, size = np.array(ids, dtype=np.int64), int(ends[-1]) if len(ends) else 0
+        if len(listed) != len(ends):
+            raise ValueError("ids and end offsets differ")
+        for start in range(0, size, step):
+            yield self.between(listed, ends, start, min(size, start + step))
 
 
 @functools.cache
@@ -299,30 +322,31 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """doc_id and the decoded bytes of its ids, which must come out as long as the last end offset says."""
+    """doc_id and the decoded bytes of its ids, each placed by its offsets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pairs = coder(path)
         for batch in batches:
-            data = [pairs.decode(x.tolist()) for x in batch["ids"]]
-            if any(len(d) != (e[-1] if len(e) else 0) for d, e in zip(data, batch["ends"])):
-                raise ValueError("ids and end offsets differ")
+            data = [b"".join(pairs.decode(x, np.asarray(e))) for x, e in zip(batch["ids"], batch["ends"])]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "data": data})
 
     return encoded.mapInPandas(run, "doc_id long, data binary")
 
 
 def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode and decode in one pass: doc_id, n_tokens and digests of the ids and of the decoded bytes."""
+    """Encode, and decode by the offsets that encoding gives, in one pass: doc_id, n_tokens and digests of the ids and of the
+    decoded bytes."""
     python_tasks(docs.sparkSession, 256)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pairs = coder(path)
         for batch in batches:
             rows = []
-            for key, ids in zip(batch["doc_id"], pairs.encode(list(batch["text"]))):
-                listed = ",".join(map(str, ids)).encode()
-                rows.append((len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(pairs.decode(ids)).hexdigest()))
+            for ids in pairs.encode(list(batch["text"])):
+                listed, decoded = ",".join(map(str, ids)).encode(), hashlib.sha256()
+                for piece in pairs.decode(ids, pairs.ends(ids)):
+                    decoded.update(piece)
+                rows.append((len(ids), hashlib.sha256(listed).hexdigest(), decoded.hexdigest()))
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             yield out.assign(doc_id=batch["doc_id"].to_numpy())[["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]]
 
