@@ -38,6 +38,7 @@ from rollkeep.sources.staging import staged
 # The base kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("generalised", "removed")
+HELD = 1 << 16  # rows of an entity and a term that a task holds before it sends them
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A failed attempt inside a run of digits can't succeed further on in it, so runs are tried once.
@@ -294,14 +295,21 @@ def sanitise(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "tex
     held = found.where(F.size(base) > 0).select(F.col(number).alias("row"), F.col(text).alias("text"), F.col(base).alias("spans"))
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent(out: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.string(), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=["row", "entity", "term"])
+
+        out: list[tuple] = []
         for batch in batches:
-            out = []
             for row, value, spans in zip(*(c.to_pylist() for c in batch.columns)):
-                names = {entity(s["kind"], value[s["start"] : s["end"]]) for s in spans}
-                words = {w for w in set(TERM.findall(value.lower())) if _has(bitmap, _slot(w, bits))}
-                out += [(row, c, t) for c in names for t in words]
-            columns = list(zip(*out)) if out else [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())], names=["row", "entity", "term"])
+                words = [w for w in set(TERM.findall(value.lower())) if _has(bitmap, _slot(w, bits))]
+                for name in {entity(s["kind"], value[s["start"] : s["end"]]) for s in spans}:
+                    for at in range(0, len(words), HELD):
+                        out += [(row, name, word) for word in words[at : at + HELD]]
+                        if len(out) >= HELD:
+                            yield sent(out)
+                            out = []
+        yield sent(out)
 
     hits = held.mapInArrow(present, "row long, entity string, term string").join(flagged, ["entity", "term"])
     # Actions sort as wanted: the stronger one is the larger text.
