@@ -1,10 +1,13 @@
 """Toxicity by weak supervision.
 
 Voters are lexicon entries (words) and patterns (word beginnings) that the labelled rows of the training folds make
-likely: each votes for toxic where it occurs and abstains elsewhere. A generative label model then looks at the votes
-alone: it estimates each voter's accuracy, and from the correlations that are left among the rows taken for toxic,
-which voters say the same thing twice; a voter's evidence is divided by how often others repeat it. Its posterior labels
-train a linear classifier over the voters, which scores whole texts.
+likely: each votes for toxic where it occurs and abstains elsewhere. Those that vote alike in all rows (a word and its
+beginnings, say) are one voter. There is no limit on their number: a voter stays if some toxic row has only a few stronger
+ones, so the lexicon grows with the evidence, and no language's or subject's words are crowded out by another's.
+
+A generative label model then looks at the votes alone: it estimates each voter's accuracy, and from the correlations that
+are left among the rows taken for toxic, which voters say the same thing twice; a voter's evidence is divided by how often
+others repeat it. Its posterior labels train a linear classifier over the voters, which scores whole texts.
 
 Training uses a bounded sample of labelled rows (``labelled_rows``, chosen by a hash of the id); scoring covers every
 row in one pass without any exchange. Labels are used only of rows outside the held-out fold.
@@ -34,12 +37,12 @@ WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class WeakLabels:
-    """``labelled_rows``: most labelled rows that are used. ``voters``: most voters. ``beginnings``: lengths of the word
-    beginnings that are patterns. ``evidence``: a voter's log ratio must stay above this when two standard errors less.
-    ``threshold``: a document is toxic from this score on."""
+    """``labelled_rows``: most labelled rows that are used. ``cover``: a voter stays if a toxic row has fewer stronger ones.
+    ``beginnings``: lengths of the word beginnings that are patterns. ``evidence``: a voter's log ratio must stay above this
+    when two standard errors less. ``threshold``: a document is toxic from this score on."""
 
     labelled_rows: int = 20_000
-    voters: int = 256
+    cover: int = 24
     beginnings: tuple[int, ...] = (4, 5, 6)
     evidence: float = 1.0
     rounds: int = 30
@@ -51,17 +54,18 @@ class WeakLabels:
 
 @dataclass(frozen=True)
 class Model:
-    """Weights by feature; a beginning is its letters with a star."""
+    """Weights of voters, and the voter of each feature; a beginning is its letters with a star."""
 
     weights: dict[str, float]
     bias: float
     beginnings: tuple[int, ...]
+    voters: dict[str, str]
 
     def votes(self, text: str) -> set[str]:
-        return features(text, self.beginnings, self.weights)
+        return {self.voters[f] for f in features(text, self.beginnings, self.voters)}
 
     def score(self, text: str) -> float:
-        logit = self.bias + sum(self.weights[v] for v in self.votes(text))
+        logit = self.bias + math.fsum(self.weights[v] for v in self.votes(text))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
 
 
@@ -91,7 +95,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, rules: WeakLabels, key: st
 
 
 def mined(rows: DataFrame, rules: WeakLabels) -> tuple[list[tuple[str, int, int]], int, int]:
-    """The voters with the number of toxic and of clean rows they occur in, and the numbers of such rows."""
+    """The likely features, strongest first, with the number of toxic and of clean rows they occur in, and the numbers of such
+    rows. The sample's words bound how many there are."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         toxic, clean = Counter(), Counter()
@@ -102,7 +107,8 @@ def mined(rows: DataFrame, rules: WeakLabels) -> tuple[list[tuple[str, int, int]
             if len(toxic) + len(clean) > 300_000:
                 yield _counted(toxic, clean)
                 toxic, clean = Counter(), Counter()
-        yield _counted(toxic, clean)
+        if toxic or clean:
+            yield _counted(toxic, clean)
 
     counts = rows.select("text", "y").mapInPandas(count, "feature string, t long, c long")
     sums = counts.groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where("t >= 3").persist()
@@ -113,7 +119,7 @@ def mined(rows: DataFrame, rules: WeakLabels) -> tuple[list[tuple[str, int, int]
         ratio = F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("c") + 0.5) / (n_clean + 1))
         error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
         likely = sums.where((F.col("feature") != "") & (ratio - 2 * error > rules.evidence))
-        best = likely.orderBy(F.desc(ratio - 2 * error), "feature").limit(rules.voters).collect()
+        best = likely.orderBy(F.desc(ratio - 2 * error), "feature").collect()
     finally:
         sums.unpersist()
     return [(r["feature"], r["t"], r["c"]) for r in best], n_toxic, n_clean
@@ -124,19 +130,53 @@ def _counted(toxic: Counter, clean: Counter) -> pd.DataFrame:
     return pd.DataFrame({"feature": names, "t": [toxic[n] for n in names], "c": [clean[n] for n in names]})
 
 
-def voted(rows: DataFrame, voters: list[str], rules: WeakLabels) -> np.ndarray:
-    """The matrix of votes of the training rows, at most ``labelled_rows`` by ``voters``."""
-    place = {v: i for i, v in enumerate(voters)}
+def voted(rows: DataFrame, names: list[str], rules: WeakLabels) -> tuple[list[list[int]], np.ndarray]:
+    """The features that occur in each training row, as places in ``names``, and whether the row is toxic; at most
+    ``labelled_rows`` rows."""
+    place = {v: i for i, v in enumerate(names)}
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [sorted(place[v] for v in features(t, rules.beginnings, place)) for t in batch["text"]]
-            yield pd.DataFrame({"votes": found})
+            if found:
+                yield pd.DataFrame({"votes": found, "y": batch["y"].to_numpy()})
+
+    found = rows.select("text", "y").mapInPandas(vote, "votes array<int>, y int").limit(rules.labelled_rows).collect()
+    return [row["votes"] for row in found], np.array([row["y"] for row in found], dtype=bool)
+
 
-    found = rows.select("text").mapInPandas(vote, "votes array<int>").limit(rules.labelled_rows).collect()
-    out = np.zeros((len(found), len(voters)), dtype=np.float32)
-    for i, row in enumerate(found):
-        out[i, row["votes"]] = 1
+def chosen_voters(found: list[list[int]], toxic: np.ndarray, count: int, cover: int) -> tuple[list[int], np.ndarray]:
+    """The features that stand for a voter, in order, and of each feature the place of its voter among them, or -1.
+
+    ``found`` has the features of each row by strength. Features that occur in the same rows are one voter, which the
+    strongest of them stands for; of the voters, those stay that some toxic row has fewer than ``cover`` stronger ones of.
+    """
+    rows_of: list[list[int]] = [[] for _ in range(count)]
+    for row, listed in enumerate(found):
+        for feature in listed:
+            rows_of[feature].append(row)
+    first: dict[tuple[int, ...], int] = {}
+    kept, voter, covered = [], np.full(count, -1), np.zeros(len(found), dtype=np.int64)
+    for feature, rows in enumerate(rows_of):
+        same = tuple(rows)
+        if same in first:
+            voter[feature] = voter[first[same]]
+            continue
+        first[same] = feature
+        hit = [row for row in rows if toxic[row]]
+        if hit and covered[hit].min() < cover:
+            covered[hit] += 1
+            voter[feature] = len(kept)
+            kept.append(feature)
+    return kept, voter
+
+
+def matrix(found: list[list[int]], voter: np.ndarray, count: int) -> np.ndarray:
+    """The votes as zeros and ones."""
+    out = np.zeros((len(found), count), dtype=np.float32)
+    for i, listed in enumerate(found):
+        places = voter[listed]
+        out[i, places[places >= 0]] = 1
     return out
 
 
@@ -190,13 +230,16 @@ def train(docs: DataFrame, labels: DataFrame, rules: WeakLabels = WeakLabels(),
     voters, n_toxic, n_clean = mined(rows, rules)
     prior = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
     if not voters:
-        return Model({}, math.log(prior / (1 - prior)), rules.beginnings)
+        return Model({}, math.log(prior / (1 - prior)), rules.beginnings, {})
     names = [v for v, _, _ in voters]
-    votes = voted(rows, names, rules)
-    guess = np.array([(t + 0.5) / (t + c + 1) for _, t, c in voters])
+    found, toxic = voted(rows, names, rules)
+    kept, voter = chosen_voters(found, toxic, len(names), rules.cover)
+    votes = matrix(found, voter, len(kept))
+    guess = np.array([(voters[k][1] + 0.5) / (voters[k][1] + voters[k][2] + 1) for k in kept])
     posterior, _, _ = label_model(votes, guess, prior, rules.rounds)
     weights, bias = linear(votes, posterior, rules.ridge)
-    return Model({v: float(w) for v, w in zip(names, weights)}, bias, rules.beginnings)
+    named = {name: names[kept[voter[i]]] for i, name in enumerate(names) if voter[i] >= 0}
+    return Model({names[k]: float(w) for k, w in zip(kept, weights)}, bias, rules.beginnings, named)
 
 
 def score(docs: DataFrame, model: Model, rules: WeakLabels = WeakLabels(), key: str = "doc_id", text: str = "text") -> DataFrame:
