@@ -3,10 +3,10 @@
 A document's ids are cut into full sequences and a rest; the rest gives up its parts at 1/2, 1/4 and 1/8 of the
 capacity, and what is left is a short tail. A piece of length n belongs to class k = capacity // n, whose sequences
 take exactly k pieces: pieces at 1/k of the capacity fill theirs without any padding, and a tail class wastes at most
-1/(k+1). Classes need nothing from each other and workers need only to know how many pieces of a class come before
-theirs, so places are offsets over counts per (worker, class); no group of pieces meets in one task. Each class has at
-most one sequence that is not full; those, one per class, are put together first-fit, and a last one is padded only
-to the next power of two.
+1/(k+1). A worker fills the sequences of a class by itself, so a piece has its place as soon as it is cut, and ids move
+nowhere. What is left are fewer than k pieces per worker and class, short ones for the most part: these are ranked over
+all workers of the class and fill common sequences. Then each class has at most one sequence that is not full; those, one
+per class, are put together first-fit, and a last one is padded only to the next power of two.
 
 Defined results: a null text is empty and has only the end id; repeated rows are packed each; a null id stays null;
 an empty table gives no piece.
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollkeep.llm.byte_pairs import class_table_of, grouped, slices
@@ -27,7 +27,7 @@ from rollkeep.llm.common import python_tasks, texts
 from rollkeep.llm.encoders import packed, piece_encoder
 from rollkeep.sources.staging import staged
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, worker int, kind int, place long, ids binary"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, worker int, kind int, place long, at long, ids binary"
 
 
 def cuts(n: int, capacity: int, divisors: tuple[int, ...]) -> list[int]:
@@ -58,11 +58,13 @@ def encoded(values: list[str], path: str) -> list[bytes]:
 def pieces(
     docs: DataFrame, path: str, capacity: int, end_id: int, divisors: tuple[int, ...], keep_ids: bool, key: str, text: str
 ) -> DataFrame:
-    """Encoded and cut documents, each piece with its worker, its class and its place among that worker's of the class."""
+    """Encoded and cut documents, each piece with its worker, its class, its place among that worker's of the class, and
+    the ids before it in its sequence of k such pieces."""
     python_tasks(docs.sparkSession, 256)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        worker, last, seen = TaskContext.get().partitionId(), packed([end_id]), [0] * (capacity + 1)
+        worker, last = TaskContext.get().partitionId(), packed([end_id])
+        seen, load = [0] * (capacity + 1), [0] * (capacity + 1)
         for batch in batches:
             rows = []
             for key, ids in zip(batch["doc_id"], encoded(list(batch["text"]), path)):
@@ -71,8 +73,10 @@ def pieces(
                 for length in cuts(total, capacity, divisors):
                     part = ids[4 * start : 4 * (start + length)]
                     kind = capacity // length
-                    rows.append((key, start, length, zlib.crc32(part), total, worker, kind, seen[kind], part if keep_ids else None))
+                    place = (worker, kind, seen[kind], load[kind])
+                    rows.append((key, start, length, zlib.crc32(part), total, *place, part if keep_ids else None))
                     seen[kind] += 1
+                    load[kind] = load[kind] + length if seen[kind] % kind else 0
                     start += length
             frame = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
             yield frame.astype({"doc_id": "Int64"})
@@ -110,34 +114,35 @@ def pack(
     spark = docs.sparkSession
     cut = staged(pieces(docs, path, capacity, end_id, divisors, keep_ids, key, text), "pieces")
     counts = cut.groupBy("kind", "worker").agg(F.count("*").alias("n"))
+    whole, left = F.floor(F.col("n") / F.col("kind")), F.col("n") % F.col("kind")
     before = Window.partitionBy("kind").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
-    bases = staged(counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))), "bases")
+    earlier = lambda x: F.coalesce(F.sum(x).over(before), F.lit(0))
+    bases = staged(counts.select("kind", "worker", whole.alias("whole"), left.alias("left"), earlier(whole).alias("sequences"), earlier(left).alias("rests")), "bases")
     # At most one row per class, and there are no more classes than the capacity.
-    sizes = {r["kind"]: r["n"] for r in bases.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    full, first = {}, 0
+    totals = bases.groupBy("kind").agg(F.sum("whole").alias("whole"), F.sum("left").alias("left")).collect()
+    sizes = {r["kind"]: (r["whole"], r["left"]) for r in totals}
+    starts, first = [], 0
     for kind in sorted(sizes):
-        full[kind] = first
-        first += sizes[kind] // kind
-    ranked = cut.join(bases.select("kind", "worker", "base"), ["kind", "worker"]).withColumn("rank", F.col("base") + F.col("place"))
-    starts = spark.createDataFrame([(k, full[k], sizes[k] // k) for k in sizes], "kind int, first long, filled long")
-    placed = ranked.join(F.broadcast(starts), "kind").withColumn("bin", F.floor(F.col("rank") / F.col("kind")))
-
+        whole_total, rest_total = sizes[kind]
+        starts.append((kind, first, first + whole_total, rest_total // kind))
+        first += whole_total + rest_total // kind
+    starts_of = F.broadcast(spark.createDataFrame(starts, "kind int, first long, shared long, filled long"))
+    placed = cut.join(bases, ["kind", "worker"]).join(starts_of, "kind")
+    inside = F.col("place") < F.col("whole") * F.col("kind")
+
+    rank = F.col("rests") + F.col("place") - F.col("whole") * F.col("kind")
+    rests = placed.where(~inside).withColumn("rank", rank).withColumn("bin", F.floor(F.col("rank") / F.col("kind")))
+    last = F.col("bin") == F.col("filled")
+    loads = [(r["kind"], r["load"]) for r in rests.where(last).groupBy("kind").agg(F.sum("length").alias("load")).collect()]
+    moved = [(k, first + spot, at) for k, (spot, at) in first_fit(loads, capacity).items()]
     order = Window.partitionBy("kind", "bin").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.withColumn("within", F.coalesce(F.sum("length").over(order), F.lit(0)))
-    rests = cut.join(F.broadcast(starts), "kind").join(bases.select("kind", "worker", "base"), ["kind", "worker"])
-    rests = rests.where(F.floor((F.col("base") + F.col("place")) / F.col("kind")) == F.col("filled"))
-    loads = [(r["kind"], r["load"]) for r in rests.groupBy("kind").agg(F.sum("length").alias("load")).collect()]
-    spots = first_fit(loads, capacity)
-    moved = spark.createDataFrame([(k, first + spot, at) for k, (spot, at) in spots.items()], "kind int, target long, shift long")
-    out = placed.join(F.broadcast(moved), "kind", "left")
-    rest = F.col("bin") == F.col("filled")
-    return out.select(
-        "doc_id",
-        "start",
-        "length",
-        "ids_crc32",
-        "doc_tokens",
-        F.when(rest, F.col("target")).otherwise(F.col("first") + F.col("bin")).cast("long").alias("sequence_id"),
-        (F.col("within") + F.when(rest, F.col("shift")).otherwise(0)).cast("long").alias("offset"),
-        *([F.col("ids")] if keep_ids else []),
-    )
+    rests = rests.withColumn("within", F.coalesce(F.sum("length").over(order), F.lit(0)))
+    rests = rests.join(F.broadcast(spark.createDataFrame(moved, "kind int, target long, shift long")), "kind", "left")
+
+    def row(sequence: Column, offset: Column) -> list:
+        own = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+        return [*own, sequence.cast("long").alias("sequence_id"), offset.cast("long").alias("offset"), *(["ids"] if keep_ids else [])]
+
+    by_worker = placed.where(inside).select(*row(F.col("first") + F.col("sequences") + F.floor(F.col("place") / F.col("kind")), F.col("at")))
+    common = F.when(last, F.col("target")).otherwise(F.col("shared") + F.col("bin"))
+    return by_worker.unionAll(rests.select(*row(common, F.col("within") + F.when(last, F.col("shift")).otherwise(0))))
