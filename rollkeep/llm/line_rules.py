@@ -10,6 +10,7 @@ repeated results; a null id is kept as it is; all other columns stay as they are
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -35,8 +36,19 @@ class LineRules:
     symbol_pct: int = 20
     nav_chars: int = 120
     boilerplate: tuple[str, ...] = (
+        # English
         "cookie policy", "privacy policy", "terms of use", "terms of service", "all rights reserved",
         "enable javascript", "click here", "sign up for", "subscribe to our", "skip to content", "lorem ipsum",
+        # German
+        "cookie-richtlinie", "datenschutzerklärung", "nutzungsbedingungen", "alle rechte vorbehalten", "javascript aktivieren",
+        "hier klicken", "klicken sie hier", "newsletter abonnieren", "jetzt anmelden", "zum inhalt springen",
+        # French
+        "politique de cookies", "politique de confidentialité", "conditions d'utilisation", "mentions légales",
+        "tous droits réservés", "activer javascript", "cliquez ici", "inscrivez-vous à", "abonnez-vous à", "aller au contenu",
+        # Spanish
+        "política de cookies", "política de privacidad", "términos de uso", "condiciones de uso",
+        "todos los derechos reservados", "habilitar javascript", "haga clic aquí", "haz clic aquí", "suscríbete a",
+        "regístrate en", "saltar al contenido", "ir al contenido",
     )
     boilerplate_chars: int = 240
     lost_pct: int = 50
@@ -68,8 +80,9 @@ def line_fails(line: Column, any_symbol: Column, rules: LineRules) -> Column:
     size = F.length(line)
     punctuation = (any_symbol & (_symbols(line) * 100 > size * rules.symbol_pct)) | ~line.rlike(r"[\p{L}\p{N}]")
     navigation = (size <= rules.nav_chars) & line.rlike(r"\S\s+[|»›·>]\s+\S.*\s[|»›·>]\s+\S")
-    phrases = "|".join(phrase.replace(" ", r"\s+") for phrase in rules.boilerplate)
-    boilerplate = (size <= rules.boilerplate_chars) & line.rlike(f"(?i)\\b({phrases})\\b")
+    phrases = "|".join(re.escape(phrase).replace(r"\ ", r"\s+") for phrase in rules.boilerplate)
+    alone = r"(?<![\p{L}\p{N}])(" + phrases + r")(?![\p{L}\p{N}])"  # \b knows no accented letters
+    boilerplate = (size <= rules.boilerplate_chars) & F.lower(line).rlike(alone)
     return punctuation | navigation | boilerplate
 
 
