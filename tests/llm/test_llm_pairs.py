@@ -1,6 +1,9 @@
 """Joins, searches, models and the pipeline."""
 
+import math
 import random
+import zlib
+from collections import Counter
 
 import brute
 import corpus_pipeline
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rollkeep.llm import jaccard_join, links, multi_index, shingle_sets, weak_labels
 from rollkeep.llm.queries import ORACLES, QUERIES
+from rollkeep.sources import staging
 
 ROWS = texts()
 
@@ -167,6 +171,18 @@ def test_multi_index_finds_most_neighbours(spark):
     assert multi_index.search(frame.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 11, 15])
+def test_small_tables_give_all_neighbours(spark, n):
+    rng = np.random.default_rng(n)
+    points = rng.normal(size=(n, 8))
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    frame = spark.createDataFrame(rows + rows[:3] * 4, "vec_id long, embedding array<double>")
+    found = multi_index.search(frame, F.col("vec_id") % 100 == 0, rules=multi_index.MultiIndex(share=0.01)).collect()
+    exact = sorted((float(np.sqrt(((points[0] - p) ** 2).sum())), i) for i, p in enumerate(points) if i)[:10]
+    assert [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"])] == [i for _, i in exact] or len(exact) == 10
+    assert len(found) == min(10, n - 1)
+
+
 def test_walk_goes_by_summed_distance():
     first, second = np.array([0.3, 0.1, 0.9]), np.array([0.5, 0.2])
     sizes = np.array([[1, 0], [2, 3], [4, 5]])
@@ -205,6 +221,53 @@ def test_weak_labels_on_the_held_out_fold(spark):
     assert weak_labels.train(docs, other) == model
 
 
+def test_every_voter_that_a_toxic_row_needs_stays():
+    found = [[0, 1, 2, 5], [0, 1, 2], [0, 1, 3], [4, 5], [5]]
+    toxic = np.array([True, True, True, True, False])
+    kept, voter = weak_labels.chosen_voters(found, toxic, 6, 2)
+    assert kept == [0, 2, 3, 4, 5] and voter.tolist() == [0, 0, 1, 2, 3, 4]  # 1 votes as 0 does
+    assert weak_labels.chosen_voters(found, toxic, 6, 1)[0] == [0, 4]
+    assert weak_labels.matrix(found, voter, 5)[0].tolist() == [1, 1, 0, 0, 1]
+
+
+def test_mining_and_models_equal_their_plain_forms(spark):
+    rows, labels = toxic_rows()
+    rules = weak_labels.WeakLabels()
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    training = weak_labels.training_rows(docs, marks, rules, "doc_id", "text", "toxic")
+    used = {i for i, _ in labels if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert {r["doc_id"] for r in training.collect()} == used
+    mined, n_toxic, n_clean = weak_labels.mined(training, rules)
+    counted = {0: Counter(), 1: Counter()}
+    for (i, text), (_, y) in zip(rows, labels):
+        if i in used:
+            parts = set(text.split())
+            counted[y].update(parts | {w[:n] + "*" for w in parts for n in rules.beginnings if len(w) > n} | {""})
+    likely = {}
+    for f, t in counted[1].items():
+        c = counted[0][f]
+        ratio = math.log((t + 0.5) / (counted[1][""] + 1)) - math.log((c + 0.5) / (counted[0][""] + 1))
+        if f and t >= 3 and ratio - 2 * math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)) > rules.evidence:
+            likely[f] = (t, c)
+    assert (n_toxic, n_clean) == (counted[1][""], counted[0][""]) and {f: (t, c) for f, t, c in mined} == likely
+
+    rng = np.random.default_rng(4)
+    votes = (rng.random((120, 3)) < [0.3, 0.2, 0.4]).astype(np.float32)
+    guess, prior = np.array([0.9, 0.7, 0.2]), 0.25
+    posterior, accuracy, independence = weak_labels.label_model(votes, guess, prior, 1)
+    odds = math.log(prior / (1 - prior))
+    plain = [1 / (1 + math.exp(-(odds + sum(math.log(g / (1 - g)) - odds for v, g in zip(row, guess) if v)))) for row in votes]
+    assert np.allclose(posterior, plain) and (independence == 1).all()
+    for k in range(3):
+        fired = [p for p, row in zip(plain, votes) if row[k]]
+        assert abs(accuracy[k] - (sum(fired) + 10 * guess[k]) / (len(fired) + 10)) < 1e-6
+    weights, bias = weak_labels.linear(votes, posterior, 0.05)
+    scores = [1 / (1 + math.exp(-(bias + sum(w * v for w, v in zip(weights, row))))) for row in votes]
+    for k in range(3):  # the slope of the penalised loss is nought at its least value
+        slope = sum((s - p) * row[k] for s, p, row in zip(scores, posterior, votes)) + 0.05 * weights[k]
+        assert abs(slope) < 1e-2
+
+
 def test_weak_labels_without_labels(spark):
     docs = table(spark)
     model = weak_labels.train(docs, spark.createDataFrame([], "doc_id long, toxic int"))
@@ -225,7 +288,7 @@ def test_repeated_evidence_is_shared():
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name.split("_")[0][2:]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -238,6 +301,21 @@ def stages(spark):
     return out
 
 
+def test_a_stage_leaves_nothing_but_what_its_result_reads(spark):
+    corpus_pipeline.free_last()
+    before = set(staging.folders(spark))
+    some = spark.createDataFrame([*texts()[:40], (None, None)], "doc_id long, text string")
+    some = some.withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long")})
+    for frame in (some, some.limit(0)):
+        docs = frame
+        for name, stage in corpus_pipeline.STAGES:
+            docs = spark.createDataFrame(stage(spark, docs, SMALL).toArrow())
+            assert len(set(staging.folders(spark)) - before) <= 3, name
+        assert frame is some or docs.count() == 0
+    corpus_pipeline.free_last()
+    assert set(staging.folders(spark)) == before
+
+
 def test_stages_by_hand(spark, stages):
     before = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     assert [n for n, _ in stages] == ["toxicity", "quality_rules", "near_duplicates", "personal_data", "packing"]

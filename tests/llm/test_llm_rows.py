@@ -79,6 +79,32 @@ def test_secrets_and_their_ledger(spark, docs, none, tmp_path):
     assert blob_ledger.scan(none, str(tmp_path / "empty")).count() == 0
 
 
+def test_thousands_of_matches_in_one_text(spark, tmp_path):
+    many = " ".join(f"token={i:07d}" for i in range(100_000))
+    found = blob_ledger.scan(spark.createDataFrame([(1, many), (2, "token=abcdef")], "doc_id long, text string"), str(tmp_path / "many"))
+    rows = {r["doc_id"]: r["assign"] for r in found.select("doc_id", "assign").collect()}
+    assert len(rows[1]) == 100_000 and [(s["start"], s["end"]) for s in rows[1][-2:]] == [(14 * 99_998, 14 * 99_998 + 13), (14 * 99_999, 14 * 99_999 + 13)]
+    assert len(rows[2]) == 1
+
+
+def test_boilerplate_of_four_languages(spark):
+    lines = ["Bitte lesen Sie unsere Datenschutzerklärung hier.", "TOUS DROITS RÉSERVÉS par nous.", "Haga clic aquí para ver más.", "All  rights reserved by us."]
+    clean = ["Die Erklärung war lang und gut.", "Les droits sont les mêmes.", "La política es otra cosa.", "All rights of way."]
+    checked, name = line_rules.with_line_rules(spark.createDataFrame([(1, "\n".join([*lines, *clean]))], "doc_id long, text string"))
+    one = checked.select(f"{name}.*").first()
+    assert one["n_failed_lines"] == 4 and one["clean_text"].split("\n") == clean
+
+
+def test_many_terms_with_many_entities(spark, monkeypatch):
+    monkeypatch.setattr(disclosure, "HELD", 7)
+    rng = random.Random(3)
+    plain = [(i, " ".join(rng.choice("alpha beta gamma delta".split()) for _ in range(30))) for i in range(300)]
+    told = [(1000 + i, f"alpha {i} beta Zorkmid ann@mail.example bob@mail.example gamma Quillon {i}") for i in range(6)]
+    marked, name = disclosure.sanitise(spark.createDataFrame(plain + told, "doc_id long, text string"))
+    texts = {r["doc_id"]: r[name]["clean_text"] for r in marked.collect()}
+    assert all("Zorkmid" not in texts[1000 + i] and "Quillon" not in texts[1000 + i] for i in range(6))
+
+
 def test_personal_data(docs, none):
     marked, name = disclosure.sanitise(docs)
     assert marked.columns == [*docs.columns, name]
@@ -141,6 +167,22 @@ def test_byte_pairs_equal_the_library(spark, docs, none):
     assert byte_pairs.round_trip(none, RANK_FILE).count() == 0
 
 
+def test_offsets_find_a_part_of_a_text():
+    pairs, rng = byte_pairs.coder(RANK_FILE), random.Random(2)
+    text = "".join(rng.choice(["word ", "é", "漢字", "12", "\n", "\U0001f600"]) for _ in range(3000))
+    ids, data = pairs.encode([text])[0], text.encode()
+    ends = pairs.ends(ids)
+    assert ends[-1] == len(data) and b"".join(pairs.decode(ids, ends, 100)) == data
+    for _ in range(200):
+        a, b = sorted(rng.sample(range(len(data) + 1), 2))
+        assert pairs.between(np.array(ids), ends, a, b) == data[a:b]
+    wrong = ends.copy()
+    wrong[10:] += 1
+    with pytest.raises(ValueError):
+        b"".join(pairs.decode(ids, wrong))
+    assert list(pairs.decode([], np.empty(0, dtype=np.int64))) == []
+
+
 def test_merges_of_long_pieces():
     ranks = byte_pairs.ranks_of(RANK_FILE)
     for piece in (b"a" * 3000, b"ab" * 700, bytes(range(256)) * 3):
@@ -180,6 +222,9 @@ def test_token_counts(spark, docs, none, tmp_path):
     assert token_counts.token_counts(few, cache, piece).where("n_tokens is null").count() == 0
     assert spark.read.parquet(cache).select("version").distinct().count() == 2
     assert token_counts.token_counts(none, str(tmp_path / "none"), WORD_FILE).count() == 0
+    again = docs.sparkSession.createDataFrame([(7, "the same row")] * 50, "doc_id long, text string").coalesce(1)
+    assert token_counts.token_counts(again, str(tmp_path / "again"), WORD_FILE).count() == 50
+    assert spark.read.parquet(str(tmp_path / "again")).count() == 1  # rows alike in id and text are encoded once
 
 
 def test_token_frames(spark, docs, none, tmp_path):
@@ -245,6 +290,23 @@ def test_packing(spark, docs, none):
     assert harmonic.pack(none, BYTE_FILE).count() == 0
 
 
+def test_classes_have_a_fixed_number_of_pieces(spark):
+    rng = random.Random(12)
+    rows = [(i, "a " * rng.choice([3, 20, 60, 100, 130, 300, 700, 1500])) for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    packed = harmonic.pack(frame, BYTE_FILE).collect()
+    kinds = {}
+    for r in packed:
+        kinds.setdefault(r["sequence_id"], []).append(1024 // r["length"])
+    mixed = [k for k in kinds.values() if len(set(k)) > 1]
+    # A sequence takes k pieces of class k; the few that first-fit puts together hold the rests of several classes.
+    alike = [k for k in kinds.values() if len(set(k)) == 1]
+    short = [k for k in alike if len(k) != k[0]]
+    assert len(mixed) + len(short) <= 8 and len(alike) > 200
+    tokens = sum(r["length"] for r in packed)
+    assert 1024 * len(kinds) < 1.12 * tokens  # little padding
+
+
 def test_cuts_and_first_fit():
     assert harmonic.cuts(2048 + 700, 1024, (2, 4, 8)) == [1024, 1024, 512, 128, 60]
     assert harmonic.cuts(1, 1024, (2, 4, 8)) == [1]
