@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeep.checks.registry import query
 from rollkeep.checks.standins import STANDINS, standin, standins, with_standins
 from rollkeep.plans import enrolment as e
+from rollkeep.plans.runs import Ledger, definitions, record_definitions, recorded_run
+from rollkeep.plans.sent import record_sent, sent_before
 from rollkeep.plans.snapshot import read_snapshot, refresh_snapshot
 from rollkeep.sources import ledger
-from rollkeep.sources.segments import archive_segments
+from rollkeep.sources.segments import Separators, archive_segments, write_segments
 from rollkeep.sources.staging import new_folder
 from rollkeep.sources.tables import scan
 
@@ -210,7 +215,7 @@ _COVER_COLUMNS = [c for c in STANDINS["covers_own"][1] if c not in ("subscriber_
 )
 def edi_coverages(spark, sf_dir):
     found = e.coverages(_segments(spark, sf_dir))
-    return found.drop("maintenance_date", "other_segments", "own_segments")
+    return found.drop("maintenance_date", "other_segments", "own_segments", "segment_order")
 
 
 _TOTALS = """select file, txn_id, count(case when is_subscriber = 'N' then 1 end) as dependents,
@@ -249,6 +254,114 @@ def edi_envelope(spark, sf_dir):
     return e.check_envelope(_segments(spark, sf_dir))
 
 
+@query(
+    with_standins(
+        MEMBERS,
+        f"""select l.file, cast(1 as bigint) as group_id, q.txn_id, cast(q.txn_id as bigint) as txn_in_group, control, '005010X220A1' as version,
+        '00' as purpose, control as reference, date '2020-01-01' as created, '0000' as created_time, cast(null as varchar) as original_reference,
+        '4' as action, 'POLICY' as policy, date '2020-01-01' as effective_date, cast(null as date) as report_start, cast(null as date) as report_end,
+        cast(null as date) as maintenance_effective, cast(null as date) as enrolment_date, 'SPONSOR' as sponsor_name, 'FI' as sponsor_id_qualifier,
+        '00-0000000' as sponsor_id, 'INSURER' as insurer_name, 'FI' as insurer_id_qualifier, '99-9999999' as insurer_id,
+        {', '.join(f"cast(null as varchar) as {who}_{part}" for who in ("broker", "administrator") for part in ("name", "id_qualifier", "id"))},
+        'BE' as functional_id, 'SENDER' as sender_code, 'RECEIVER' as receiver_code, lpad(cast(cast(l.file as bigint) + 1 as varchar), 9, '0') as group_control,
+        '005010X220A1' as group_version
+        from (select distinct file, set_no, lpad(cast(set_no + 1 as varchar), 9, '0') as control from p) l
+        join (select distinct file, set_no, txn_id from p) q on q.file = l.file and q.set_no = l.set_no""",
+        ",\n".join([_M, _F, _P]),
+    )
+)
+def edi_transactions(spark, sf_dir):
+    return e.transactions(_segments(spark, sf_dir))
+
+
+# A file of another writer: named segments between others, and a second party with an address of its own. (line, when there)
+_FOREIGN = [
+    ("concat('INS*', is_subscriber, '*18*030**A***FT')", "true"),
+    ("concat('REF*0F*', subscriber_id)", "true"),
+    ("concat('REF*DX*', member_code)", "true"),
+    ("concat('REF*23*', member_code)", "member_seq <> 1"),
+    ("'DTP*336*D8*20190101'", "is_subscriber = 'Y'"),
+    ("'DTP*303*D8*20200102'", "true"),
+    ("'DTP*356*D8*20200105'", "true"),
+    ("concat('NM1*IL*1*', last_name, '*', first_name)", "true"),
+    ("concat('N3*', cast(member_seq as string), ' Way')", "member_seq <> 2"),
+    ("'N4*Town*NY*10001'", "true"),
+    ("'DMG*D8*19800102*F'", "true"),
+    ("'NM1*31*1'", "true"),
+    ("'N3*PO Box 9'", "true"),
+    ("'N4*Other*NJ*07001'", "true"),
+    ("'HD*030**VIS*PLANX*EMP'", "is_subscriber = 'Y'"),
+    ("'REF*1L*G9'", "is_subscriber = 'Y'"),
+    ("'DTP*348*D8*20200301'", "is_subscriber = 'Y'"),
+    ("'DTP*300*D8*20200302'", "is_subscriber = 'Y'"),
+    ("'DTP*349*D8*20201231'", "is_subscriber = 'Y'"),
+]
+_FOREIGN_SQL = " union all ".join(
+    f"select subscriber_id, member_seq, {i} as line, {text} as value from m where {there}" for i, (text, there) in enumerate(_FOREIGN)
+)
+
+
+def _with_places(segments: DataFrame) -> DataFrame:
+    """member_id, its segments' places from 1, and their texts."""
+    own = segments.where("member_id is not null and tag <> 'SE'")
+    first = own.groupBy(F.col("member_id").alias("_m")).agg(F.min("pos").alias("_first"))
+    placed = own.join(first, F.col("member_id") == F.col("_m"))
+    return placed.select("member_id", (F.col("pos") - F.col("_first") + 1).alias("place"), F.concat_ws("*", "elements").alias("value"))
+
+
+@query(
+    with_standins(
+        MEMBERS,
+        f"""select dense_rank() over (order by subscriber_id, member_seq) as member_id,
+        row_number() over (partition by subscriber_id, member_seq order by line) as place, value from ({_FOREIGN_SQL})""",
+        _M,
+    )
+)
+def edi_in_place(spark, sf_dir):
+    """A file of another writer read and written again: every segment where it was."""
+    path, again = new_folder(spark, "edi-foreign"), new_folder(spark, "edi-again")
+    m = _members(spark, sf_dir)
+    lines = F.array_compact(F.array(*[F.expr(f"case when {there} then {text} end") for text, there in _FOREIGN]))
+    body = m.select(F.lit(0).alias("interchange"), F.lit(1).alias("section"), "subscriber_id", "member_seq", F.array_join(lines, "~").alias("value"))
+    isa = f"ISA*00*{'':10}*00*{'':10}*30*{'A':15}*30*{'B':15}*200101*0000*^*00501*000000001*0*P*>~GS*BE*A*B*20200101*0000*1*X*V~ST*834*0001*V"
+    ends = spark.createDataFrame([(0, 0, "", 0, isa), (0, 2, "", 0, "SE*0*0001~GE*1*1~IEA*1*000000001")], "interchange int, section int, subscriber_id string, member_seq int, value string")
+    write_segments(body.unionByName(ends), path, ["section", "subscriber_id", "member_seq"], "value")
+    segments = e.read_edi(spark, path)
+    found = e.members(segments)
+    first = found.groupBy(F.col("family_id").alias("_f")).agg(F.min("member_id").alias("_first"))
+    found = found.join(first, F.col("family_id") == F.col("_f")).withColumn("member_seq", (F.col("member_id") - F.col("_first")).cast("int"))
+    who = found.select("file", "member_id", "subscriber_id", "member_seq")
+    covers = e.coverages(segments).join(who, ["file", "member_id"]).withColumn("coverage_seq", F.lit(1))
+    keys = ["file", "txn_id", "family_id", "member_id"]
+    e.write_edi(found.drop(*keys, "pos", "_f", "_first"), covers.drop(*keys, "coverage_id"), again)
+    return _with_places(e.read_edi(spark, again))
+
+
+_STYLES = (Separators(), Separators("\n", "|", "!", ":"), Separators("'", "+", "^", ";"))
+
+
+@query(
+    with_standins(
+        MEMBERS + COVERS,
+        """select cast(member_seq as int) as style, p.subscriber_id, p.last_name, p.first_name, p.phone, p.address1, p.city, p.birth_date,
+          (select count(*) from c where c.subscriber_id = p.subscriber_id and c.member_seq = p.member_seq) as covers
+        from (select * from m where member_seq < 3) p""",
+        f"{_M},\n{_C}",
+    )
+)
+def edi_separators(spark, sf_dir):
+    """One folder of files that state three styles of separators, read together."""
+    path, members, covers = new_folder(spark, "edi-styles"), _members(spark, sf_dir), _covers(spark, sf_dir)
+    for number, style in enumerate(_STYLES):
+        envelope = e.Envelope(separators=style, first_control=1 + number)
+        e.write_edi(members.where(F.col("member_seq") == number), covers.where(F.col("member_seq") == number), f"{path}/style{number}", envelope)
+    segments = e.read_edi(spark, path)
+    counts = e.coverages(segments).groupBy("file", "member_id").agg(F.count(F.lit(1)).alias("covers"))
+    columns = ["subscriber_id", "last_name", "first_name", "phone", "address1", "city", "birth_date"]
+    found = e.members(segments).join(counts, ["file", "member_id"], "left")
+    return found.select(F.col("file").cast("int").alias("style"), *columns, F.coalesce("covers", F.lit(0)).alias("covers"))
+
+
 # --- validation and rejects ----------------------------------------------------------------
 
 _EXCEPTIONS = "select 'ERROR' as exception_type, 'DATA ELEMENT' as category, * from x"
@@ -337,6 +450,58 @@ def edi_split(spark, sf_dir):
     return e.split_sets(_members(spark, sf_dir), 990)
 
 
+@query(
+    "with recursive "
+    + with_standins(
+        MEMBERS,
+        """select subscriber_id, family_size, members_before, set_no from walk""",
+        f"""{_M},
+        families as (select subscriber_id, count(*) as family_size, row_number() over (order by subscriber_id) as n,
+            cast(coalesce(sum(count(*)) over (order by subscriber_id rows between unbounded preceding and 1 preceding), 0) as bigint) as members_before
+          from m group by subscriber_id),
+        walk as (select subscriber_id, family_size, members_before, n, family_size as load, cast(0 as bigint) as set_no from families where n = 1
+          union all
+          select f.subscriber_id, f.family_size, f.members_before, f.n,
+            case when w.load + f.family_size <= 50 then w.load + f.family_size else f.family_size end,
+            w.set_no + case when w.load + f.family_size <= 50 then 0 else 1 end
+          from walk w join families f on f.n = w.n + 1)""",
+    ).removeprefix("with ")
+)
+def edi_split_restart(spark, sf_dir):
+    """Sets that are counted anew: none over the limit but for a larger family."""
+    return e.split_sets_restart(_members(spark, sf_dir), 50)
+
+
+_RUN_DAYS = ("2019-02-01", "2019-06-15", "2020-01-01", "2020-06-01")
+
+
+@query(
+    with_standins(
+        COVERS,
+        f"""select * exclude (reopened), times_sent from (
+          select *, cast((benefit_begin < date '{_RUN_DAYS[0]}' and not reopened)::int
+            + (benefit_begin < date '{_RUN_DAYS[1]}' and not reopened)::int + (benefit_begin < date '{_RUN_DAYS[2]}')::int as bigint) as sent_before
+          from (select *, subscriber_id like '%7' as reopened from c)) t,
+          lateral (select case when benefit_end is null then cast(0 as bigint) else sent_before end as times_sent)
+        where benefit_begin < date '{_RUN_DAYS[3]}' and (benefit_end is null or times_sent < 3)""".replace(
+            "select * exclude (reopened), times_sent", "select * exclude (reopened, sent_before)"
+        ),
+        _C,
+    )
+)
+def edi_limits_replayed(spark, sf_dir):
+    """Four runs: an ended coverage goes out three times, unless it was sent open in between (in the second run)."""
+    path, covers = new_folder(spark, "sent"), _covers(spark, sf_dir)
+    for run, day in enumerate(_RUN_DAYS, 1):
+        sent = covers.where(F.col("benefit_begin") < F.lit(day).cast("date"))
+        if run == 2:
+            sent = sent.withColumn("benefit_end", F.when(~F.col("subscriber_id").like("%7"), F.col("benefit_end")))
+        rows = e.limit_members(sent, member_term_limit=3, times_sent=sent_before(spark, path, run, sent))
+        if run < len(_RUN_DAYS):
+            record_sent(rows, path, run)
+    return rows
+
+
 @query(
     with_standins(
         COVERS,
@@ -394,6 +559,74 @@ def exception_view(spark, sf_dir):
     return view.withColumn("file_instance_start_time", F.col("file_instance_start_time").cast("date")).select(*columns)
 
 
+_TIMES = [c.name for c in ledger.EXCEPTION_VIEW.fields if c.dataType.simpleString() == "timestamp"]
+_TAKEN_OVER, _CHANGED = "1992-01-01 00:00:00", "1995-06-01 00:00:00"
+
+
+def _whole_view_sql() -> str:
+    """All columns of the view; times and the period as text, which both engines write alike."""
+    definition = [c for c in STANDINS["definition_later"][1]]
+    same = " and ".join(f"a.{c} is not distinct from b.{c}" for c in definition)
+    own = {c: f"x.{c}" for c in STANDINS["file_exception"][1]} | {c: f"d.{c}" for c in (*definition, "sys_period")}
+    own |= {c: f"i.{c}" for c in STANDINS["whole_instance"][1] if c != "file_definition_id"}
+    own |= {c: f"t.{c}" for c in STANDINS["whole_transfer"][1] if c != "file_instance_id"}
+    text = lambda c: f"strftime({own[c]}, '%Y-%m-%d %H:%M:%S')" if c in _TIMES else own.get(c, "cast(null as bigint)")
+    columns = ", ".join(f"{text(c)} as {c}" for c in ledger.EXCEPTION_VIEW_COLUMNS)
+    return with_standins(
+        ["definition_first", "definition_later", "whole_instance", "whole_transfer", "file_exception"],
+        f"""select {columns} from file_exception x join whole_instance i on i.file_instance_id = x.file_instance_id
+        join d on d.file_definition_id = i.file_definition_id and d.lower <= i.file_instance_start_time
+          and (d.upper is null or i.file_instance_start_time < d.upper)
+        left join whole_transfer t on t.file_instance_id = i.file_instance_id""",
+        f"""changed as (select a.file_definition_id from definition_first a join definition_later b using (file_definition_id) where not ({same})),
+        d as (
+          select a.*, timestamp '{_TAKEN_OVER}' as lower, case when file_definition_id in (select * from changed) then timestamp '{_CHANGED}' end as upper,
+            '[{_TAKEN_OVER},' || case when file_definition_id in (select * from changed) then '{_CHANGED}' else '' end || ')' as sys_period
+          from definition_first a
+          union all
+          select b.*, timestamp '{_CHANGED}', null, '[{_CHANGED},)' from definition_later b where file_definition_id in (select * from changed))""",
+    )
+
+
+@query(_whole_view_sql())
+def exception_view_history(spark, sf_dir):
+    """The whole view, over definitions that changed between two runs: each run with the one of its time."""
+    tables = standins(spark, sf_dir, "definition_first", "definition_later", "whole_instance", "whole_transfer", "file_exception")
+    path = new_folder(spark, "definitions")
+    for name, time in (("definition_first", _TAKEN_OVER), ("definition_later", _CHANGED)):
+        record_definitions(tables[name], path, dt.datetime.fromisoformat(time).replace(tzinfo=dt.timezone.utc))
+    view = ledger.exception_view(tables["file_exception"], definitions(spark, path), tables["whole_instance"], tables["whole_transfer"])
+    said = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    ends = [F.coalesce(said(F.col("sys_period")[end]), F.lit("")) for end in ("lower", "upper")]
+    period = F.concat(F.lit("["), ends[0], F.lit(","), ends[1], F.lit(")"))
+    return view.withColumns({c: said(F.col(c)) for c in _TIMES} | {"sys_period": period})
+
+
+@query(
+    with_standins(
+        MEMBERS,
+        """select run as file_instance_id, attempt, status as file_instance_status, loaded, kept, errors, events, n as exceptions, n as numbered, records from (
+          select (select count(*) from m where is_subscriber = 'Y') as loaded, (select count(*) from good where is_subscriber = 'Y') as kept,
+            (select count(*) from x) as errors, (select count(*) from x) as n, (select count(distinct subscriber_id || member_id) from x) as records),
+        (values (cast(1 as bigint), 2, 'stopped', cast(6 as bigint)), (cast(2 as bigint), 1, 'sent', cast(3 as bigint))) v(run, attempt, status, events)""",
+        f"{_M},\n{_X},\n{_GOOD}",
+    )
+)
+def edi_recorded_runs(spark, sf_dir):
+    """A run stopped by its gate, twice, and one that was sent: what the ledger has of them."""
+    log = Ledger(spark, new_folder(spark, "run-ledger"))
+    members, covers = _members(spark, sf_dir), _covers(spark, sf_dir)
+    for run, limit in ((1, 0), (1, 0), (2, MAX_ERRORS)):
+        with contextlib.suppress(e.TooManyErrors):
+            recorded_run(log, run, 7, members, covers, new_folder(spark, "edi-recorded"), ENVELOPE, limit)
+    events = log.events().groupBy("file_instance_id").agg(F.count(F.lit(1)).alias("events"))
+    found = log.exceptions().groupBy("file_instance_id").agg(
+        F.count(F.lit(1)).alias("exceptions"), F.count_distinct("exception_id").alias("numbered"), F.count_distinct("file_record_id").alias("records")
+    )
+    runs = log.instances().select("file_instance_id", "attempt", "file_instance_status", "loaded", "kept", "errors")
+    return runs.join(events, "file_instance_id").join(found, "file_instance_id")
+
+
 @query(
     with_standins(
         ["file_exception"],

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rollkeep.functions.scalars import DIGITS, LEGAL_FORM_DEFAULT, LEGAL_FORMS, PHONE_DROPPED
+from rollkeep.sources.ledger import EXCEPTION_VIEW, EXCEPTION_VIEW_COLUMNS
 from rollkeep.sources.tables import scan
 
 ASOF = "1998-06-01"
@@ -27,6 +28,26 @@ _CITY = (
     "when {k} % 7 = 3 then 'Sanford' else concat('Town ', cast({k} % 40 as string)) end"
 )
 
+_DEFINITION = EXCEPTION_VIEW_COLUMNS[EXCEPTION_VIEW_COLUMNS.index("file_definition_id") : EXCEPTION_VIEW_COLUMNS.index("file_instance_id")]
+_DEFINITION = [c for c in _DEFINITION if c != "sys_period"]
+_INSTANCE = EXCEPTION_VIEW_COLUMNS[EXCEPTION_VIEW_COLUMNS.index("file_instance_id") : EXCEPTION_VIEW_COLUMNS.index("file_instance_transfer_status_id")]
+_TRANSFER = EXCEPTION_VIEW_COLUMNS[EXCEPTION_VIEW_COLUMNS.index("file_instance_transfer_status_id") :]
+
+
+def _filler(column: str, key: str, later: bool) -> str:
+    """An invented value of the column's type; a third of the rows have another one ``later``."""
+    place = EXCEPTION_VIEW_COLUMNS.index(column)
+    number = f"cast(({key} * {place + 3} + case when {int(later)} = 1 and {key} % 3 = 0 then 1 else 0 end) % 97 as int)"
+    kind = EXCEPTION_VIEW[column].dataType.simpleString()
+    return {
+        "string": f"case when {number} % 11 = 5 then null else concat('{column} ', cast({number} as string)) end",
+        "boolean": f"{number} % 2 = 0",
+        "date": f"cast('1994-01-01' as date) + {number}",
+        "timestamp": f"cast(cast('1994-01-01' as date) + {number} as timestamp)",
+        "bigint": f"cast({number} as bigint)",
+    }.get(kind, number)
+
+
 # name -> (driver table, {column: expression})
 STANDINS: dict[str, tuple[str, dict[str, str]]] = {
     # order rows as effective-dated rows of a person
@@ -386,6 +407,24 @@ STANDINS: dict[str, tuple[str, dict[str, str]]] = {
             "member_term_limit": "3",
         },
     ),
+    # the same definitions with all their columns, as they are taken over at first and later
+    **{
+        name: ("nation", {"file_definition_id": "n_nationkey"} | {c: _filler(c, "n_nationkey", later) for c in _DEFINITION if c != "file_definition_id"})
+        for name, later in (("definition_first", False), ("definition_later", True))
+    },
+    "whole_instance": (
+        "orders",
+        {
+            "file_instance_id": "o_orderkey",
+            "file_definition_id": "cast(o_custkey % 25 as int)",
+            "file_instance_start_time": f"cast({_O_DATE} as timestamp)",
+        }
+        | {c: _filler(c, "o_orderkey", False) for c in _INSTANCE if c not in ("file_instance_id", "file_instance_start_time")},
+    ),
+    "whole_transfer": (
+        "customer",
+        {"file_instance_id": "c_custkey * 3"} | {c: _filler(c, "c_custkey", False) for c in _TRANSFER},
+    ),
     "file_instance": (
         "orders",
         {

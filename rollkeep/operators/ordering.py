@@ -1,8 +1,10 @@
 """Explicit orders, row numbers and running totals over a whole table.
 
-A window without a partition would pull the table into one task. Here the table is range
-partitioned on the order, staged with each row's partition and place in it, and every
-partition then only needs the totals of the partitions before it: one row per partition.
+A window without a partition would pull the table into one task. Here the table is staged, range
+partitioned on the order from there (the sample for the ranges reads the stage, so the input is
+evaluated once), and staged again with each row's partition and place in it; every partition then
+only needs the totals of the partitions before it: one row per partition. The number of partitions
+follows the staged size.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollkeep.sources.staging import staged
+from rollkeep.sources.staging import discard, staged
 
 Order = Sequence[tuple[str, bool, str] | str]
 
@@ -35,13 +37,26 @@ def ordered(df: DataFrame, order: Order) -> DataFrame:
     return df.orderBy(*order_columns(order))
 
 
-def _placed(df: DataFrame, order: Order) -> DataFrame:
-    """Rows range partitioned on the order, with ``_part`` and ``_place`` (0, 1, ..) in it."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+PARTITION_BYTES = 32 << 20
+
+
+def partitions_for(table: DataFrame, target: int = PARTITION_BYTES) -> int:
+    """Partitions of about ``target`` bytes for a staged table, whose size its files tell."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, -(-size // target))
+
+
+def place_rows(df: DataFrame, order: Order) -> tuple[DataFrame, int]:
+    """Rows range partitioned on the order and staged, with ``_part`` and ``_place`` (0, 1, ..) in it, and how many
+    partitions there are."""
     columns = order_columns(order)
-    ranged = df.repartitionByRange(partitions, *columns).sortWithinPartitions(*columns)
+    base = staged(df, "unplaced")
+    parts = partitions_for(base)
+    ranged = base.repartitionByRange(parts, *columns).sortWithinPartitions(*columns)
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    return staged(ranged.select("*", F.spark_partition_id().alias("_part"), place.alias("_place")), "placed")
+    placed = staged(ranged.select("*", F.spark_partition_id().alias("_part"), place.alias("_place")), "placed")
+    discard(base)
+    return placed, parts
 
 
 def _before(placed: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
@@ -53,7 +68,7 @@ def _before(placed: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
 
 def number_rows(df: DataFrame, order: Order, name: str) -> DataFrame:
     """Consecutive numbers from 1 in the given order, which should be total."""
-    placed = _placed(df, order)
+    placed, _ = place_rows(df, order)
     before = _before(placed, {"_n": F.count(F.lit(1))})
     joined = placed.join(F.broadcast(before), placed["_part"] == before["_p"])  # one row per partition
     return joined.select((F.col("_n") + F.col("_place") + 1).alias(name), *df.columns)
@@ -65,7 +80,7 @@ def running_before(df: DataFrame, order: Order, sums: Mapping[str, str]) -> Data
     The order should be total and free of one dominating value, so that the range partitions
     are even.
     """
-    placed = _placed(df, order)
+    placed, _ = place_rows(df, order)
     totals = {f"_t_{name}": F.sum(column) for name, column in sums.items()}
     before = _before(placed, totals)
     inside = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)

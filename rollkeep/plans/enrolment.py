@@ -6,26 +6,29 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeep.functions.predicates import DateLike, as_date
 from rollkeep.functions.scalars import element, parse_compact_date
 from rollkeep.operators import joins
+from rollkeep.operators.next_fit import next_fit
 from rollkeep.operators.ordering import running_before
+from rollkeep.plans.sent import with_times_sent
 from rollkeep.sources.segments import (
     DATE,
+    USUAL,
     Named,
     Segment,
+    Separators,
     dated,
     fields_of,
     joined,
+    looped_segments,
     number_of,
-    read_segments,
-    with_loops,
     write_segments,
 )
-from rollkeep.sources.staging import staged
+from rollkeep.sources.staging import discard, scope, staged
 
 # --- reading -------------------------------------------------------------------------------
 
@@ -34,7 +37,7 @@ _MEMBER_KEY = ["file", "txn_id", "family_id", "member_id"]
 
 def read_edi(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Segments with positions and loop ids, staged because every later step reads them."""
-    return staged(with_loops(read_segments(spark, path)), "loops")
+    return looped_segments(spark, path)
 
 
 # What a member's and a coverage's own columns hold: (tag, qualifier in the first element). Of each, the first segment is
@@ -43,39 +46,41 @@ _MEMBER_NAMED = ("INS", "REF|0F", "REF|23", "DTP|303", "NM1|IL", "PER|IP", "N3",
 _COVERAGE_NAMED = ("HD", "DTP|303", "DTP|348", "DTP|349")
 
 
+# Of these, only segments in the loop of the member's own name count as the member's.
+_OF_MEMBER = ("PER", "N3", "N4", "DMG")
+
+
 def _gathered(segments: DataFrame, keys: Sequence[str], named: Sequence[str]) -> DataFrame:
     """One row per group with its segments in order: those of ``named`` by name, with all their elements in the map
-    ``own_segments``, the others as a list of elements.
+    ``own_segments``, the others as a list of elements, and in ``segment_order`` the names as they stand, ``#`` for others.
 
     A group is a member or a coverage, which holds a few dozen segments.
     """
-    own = F.sort_array(F.collect_list(F.struct("pos", "tag", "elements")))
-    gathered = segments.groupBy(*keys).agg(F.min("pos").alias("pos"), own.alias("_own"))
-    qualified = [n for n in named if "|" in n]
-
-    def name(segment: Column) -> Column:
-        full = F.concat_ws("|", segment["tag"], F.try_element_at(segment["elements"], F.lit(2)))
-        return F.when(full.isin(*qualified), full).otherwise(segment["tag"])
-
-    gathered = gathered.withColumn("_names", F.transform("_own", name))
-
-    def other(segment: Column, at: Column) -> Column:
-        own_name = F.get("_names", at)
-        return ~(own_name.isin(*named) & (F.array_position("_names", own_name) == at + 1))
-
-    others = F.transform(F.filter("_own", other), lambda segment: segment["elements"])
-    entries = F.transform(
-        F.filter("_own", lambda segment, at: ~other(segment, at)),
-        lambda segment: F.struct(name(segment).alias("key"), segment["elements"].alias("value")),
+    full = F.concat_ws("|", "tag", F.try_element_at("elements", F.lit(2)))
+    plain = [n for n in named if "|" not in n]
+    name = F.when(full.isin(*[n for n in named if "|" in n]), full).when(F.col("tag").isin(*plain), F.col("tag"))
+    own_party = ~F.col("tag").isin(*_OF_MEMBER) | F.coalesce(F.col("party") == "IL", F.lit(False))
+    rows = segments.select(*keys, "pos", F.when(own_party, name).alias("_name"), "elements")
+    own = F.sort_array(F.collect_list(F.struct("pos", F.col("_name").alias("name"), "elements")))
+    gathered = rows.groupBy(*keys).agg(F.min("pos").alias("pos"), own.alias("_own"))
+    gathered = gathered.withColumn("_names", F.transform("_own", lambda segment: F.coalesce(segment["name"], F.lit("#"))))
+    first = lambda name, at: (name != "#") & (F.array_position("_names", name) == at + 1)
+    gathered = gathered.withColumn("segment_order", F.transform("_names", lambda name, at: F.when(first(name, at), name).otherwise("#")))
+    others = F.filter("_own", lambda _, at: F.get("segment_order", at) == "#")
+    entries = F.filter("_own", lambda _, at: F.get("segment_order", at) != "#")
+    return gathered.withColumns(
+        {
+            "other_segments": F.transform(others, lambda segment: segment["elements"]),
+            "own_segments": F.map_from_entries(
+                F.transform(entries, lambda segment: F.struct(segment["name"].alias("key"), segment["elements"].alias("value")))
+            ),
+        }
     )
-    return gathered.withColumns({"other_segments": others, "own_segments": F.map_from_entries(entries)})
 
 
 def _picked(named: str, position: int) -> Column:
     """An element of the group's first segment of this name; null when there is none."""
-    at = F.array_position("_names", named)
-    segment = F.when(at > 0, F.get("_own", (at - 1).cast("int")))
-    return element(segment["elements"], position)
+    return element(F.col("own_segments")[named], position)
 
 
 # The kinds of contact in PER03 that are telephones; a number without a kind is taken for one.
@@ -85,7 +90,8 @@ _PHONES = ("", "AP", "BN", "CP", "HP", "TE", "WP")
 def members(segments: DataFrame) -> DataFrame:
     """One row per member from the segments before its first coverage, those without a column in ``other_segments``.
 
-    ``own_segments`` has every element of the segments that columns come from; :func:`write_edi` writes them back.
+    ``own_segments`` has every element of the segments that columns come from, ``segment_order`` the order of all;
+    :func:`write_edi` writes them back as they were.
     """
     own = segments.where(F.col("member_id").isNotNull() & F.col("coverage_id").isNull())
     # a coverage id runs on through the following members, so their own segments carry none
@@ -120,6 +126,7 @@ def members(segments: DataFrame) -> DataFrame:
         parse_compact_date(_picked("DTP|303", 3)).alias("maintenance_date"),
         "other_segments",
         "own_segments",
+        "segment_order",
     )
 
 
@@ -138,6 +145,7 @@ def coverages(segments: DataFrame) -> DataFrame:
         parse_compact_date(_picked("DTP|349", 3)).alias("benefit_end"),
         "other_segments",
         "own_segments",
+        "segment_order",
     )
 
 
@@ -194,11 +202,8 @@ def check_envelope(segments: DataFrame) -> DataFrame:
         .select("file", F.lit("SE").alias("tag"), "txn_id", "stated", "counted", "same_control")
     )
     ends = segments.where("tag in ('GS', 'GE', 'ISA', 'IEA', 'ST')")
-    # a few rows per transaction; a group reaches from its GS to the next
-    opened = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_group = (
-        ends.where("tag in ('GS', 'GE', 'ST')")
-        .withColumn("group_id", F.count_if(F.col("tag") == "GS").over(opened))
+        ends.where("tag in ('GS', 'GE', 'ST') and group_id is not null")
         .groupBy("file", "group_id")
         .agg(
             stated("GE").alias("_ge"),
@@ -217,6 +222,60 @@ def check_envelope(segments: DataFrame) -> DataFrame:
     return rows.select("*", (F.coalesce(F.col("stated") == F.col("counted"), F.lit(False)) & F.col("same_control")).alias("ok"))
 
 
+def transactions(segments: DataFrame) -> DataFrame:
+    """One row per transaction: its file, group and place in the group, what its header says, and what its group states.
+
+    Only the segments before the first member count, one row of them per transaction. A code that a header holds several
+    times gives its first one.
+    """
+    at = F.col("pos")
+
+    def first(tag: str, position: int, qualifier: str | None = None) -> Column:
+        mine = F.col("tag") == tag
+        if qualifier is not None:
+            mine = mine & (element("elements", 1) == qualifier)
+        return F.min_by(element("elements", position), F.when(mine, at))
+
+    def day(qualifier: str) -> Column:
+        return parse_compact_date(first("DTP", 3, qualifier))
+
+    parties = {"sponsor": "P5", "insurer": "IN", "broker": "BO", "administrator": "TV"}
+    header = segments.where("txn_id is not null and member_id is null and tag <> 'SE'")
+    found = header.groupBy("file", "group_id", "txn_id").agg(
+        first("ST", 2).alias("control"),
+        first("ST", 3).alias("version"),
+        first("BGN", 1).alias("purpose"),
+        first("BGN", 2).alias("reference"),
+        parse_compact_date(first("BGN", 3)).alias("created"),
+        first("BGN", 4).alias("created_time"),
+        first("BGN", 6).alias("original_reference"),
+        first("BGN", 8).alias("action"),
+        first("REF", 2, "38").alias("policy"),
+        day("007").alias("effective_date"),
+        day("090").alias("report_start"),
+        day("091").alias("report_end"),
+        day("303").alias("maintenance_effective"),
+        day("382").alias("enrolment_date"),
+        *[
+            first("N1", position, code).alias(f"{name}_{part}")
+            for name, code in parties.items()
+            for part, position in (("name", 2), ("id_qualifier", 3), ("id", 4))
+        ],
+    )
+    groups = segments.where("tag in ('GS', 'ST')").groupBy("file", "group_id").agg(
+        F.min("txn_id").alias("_first"),
+        *[
+            F.max(F.when(F.col("tag") == "GS", element("elements", position))).alias(name)
+            for position, name in ((1, "functional_id"), (2, "sender_code"), (3, "receiver_code"), (6, "group_control"), (8, "group_version"))
+        ],
+    )
+    # A transaction outside of any group keeps its row.
+    keys = ["file", "group_id"]
+    joined_rows = joins.left(found, groups.where("group_id is not null"), keys)
+    place = (F.col("txn_id") - F.col("_first") + 1).alias("txn_in_group")
+    return joined_rows.select(*keys, "txn_id", place, *[c for c in joined_rows.columns if c not in (*keys, "txn_id", "_first")])
+
+
 # --- validation ----------------------------------------------------------------------------
 
 
@@ -264,14 +323,19 @@ def _conditions(rule: Rule) -> list[tuple[Column, str, Column]]:
     return found
 
 
+# what an exception says of the member; the last two are there when a run numbers its records
+_WHO = ("subscriber_id", "member_code", "is_subscriber", "file_instance_id", "file_record_id")
+
+
 def validate(elements: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Exceptions for rows ``subscriber_id, member_code, is_subscriber, tag, elements``.
+    """Exceptions for rows ``subscriber_id, member_code, is_subscriber, tag, elements``, and with the run's and the record's
+    number where the rows have them.
 
     The rules are few and become columns: each segment is tested against the rules of its tag
     in place, so the input is read once and only failures are widened to rows. A required element
     of a segment that a member does not have at all is missing too, where the rows show the member.
     """
-    who = ["subscriber_id", "member_code", "is_subscriber"]
+    who = [c for c in _WHO if c in elements.columns]
 
     def applies(rule: Rule) -> Column:
         return F.lit(True) if rule.of is None else F.col("is_subscriber") == rule.of
@@ -302,6 +366,7 @@ def validate(elements: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
         "_e.detail",
         "subscriber_id",
         F.col("member_code").alias("member_id"),
+        *who[3:],
     )
 
 
@@ -367,14 +432,20 @@ def limit_members(
     member_term_limit: int | None = None,
     changed: str = "maintenance_date",
     ended: str = "benefit_end",
-    times_sent: str = "times_sent",
+    times_sent: str | DataFrame = "times_sent",
+    keys: Sequence[str] = ("subscriber_id", "member_seq", "coverage_seq"),
 ) -> DataFrame:
     """Members a run sends: open ones, and ended ones that ended on or after ``termination_min`` and
     were sent as ended fewer than ``member_term_limit`` times; with ``lookback_min``, changed since then
     or at an unknown time.
 
+    ``times_sent`` is a column, or the ledger of what earlier runs sent, by ``keys`` (:mod:`rollkeep.plans.sent`); the
+    column of that name is then part of the result.
+
     The meaning of the three limits is inferred from their names; leave one out to skip it.
     """
+    if isinstance(times_sent, DataFrame):
+        rows, times_sent = with_times_sent(rows, times_sent, keys, ended), "times_sent"
     closed_ok = F.lit(True)
     if termination_min is not None:
         closed_ok = closed_ok & (F.col(ended) >= as_date(termination_min))
@@ -405,6 +476,13 @@ def split_sets(rows: DataFrame, soft_limit: int) -> DataFrame:
     return placed.select("*", F.expr(f"members_before div {soft_limit}").alias("set_no"))
 
 
+def split_sets_restart(rows: DataFrame, soft_limit: int) -> DataFrame:
+    """The same by the other reading of the soft limit: a set is closed before the family that would take it over the
+    limit, and the count starts again with the next; only a family that is larger by itself makes a set that is."""
+    counted = split_sets(rows, soft_limit).drop("set_no")
+    return next_fit(counted, ["subscriber_id"], "family_size", soft_limit, "set_no")
+
+
 # --- writing -------------------------------------------------------------------------------
 
 
@@ -413,6 +491,8 @@ class Envelope:
     """What the run states about itself; invented defaults.
 
     ``sets_per_interchange``: left out, a run is one interchange; stated, it becomes as many as it takes.
+    ``restart``: count anew for each set (:func:`split_sets_restart`). ``first_control``: control number of the first
+    interchange, of its group and of the first set; folders are numbered from it too, less one.
     """
 
     sender: str = "SENDER"
@@ -428,6 +508,9 @@ class Envelope:
     action: str = "4"
     soft_limit: int = 990
     sets_per_interchange: int | None = None
+    restart: bool = False
+    first_control: int = 1
+    separators: Separators = USUAL
 
     def __post_init__(self) -> None:
         for name in (self.sender, self.receiver):
@@ -446,7 +529,7 @@ def _plain(value: str) -> str:
     return value.translate(str.maketrans("*~>^", "    "))
 
 
-_ORDER = ["section", "set_no", "part", "subscriber_id", "member_seq", "coverage_seq"]
+_ORDER = ["section", "set_no", "turn", "subscriber_id", "member_seq", "coverage_seq"]
 
 
 def _filled(*columns: str) -> str:
@@ -562,20 +645,33 @@ COVERAGE_SEGMENTS = (
 
 
 # columns that members and coverages may come without
-_KEPT = {"other_segments": "array<array<string>>", "own_segments": "map<string, array<string>>"}
-_MEMBER_OPTIONAL = {"name_prefix": "string", "name_suffix": "string", "marital_status": "string"} | _KEPT
-_COVERAGE_OPTIONAL = {"maintenance_date": "date"} | _KEPT
+_KEPT = {"other_segments": "array<array<string>>", "own_segments": "map<string, array<string>>", "segment_order": "array<string>"}
+_MEMBER_OPTIONAL = {"name_prefix": "string", "name_suffix": "string", "marital_status": "string"}
+_COVERAGE_OPTIONAL = {"maintenance_date": "date"}
+
+
+def _was_read(rows: DataFrame) -> bool:
+    return "own_segments" in rows.columns
 
 
 def _complete(rows: DataFrame, optional: dict[str, str]) -> DataFrame:
-    return rows.withColumns({name: F.lit(None).cast(kind) for name, kind in optional.items() if name not in rows.columns})
+    """Rows with all columns that segments are made of; those that only reading gives all or none."""
+    wanted = optional | (_KEPT if _was_read(rows) or "other_segments" in rows.columns else {})
+    return rows.withColumns({name: F.lit(None).cast(kind) for name, kind in wanted.items() if name not in rows.columns})
 
 
-def _elements(rows: DataFrame, segments: Sequence[Segment], rules: Sequence[Rule]) -> DataFrame:
-    who, ruled = ["subscriber_id", "member_code", "is_subscriber"], {rule.tag for rule in rules}
+def _segments_of(rows: DataFrame, segments: Sequence[Named]) -> Sequence[Segment]:
+    """The segments of these rows: rows that were never read need no comparison with what was read."""
+    return segments if _was_read(rows) else [s.new for s in segments]
+
+
+def _elements(rows: DataFrame, segments: Sequence[Named], rules: Sequence[Rule]) -> DataFrame:
+    who, ruled = [c for c in _WHO if c in rows.columns], {rule.tag for rule in rules}
     # the first segment shows that the member is there
-    wanted = [s for i, s in enumerate(segments) if i == 0 or s.tag in ruled]
-    every = F.concat(fields_of(*wanted), F.coalesce("other_segments", F.array().cast("array<array<string>>")))
+    wanted = [s for i, s in enumerate(_segments_of(rows, segments)) if i == 0 or s.tag in ruled]
+    every = fields_of(*wanted)
+    if "other_segments" in rows.columns:
+        every = F.concat(every, F.coalesce("other_segments", F.array().cast("array<array<string>>")))
     lines = rows.select(*who, F.explode(every).alias("elements"))
     return lines.select(*who, F.element_at("elements", 1).alias("tag"), "elements")
 
@@ -589,7 +685,7 @@ def member_elements(rows: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame
 def coverage_elements(rows: DataFrame, covers: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The same for the coverages of these members."""
     key = ["subscriber_id", "member_seq"]
-    who = rows.select(*key, "member_code", "is_subscriber")
+    who = rows.select(*key, *[c for c in _WHO if c in rows.columns and c != "subscriber_id"])
     return _elements(joins.inner(_complete(covers, _COVERAGE_OPTIONAL), who, key), COVERAGE_SEGMENTS, rules)
 
 
@@ -631,30 +727,40 @@ def _opening(envelope: Envelope) -> str:
     return f"concat({_text(isa)}, control, '*0*P*>', {_text(gs)}, control, {_text('*X*' + _plain(envelope.version))})"
 
 
-def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFrame:
+def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> tuple[DataFrame, int]:
     """What the output is made of, one row each: the interchange's ends, a transaction's ends,
-    a member, a coverage. ``kind`` tells them apart; each has the columns its segments need."""
+    a member, a coverage. ``kind`` tells them apart; each has the columns its segments need, and ``part``, the number of
+    the output partition that it belongs to: as many members each, in the order of the file. With the number of those."""
     rows, covers = _complete(rows, _MEMBER_OPTIONAL), _complete(covers, _COVERAGE_OPTIONAL)
-    placed = staged(split_sets(rows, envelope.soft_limit), "sets").select("subscriber_id", "set_no")
+    split = split_sets_restart if envelope.restart else split_sets
+    sets_of = staged(split(rows, envelope.soft_limit), "sets")
+    n = sets_of.agg(F.coalesce(F.max(F.col("members_before") + F.col("family_size")), F.lit(0))).first()[0]
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // MEMBERS_PER_PART))
+    per_part = max(1, -(-n // parts))
+    placed = sets_of.select("subscriber_id", "set_no", F.expr(f"cast(members_before div {per_part} as int)").alias("part"))
     member = joins.inner(rows, placed, ["subscriber_id"])
     kept = joins.semi(covers, rows, ["subscriber_id", "member_seq"])
     cover = joins.inner(kept, placed, ["subscriber_id"])
 
-    zero = F.lit(0)
+    zero, first = F.lit(0), envelope.first_control
     sizes = member.select(
         "set_no",
-        (number_of(*MEMBER_SEGMENTS) + _more()).alias("lines"),
+        (number_of(*_segments_of(rows, MEMBER_SEGMENTS)) + _more(rows)).alias("lines"),
         F.expr("case when is_subscriber = 'N' then 1 else 0 end").alias("dependent"),
         F.expr("case when is_subscriber = 'Y' then 1 else 0 end").alias("employee"),
         F.lit(1).alias("one"),
-    ).unionAll(cover.select("set_no", number_of(*COVERAGE_SEGMENTS) + _more(), zero, zero, zero))
+        "part",
+    ).unionAll(cover.select("set_no", number_of(*_segments_of(covers, COVERAGE_SEGMENTS)) + _more(covers), zero, zero, zero, "part"))
     sets = staged(
         sizes.groupBy("set_no").agg(
             F.sum("dependent").alias("dependents"),
             F.sum("employee").alias("employees"),
             F.sum("one").alias("total"),
             (F.sum("lines") + len(_header(envelope)) + 1).alias("lines"),
-            F.expr("lpad(cast(set_no + 1 as string), 9, '0')").alias("control"),
+            F.expr(f"lpad(cast(set_no + {first} as string), 9, '0')").alias("control"),
+            F.min("part").alias("first_part"),
+            F.max("part").alias("last_part"),
         ),
         "set-counts",
     )
@@ -662,20 +768,24 @@ def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFra
     number = "0L" if per_file is None else f"set_no div {per_file}"
     files = (
         sets.groupBy(F.expr(number).alias("number"))
-        .agg(F.count(F.lit(1)).alias("sets"))
+        .agg(F.count(F.lit(1)).alias("sets"), F.min("first_part").alias("first_part"), F.max("last_part").alias("last_part"))
         .select(
             F.expr(f"number * {per_file or 1}").alias("set_no"),
             "sets",
-            F.expr("lpad(cast(number + 1 as string), 9, '0')").alias("control"),
+            F.expr(f"lpad(cast(number + {first} as string), 9, '0')").alias("control"),
+            "first_part",
+            "last_part",
         )
     )
 
     def units(source: DataFrame, kind: str, section: int, part: int) -> DataFrame:
         missing = [c for c in ("member_seq", "coverage_seq") if c not in source.columns]
-        return source.select(
+        ends = {"opening": "first_part", "header": "first_part", "trailer": "last_part", "closing": "last_part"}
+        placed_in = source.withColumnRenamed(ends[kind], "part").drop("first_part", "last_part") if kind in ends else source
+        return placed_in.select(
             F.lit(kind).alias("kind"),
             F.lit(section).alias("section"),
-            F.lit(part).alias("part"),
+            F.lit(part).alias("turn"),
             *[zero.alias(c) for c in missing],
             "*",
         )
@@ -689,20 +799,31 @@ def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> DataFra
         units(files, "closing", 2, 0),
     ):
         everything = everything.unionByName(more, allowMissingColumns=True)
-    return everything.select(F.expr(number).alias("interchange"), "*")
+    return everything.select(F.expr(f"{number} + {first - 1}").alias("interchange"), "*"), parts
+
+
+# a partition of the output holds about so many members, or fewer where the session asks for more partitions
+MEMBERS_PER_PART = 20_000
 
 
-def _more() -> Column:
-    return F.coalesce(F.size("other_segments"), F.lit(0))
+def _more(rows: DataFrame) -> Column:
+    return F.coalesce(F.size("other_segments"), F.lit(0)) if "other_segments" in rows.columns else F.lit(0)
 
 
-def unit_text(envelope: Envelope) -> str:
-    """The segments of a unit, as a SQL expression."""
+def unit_text(envelope: Envelope, rows: DataFrame, covers: DataFrame) -> str:
+    """The segments of a unit of these members and coverages, as a SQL expression."""
+
+    def own(source: DataFrame, segments: Sequence[Named]) -> str:
+        if "other_segments" not in source.columns:
+            return joined(*_segments_of(source, segments))
+        order = "segment_order" if _was_read(source) else None
+        return joined(*_segments_of(source, segments), others="other_segments", order=order)
+
     texts = {
         "opening": _opening(envelope),
         "header": joined(*_header(envelope)),
-        "member": joined(*MEMBER_SEGMENTS, others="other_segments"),
-        "coverage": joined(*COVERAGE_SEGMENTS, others="other_segments"),
+        "member": own(rows, MEMBER_SEGMENTS),
+        "coverage": own(covers, COVERAGE_SEGMENTS),
         "trailer": joined(Segment("SE", "lines", "control")),
         "closing": joined(Segment("GE", "sets", "control"), Segment("IEA", "1", "control")),
     }
@@ -714,10 +835,12 @@ def write_edi(rows: DataFrame, covers: DataFrame, path: str, envelope: Envelope
 
     Members have ``subscriber_id, member_seq`` (0 for the subscriber, then 1, 2, ..) and the
     columns :func:`members` returns; coverages have ``subscriber_id, member_seq, coverage_seq``. Of rows that were read,
-    a segment keeps its elements but those whose column was changed, and INS17 stays as it was read.
+    a segment keeps its place and its elements but those whose column was changed, and INS17 stays as it was read.
     Without members an empty folder is written.
     """
-    write_segments(edi_units(rows, covers, envelope), path, _ORDER, unit_text(envelope))
+    with scope(rows.sparkSession):
+        units, parts = edi_units(rows, covers, envelope)
+        write_segments(units, path, _ORDER, unit_text(envelope, rows, covers), envelope.separators, ("part", parts))
 
 
 # --- a whole run ---------------------------------------------------------------------------
@@ -735,9 +858,14 @@ def run_file(
 
     Returns the one-row counts of the run and its exceptions. Without subscribers nothing is
     written. A closed gate raises before anything is written; its error carries the exceptions.
+
+    Members and coverages are evaluated once, when they are staged; checks, counts and the writer read
+    the columns they need of that. Counts are not taken as metrics along the way: those count a task's
+    rows again when its executor is lost and it runs once more.
     """
+    rows, covers = staged(rows, "run-members"), staged(covers, "run-coverages")
     exceptions = staged(all_exceptions(rows, covers, rules), "exceptions")
-    kept = staged(reject_families(rows, exceptions), "kept")
+    kept = reject_families(rows, exceptions)
     counts = run_counts(rows, kept, exceptions)
     found = counts.first()
     counts = rows.sparkSession.createDataFrame([tuple(found)], counts.schema)
@@ -745,4 +873,5 @@ def run_file(
         return counts, exceptions
     _gate_check(found["errors"], max_errors, exceptions)
     write_edi(kept, covers, path, envelope)
+    discard(rows, covers)
     return counts, exceptions

@@ -22,7 +22,9 @@ from rollkeep.operators.aggregates import choose_location, count_when, location_
 from rollkeep.operators.asof import latest_as_of
 from rollkeep.operators.layout import typed
 from rollkeep.operators.ordering import number_rows
+from rollkeep.sources.staging import discard, staged
 from rollkeep.sources.tables import Tables, insert_select
+from rollkeep.sources.versions import new_version, newest
 
 # The population the filing counts.
 FILING_STATE = "NY"
@@ -285,6 +287,42 @@ ADDRESS_COLUMNS = (
 ).split()
 
 
+# what says when and why a row was sent, not what it says
+_OF_THE_RUN = ("ny_dbl_record_id", "status", "status_date", "cancel_reason")
+
+
+def filing_digests(rows: DataFrame) -> DataFrame:
+    """``company`` and a digest of all its rows, whatever their order, without what differs from run to run."""
+    said = F.sha2(F.to_json(F.struct(*[c for c in RESULT.names if c not in _OF_THE_RUN]), {"ignoreNullFields": "false"}), 256)
+    listed = F.array_join(F.sort_array(F.collect_list("_digest")), ",")
+    return rows.select("company", said.alias("_digest")).groupBy("company").agg(F.sha2(listed, 256).alias("digest"))
+
+
+def change_run(current: DataFrame, path: str, run: int, effective: dt.date | str) -> DataFrame:
+    """The change file of a run against what was sent last, as :func:`change_filing` makes it, and keep what is sent now.
+
+    What was sent last is a version of its own per run, with a digest by company: only companies whose digest is new,
+    other or gone are compared row by row. A repeated run compares with the state before it again. Staged.
+    """
+    spark = current.sparkSession
+    now, digests = staged(current, "filing-now"), staged(filing_digests(current), "filing-digests")
+    before = newest(spark, path, below=run)
+    if before is None:
+        changed = staged(change_filing(now, now.limit(0), effective), "filing-changes")
+    else:
+        known = before.read("digests")
+        same = digests.join(known, ["company", "digest"], "left_semi").select("company")
+        changed = staged(
+            change_filing(joins.anti(now, same, ["company"]), joins.anti(before.read("rows"), same, ["company"]), effective), "filing-changes"
+        )
+    version = new_version(spark, path, run)
+    version.write("rows", now)
+    version.write("digests", digests)
+    version.complete()
+    discard(now, digests)
+    return changed
+
+
 def change_filing(current: DataFrame, sent: DataFrame, effective: dt.date | str) -> DataFrame:
     """The rows of a change file against what was sent before, in the filing's layout.
 

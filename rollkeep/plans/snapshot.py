@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import uuid
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeep.operators import joins
+from rollkeep.sources.versions import drop_versions, new_version, newest
 
 
 def refresh_snapshot(source1: DataFrame, source2: DataFrame, group_lookup: DataFrame, path: str) -> DataFrame:
@@ -16,20 +16,16 @@ def refresh_snapshot(source1: DataFrame, source2: DataFrame, group_lookup: DataF
 
     Both sources have the same columns with ``company`` among them; ``group_lookup`` has one
     ``group_number`` per company, and a member without one keeps a null. Each refresh writes a
-    version of its own; readers see it when its last step, a mark beside both tables, is there,
-    so a refresh that fails leaves the one before in place. Older versions stay, so the sources
-    may read from ``path``.
+    version of its own, so a refresh that fails leaves the one before in place. Older versions stay until
+    :func:`drop_snapshots`, so the sources may read from ``path``.
     """
-    spark = source1.sparkSession
-    version = f"{path}/version={_latest(spark, path)[0] + 1:09d}-{uuid.uuid4().hex}"
-    group_lookup.write.parquet(f"{version}/groups")
-    groups = spark.read.parquet(f"{version}/groups").select("company", "group_number")
+    version = new_version(source1.sparkSession, path)
+    groups = version.write("groups", group_lookup).select("company", "group_number")
     first = source1.withColumn("source", F.lit("first"))
     second = source2.withColumn("source", F.lit("second"))
     both = joins.lookup_one(first.unionByName(second), groups, ["company"], "group_number", "group_number")
-    both.write.parquet(f"{version}/members")
-    spark.range(1).write.parquet(f"{version}/complete")
-    written = spark.read.parquet(f"{version}/members")
+    written = version.write("members", both)
+    version.complete()
     stages = written.groupBy(F.col("source").alias("stage")).agg(
         F.count(F.lit(1)).alias("rows"), F.count("group_number").alias("grouped")
     )
@@ -39,18 +35,14 @@ def refresh_snapshot(source1: DataFrame, source2: DataFrame, group_lookup: DataF
     return stages.unionByName(lookup)
 
 
-def _latest(spark: SparkSession, path: str) -> tuple[int, str | None]:
-    """Number and folder of the newest complete version; 0 and nothing before the first."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/complete/_SUCCESS")
-    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
-    folders = [status.getPath().getParent().getParent().toString() for status in found]
-    numbered = [(int(re.search(r"version=(\d+)", f.rsplit("/", 1)[1])[1]), f) for f in folders]
-    return max(numbered, default=(0, None))
-
-
 def read_snapshot(spark: SparkSession, path: str, table: str = "members") -> DataFrame:
     """``members`` or ``groups`` of the newest complete refresh."""
-    folder = _latest(spark, path)[1]
-    if folder is None:
+    version = newest(spark, path)
+    if version is None:
         raise FileNotFoundError(f"no complete snapshot below {path}")
-    return spark.read.parquet(f"{folder}/{table}")
+    return version.read(table)
+
+
+def drop_snapshots(spark: SparkSession, path: str, before: dt.datetime) -> list[int]:
+    """Delete the refreshes completed before a time, but for the newest."""
+    return drop_versions(spark, path, before)

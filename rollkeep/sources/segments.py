@@ -1,16 +1,22 @@
 """Segment files: reading with loop ids, and writing in order.
 
 A segment file is one long line cut at a separator, so a segment's place is all that says
-which transaction, family, member and coverage it belongs to. Spark reads such a file in
+which group, transaction, family, member and coverage it belongs to. Spark reads such a file in
 blocks. The counts that make the ids are taken inside each block, which is bounded by
 ``spark.sql.files.maxPartitionBytes``, and completed with the totals of the blocks before it:
 one row per block. No task reads a whole file.
+
+A file states its separators in its first segment, which is of fixed width. Each file's first bytes
+are looked at, and files with the same separators are read together.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +25,8 @@ from rollkeep.sources.staging import staged
 
 SEGMENT = "~"
 ELEMENT = "*"
+REPETITION = "^"
+COMPONENT = ">"
 
 # segments of the envelope around transactions
 ENVELOPE_TAGS = ["ISA", "GS", "GE", "IEA"]
@@ -26,66 +34,186 @@ ENVELOPE_TAGS = ["ISA", "GS", "GE", "IEA"]
 BOUNDARY_TAGS = ["ST", "INS", "HD", "SE"]
 # more files than a task of Spark's writer ever makes
 FILES_PER_PART = 1_000_000
+# Length of the first segment with its separator, and the places of the separators in it.
+ISA_LENGTH, AT_ELEMENT, AT_REPETITION, AT_COMPONENT, AT_SEGMENT = 106, 3, 82, 104, 105
 
 
-def read_segments(
-    spark: SparkSession, path: str | Sequence[str], separator: str = SEGMENT, element: str = ELEMENT
-) -> DataFrame:
-    """Segments with their place: ``file, piece, block, row, tag, elements``.
+def _sign(character: str) -> bool:
+    return len(character) == 1 and not character.isalnum() and character not in " -."
 
-    ``file`` is the interchange: a folder ``interchange=N`` as the writer makes it, whose part
-    files follow each other in the order of part and file number, or else a single file. With
-    several paths an interchange goes by its folder's full path. The result is staged once, so
-    that the block boundaries stay the same for all readers of it.
+
+@dataclass(frozen=True)
+class Separators:
+    """The four signs of a file."""
+
+    segment: str = SEGMENT
+    element: str = ELEMENT
+    repetition: str = REPETITION
+    component: str = COMPONENT
+
+    def __post_init__(self) -> None:
+        signs = (self.segment, self.element, self.repetition, self.component)
+        if len(set(signs)) < 4 or not all(map(_sign, signs)):
+            raise ValueError(f"these can't all be separators: {signs}")
+
+    def own_text(self, text: str) -> str:
+        """SQL of a text that was made with the usual signs, with these instead; where they stand in values they are blanked."""
+        usual, own = SEGMENT + ELEMENT + REPETITION + COMPONENT, self.segment + self.element + self.repetition + self.component
+        if own == usual:
+            return text
+        others = "".join(sign for sign in own if sign not in usual)
+        return f"translate({text}, {_sql(usual + others)}, {_sql(own + ' ' * len(others))})"
+
+
+def _sql(value: str) -> str:
+    """A string as a SQL expression, by its characters' codes."""
+    return "concat(" + ", ".join(f"chr({ord(c)})" for c in value) + ")"
+
+
+USUAL = Separators()
+
+
+def separators_of(start: str) -> Separators | None:
+    """The signs that a file's first characters state; nothing if they are no such segment."""
+    if len(start) < ISA_LENGTH or not start.startswith("ISA") or not _sign(start[AT_ELEMENT]):
+        return None
+    if len(start[:AT_SEGMENT].split(start[AT_ELEMENT])) != 17 or not _sign(start[AT_SEGMENT]):
+        return None
+    repetition = start[AT_REPETITION]  # in old versions a letter that names a standard
+    signs = (start[AT_SEGMENT], start[AT_ELEMENT], repetition if _sign(repetition) else REPETITION, start[AT_COMPONENT])
+    return Separators(*signs) if len(set(signs)) == 4 and _sign(signs[3]) else None
+
+
+def _starts(spark: SparkSession, files: Sequence[str]) -> list[str]:
+    """The first characters of each file, compressed ones too."""
+    java = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    codecs = java.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def start(file: str) -> str:
+        place = java.org.apache.hadoop.fs.Path(file)
+        stream = place.getFileSystem(conf).open(place)
+        try:
+            codec = codecs.getCodec(place)
+            stream = stream if codec is None else codec.createInputStream(stream)
+            few = java.org.apache.commons.io.input.BoundedInputStream(stream, ISA_LENGTH)
+            return java.org.apache.commons.io.IOUtils.toString(few, "ISO-8859-1")
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(start, files))
+
+
+def _place_of(file: str) -> tuple[str, int, int]:
+    """What a file belongs to (its folder ``interchange=N`` or itself), and its part and number there."""
+    folder, _, name = file.rpartition("/")
+    if not folder.rpartition("/")[2].startswith("interchange="):
+        return file, 0, 0
+    part, number = re.match(r"part-(\d+)", name), re.search(r"[.-]c(\d+)\.", name)
+    return folder, int(part[1]) if part else 0, int(number[1]) if number else 0
+
+
+def stated_separators(spark: SparkSession, path: str | Sequence[str]) -> dict[Separators, list[str]]:
+    """Files and interchange folders by the separators that they state; the usual ones where none are stated.
+
+    One small read per interchange, of its first file only.
     """
-    raw = spark.read.option("lineSep", separator).option("recursiveFileLookup", True).text(path)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    first: dict[str, tuple[int, int, str]] = {}
+    for row in listed.collect():  # the names that reading them lists too
+        owner, part, number = _place_of(row["path"])
+        file = (part, number, row["path"])
+        first[owner] = min(first.get(owner, file), file)
+    owners = sorted(first)
+    found: dict[Separators, list[str]] = {}
+    for owner, start in zip(owners, _starts(spark, [first[o][2] for o in owners])):
+        found.setdefault(separators_of(start) or USUAL, []).append(owner)
+    return found
+
+
+def _raw_segments(spark: SparkSession, path: str | Sequence[str], separators: Separators | None) -> DataFrame:
+    every = [path] if isinstance(path, str) else list(path)
+    styles = {separators: every} if separators else stated_separators(spark, path)
+    if len(styles) < 2:  # all alike: no need to name the files one by one
+        styles = {style: every for style in styles or [USUAL]}
+    return reduce(DataFrame.union, [_styled_segments(spark, places, style, len(every) > 1) for style, places in styles.items()])
+
+
+def _styled_segments(spark: SparkSession, places: Sequence[str], style: Separators, several: bool) -> DataFrame:
+    raw = spark.read.option("lineSep", style.segment).option("recursiveFileLookup", True).text(list(places))
     steps = F.split("_metadata.file_path", "/")
     folder, name = F.element_at(steps, -2), F.element_at(steps, -1)
     written = folder.startswith("interchange=")
-    run = F.regexp_replace("_metadata.file_path", "/[^/]*$", "") if _several(path) else F.split(folder, "=")[1]
+    run = F.regexp_replace("_metadata.file_path", "/[^/]*$", "") if several else F.split(folder, "=")[1]
     file = F.when(written, run).otherwise(F.col("_metadata.file_path"))
     number = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long")
     count = F.regexp_extract(name, r"[.-]c(\d+)\.", 1).try_cast("long")
     place = F.coalesce(number, F.lit(0)) * FILES_PER_PART + F.coalesce(count, F.lit(0))
     part = F.when(written, place).otherwise(F.lit(0).cast("long"))
     text = F.trim(F.regexp_replace("value", r"[\r\n]+", ""))
+    elements = F.split(text, re.escape(style.element))
+    if (style.repetition, style.component) != (REPETITION, COMPONENT):
+        # Inside an element every file's signs are the usual ones from here on; the first segment keeps what it states.
+        usual = F.transform(elements, lambda x: F.translate(x, style.repetition + style.component, REPETITION + COMPONENT))
+        elements = F.when(F.element_at(elements, 1) == "ISA", elements).otherwise(usual)
     placed = raw.select(
         file.alias("file"),
         part.alias("piece"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
-        F.split(text, re.escape(element)).alias("elements"),
+        elements.alias("elements"),
     ).where(F.element_at("elements", 1) != "")
-    return staged(placed.withColumn("tag", F.element_at("elements", 1)), "segments")
+    return placed.withColumn("tag", F.element_at("elements", 1))
+
+
+def read_segments(spark: SparkSession, path: str | Sequence[str], separators: Separators | None = None) -> DataFrame:
+    """Segments with their place: ``file, piece, block, row, elements, tag``, staged.
+
+    ``file`` is the interchange: a folder ``interchange=N`` as the writer makes it, whose part
+    files follow each other in the order of part and file number, or else a single file. With
+    several paths an interchange goes by its folder's full path. Each file is cut by the separators
+    that it states, unless they are handed in.
+    """
+    return staged(_raw_segments(spark, path, separators), "segments")
 
 
-def _several(path: str | Sequence[str]) -> bool:
-    return not isinstance(path, str) and len(path) > 1
+def looped_segments(spark: SparkSession, path: str | Sequence[str], separators: Separators | None = None) -> DataFrame:
+    """:func:`with_loops` of the files, staged once. Blocks and their rows come out alike each time a file is scanned."""
+    return staged(with_loops(_raw_segments(spark, path, separators)), "loops")
 
 
 def with_loops(segments: DataFrame) -> DataFrame:
-    """Add ``pos`` (place in the file from 1) and the ids ``txn_id``, ``family_id``, ``member_id`` and
-    ``coverage_id``, running numbers per file, null for segments outside such a loop."""
+    """Add ``pos`` (place in the file from 1) and the ids ``group_id``, ``txn_id``, ``family_id``, ``member_id`` and
+    ``coverage_id``, running numbers per file, null for segments outside such a loop; and ``party``, the code of the name
+    (NM1) in whose loop a segment of a member stands, null before the first one."""
     tag = F.col("tag")
     counted: dict[str, Column] = {
         "pos": F.lit(1),
+        "group_id": (tag == "GS").cast("int"),
         "txn_id": (tag == "ST").cast("int"),
         "family_id": ((tag == "INS") & (F.try_element_at("elements", F.lit(2)) == "Y")).cast("int"),
         "member_id": (tag == "INS").cast("int"),
         "coverage_id": (tag == "HD").cast("int"),
     }
-    boundary = F.when(tag.isin(*BOUNDARY_TAGS), tag)
+    # what the segments after a segment are inside of, until the next one with a value
+    code = F.coalesce(F.try_element_at("elements", F.lit(2)), F.lit(""))
+    running: dict[str, Column] = {
+        "within": F.when(tag.isin(*BOUNDARY_TAGS), tag),
+        "envelope": F.when(tag.isin(*ENVELOPE_TAGS), tag),
+        "party": F.when(tag == "NM1", code).when(tag.isin(*BOUNDARY_TAGS), F.lit("")),
+    }
     block = ["file", "piece", "block"]
 
     totals = segments.groupBy(*[F.col(c).alias(f"_{c}") for c in block]).agg(
         *[F.sum(one).alias(f"_n_{name}") for name, one in counted.items()],
-        F.max_by(tag, F.when(boundary.isNotNull(), F.col("row"))).alias("_last"),
+        *[F.max_by(value, F.when(value.isNotNull(), F.col("row"))).alias(f"_last_{name}") for name, value in running.items()],
     )
     earlier = Window.partitionBy("_file").orderBy("_piece", "_block").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(
         *[f"_{c}" for c in block],
         *[F.coalesce(F.sum(f"_n_{name}").over(earlier), F.lit(0)).alias(f"_b_{name}") for name in counted],
-        F.last("_last", ignorenulls=True).over(earlier).alias("_carried"),
+        *[F.last(f"_last_{name}", ignorenulls=True).over(earlier).alias(f"_carried_{name}") for name in running],
     )
 
     here = Window.partitionBy(*block).orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -94,24 +222,27 @@ def with_loops(segments: DataFrame) -> DataFrame:
         "tag",
         "elements",
         *[F.sum(one).over(here).alias(f"_l_{name}") for name, one in counted.items()],
-        F.last(boundary, ignorenulls=True).over(here).alias("_within"),
+        *[F.last(value, ignorenulls=True).over(here).alias(f"_here_{name}") for name, value in running.items()],
     )
     on = (F.col("file") == F.col("_file")) & (F.col("piece") == F.col("_piece")) & (F.col("block") == F.col("_block"))
     joined = local.join(before, on, "inner")
-    within = F.coalesce("_within", "_carried")
+    state = {name: F.coalesce(f"_here_{name}", f"_carried_{name}") for name in running}
     outside = tag.isin(*ENVELOPE_TAGS)
+    member = state["within"].isin("INS", "HD") & ~outside
     valid = {
         "pos": F.lit(True),
-        "txn_id": within.isNotNull() & ~outside,
-        "family_id": within.isin("INS", "HD") & ~outside,
-        "member_id": within.isin("INS", "HD") & ~outside,
-        "coverage_id": (within == "HD") & ~outside,
+        "group_id": (state["envelope"] == "GS") | (tag == "GE"),
+        "txn_id": state["within"].isNotNull() & ~outside,
+        "family_id": member,
+        "member_id": member,
+        "coverage_id": (state["within"] == "HD") & ~outside,
     }
     return joined.select(
         "file",
         "tag",
         "elements",
         *[F.when(valid[name], F.col(f"_l_{name}") + F.col(f"_b_{name}")).alias(name) for name in counted],
+        F.when(member & (state["party"] != ""), state["party"]).alias("party"),
     )
 
 
@@ -156,6 +287,7 @@ class Named(Segment):
         rest: str | None = None,
     ) -> None:
         super().__init__(tag, *elements, when=when)
+        self.name, self.new = name, Segment(tag, *elements, when=when)  # new: the segment of a row that was never read
         self.raw, self.read, self.along = f"own_segments['{name}']", read or {}, along or {}
         after = f"slice({self.raw}, {len(elements) + 2}, greatest(size({self.raw}) - {len(elements) + 1}, 0))"
         self.rest = rest or after
@@ -192,14 +324,48 @@ class Named(Segment):
         return f"case when {self.when} then {both} end"
 
 
-def joined(*segments: Segment, others: str | None = None) -> str:
-    """The segments that are there, as one text, and after them those of a column of element arrays."""
+def joined(*segments: Segment, others: str | None = None, order: str | None = None) -> str:
+    """The segments that are there, as one text, and those of a column of element arrays.
+
+    ``order``: a column with the names of the segments as they were read, and ``#`` for each of ``others``; they go back to
+    their places. A segment that was not read goes after one of its own tag, else before the next of the segments in the
+    order given here, else after the one before it. Rows without an order have ``segments`` and then ``others``.
+    """
     texts = [s.text() for s in segments]
-    if others is not None:
-        # elements that were read may hold the inner separators
-        clean = "translate(concat_ws(chr(1), transform(x, y -> coalesce(y, ''))), concat('*~', chr(1)), '  *')"
-        texts.append(f"transform({others}, x -> trim(trailing '*' from {clean}))")
-    return f"concat_ws('{SEGMENT}', {', '.join(texts)})"
+    if others is None:
+        return f"concat_ws('{SEGMENT}', {', '.join(texts)})"
+    # elements that were read may hold the inner separators
+    clean = "translate(concat_ws(chr(1), transform(x, y -> coalesce(y, ''))), concat('*~', chr(1)), '  *')"
+    rest = f"transform({others}, x -> trim(trailing '*' from {clean}))"
+    if order is None:
+        return f"concat_ws('{SEGMENT}', {', '.join(texts)}, {rest})"
+    places = ", ".join(_place(segments, j) for j in range(len(segments)))
+    names = ", ".join(f"'{s.name}'" for s in segments)
+    order = f"coalesce({order}, concat(array({names}), array_repeat('#', coalesce(size({others}), 0))))"
+    read_at = f"array(transform(array({names}), n -> nullif(array_position({order}, n), 0)))"
+    pair = "named_struct('k', k, 't', t)"
+    named = f"zip_with(get(transform({read_at}, p -> array({places})), 0), array({', '.join(texts)}), (k, t) -> {pair})"
+    kept_at = f"filter(transform({order}, (x, i) -> case when x = '#' then cast(i as bigint) * {STEP} end), k -> k is not null)"
+    last = pair.replace("'k', k", f"'k', coalesce(k, {STEP * STEP})")
+    kept = f"zip_with({kept_at}, coalesce({rest}, cast(array() as array<string>)), (k, t) -> {last})"
+    entries = f"array_sort(filter(concat({named}, {kept}), x -> x.t is not null))"
+    return f"concat_ws('{SEGMENT}', transform({entries}, x -> x.t))"
+
+
+STEP = 1_000_000  # more than there are segments to go between two that were read
+
+
+def _place(segments: Sequence[Segment], j: int) -> str:
+    """SQL of where segment ``j`` goes, given in ``p`` the places (from 1) of those that were read."""
+
+    def nearest(some: Sequence[int], shift: int) -> str:
+        listed = ", ".join(f"get(p, {k})" for k in some)
+        return f"(coalesce({listed}, null) - 1) * {STEP} + {shift}" if some else "cast(null as bigint)"
+
+    earlier, later = list(range(j - 1, -1, -1)), list(range(j + 1, len(segments)))
+    alike = [k for k in earlier if segments[k].tag == segments[j].tag]
+    choices = [nearest([j], 0), nearest(alike, j + 1), nearest(later, j - STEP // 2), nearest(earlier, j + 1), str(j)]
+    return f"cast(coalesce({', '.join(choices)}) as bigint)"
 
 
 def number_of(*segments: Segment) -> Column:
@@ -223,27 +389,36 @@ def dated(tag: str, qualifier: str, column: str) -> Segment:
     )
 
 
-def write_segments(rows: DataFrame, path: str, order: Sequence[str], value: str, separator: str = SEGMENT) -> None:
+def write_segments(
+    rows: DataFrame,
+    path: str,
+    order: Sequence[str],
+    value: str,
+    separators: Separators = USUAL,
+    part: tuple[str, int] | None = None,
+) -> None:
     """Write one text per row, a SQL expression of one or more joined segments, in the given
     order, one folder per ``interchange``.
 
-    The rows are range partitioned on the order, so an interchange of any size is spread over
-    as many tasks as it needs; its part files in number order are the file. The texts are made
-    after the exchange, from rows that are smaller than they are.
+    ``part``: a column with the number of the partition that a row goes to, rising in the order, and how many
+    there are. Without it the rows are range partitioned on the order, for which they are evaluated twice. Either way an
+    interchange of any size is spread over as many tasks as it needs; its part files in number order are the file. The
+    texts are made after the exchange, from rows that are smaller than they are.
     """
     columns = ["interchange", *order]
-    placed = rows.repartitionByRange(*columns).sortWithinPartitions(*columns)
-    texts = placed.select("interchange", F.expr(value).alias("value"))
-    texts.write.partitionBy("interchange").option("lineSep", separator).text(path)
+    placed = rows.repartitionById(part[1], F.col(part[0])) if part else rows.repartitionByRange(*columns)
+    texts = placed.sortWithinPartitions(*columns).select("interchange", F.expr(separators.own_text(value)).alias("value"))
+    texts.write.partitionBy("interchange").option("lineSep", separators.segment).text(path)
 
 
-def archive_segments(spark: SparkSession, path: str, target: str, separator: str = SEGMENT) -> None:
-    """Keep a bzip2 copy of a written file or folder, interchange by interchange, in the same order."""
-    segments = read_segments(spark, path, separator)
+def archive_segments(spark: SparkSession, path: str, target: str) -> None:
+    """Keep a bzip2 copy of a written file or folder, interchange by interchange, in the same order and with the usual signs."""
+    segments = read_segments(spark, path)
     short = F.element_at(F.split("file", "/"), -1)
-    rows = segments.select(
-        short.alias("interchange"), "piece", "block", "row", F.concat_ws(ELEMENT, "elements").alias("value")
-    )
+    # The first segment states the copy's signs, not the file's.
+    stated = F.transform("elements", lambda x, i: F.when(i == 11, REPETITION).when(i == 16, COMPONENT).otherwise(x))
+    elements = F.when(F.col("tag") == "ISA", stated).otherwise(F.col("elements"))
+    rows = segments.select(short.alias("interchange"), "piece", "block", "row", F.concat_ws(ELEMENT, elements).alias("value"))
     columns = ["interchange", "piece", "block", "row"]
     placed = rows.repartitionByRange(*columns).sortWithinPartitions(*columns).select("interchange", "value")
-    placed.write.partitionBy("interchange").option("lineSep", separator).option("compression", "bzip2").text(target)
+    placed.write.partitionBy("interchange").option("lineSep", SEGMENT).option("compression", "bzip2").text(target)

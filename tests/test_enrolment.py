@@ -2,16 +2,24 @@
 
 import datetime as dt
 import glob
+import random
 
+import numpy as np
 import pytest
 from conftest import SMALL, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rollkeep.checks import enrolling as q
+from rollkeep.operators import next_fit, ordering
 from rollkeep.plans import enrolment as e
 from rollkeep.plans.snapshot import read_snapshot, refresh_snapshot
-from rollkeep.sources.segments import read_segments
+from rollkeep.plans import runs
+from rollkeep.plans.sent import fold_sent, record_sent, sent_before, with_times_sent
+from rollkeep.plans.snapshot import drop_snapshots
+from rollkeep.sources import staging
+from rollkeep.sources.segments import Separators, read_segments, separators_of
+from rollkeep.sources.versions import new_version, newest, versions
 
 FILE = (
     "ISA*00*x*00*x*30*S*30*R*200101*0000*^*00501*000000007*0*P*>~GS*BE*S*R*20200101*0000*7*X*V~"
@@ -324,3 +332,236 @@ def test_a_changed_column_changes_its_element_only(spark, tmp_path):
     assert {"N4*A b*ON*K1A*CA*CY*11", "N4*A b***CA", "DMG*D8*20200506*F*M*A>B^C*1*CA", "DTP*348*D8*20200506"} <= texts
     assert not any(t.startswith("DTP*349") for t in texts)
     assert all(r["ok"] for r in e.check_envelope(again).collect())
+
+
+def _in_order(segments):
+    """The texts of each member's own segments and coverages as lists, in the order of the file."""
+    kept = segments.where("member_id is not null and tag <> 'SE'").orderBy("file", "pos").collect()
+    out = {}
+    for r in kept:
+        out.setdefault(r["member_id"], []).append("*".join(r["elements"]))
+    return out
+
+
+def _again(spark, text, tmp_path, member_change=None, cover_change=None):
+    (tmp_path / "in.x12").write_text(text)
+    segments = e.read_edi(spark, str(tmp_path / "in.x12"))
+    member = e.members(segments).withColumn("member_seq", F.col("member_id") - 1).drop("pos", "file", "txn_id", "family_id", "member_id")
+    covers = e.coverages(segments).withColumns({"subscriber_id": F.lit("S1"), "member_seq": F.lit(0).cast("long"), "coverage_seq": F.col("coverage_id")})
+    member = member.withColumns(member_change or {})
+    covers = covers.drop("file", "txn_id", "family_id", "member_id", "coverage_id").withColumns(cover_change or {})
+    e.write_edi(member, covers, str(tmp_path / "out"))
+    again = e.read_edi(spark, str(tmp_path / "out"))
+    assert all(r["ok"] for r in e.check_envelope(again).collect())
+    return _in_order(segments), _in_order(again)
+
+
+# A mailing address after the member's own loop, and lines before it that have no column.
+_TWO_PARTIES = _FOREIGN.replace("LUI*LE*ENG*A>B~", "LUI*LE*ENG*A>B~NM1*31*1~N3*PO Box 9~N4*Other*NJ*07001~").replace("SE*22*", "SE*25*")
+
+
+@pytest.mark.parametrize("text", [_FOREIGN, _WHOLE, _TWO_PARTIES], ids=["foreign", "whole", "two parties"])
+def test_unchanged_segments_keep_their_places(spark, tmp_path, text):
+    read, written = _again(spark, text, tmp_path)
+    assert written == read and len(read[1]) > 10
+
+
+def test_a_changed_added_or_removed_column_moves_nothing_else(spark, tmp_path):
+    first = F.col("member_seq") == 0
+    change = {
+        "member_code": F.when(first, F.lit("M1")),  # there was no REF*23: after the other REF with a column
+        "phone": F.when(first, F.lit("5550100")),  # no PER: before N3
+        "birth_date": F.lit(None).cast("date"), "sex": F.lit(None).cast("string"), "marital_status": F.lit(None).cast("string"),  # no DMG any more
+        "maintenance_date": F.when(first, F.lit("2020-07-08").cast("date")),  # no DTP*303: before NM1
+        "city": F.when(first, F.lit("Elsewhere")),
+    }
+    read, written = _again(spark, _TWO_PARTIES, tmp_path, change, {"benefit_end": F.lit("2020-12-31").cast("date")})
+    expected = list(read[1])
+    expected.remove("DMG*D8*19800102*F*M")
+    expected[expected.index("N4*Town*NY*10001")] = "N4*Elsewhere*NY*10001"
+    expected.insert(expected.index("REF*0F*S1") + 1, "REF*23*M1")
+    name = expected.index("NM1*IL*1*Doe*Jo*Q*Dr*Jr*34*000000001")
+    expected.insert(name, "DTP*303*D8*20200708")
+    expected.insert(name + 2, "PER*IP**HP*5550100")
+    expected.insert(expected.index("DTP*348*D8*20200301") + 1, "DTP*349*D8*20201231")
+    assert written[1] == expected
+
+
+def test_addresses_of_other_parties_are_not_the_members(spark, tmp_path):
+    text = _FOREIGN.replace("N3*1 Way~N4*Town*NY*10001~DMG*D8*19800102*F*M~", "DMG*D8*19800102*F*M~NM1*31*1~N3*PO Box 9~N4*Other*NJ*07001~")
+    (tmp_path / "in.x12").write_text(text)
+    found = e.members(e.read_edi(spark, str(tmp_path / "in.x12"))).orderBy("pos").first()
+    assert (found["address1"], found["city"], found["sex"]) == (None, None, "F")
+    assert [s[0] for s in found["other_segments"]][-4:] == ["NM1", "N3", "N4", "LUI"]
+    read, written = _again(spark, text, tmp_path)
+    assert read == written
+
+
+def test_groups_and_transactions(spark, tmp_path, conf):
+    header = "BGN*22*REF7*20200203*1122*LT*OLD1**2~REF*38*P1~DTP*007*D8*20200401~DTP*382*D8*20200501~N1*P5*Spon*FI*1~N1*IN*Ins*XV*2~N1*BO*Brok*94*3~N1*TV*Adm*FI*4~"
+    text = _FOREIGN.replace("BGN*00*1*20200101*0000*LT***4~REF*38*P1~", header).replace("SE*3*0002~GE", "SE*3*0002~ST*834*0003*V~SE*2*0003~GE")
+    (tmp_path / "in.x12").write_text(text)
+    conf(spark__sql__files__maxPartitionBytes="60", spark__sql__files__openCostInBytes="1")
+    segments = e.read_edi(spark, str(tmp_path / "in.x12"))
+    outside = {r["tag"]: r["group_id"] for r in segments.where("tag in ('ISA', 'IEA')").collect()}
+    assert outside == {"ISA": None, "IEA": None}
+    assert rows(segments.where("tag in ('GS', 'GE')"), "tag", "group_id") == [("GE", 1), ("GE", 2), ("GS", 1), ("GS", 2)]
+    found = e.transactions(segments).orderBy("txn_id").collect()
+    assert [(r["group_id"], r["txn_id"], r["txn_in_group"], r["control"]) for r in found] == [(1, 1, 1, "0001"), (2, 2, 1, "0002"), (2, 3, 2, "0003")]
+    one = found[0]
+    assert (one["purpose"], one["reference"], one["original_reference"], one["action"], one["policy"]) == ("22", "REF7", "OLD1", "2", "P1")
+    assert (str(one["effective_date"]), str(one["enrolment_date"]), one["report_start"]) == ("2020-04-01", "2020-05-01", None)
+    assert (one["sponsor_name"], one["insurer_id_qualifier"], one["broker_name"], one["administrator_id"]) == ("Spon", "XV", "Brok", "4")
+    assert (one["sender_code"], one["group_control"], found[1]["group_control"]) == ("A", "1", "2")
+
+
+def test_files_state_their_separators(spark, tmp_path):
+    isa = _WHOLE[:106]
+    assert separators_of(isa) == Separators() and separators_of(isa[:105]) is None and separators_of("X" + isa[1:]) is None
+    assert separators_of(isa.replace("^", "U")).repetition == "^"  # an old version names a standard there
+    assert separators_of(isa.replace(">~", "*~")) is None
+    with pytest.raises(ValueError):
+        Separators(element="A")
+    (tmp_path / "in").mkdir()
+    signs = {"usual": "~*^>", "lines": "\n|!:", "others": "'+%;"}
+    for name, (segment, element, repetition, component) in signs.items():
+        text = _WHOLE.translate(str.maketrans("~*^>", segment + element + repetition + component))
+        (tmp_path / "in" / f"{name}.x12").write_text(text)
+    found = e.read_edi(spark, str(tmp_path / "in"))
+    texts = {}
+    for r in found.where("tag <> 'ISA'").orderBy("file", "pos").collect():
+        texts.setdefault(r["file"].rsplit("/", 1)[1], []).append("*".join(r["elements"]))
+    assert len(texts) == 3 and all(t == _WHOLE.split("~")[1:-1] for t in texts.values())
+
+
+def test_values_that_hold_another_files_signs_are_written(spark, tmp_path):
+    members = q._members(spark, SMALL).where("subscriber_id = '000000001'").withColumn("last_name", F.lit("O|Neil*x"))
+    style = Separators("\n", "|", "!", ":")
+    e.write_edi(members, q._covers(spark, SMALL), str(tmp_path / "out"), e.Envelope(separators=style, first_control=7))
+    segments = e.read_edi(spark, str(tmp_path / "out"))
+    assert rows(e.members(segments).select("last_name").distinct()) == [("O Neil x",)]
+    assert rows(segments.select("file").distinct()) == [("6",)] and all(r["ok"] for r in e.check_envelope(segments).collect())
+
+
+def _plain_next_fit(sizes, limit):
+    load, group, out = 0, 0, []
+    for size in sizes:
+        if load and load + size > limit:
+            load, group = 0, group + 1
+        load += size
+        out.append(group)
+    return out
+
+
+def test_next_fit_equals_a_plain_loop(spark, monkeypatch):
+    rng = random.Random(3)
+    for limit in (1, 7, 40):
+        for _ in range(40):
+            sizes = [rng.choice([1, 1, 2, 3, 5, 9, 41]) for _ in range(rng.randint(0, 30))]
+            exits, starts = next_fit.entry_function(np.array(sizes, dtype=np.int64), limit)
+            for load in range(limit + 1):
+                now, begun = load, 0
+                for size in sizes:
+                    if now and now + size > limit:
+                        now, begun = 0, begun + 1
+                    now += size
+                assert (min(now, limit), begun) == (exits[load], starts[load]), (sizes, limit, load)
+    monkeypatch.setattr(ordering, "PARTITION_BYTES", 1)
+    monkeypatch.setattr(ordering, "partitions_for", lambda table: 5)
+    sizes = [rng.choice([1, 2, 3, 4, 12]) for _ in range(300)]
+    members = spark.createDataFrame([(f"{i:04d}",) for i, n in enumerate(sizes) for _ in range(n)], "subscriber_id string")
+    found = e.split_sets_restart(members, 10).orderBy("subscriber_id").collect()
+    assert [r["family_size"] for r in found] == sizes and [r["set_no"] for r in found] == _plain_next_fit(sizes, 10)
+    assert e.split_sets_restart(members.limit(0), 10).count() == 0
+
+
+def test_a_run_evaluates_its_members_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    members = spark.createDataFrame(q._members(spark, SMALL).toArrow())
+    watched = members.withColumn("last_name", counted.asNondeterministic()("last_name"))
+    counts, _ = e.run_file(watched, q._covers(spark, SMALL), str(tmp_path / "out"), max_errors=10**6)
+    assert seen.value == members.count() and counts.first()["kept"] > 0
+
+
+def test_an_attempt_that_was_lost_is_not_read(spark, tmp_path):
+    log, days = runs.Ledger(spark, str(tmp_path / "ledger")), iter(dt.datetime(2020, 1, d, tzinfo=dt.timezone.utc) for d in range(1, 28))
+    members, covers = q._members(spark, SMALL), q._covers(spark, SMALL)
+    assert log.instances().count() == log.exceptions().count() == log.events().count() == 0
+    log.event(5, 1, 1, "started", next(days))  # an attempt that wrote its exceptions and was lost
+    lost = spark.createDataFrame([(1, 1, 5, "ERROR", "c", "s", "d", "x", "00")], "exception_id long, file_record_id long, file_instance_id long, exception_type string, category string, sub_category string, detail string, subscriber_id string, member_id string")
+    log.record_exceptions(5, 1, lost)
+    assert log.exceptions().count() == 0
+    assert runs.recorded_run(log, 5, 1, members, covers, str(tmp_path / "one"), max_errors=10**6, clock=lambda: next(days)) == "sent"
+    assert rows(log.instances(), "file_instance_id", "attempt", "file_instance_status") == [(5, 2, "sent")]
+    assert rows(log.exceptions().select("attempt", "file_instance_id").distinct()) == [(2, 5)]
+    assert log.exceptions().where("file_record_id is null").count() == 0
+    with pytest.raises(e.TooManyErrors):
+        runs.recorded_run(log, 6, 1, members, covers, str(tmp_path / "two"), clock=lambda: next(days))
+    assert runs.recorded_run(log, 7, 1, members.limit(0), covers, str(tmp_path / "three"), clock=lambda: next(days)) == "empty"
+    assert rows(log.statuses(), "file_instance_id", "attempt", "file_instance_status") == [(5, 2, "sent"), (6, 1, "stopped"), (7, 1, "empty")]
+    assert rows(log.events().where("file_instance_id = 5"), "attempt", "event_no", "file_instance_status") == [
+        (1, 1, "started"), (2, 1, "started"), (2, 2, "validated"), (2, 3, "sent"),
+    ]
+
+
+def test_definitions_keep_their_history(spark, tmp_path):
+    at = lambda day: dt.datetime(2020, 1, day, tzinfo=dt.timezone.utc)
+    table = lambda *r: spark.createDataFrame(list(r), "file_definition_id int, name string, term int")
+    path = str(tmp_path / "definitions")
+    runs.record_definitions(table((1, "a", 3), (2, "b", None)), path, at(1))
+    runs.record_definitions(table((1, "a", 4), (2, "b", None), (3, "c", 1)), path, at(5))
+    runs.record_definitions(table((1, "a", 4)), path, at(9))
+    day = lambda c: F.dayofmonth(F.col("sys_period")[c])
+    found = runs.definitions(spark, path).select("file_definition_id", "term", day("lower").alias("lo"), day("upper").alias("hi"))
+    assert rows(found) == [(1, 3, 1, 5), (1, 4, 5, None), (2, None, 1, None), (3, 1, 5, None)]
+
+
+def test_times_sent_are_folded_forward(spark, tmp_path):
+    table = lambda *r: spark.createDataFrame(list(r), "subscriber_id string, member_seq int, coverage_seq int, benefit_end string").withColumn("benefit_end", F.to_date("benefit_end"))
+    path, ended = str(tmp_path / "sent"), ("a", 0, 1, "2020-01-31")
+    for run in (1, 2, 2):  # the second run is repeated
+        record_sent(table(ended, ("b", 0, 1, None), ("c", 0, 1, "2020-01-31"), ended), path, run)
+    record_sent(table(ended, ("c", 0, 1, "2020-02-29")), path, 3)
+    state = sent_before(spark, path, 4, table(ended))
+    assert rows(state, "subscriber_id", "times_sent") == [("a", 3), ("c", 1)]
+    known = with_times_sent(table(ended, ("c", 0, 1, "2020-01-31"), ("c", 0, 1, None), ("d", 0, 1, None)), state)
+    assert rows(known, "subscriber_id", "benefit_end", "times_sent") == [
+        ("a", dt.date(2020, 1, 31), 3), ("c", None, 0), ("c", dt.date(2020, 1, 31), 0), ("d", None, 0),
+    ]
+    assert fold_sent(state, table(("a", 0, 1, None))).count() == 1
+
+
+def test_old_versions_go_by_age(spark, tmp_path):
+    path, later = str(tmp_path / "snap"), dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=1)
+    one = spark.createDataFrame([("m1", "A")], "member string, company string")
+    groups = spark.createDataFrame([("A", "G1")], "company string, group_number string")
+    for _ in range(3):
+        refresh_snapshot(one, one.limit(0), groups, path)
+    new_version(spark, path).write("groups", groups)  # a refresh that was lost
+    assert drop_snapshots(spark, path, dt.datetime(2000, 1, 1, tzinfo=dt.timezone.utc)) == []
+    assert drop_snapshots(spark, path, later) == [1, 2]
+    assert [v.number for v in versions(spark, path)] == [3] and newest(spark, path, below=3) is None
+    assert len(glob.glob(f"{path}/version=*")) == 1 and read_snapshot(spark, path).count() == 1
+
+
+def test_scopes_free_what_they_own(spark):
+    before, table = set(staging.folders(spark)), spark.range(3)
+    with staging.scope(spark) as outer:
+        staging.staged(table, "one")
+        with staging.scope(spark) as inner:
+            two = staging.staged(table, "two")
+            kept = inner.keep(two.where("id > 0"), "kept")
+            assert len(set(staging.folders(spark)) - before) == 3
+        assert kept.count() == 2 and len(set(staging.folders(spark)) - before) == 2
+        three = staging.staged(table, "three")
+        staging.discard(three)
+        with pytest.raises(ValueError):
+            staging.discard(three)
+        assert len(outer.folders) == 2
+    assert set(staging.folders(spark)) == before

@@ -12,6 +12,7 @@ from rollkeep.checks.standins import EFFECTIVE, POLICY_START, standins
 from rollkeep.operators.aggregates import choose_location, duplicated_keys, rollup_counts, subtotals
 from rollkeep.operators.changes import diff_against_sent, reconcile
 from rollkeep.plans import filing as f
+from rollkeep.plans.filing_sql import register_filing_function
 from rollkeep.sources.filing_csv import HEADER_LINE, read_filing_csv, write_filing_csv
 from rollkeep.sources.tables import code_list
 
@@ -130,3 +131,22 @@ def test_reconcile_with_a_code_list(spark, tmp_path):
     theirs = code_list(spark, str(tmp_path / "codes.txt"))
     ours = spark.createDataFrame([("B2",), ("C3",)], "company string")
     assert rows(reconcile(ours, theirs, "company")) == [("A1", "missing"), ("C3", "extra")]
+
+
+def test_the_sql_function_is_replaced(spark):
+    tables = standins(spark, SMALL, *NAMES)
+    for variant in ("commit", "v1", "master"):
+        register_filing_function(spark, tables, "filing_in_test", variant)
+        found = spark.sql(f"select * from filing_in_test(date'{POLICY_START}', date'{EFFECTIVE}')")
+        expected = f.filing(tables, POLICY_START, EFFECTIVE, variant).drop("ny_dbl_record_id")
+        assert found.columns == expected.columns and rows(found) == rows(expected)
+
+
+def test_a_repeated_change_run_says_the_same(spark, tmp_path):
+    tables, path = standins(spark, SMALL, *NAMES), str(tmp_path / "sent")
+    now, before = f.filing(tables, POLICY_START, EFFECTIVE), f.filing(tables, POLICY_START, "1998-01-31")
+    first = rows(f.change_run(before, path, 1, "1998-01-31"))
+    assert first == rows(f.change_run(before, path, 1, "1998-01-31")) and len(first) == before.count()
+    second = rows(f.change_run(now, path, 2, EFFECTIVE))
+    assert second == rows(f.change_run(now, path, 2, EFFECTIVE)) == rows(f.change_filing(now, before, EFFECTIVE))
+    assert rows(f.change_run(now, path, 3, EFFECTIVE)) == []
