@@ -63,21 +63,24 @@ _LAYOUT1 = _layout_sql(
 )
 
 
-def _window(table: str, column: str, bounds: tuple[str, str]) -> str:
-    lo, hi = bounds
-    return f"""({table}.{column} is null or ({table}.{column} between cast('{lo}' as date) and cast('{hi}' as date)
-      and {table}.term_reason_code not in (select code_key_1 from sthccdira
-        where code_type in ('SOI_MIG_WSE', 'SOI_TERM_WSE'))))"""
-
-
-_COMBINED = f"""combined as (select distinct {_LAYOUT1}
-  from syempyr y, syemsad a, soemploc e, syclntr t, sthclocra z
-  where a.empl_id = y.empl_id and e.empl_id = a.empl_id and t.payroll_type = a.payroll_type and t.client_id = e.client_id
-  and z.client_id = e.client_id and z.location_id = e.location_id
-  and {_window('t', 'termination_date', CLIENTS)} and {_window('y', 'terminated', EMPLOYEES)}
-  and coalesce(y.terminated, {_DAY}) between e.effective_date and e.expiry_date
-  and coalesce(y.terminated, {_DAY}) between z.effective_date and z.expiry_date
-  and y.empl_status in ('F', 'f', 'Y', 'y') and e.primary_yn = 'Y' and a.country in ('USA', 'US'))"""
+def _still_or_ended(column: str, bounds: tuple[str, str]) -> str:
+    """Not ended, or ended within the bounds for a reason that is known and not among the migrations."""
+    first, last = bounds
+    return f"""case when {column} is null then true
+      else {column} >= date '{first}' and {column} <= date '{last}' and not coalesce(term_reason_code in (select reason from migrations), true) end"""
+
+
+# people first, each with the day that counts for them; then what holds on that day
+_COMBINED = f"""migrations as (select code_key_1 as reason from sthccdira where code_type in ('SOI_MIG_WSE', 'SOI_TERM_WSE')),
+employed as (select *, coalesce(terminated, {_DAY}) as day from syempyr
+  where lower(empl_status) in ('f', 'y') and {_still_or_ended('terminated', EMPLOYEES)}),
+served as (select distinct client_id, payroll_type from syclntr where {_still_or_ended('termination_date', CLIENTS)}),
+combined as (select distinct {_LAYOUT1}
+  from employed y
+    join syemsad a on a.empl_id = y.empl_id and a.country in ('US', 'USA')
+    join soemploc e on e.empl_id = y.empl_id and e.primary_yn = 'Y' and y.day between e.effective_date and e.expiry_date
+    join served on (served.client_id, served.payroll_type) = (e.client_id, a.payroll_type)
+    join sthclocra z on (z.client_id, z.location_id) = (e.client_id, e.location_id) and y.day between z.effective_date and z.expiry_date)"""
 
 
 def _pass(new: str, old: str, keep: str) -> str:

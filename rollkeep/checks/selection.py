@@ -392,12 +392,10 @@ def semi_nested_or(spark, sf_dir):
 @query(
     with_standins(
         ["ps_person", "ps_personal_phone", "ps_pers_nid", "ps_pers_data_effdt"],
-        f"""select p.emplid,
-        (select n.national_id from ps_pers_nid n where n.emplid = p.emplid and n.primary_nid = 'Y') as national_id,
-        (select f.phone from ps_personal_phone f where f.emplid = p.emplid and f.pref_phone_flag = 'Y') as phone,
-        (select d.sex from ps_pers_data_effdt d where d.emplid = p.emplid and d.effdt =
-          (select max(m.effdt) from ps_pers_data_effdt m where m.emplid = d.emplid and m.effdt <= {_DAY})) as sex
-        from ps_person p""",
+        f"""select emplid, national_id, phone, sex from ps_person
+        left join (select emplid, national_id from ps_pers_nid where primary_nid = 'Y') using (emplid)
+        left join (select emplid, phone from ps_personal_phone where pref_phone_flag = 'Y') using (emplid)
+        left join (select emplid, sex from {newest('ps_pers_data_effdt', 'emplid', f'effdt <= {_DAY}')}) using (emplid)""",
     )
 )
 def scalar_lookup(spark, sf_dir):
@@ -428,17 +426,16 @@ def dimension_join(spark, sf_dir):
     return found.select("emplid", "empl_rcd", "effdt", "company", "pf_corp", "birthdate")
 
 
+# both roles take home addresses
+_HOMES = f"""(select emplid, address1, city, postal from {newest('ps_addresses', 'emplid address_type', f'effdt <= {_DAY}')}
+          where (address_type, eff_status) = ('HOME', 'A'))"""
+
+
 @query(
     with_standins(
         ["ps_person", "ps_addresses"],
-        f"""select q.emplid, h.address1, h.city, h.postal as home_postal, w.postal as work_postal
-        from ps_person q, ps_addresses h, ps_addresses w
-        where h.emplid = q.emplid and w.emplid = q.emplid
-        and h.address_type = 'HOME' and h.eff_status = 'A' and w.address_type = 'HOME' and w.eff_status = 'A'
-        and h.effdt = (select max(m.effdt) from ps_addresses m
-          where m.emplid = h.emplid and m.address_type = h.address_type and m.effdt <= {_DAY})
-        and w.effdt = (select max(m.effdt) from ps_addresses m
-          where m.emplid = w.emplid and m.address_type = w.address_type and m.effdt <= {_DAY})""",
+        f"""select emplid, home.address1, home.city, home.postal as home_postal, role.postal as work_postal
+        from ps_person join {_HOMES} home using (emplid) join {_HOMES} role using (emplid)""",
     )
 )
 def address_roles(spark, sf_dir):
