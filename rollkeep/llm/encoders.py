@@ -11,7 +11,10 @@ import functools
 import hashlib
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 
@@ -73,45 +76,122 @@ def _words(text: str) -> list[bytes]:
     return data.lower().split() if data.isascii() and b"<|" not in data else data.split()
 
 
+SIGNS = b".,;:!?"
+LAST_LATIN = "\u017e"  # up to here, letters that stay letters have one lower-case form each, and need no composing
+
+
+def _byte_names() -> dict[int, int]:
+    """The sign that a byte-level vocabulary writes each byte as: itself if it is printed, else one from 256 on."""
+    printed = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printed]
+    return {b: b for b in printed} | {b: 256 + n for n, b in enumerate(others)}
+
+
+BYTE_NAMES = _byte_names()
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are packed as the machine's own 32-bit integers, which must be little-endian")
+
+
+def _word_parts(piece: bytes) -> list[bytes] | None:
+    """The pre-tokens, in lower case, of letters and signs after them; nothing for any other piece."""
+    stem = piece.rstrip(SIGNS)
+    letters = stem.decode()
+    if not letters.isalpha() or max(letters) > LAST_LATIN or not (small := letters.lower()).isalpha():
+        return None
+    return [small.encode(), piece[len(stem) :]] if len(stem) < len(piece) else [small.encode()]
+
+
+class PieceEncoder:
+    """Packed ids of pieces. Those whose pre-tokens ``parts`` knows go to the library's merging right away; the others take
+    the library's way through normalising and splitting."""
+
+    def __init__(self, tokenizer, parts: Callable[[bytes], list[bytes] | None]):
+        self.tokenizer, self.model, self.parts = tokenizer, tokenizer.model, parts
+
+    def merged(self, part: bytes) -> list[int]:
+        named = part.decode("latin-1").translate(BYTE_NAMES)
+        return [token.id for token in self.model.tokenize(named)]
+
+    def __call__(self, pieces: list[bytes]) -> list[bytes]:
+        out: list[bytes | None] = []
+        for piece in pieces:
+            parts = self.parts(piece)
+            out.append(None if parts is None else array("I", [i for part in parts for i in self.merged(part)]).tobytes())
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, found in zip(rest, self.tokenizer.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False)):
+            out[i] = packed(found.ids)
+        return out
+
+
+GROUP = 200_000  # pieces that are looked up together, about
+
+
+def _looked_up(texts: list[str], lookup: Callable[[list[bytes]], list]) -> Iterator[tuple[int, list]]:
+    """For each section of the texts the number of its text and what its pieces are looked up as; many in one go."""
+    group, size = [], 0
+
+    def found() -> Iterator[tuple[int, list]]:
+        values, at = lookup(list(chain.from_iterable(words for _, words in group))), 0
+        for i, words in group:
+            yield i, values[at : at + len(words)]
+            at += len(words)
+
+    for i, text in enumerate(texts):
+        for part in sections(text):
+            words = _words(part)
+            group.append((i, words))
+            size += len(words)
+            if size >= GROUP:
+                yield from found()
+                group, size = [], 0
+    if group:
+        yield from found()
+
+
 @functools.cache
-def word_encoder(path: str) -> Callable[[str], bytes]:
-    """Packed ids of a text by a tokenizers file whose white space is dropped."""
-    tokenizer = _library(path)
+def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """Packed ids of texts by a tokenizers file whose white space is dropped."""
+    cache = PieceCache(PieceEncoder(_library(path), _word_parts))
 
-    def encode(pieces: list[bytes]) -> list[bytes]:
-        return [packed(e.ids) for e in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+    def encode(texts: list[str]) -> list[bytes]:
+        out: list[list[bytes]] = [[] for _ in texts]
+        for i, ids in _looked_up(texts, cache.all):
+            out[i].append(b"".join(ids))
+        return [b"".join(parts) for parts in out]
 
-    cache = PieceCache(encode)
-    return lambda text: b"".join(b"".join(cache.all(_words(part))) for part in sections(text))
+    return encode
 
 
 @functools.cache
 def piece_encoder(path: str) -> tuple[Callable[[list[bytes]], list[bytes]], Callable[[str], bytes], tuple[str, ...]]:
-    """For a byte-level tokenizers file: packed ids of pre-tokens, packed ids of a whole text, and its special strings."""
+    """For a byte-level tokenizers file without normaliser: packed ids of pre-tokens, packed ids of a whole text, and its
+    special strings."""
     tokenizer = _library(path)
-
-    def encode(pieces: list[bytes]) -> list[bytes]:
-        return [packed(e.ids) for e in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-
+    if tokenizer.normalizer is not None:
+        raise ValueError("pre-tokens of a tokenizer that changes texts first have no ids of their own")
     special = tuple(str(t) for t in tokenizer.get_added_tokens_decoder().values())
-    return PieceCache(encode).all, lambda text: packed(tokenizer.encode(text, add_special_tokens=False).ids), special
+    # Half the pieces that words get: workers of a pipeline hold other operators' memory too.
+    return PieceCache(PieceEncoder(tokenizer, lambda piece: [piece]), limit=300_000).all, lambda text: packed(tokenizer.encode(text, add_special_tokens=False).ids), special
 
 
 @functools.cache
-def word_counter(path: str) -> Callable[[str], int]:
-    """Number of ids of a text: by pieces for a tokenizers file that drops white space, whole for a sentencepiece model."""
+def word_counter(path: str) -> Callable[[list[str]], list[int]]:
+    """Number of ids of texts: by pieces for a tokenizers file that drops white space, whole for a sentencepiece model."""
     if path.endswith(".model"):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda text: len(model.encode(text))
-    tokenizer = _library(path)
+        return lambda texts: [len(model.encode(text)) for text in texts]
+    encode = PieceEncoder(_library(path), _word_parts)
+    cache = PieceCache(lambda pieces: [len(ids) // 4 for ids in encode(pieces)])
 
-    def encode(pieces: list[bytes]) -> list[int]:
-        return [len(e.ids) for e in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+    def count(texts: list[str]) -> list[int]:
+        out = [0] * len(texts)
+        for i, counts in _looked_up(texts, cache.all):
+            out[i] += sum(counts)
+        return out
 
-    cache = PieceCache(encode)
-    return lambda text: sum(sum(cache.all(_words(part))) for part in sections(text))
+    return count
 
 
 @functools.cache

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark import TaskContext
@@ -50,8 +51,11 @@ def encoded(values: list[str], path: str) -> list[bytes]:
     parts: dict[int, list[bytes]] = {i: [] for i in plain}
     table = class_table_of(path)
     for group in grouped([values[i] for i in plain]):
-        for (i, _), pieces in zip(group, slices([part for _, part in group], table)):
-            parts[plain[i]].append(b"".join(lookup(pieces)))
+        found = slices([part for _, part in group], table)
+        ids, at = lookup(list(chain.from_iterable(found))), 0
+        for (i, _), pieces in zip(group, found):
+            parts[plain[i]].append(b"".join(ids[at : at + len(pieces)]))
+            at += len(pieces)
     return [out[i] if i in out else b"".join(parts[i]) for i in range(len(values))]
 
 

@@ -47,7 +47,7 @@ def token_counts(docs: DataFrame, cache_dir: str, tokenizer: str, limit: int = 2
             # Rows alike in id and text are all chosen, and stand in one task.
             new = batch[~batch["digest"].isin(done)].drop_duplicates("digest")
             done = (done if len(done) < DONE else set()) | set(new["digest"])
-            yield pd.DataFrame({"digest": new["digest"], "version": label, "n_tokens": [n_tokens(t) for t in new["text"]]})
+            yield pd.DataFrame({"digest": new["digest"], "version": label, "n_tokens": n_tokens(list(new["text"]))})
 
     one_each.select("digest", "text").mapInPandas(count, STORED).write.mode("append").parquet(cache_dir)
     counts = stored_counts(spark, cache_dir, tokenizer)

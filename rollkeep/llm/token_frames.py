@@ -108,9 +108,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, key: st
     def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, last = word_encoder(tokenizer), packed([end_id])
         documents = (
-            (None if pd.isna(k) else int(k), encode(t) + last)
+            (None if pd.isna(k) else int(k), ids + last)
             for batch in batches
-            for k, t in zip(batch["doc_id"], batch["text"])
+            for k, ids in zip(batch["doc_id"], encode(list(batch["text"])))
         )
         first = next(documents, None)
         if first is None:
@@ -154,7 +154,7 @@ def read(manifest: DataFrame, wanted: set[int] | None = None) -> DataFrame:
     found = shards.select("shard", "file").repartition(parts, "shard").mapInPandas(frames, READ)
     if wanted is not None:
         return found.select("doc_id", F.lit(None).cast("long").alias("start"), "n_tokens", "ids_crc32")
-    # One row per shard in this window, and one shard per group in the next.
+    # One row per shard in this window, and in what is broadcast.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = manifest.select("shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
-    return found.join(bases, "shard").select("doc_id", (F.col("base") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32")
+    return found.join(F.broadcast(bases), "shard").select("doc_id", (F.col("base") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32")
