@@ -2,8 +2,9 @@
 
 Voters are lexicon entries (words) and patterns (word beginnings) that the labelled rows of the training folds make
 likely: each votes for toxic where it occurs and abstains elsewhere. Those that vote alike in all rows (a word and its
-beginnings, say) are one voter. There is no limit on their number: a voter stays if some toxic row has only a few stronger
-ones, so the lexicon grows with the evidence, and no language's or subject's words are crowded out by another's.
+beginnings, say) are one voter. There is no limit on their number: a voter stays if some toxic row has fewer than two stronger
+ones, so the lexicon grows with the evidence, and no language's or subject's words are crowded out by another's. (Keeping
+more per row lets in words that are frequent by chance: with three, one clean document in a thousand is taken for toxic.)
 
 A generative label model then looks at the votes alone: it estimates each voter's accuracy, and from the correlations that
 are left among the rows taken for toxic, which voters say the same thing twice; a voter's evidence is divided by how often
@@ -42,7 +43,7 @@ class WeakLabels:
     when two standard errors less. ``threshold``: a document is toxic from this score on."""
 
     labelled_rows: int = 20_000
-    cover: int = 24
+    cover: int = 2
     beginnings: tuple[int, ...] = (4, 5, 6)
     evidence: float = 1.0
     rounds: int = 30
@@ -85,13 +86,18 @@ def fold(key: Column, folds: int) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rules: WeakLabels, key: str, text: str, label: str) -> DataFrame:
-    """doc_id, text and label of at most ``labelled_rows`` ids, none of them held out."""
+    """doc_id, text and label of at most ``labelled_rows`` ids, none of them held out.
+
+    A text counts once, with the smallest of its ids, and as toxic if any of its rows is: else every word of a text that was
+    copied a few times would look like evidence.
+    """
     marked = labels.select(F.col(key).cast("long").alias("labelled"), F.col(label).cast("int").alias("y"))
     marked = marked.where((fold(F.col("labelled"), rules.folds) != rules.held_out) & F.col("y").isin(0, 1))
     sample = marked.groupBy("labelled").agg(F.max("y").alias("y")).orderBy(F.xxhash64("labelled"), "labelled").limit(rules.labelled_rows)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     # The sample has at most so many rows of two numbers.
-    return rows.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "y")
+    labelled = rows.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled"))
+    return labelled.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("y")).select("doc_id", "text", "y")
 
 
 def mined(rows: DataFrame, rules: WeakLabels) -> tuple[list[tuple[str, int, int]], int, int]:
