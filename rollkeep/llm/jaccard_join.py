@@ -53,7 +53,7 @@ DEVIATIONS = 6.5  # and at least so many standard deviations of the number of se
 INDEXED, INDEXED_LESS, MARK, PROBES, PROBES_LESS, PROBES_NEAR = 1, 2, 4, 8, 16, 32
 HOT = 16  # a key that so many sets have in one flush is known to be shared: its records go to no bucket
 MEMBER_FLUSH = 4096  # and members
-FLUSH = 1 << 20  # records held before they are packed
+FLUSH = 1 << 19  # records held before they are packed
 WIDEST = 1024  # sets of up to this size need no more parity places than the longs have
 COUNTED = 1 << 21  # places in which the keys of a flush are counted
 BLOCK = 256  # sets of a key that meet as many others in one group, about, where all pairs are compared
