@@ -16,7 +16,7 @@ from rollkeep.plans.sent import record_sent, sent_before
 from rollkeep.plans.snapshot import read_snapshot, refresh_snapshot
 from rollkeep.sources import ledger
 from rollkeep.sources.segments import Separators, archive_segments, write_segments
-from rollkeep.sources.staging import new_folder
+from rollkeep.sources.staging import new_folder, staged
 from rollkeep.sources.tables import scan
 
 MEMBERS = ["subscribers", "dependents"]
@@ -333,7 +333,9 @@ def edi_in_place(spark, sf_dir):
     who = found.select("file", "member_id", "subscriber_id", "member_seq")
     covers = e.coverages(segments).join(who, ["file", "member_id"]).withColumn("coverage_seq", F.lit(1))
     keys = ["file", "txn_id", "family_id", "member_id"]
-    e.write_edi(found.drop(*keys, "pos", "_f", "_first"), covers.drop(*keys, "coverage_id"), again)
+    # the writer reads its rows several times
+    read = staged(found.drop(*keys, "pos", "_f", "_first"), "read-members"), staged(covers.drop(*keys, "coverage_id"), "read-coverages")
+    e.write_edi(*read, again)
     return _with_places(e.read_edi(spark, again))
 
 

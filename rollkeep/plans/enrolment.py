@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,19 +62,34 @@ def _gathered(segments: DataFrame, keys: Sequence[str], named: Sequence[str]) ->
     own_party = ~F.col("tag").isin(*_OF_MEMBER) | F.coalesce(F.col("party") == "IL", F.lit(False))
     rows = segments.select(*keys, "pos", F.when(own_party, name).alias("_name"), "elements")
     own = F.sort_array(F.collect_list(F.struct("pos", F.col("_name").alias("name"), "elements")))
-    gathered = rows.groupBy(*keys).agg(F.min("pos").alias("pos"), own.alias("_own"))
-    gathered = gathered.withColumn("_names", F.transform("_own", lambda segment: F.coalesce(segment["name"], F.lit("#"))))
-    first = lambda name, at: (name != "#") & (F.array_position("_names", name) == at + 1)
-    gathered = gathered.withColumn("segment_order", F.transform("_names", lambda name, at: F.when(first(name, at), name).otherwise("#")))
-    others = F.filter("_own", lambda _, at: F.get("segment_order", at) == "#")
-    entries = F.filter("_own", lambda _, at: F.get("segment_order", at) != "#")
-    return gathered.withColumns(
-        {
-            "other_segments": F.transform(others, lambda segment: segment["elements"]),
-            "own_segments": F.map_from_entries(
-                F.transform(entries, lambda segment: F.struct(segment["name"].alias("key"), segment["elements"].alias("value")))
-            ),
-        }
+    # Made as part of the aggregate and named inside lambdas: as columns over each other these are put into every
+    # condition on a column, and into each other once per segment.
+    parts = _named_once(_named_once(own, _marked), _split_by_name)
+    return rows.groupBy(*keys).agg(F.min("pos").alias("pos"), parts.alias("_parts")).select(*keys, "pos", "_parts.*")
+
+
+def _named_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value that is evaluated once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _marked(own: Column) -> Column:
+    """The segments with the name only at the first of each, ``#`` at the others."""
+
+    def marked(segment: Column, at: Column) -> Column:
+        first = F.array_position(own["name"], segment["name"]) == at + 1
+        return F.struct(F.when(first, segment["name"]).otherwise("#").alias("name"), segment["elements"].alias("elements"))
+
+    return F.transform(own, marked)
+
+
+def _split_by_name(marked: Column) -> Column:
+    others = F.filter(marked, lambda segment: segment["name"] == "#")
+    entries = F.filter(marked, lambda segment: segment["name"] != "#")
+    return F.struct(
+        F.transform(marked, lambda segment: segment["name"]).alias("segment_order"),
+        F.transform(others, lambda segment: segment["elements"]).alias("other_segments"),
+        F.map_from_entries(entries).alias("own_segments"),
     )
 
 

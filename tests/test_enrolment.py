@@ -565,3 +565,11 @@ def test_scopes_free_what_they_own(spark):
             staging.discard(three)
         assert len(outer.folders) == 2
     assert set(staging.folders(spark)) == before
+
+
+def test_a_condition_on_a_read_column_gathers_once(spark, segments):
+    """Pushed into the gathering, it made each of a member's segments anew for every other one."""
+    for found, column in ((e.members(segments), "subscriber_id"), (e.coverages(segments), "plan")):
+        plan = found.where(F.col(column).isNotNull())._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambdafunction" in plan
+        assert not [line for line in plan.splitlines() if "Filter " in line and "lambdafunction" in line]
