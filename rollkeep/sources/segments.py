@@ -132,39 +132,63 @@ def stated_separators(spark: SparkSession, path: str | Sequence[str]) -> dict[Se
     return found
 
 
-def _raw_segments(spark: SparkSession, path: str | Sequence[str], separators: Separators | None) -> DataFrame:
+def _texts(spark: SparkSession, path: str | Sequence[str], separators: Separators | None) -> list[tuple[Separators, DataFrame]]:
+    """By separators, the segments of the files that state them: ``path, block, row, text, tag``."""
     every = [path] if isinstance(path, str) else list(path)
     styles = {separators: every} if separators else stated_separators(spark, path)
     if len(styles) < 2:  # all alike: no need to name the files one by one
         styles = {style: every for style in styles or [USUAL]}
-    return reduce(DataFrame.union, [_styled_segments(spark, places, style, len(every) > 1) for style, places in styles.items()])
+    return [(style, _styled_texts(spark, places, style)) for style, places in styles.items()]
 
 
-def _styled_segments(spark: SparkSession, places: Sequence[str], style: Separators, several: bool) -> DataFrame:
+def _styled_texts(spark: SparkSession, places: Sequence[str], style: Separators) -> DataFrame:
     raw = spark.read.option("lineSep", style.segment).option("recursiveFileLookup", True).text(list(places))
-    steps = F.split("_metadata.file_path", "/")
+    texts = raw.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.trim(F.translate("value", "\r\n", "")).alias("text"),
+    )
+    return texts.withColumn("tag", _element(style, 1)).where("tag <> ''")
+
+
+def _element(style: Separators, number: int) -> Column:
+    """An element of a segment's text, empty if there is none."""
+    value = F.split_part("text", F.lit(style.element), F.lit(number))
+    if (style.repetition, style.component) == (REPETITION, COMPONENT):
+        return value
+    return F.translate(value, style.repetition + style.component, REPETITION + COMPONENT)
+
+
+def _elements(style: Separators) -> Column:
+    elements = F.split("text", re.escape(style.element))
+    if (style.repetition, style.component) == (REPETITION, COMPONENT):
+        return elements
+    # Inside an element every file's signs are the usual ones from here on; the first segment keeps what it states.
+    usual = F.transform(elements, lambda x: F.translate(x, style.repetition + style.component, REPETITION + COMPONENT))
+    return F.when(F.col("tag") == "ISA", elements).otherwise(usual)
+
+
+def _placed(blocks: DataFrame, several: bool) -> DataFrame:
+    """Add the ``file`` that a block's ``path`` belongs to and the number of its ``piece`` there. One row per block: for each
+    segment the patterns would cost more than all else that reading does."""
+    steps = F.split("path", "/")
     folder, name = F.element_at(steps, -2), F.element_at(steps, -1)
     written = folder.startswith("interchange=")
-    run = F.regexp_replace("_metadata.file_path", "/[^/]*$", "") if several else F.split(folder, "=")[1]
-    file = F.when(written, run).otherwise(F.col("_metadata.file_path"))
+    run = F.regexp_replace("path", "/[^/]*$", "") if several else F.split(folder, "=")[1]
     number = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long")
     count = F.regexp_extract(name, r"[.-]c(\d+)\.", 1).try_cast("long")
     place = F.coalesce(number, F.lit(0)) * FILES_PER_PART + F.coalesce(count, F.lit(0))
-    part = F.when(written, place).otherwise(F.lit(0).cast("long"))
-    text = F.trim(F.regexp_replace("value", r"[\r\n]+", ""))
-    elements = F.split(text, re.escape(style.element))
-    if (style.repetition, style.component) != (REPETITION, COMPONENT):
-        # Inside an element every file's signs are the usual ones from here on; the first segment keeps what it states.
-        usual = F.transform(elements, lambda x: F.translate(x, style.repetition + style.component, REPETITION + COMPONENT))
-        elements = F.when(F.element_at(elements, 1) == "ISA", elements).otherwise(usual)
-    placed = raw.select(
-        file.alias("file"),
-        part.alias("piece"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-        elements.alias("elements"),
-    ).where(F.element_at("elements", 1) != "")
-    return placed.withColumn("tag", F.element_at("elements", 1))
+    return blocks.withColumns(
+        {
+            "file": F.when(written, run).otherwise(F.col("path")),
+            "piece": F.when(written, place).otherwise(F.lit(0).cast("long")),
+        }
+    )
+
+
+def _several(path: str | Sequence[str]) -> bool:
+    return not isinstance(path, str) and len(path) > 1
 
 
 def read_segments(spark: SparkSession, path: str | Sequence[str], separators: Separators | None = None) -> DataFrame:
@@ -175,58 +199,68 @@ def read_segments(spark: SparkSession, path: str | Sequence[str], separators: Se
     several paths an interchange goes by its folder's full path. Each file is cut by the separators
     that it states, unless they are handed in.
     """
-    return staged(_raw_segments(spark, path, separators), "segments")
+    parts = [texts.select("path", "block", "row", _elements(style).alias("elements"), "tag") for style, texts in _texts(spark, path, separators)]
+    segments = staged(reduce(DataFrame.unionAll, parts), "segments")
+    blocks = staged(_placed(segments.select("path", "block").distinct(), _several(path)), "blocks")
+    # one row per block
+    return segments.join(F.broadcast(blocks), ["path", "block"]).select("file", "piece", "block", "row", "elements", "tag")
 
 
-def looped_segments(spark: SparkSession, path: str | Sequence[str], separators: Separators | None = None) -> DataFrame:
-    """:func:`with_loops` of the files, staged once. Blocks and their rows come out alike each time a file is scanned."""
-    return staged(with_loops(_raw_segments(spark, path, separators)), "loops")
+# what is counted, and what the segments after a segment are inside of until the next one with a value
+_COUNTED = ("pos", "group_id", "txn_id", "family_id", "member_id", "coverage_id")
+_RUNNING = ("within", "envelope", "party")
 
 
-def with_loops(segments: DataFrame) -> DataFrame:
-    """Add ``pos`` (place in the file from 1) and the ids ``group_id``, ``txn_id``, ``family_id``, ``member_id`` and
-    ``coverage_id``, running numbers per file, null for segments outside such a loop; and ``party``, the code of the name
-    (NM1) in whose loop a segment of a member stands, null before the first one."""
-    tag = F.col("tag")
+def _counted_in_block(texts: DataFrame, style: Separators) -> DataFrame:
+    """Segments with the counts ``_l_`` and what they are inside of, ``_here_``, as far as their own block tells; ``_last`` is
+    true for the last of a block. Texts are exchanged and sorted, which are smaller than their elements."""
+    tag, code = F.col("tag"), _element(style, 2)
     counted: dict[str, Column] = {
         "pos": F.lit(1),
         "group_id": (tag == "GS").cast("int"),
         "txn_id": (tag == "ST").cast("int"),
-        "family_id": ((tag == "INS") & (F.try_element_at("elements", F.lit(2)) == "Y")).cast("int"),
+        "family_id": ((tag == "INS") & (code == "Y")).cast("int"),
         "member_id": (tag == "INS").cast("int"),
         "coverage_id": (tag == "HD").cast("int"),
     }
-    # what the segments after a segment are inside of, until the next one with a value
-    code = F.coalesce(F.try_element_at("elements", F.lit(2)), F.lit(""))
     running: dict[str, Column] = {
         "within": F.when(tag.isin(*BOUNDARY_TAGS), tag),
         "envelope": F.when(tag.isin(*ENVELOPE_TAGS), tag),
         "party": F.when(tag == "NM1", code).when(tag.isin(*BOUNDARY_TAGS), F.lit("")),
     }
-    block = ["file", "piece", "block"]
+    inside = Window.partitionBy("path", "block").orderBy("row")
+    here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return texts.select(
+        "path",
+        "block",
+        "tag",
+        "text",
+        *[F.sum(counted[name]).over(here).alias(f"_l_{name}") for name in _COUNTED],
+        *[F.last(running[name], ignorenulls=True).over(here).alias(f"_here_{name}") for name in _RUNNING],
+        F.lead("row").over(inside).isNull().alias("_last"),
+    ).withColumn("elements", _elements(style)).drop("text")
 
-    totals = segments.groupBy(*[F.col(c).alias(f"_{c}") for c in block]).agg(
-        *[F.sum(one).alias(f"_n_{name}") for name, one in counted.items()],
-        *[F.max_by(value, F.when(value.isNotNull(), F.col("row"))).alias(f"_last_{name}") for name, value in running.items()],
-    )
-    earlier = Window.partitionBy("_file").orderBy("_piece", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(
-        *[f"_{c}" for c in block],
-        *[F.coalesce(F.sum(f"_n_{name}").over(earlier), F.lit(0)).alias(f"_b_{name}") for name in counted],
-        *[F.last(f"_last_{name}", ignorenulls=True).over(earlier).alias(f"_carried_{name}") for name in running],
-    )
 
-    here = Window.partitionBy(*block).orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = segments.select(
-        *block,
-        "tag",
-        "elements",
-        *[F.sum(one).over(here).alias(f"_l_{name}") for name, one in counted.items()],
-        *[F.last(value, ignorenulls=True).over(here).alias(f"_here_{name}") for name, value in running.items()],
+def looped_segments(spark: SparkSession, path: str | Sequence[str], separators: Separators | None = None) -> DataFrame:
+    """The segments of files with ``pos`` (place in the file from 1) and the ids ``group_id``, ``txn_id``, ``family_id``,
+    ``member_id`` and ``coverage_id``, running numbers per file, null for segments outside such a loop; and ``party``, the
+    code of the name (NM1) in whose loop a segment of a member stands, null before the first one.
+
+    The files are read once: what is known inside a block is staged, and a block's last segment says what the block holds.
+    """
+    local = staged(reduce(DataFrame.unionAll, [_counted_in_block(texts, style) for style, texts in _texts(spark, path, separators)]), "loops")
+    earlier = Window.partitionBy("file").orderBy("piece", "block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = _placed(local.where("_last").drop("elements", "tag", "_last"), _several(path))
+    before = totals.select(
+        "path",
+        "block",
+        "file",
+        *[F.coalesce(F.sum(f"_l_{name}").over(earlier), F.lit(0)).alias(f"_b_{name}") for name in _COUNTED],
+        *[F.last(f"_here_{name}", ignorenulls=True).over(earlier).alias(f"_carried_{name}") for name in _RUNNING],
     )
-    on = (F.col("file") == F.col("_file")) & (F.col("piece") == F.col("_piece")) & (F.col("block") == F.col("_block"))
-    joined = local.join(before, on, "inner")
-    state = {name: F.coalesce(f"_here_{name}", f"_carried_{name}") for name in running}
+    joined = local.join(F.broadcast(staged(before, "blocks")), ["path", "block"])  # one row per block
+    tag = F.col("tag")
+    state = {name: F.coalesce(f"_here_{name}", f"_carried_{name}") for name in _RUNNING}
     outside = tag.isin(*ENVELOPE_TAGS)
     member = state["within"].isin("INS", "HD") & ~outside
     valid = {
@@ -241,7 +275,7 @@ def with_loops(segments: DataFrame) -> DataFrame:
         "file",
         "tag",
         "elements",
-        *[F.when(valid[name], F.col(f"_l_{name}") + F.col(f"_b_{name}")).alias(name) for name in counted],
+        *[F.when(valid[name], F.col(f"_l_{name}") + F.col(f"_b_{name}")).alias(name) for name in _COUNTED],
         F.when(member & (state["party"] != ""), state["party"]).alias("party"),
     )
 

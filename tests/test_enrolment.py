@@ -573,3 +573,18 @@ def test_a_condition_on_a_read_column_gathers_once(spark, segments):
         plan = found.where(F.col(column).isNotNull())._jdf.queryExecution().optimizedPlan().toString()
         assert "lambdafunction" in plan
         assert not [line for line in plan.splitlines() if "Filter " in line and "lambdafunction" in line]
+
+
+def test_files_are_scanned_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "in.x12").write_text(FILE)
+    plans, kept = [], staging.staged
+
+    def staged(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df, label)
+
+    monkeypatch.setattr("rollkeep.sources.segments.staged", staged)
+    e.read_edi(spark, str(tmp_path / "in.x12"))
+    scans = [plan for plan in plans if " text" in plan]
+    assert len(scans) == 1 and scans[0].count("Relation ") == 1
+    assert "regexp" not in scans[0]
