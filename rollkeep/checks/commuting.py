@@ -9,6 +9,7 @@ from rollkeep.checks.standins import ASOF, newest, out_of_town, phone_digits, st
 from rollkeep.operators.joins import semi
 from rollkeep.operators.sets import union_distinct
 from rollkeep.plans import commuter as c
+from rollkeep.sources.staging import staged
 
 SOURCE1 = ["soemploc", "sthclocra", "syemsad", "syclntr", "syempyr", "sthccdira"]
 SOURCE2 = [
@@ -213,8 +214,10 @@ def commuter_extract(spark, sf_dir):
 def union_branches(spark, sf_dir):
     """The three branches as a union of their own filters, restricted to persons with an address."""
     tables = standins(spark, sf_dir, *SOURCE2)
-    addresses = c.current_addresses(tables, ASOF)
+    addresses = staged(c.current_addresses(tables, ASOF), "addresses")
     rows = c.job_rows(tables, addresses, ASOF)
     rows = semi(rows, addresses.where(F.col("address_type") == "HOME"), ["emplid"])
     columns = ["emplid", "empl_rcd", "eligible"]
+    # all branches read the same joined rows
+    rows = staged(rows.select(*columns, "b1", "b2", "b3"), "branches")
     return union_distinct(*[rows.where(branch).select(*columns) for branch in ("b1", "b2", "b3")])

@@ -2,6 +2,7 @@
 
 from conftest import SMALL, rows
 
+from rollkeep.checks import commuting
 from rollkeep.checks.commuting import SOURCE2
 from rollkeep.checks.standins import ASOF, standins
 from rollkeep.plans import commuter as c
@@ -24,3 +25,9 @@ def test_layout(spark):
     df = c.source2(standins(spark, SMALL, *SOURCE2), ASOF)
     assert len(df.columns) == 39
     assert [f.dataType for f in df.schema] == [f.dataType for f in c.LAYOUT]
+
+
+def test_branches_share_their_joins(spark):
+    """Each branch with joins of its own held three times the sort buffers in a task."""
+    plan = commuting.union_branches(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Relation ") == 3
