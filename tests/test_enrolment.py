@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import random
+import re
 
 import numpy as np
 import pytest
@@ -17,7 +18,7 @@ from rollkeep.plans.snapshot import read_snapshot, refresh_snapshot
 from rollkeep.plans import runs
 from rollkeep.plans.sent import fold_sent, record_sent, sent_before, with_times_sent
 from rollkeep.plans.snapshot import drop_snapshots
-from rollkeep.sources import staging
+from rollkeep.sources import ledger, staging
 from rollkeep.sources.segments import Separators, read_segments, separators_of
 from rollkeep.sources.versions import new_version, newest, versions
 
@@ -522,6 +523,30 @@ def test_definitions_keep_their_history(spark, tmp_path):
     assert rows(found) == [(1, 3, 1, 5), (1, 4, 5, None), (2, None, 1, None), (3, 1, 5, None)]
 
 
+def test_the_exception_view_moves_no_definition_columns_with_its_runs(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    time = lambda day: dt.datetime(2020, 1, day)
+    period = "sys_period struct<lower: timestamp, upper: timestamp>"
+    definitions = spark.createDataFrame(
+        [(1, "old", (time(1), time(5))), (1, "new", (time(5), None)), (1, "new", (time(5), None)), (None, "none", (time(1), None))],
+        f"file_definition_id int, plan_sponsor_name string, {period}",
+    )
+    instances = spark.createDataFrame(
+        [(10, 1, time(4)), (11, 1, time(5)), (12, 2, time(5)), (13, None, time(5)), (14, 1, None), (None, 1, time(4))],
+        "file_instance_id long, file_definition_id int, file_instance_start_time timestamp",
+    )
+    transfers = spark.createDataFrame([(10, 0), (10, 1), (12, 2), (None, 3)], "file_instance_id long, return_code int")
+    exceptions = spark.createDataFrame([(run, f"{run}") for run in (10, 11, 11, 12, 13, 14, 15, None)], "file_instance_id long, detail string")
+    view = ledger.exception_view(exceptions, definitions, instances, transfers)
+    assert view.schema.names == ledger.EXCEPTION_VIEW.names
+    assert rows(view, "file_instance_id", "detail", "plan_sponsor_name", "return_code") == [
+        (10, "10", "old", 0), (10, "10", "old", 1), *[(11, "11", "new", None)] * 4,
+    ]
+    plan = spark._jvm.PythonSQLUtils.explainString(view._jdf.queryExecution(), "formatted")
+    by_run = [part for part in plan.split("\n\n") if re.search(r"\) Exchange\n(.|\n)*hashpartitioning\((file_instance_id|_r0#\d+L)", part)]
+    assert len(by_run) >= 3 and not any("plan_sponsor_name" in part for part in by_run)
+
+
 def test_times_sent_are_folded_forward(spark, tmp_path):
     table = lambda *r: spark.createDataFrame(list(r), "subscriber_id string, member_seq int, coverage_seq int, benefit_end string").withColumn("benefit_end", F.to_date("benefit_end"))
     path, ended = str(tmp_path / "sent"), ("a", 0, 1, "2020-01-31")
