@@ -205,6 +205,24 @@ def test_words_encode_alone_as_in_their_text():
     assert [np.frombuffer(b, dtype="<u4").tolist() for b in byte_ids] == library_ids(BYTE_FILE, odd)
 
 
+@pytest.mark.parametrize("kind", ["words", "counts"])
+def test_only_different_pieces_are_looked_up(monkeypatch, kind):
+    asked, plain = [], encoders.PieceCache.all
+    monkeypatch.setattr(encoders.PieceCache, "all", lambda cache, pieces: asked.append(pieces) or plain(cache, pieces))
+    for made in (encoders.word_encoder, encoders.word_counter, encoders.piece_encoder):
+        made.cache_clear()
+    library = Tokenizer.from_file(BYTE_FILE if kind == "pieces" else WORD_FILE)
+    odd = "Word, word. (WORD) don't Don'T's \u1e96 H\u0331 \u0130\u017f stra\xdfe&&& \xc9COLE*** a1b22 x<|endoftext|>y <| |> \x1c\x85 12.5% \x0b\u5b57\u3000\u5b57 e\u0301"
+    values = [odd * 3, "", " ", "\n" + odd.lower(), "again " * 500, "again," * 7, "end<|endoftext|>"]
+    ids = [np.array(library.encode(v, add_special_tokens=False).ids, dtype="<u4") for v in values]
+    if kind == "counts":
+        assert encoders.word_counter(WORD_FILE)(values) == [len(x) for x in ids]
+    else:
+        found = encoders.word_encoder(WORD_FILE)(values) if kind == "words" else harmonic.encoded(values, BYTE_FILE)
+        assert found == [x.tobytes() for x in ids]
+    assert asked and all(len(pieces) == len(set(pieces)) for pieces in asked)
+
+
 def test_sections_join_to_the_text():
     for text in (ROWS[-9][1] or "", "x" * 700_000, "word \n" * 100_000, ""):
         assert "".join(encoders.sections(text, 1000)) == text
