@@ -44,8 +44,15 @@ def split_count(df: DataFrame, target_bytes: int = 24 << 20) -> int:
     return least if size >= 1 << 60 else max(least, -(-size // target_bytes))
 
 
+def text_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Let scans read so many rows at once: a batch of whole texts must fit an executor many times."""
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(rows))
+
+
 def python_tasks(spark: SparkSession, rows: int = 512) -> None:
-    """Make this package importable in tasks, and Arrow batches small: one of whole texts must fit a worker many times."""
+    """Make this package importable in tasks, and batches small, of Arrow and of scans: one of whole texts must fit a worker
+    many times."""
+    text_batches(spark, rows)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     context = spark.sparkContext
     if getattr(context, "_rollkeep_shipped", False):

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import BLANKS, GAP, free_name
+from rollkeep.llm.common import BLANKS, GAP, free_name, text_batches
 from rollkeep.sources.staging import staged
 
 SYMBOLS = "#*$%&|<>"
@@ -138,6 +138,7 @@ def cleaned(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text")
     The rules' result is staged before the filter: pushed below the steps that build it, the filter would repeat each of
     them for every use of the one before.
     """
+    text_batches(docs.sparkSession)
     checked, name = with_line_rules(docs, rules, text)
     verdict = free_name(docs, "kept")
     columns = [F.col(f"{name}.clean_text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]

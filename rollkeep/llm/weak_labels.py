@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollkeep.llm.common import python_tasks
+from rollkeep.llm.encoders import forget
 
 TWINS = 0.8  # voters more correlated than this are taken for the same evidence
 WORD = re.compile(r"[^\W\d_]+")
@@ -105,12 +106,13 @@ def mined(rows: DataFrame, rules: WeakLabels) -> tuple[list[tuple[str, int, int]
     rows. The sample's words bound how many there are."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         toxic, clean = Counter(), Counter()
         for batch in batches:
             for text, y in zip(batch["text"], batch["y"]):
                 (toxic if y else clean).update(features(text, rules.beginnings))
                 (toxic if y else clean)[""] += 1
-            if len(toxic) + len(clean) > 300_000:
+            if len(toxic) + len(clean) > 100_000:
                 yield _counted(toxic, clean)
                 toxic, clean = Counter(), Counter()
         if toxic or clean:
@@ -253,6 +255,7 @@ def score(docs: DataFrame, model: Model, rules: WeakLabels = WeakLabels(), key:
     python_tasks(docs.sparkSession, 256)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             yield batch[["doc_id", "held_out"]].assign(score=[model.score(t) for t in batch["text"]])
 
@@ -267,6 +270,7 @@ def scores_of(model: Model):
 
     @F.pandas_udf("double")
     def run(values: pd.Series) -> pd.Series:
+        forget()
         return values.map(lambda t: model.score(t or "")).astype("float64")
 
     return run

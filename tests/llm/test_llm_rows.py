@@ -7,6 +7,7 @@ import zlib
 
 import brute
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -14,7 +15,7 @@ from fixtures import table, texts
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rollkeep.llm import blob_ledger, byte_pairs, disclosure, encoders, harmonic, line_rules, token_counts, token_frames
+from rollkeep.llm import blob_ledger, byte_pairs, disclosure, encoders, harmonic, line_rules, token_counts, token_frames, weak_labels
 
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -223,6 +224,21 @@ def test_only_different_pieces_are_looked_up(monkeypatch, kind):
     assert asked and all(len(pieces) == len(set(pieces)) for pieces in asked)
 
 
+def test_a_worker_frees_its_pieces_for_the_next_operator():
+    cache = encoders.PieceCache(lambda pieces: pieces, limit=2)
+    for piece in (b"a", b"b", b"c"):
+        cache.all([piece])
+    assert cache.young and cache.old
+    weak_labels.scores_of(weak_labels.Model({}, 0.0, (4,), {})).func(pd.Series(["text"]))
+    assert not cache.young and not cache.old
+
+
+def test_scans_of_whole_texts_read_few_rows_at_once(spark, docs, conf):
+    conf(spark__sql__parquet__columnarReaderBatchSize="4096")
+    line_rules.cleaned(docs)
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
+
+
 def test_sections_join_to_the_text():
     for text in (ROWS[-9][1] or "", "x" * 700_000, "word \n" * 100_000, ""):
         assert "".join(encoders.sections(text, 1000)) == text
