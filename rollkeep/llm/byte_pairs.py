@@ -19,14 +19,14 @@ import functools
 import hashlib
 import heapq
 from collections.abc import Iterator
-from itertools import chain, product
+from itertools import chain, pairwise, product
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
 from rollkeep.llm.common import python_tasks, texts
-from rollkeep.llm.encoders import PieceCache, sections
+from rollkeep.llm.encoders import PieceCache, coded_cuts, cut_array, different, grouped
 
 # What can follow an apostrophe at the start of a pre-token: fixed values of the pattern.
 SHORT = "stmd"
@@ -224,37 +224,29 @@ def ranks_of(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
-def slices(parts: list[str], table: np.ndarray) -> list[list[bytes]]:
-    """The pre-tokens of each text."""
-    data = "".join(parts)
+def _cut(parts: list[str], table: np.ndarray) -> tuple[bytes, np.ndarray, list[int]]:
+    """The bytes of all texts, where in them the pre-tokens start and the last one ends, and how many pre-tokens are before
+    the end of each text, from 0 on."""
     lengths = np.array([len(p) for p in parts], dtype=np.int64)
-    points = np.frombuffer(data.encode("utf-32-le"), dtype="<u4")
-    ends = np.cumsum(lengths)
+    points, ends = np.frombuffer("".join(parts).encode("utf-32-le"), dtype="<u4"), np.cumsum(lengths)
     if not len(points):
-        return [[] for _ in parts]
-    first = (ends - lengths)[lengths > 0]
-    at = np.flatnonzero(boundaries(points, first, table))
-    width = 1 + (points >= 0x80).astype(np.int8) + (points >= 0x800) + (points >= 0x10000)
-    place = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
-    coded = data.encode()
-    cuts = place[at].tolist()
-    pieces = [coded[a:b] for a, b in zip(cuts, [*cuts[1:], len(coded)])]
-    of = np.concatenate([[0], np.searchsorted(at, ends)]).tolist()
-    return [pieces[a:b] for a, b in zip(of, of[1:])]
-
-
-def grouped(values: list[str]) -> Iterator[list[tuple[int, str]]]:
-    """Sections of the texts, numbered by text, in groups of about PART characters."""
-    group, size = [], 0
-    for i, text in enumerate(values):
-        for part in sections(text):
-            group.append((i, part))
-            size += len(part)
-            if size >= PART:
-                yield group
-                group, size = [], 0
-    if group:
-        yield group
+        return b"", np.zeros(1, dtype=np.int64), [0] * (len(parts) + 1)
+    at = np.flatnonzero(boundaries(points, (ends - lengths)[lengths > 0], table))
+    return *coded_cuts(points, at), [0, *np.searchsorted(at, ends).tolist()]
+
+
+def slices(parts: list[str], table: np.ndarray) -> list[list[bytes]]:
+    """The pre-tokens of each text."""
+    coded, cuts, of = _cut(parts, table)
+    pieces = [coded[a:b] for a, b in pairwise(cuts.tolist())]
+    return [pieces[a:b] for a, b in pairwise(of)]
+
+
+def different_slices(parts: list[str], table: np.ndarray) -> tuple[list[bytes], list[list[int]]]:
+    """The different pre-tokens of the texts, and for each text the places of its own among them."""
+    coded, cuts, of = _cut(parts, table)
+    known, places = different(cut_array(coded, cuts))
+    return known, [places[a:b] for a, b in pairwise(of)]
 
 
 class BytePairs:
@@ -273,7 +265,7 @@ class BytePairs:
 
     def encode(self, values: list[str]) -> list[list[int]]:
         out: list[list[int]] = [[] for _ in values]
-        for group in grouped(values):
+        for group in grouped(values, PART):
             for (i, _), pieces in zip(group, slices([part for _, part in group], self.table)):
                 out[i].extend(chain.from_iterable(self.cache.all(pieces)))
         return out

@@ -16,16 +16,15 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollkeep.llm.byte_pairs import class_table_of, grouped, slices
+from rollkeep.llm.byte_pairs import PART, class_table_of, different_slices
 from rollkeep.llm.common import python_tasks, texts
-from rollkeep.llm.encoders import packed, piece_encoder
+from rollkeep.llm.encoders import grouped, packed, piece_encoder
 from rollkeep.sources.staging import staged
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, worker int, kind int, place long, at long, ids binary"
@@ -50,12 +49,11 @@ def encoded(values: list[str], path: str) -> list[bytes]:
     out = {i: whole(values[i]) for i in set(range(len(values))) - set(plain)}
     parts: dict[int, list[bytes]] = {i: [] for i in plain}
     table = class_table_of(path)
-    for group in grouped([values[i] for i in plain]):
-        found = slices([part for _, part in group], table)
-        ids, at = lookup(list(chain.from_iterable(found))), 0
-        for (i, _), pieces in zip(group, found):
-            parts[plain[i]].append(b"".join(ids[at : at + len(pieces)]))
-            at += len(pieces)
+    for group in grouped([values[i] for i in plain], PART):
+        known, found = different_slices([part for _, part in group], table)
+        ids = lookup(known)
+        for (i, _), places in zip(group, found):
+            parts[plain[i]].append(b"".join([ids[place] for place in places]))
     return [out[i] if i in out else b"".join(parts[i]) for i in range(len(values))]
 
 

@@ -206,7 +206,7 @@ def test_words_encode_alone_as_in_their_text():
     assert [np.frombuffer(b, dtype="<u4").tolist() for b in byte_ids] == library_ids(BYTE_FILE, odd)
 
 
-@pytest.mark.parametrize("kind", ["words", "counts"])
+@pytest.mark.parametrize("kind", ["words", "counts", "pieces"])
 def test_only_different_pieces_are_looked_up(monkeypatch, kind):
     asked, plain = [], encoders.PieceCache.all
     monkeypatch.setattr(encoders.PieceCache, "all", lambda cache, pieces: asked.append(pieces) or plain(cache, pieces))
