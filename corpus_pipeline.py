@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeep.llm import disclosure, harmonic, jaccard_join, line_rules, weak_labels
-from rollkeep.llm.common import documents
+from rollkeep.llm.common import documents, file_count
 from rollkeep.session import prepare
 from rollkeep.sources.staging import Scope, discard, owned_by, staged
 
@@ -28,14 +28,16 @@ def free_last() -> None:
 
 
 def owned(stage: Stage) -> Stage:
-    """A stage that owns what it stages. Its result is written before the next stage begins, which frees it."""
+    """A stage that owns what it stages. Its result is written before the next stage begins, which frees it, and in as many
+    files as its input's size asks for."""
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         free_last()
         _LAST.append(Scope(spark))
         with owned_by(_LAST[0]):
-            return stage(spark, docs, sf_dir)
+            result, files = stage(spark, docs, sf_dir), file_count(docs)
+            return result if files is None else result.coalesce(files)
 
     return run_stage
 

@@ -44,6 +44,16 @@ def split_count(df: DataFrame, target_bytes: int = 24 << 20) -> int:
     return least if size >= 1 << 60 else max(least, -(-size // target_bytes))
 
 
+def file_count(df: DataFrame, target_bytes: int = 4 << 20) -> int | None:
+    """Files for tables made from this one: as many as the optimiser's size of it asks for, and no fewer than two per core.
+
+    Where exchanges have far more partitions than that, each file of a few rows costs more than they do: on a local file
+    system Hadoop starts four processes per file, and every later scan has a task for it. None: no source states the size.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return None if size >= 1 << 60 else max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-size // target_bytes))
+
+
 def text_batches(spark: SparkSession, rows: int = 512) -> None:
     """Let scans read so many rows at once: a batch of whole texts must fit an executor many times."""
     spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(rows))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollkeep.llm.common import free_name, python_tasks
+from rollkeep.llm.common import file_count, free_name, python_tasks
 from rollkeep.sources.staging import staged
 
 # The base kinds in their order.
@@ -169,6 +169,7 @@ def disclosing(found: DataFrame, docs: DataFrame, text: str, name: dict[str, str
         F.col(name["row_number_"]).alias("row"), F.col(name["text_hash_"]).alias("hash"), F.col(text).alias("text"), F.col(name["base_spans_"]).alias("spans")
     )
 
+    files = file_count(docs)
     # Equal texts are one observation: one row stands for all of them.
     held = held.withColumn("entities", _entities("text", "spans"))
     alike = held.groupBy("hash").agg(F.min("row").alias("row"), F.count("*").alias("rows"))
@@ -193,7 +194,7 @@ def disclosing(found: DataFrame, docs: DataFrame, text: str, name: dict[str, str
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], texts), pa.array(columns[2], texts)], names=["rows", "entities", "terms"])
 
     firsts = held.join(alike.select("row", "rows"), "row").select("rows", "text", "spans", "entities")
-    seen = staged(firsts.mapInArrow(whole, "rows long, entities array<string>, terms array<string>"), "seen-terms")
+    seen = staged(firsts.mapInArrow(whole, "rows long, entities array<string>, terms array<string>"), "seen-terms", files)
     support = seen.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("texts")).where(f"texts >= {rules.texts}")
     supported = _bitmap(support.select("term"), bits)
 
@@ -214,7 +215,7 @@ def disclosing(found: DataFrame, docs: DataFrame, text: str, name: dict[str, str
 
     counts = seen.mapInArrow(pairs, "entity string, term string, n long, texts long")
     counts = counts.groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.sum("texts").alias("texts"))
-    near = staged(counts.where(f"texts >= {rules.texts}"), "pair-counts")
+    near = staged(counts.where(f"texts >= {rules.texts}"), "pair-counts", files)
     bitmap = _bitmap(near.select("term"), bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

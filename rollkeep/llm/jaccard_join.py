@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import ddl, free, free_name, python_tasks, record_batch, split_count, split_join, texts
+from rollkeep.llm.common import ddl, file_count, free, free_name, python_tasks, record_batch, split_count, split_join, texts
 from rollkeep.llm.links import components
 from rollkeep.llm.shingle_sets import bits_apart, mix, parity_bits, parity_longs, shingle_sets
 from rollkeep.sources.staging import discard, scope, staged
@@ -422,7 +422,7 @@ def _near_sql() -> str:
     return " and ".join([*tests, f"(p.h0 is null or i.h0 is null or 7 * ({both}) <= p.n + i.n)"])
 
 
-def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
+def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str, files: int | None) -> DataFrame:
     """The pairs (a, b) of sets that are links, staged: first by parity bits, then by the intersection of their shingles."""
     half = F.struct(F.col("n_shingles").alias("n"), *PARITY)
     sides = _parities(classes).join(classes.select("set_id", "bits", "n_shingles"), "set_id")
@@ -436,9 +436,9 @@ def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str) ->
             yield batch.loc[7 * np.array(apart, dtype=np.int64) <= (batch["n"] + batch["m"]).to_numpy(), ["a", "b"]]
 
     likely = split_join(split_join(pairs, one, ["a"]), two, ["b"]).where(F.expr(_near_sql())).select("a", "b", "x", "y", F.col("p.n").alias("n"), F.col("i.n").alias("m"))
-    close = staged(likely.mapInPandas(near, "a long, b long"), "close")
+    close = staged(likely.mapInPandas(near, "a long, b long"), "close", files)
     wanted = close.select(F.col("a").alias("set_id")).union(close.select("b")).distinct()
-    chosen = staged(wanted.join(classes.select("set_id", "rep"), "set_id"), "wanted")
+    chosen = staged(wanted.join(classes.select("set_id", "rep"), "set_id"), "wanted", files)
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -446,7 +446,7 @@ def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str) ->
             yield pd.DataFrame({"set_id": batch["set_id"], "shingles": sets})
 
     held = _named(docs).join(chosen.hint("shuffle_hash"), "rep").select("set_id", "text")
-    texts_of = staged(held.mapInPandas(expand, "set_id long, shingles binary"), "sets")
+    texts_of = staged(held.mapInPandas(expand, "set_id long, shingles binary"), "sets", files)
     sets = texts_of.dropDuplicates(["set_id"])
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -461,7 +461,7 @@ def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str) ->
 
     left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-    links = staged(close.join(left, "a").join(right, "b").mapInPandas(link, "a long, b long"), label)
+    links = staged(close.join(left, "a").join(right, "b").mapInPandas(link, "a long, b long"), label, files)
     discard(close, chosen, texts_of)
     return links
 
@@ -470,10 +470,10 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _indexed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _indexed(docs: DataFrame, key: str, text: str, files: int | None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Steps 1 to 3: the rows, their sets, one row per distinct set, and the allocated records."""
     rows, spark = texts(docs, key, text), docs.sparkSession
-    one = staged(indexed_rows(rows), "indexed")
+    one = staged(indexed_rows(rows), "indexed", files)
     found = one.where("key is null").select(*MEMBERS.names)
     proofs = F.when(F.min("proof") != F.max("proof"), F.raise_error(F.lit("two sets have one id"))).otherwise(F.first("n_shingles"))
     classes = found.where("n_shingles > 0").groupBy("set_id").agg(
@@ -481,16 +481,16 @@ def _indexed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame
         F.first("low").alias("low"), F.first("high").alias("high"), F.count("*").alias("copies"),
         F.min("rep").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rep")).alias("least"),
     )
-    classes = staged(classes, "classes")
-    found = staged(found.select("doc_id", "rep", "n_shingles", "set_id"), "members")
+    classes = staged(classes, "classes", files)
+    found = staged(found.select("doc_id", "rep", "n_shingles", "set_id"), "members", files)
     lacking = frozenset(r["lacking"] for r in classes.where("lacking >= 0").select("lacking").distinct().collect())  # bands
 
     parts = [one]
     if lacking:  # very rare: their segments without content become keys too
-        parts.append(staged(indexed_rows(rows, lacking, empty_only=True), "empty-segments"))
+        parts.append(staged(indexed_rows(rows, lacking, empty_only=True), "empty-segments", files))
     shared = reduce(DataFrame.union, [part.where("key is not null").select(*RECORDS.names) for part in parts])
     free(spark)
-    kept = staged(allocated(shared, classes), "allocated")
+    kept = staged(allocated(shared, classes), "allocated", files)
     discard(*parts)
     free(spark)
     return rows, found, classes, kept
@@ -509,41 +509,41 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
     ``rep`` is a hash of the id and the text; ``kept`` marks the row with the smallest id of each component. The links are
     those that give the components; :func:`every_link` finds all. Only these two tables are left on disk.
     """
-    spark = docs.sparkSession
+    spark, files = docs.sparkSession, file_count(docs)
     with scope(spark) as own:
-        rows, found, classes, kept = _indexed(docs, key, text)
+        rows, found, classes, kept = _indexed(docs, key, text, files)
         by_key = kept.groupBy("key").agg(
             F.max("flags").alias("most"), *[F.min_by("set_id", F.xxhash64("set_id", F.lit(seed))).alias(f"leader{seed}") for seed in (1, 2)]
         )
         led = split_join(kept, by_key.where(f"most >= {PROBES}"), ["key"])
         stars = led.select("set_id", F.explode(F.array("leader1", "leader2")).alias("leader")).where("set_id <> leader")
-        tried = staged(stars.select(*_ordered("set_id", "leader")).distinct(), "tried")
-        first = _exact(tried, rows, classes, "star-links")
-        roots = components(first)
+        tried = staged(stars.select(*_ordered("set_id", "leader")).distinct(), "tried", files)
+        first = _exact(tried, rows, classes, "star-links", files)
+        roots = components(first, files)
 
         placed = kept.join(roots, kept["set_id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "set_id")).drop("node")
         mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("flags").alias("most"))
         mixed = mixed.where(f"lo <> hi and most >= {PROBES}").select("key")
         some = split_join(placed, mixed, ["key"], "left_semi").select("key", "set_id", "n", "flags", "root")
-        left = staged(some.join(_parities(classes), "set_id"), "mixed")
+        left = staged(some.join(_parities(classes), "set_id"), "mixed", files)
         discard(kept)
         free(spark)
         p, i = left.where(f"flags >= {PROBES}").alias("p"), left.alias("i")
         match = f"p.root <> i.root and {_meeting()}"
-        rest = staged(p.join(i, F.expr(match)).select(*_ordered("p.set_id", "i.set_id")).distinct().join(tried, ["a", "b"], "left_anti"), "rest")
+        rest = staged(p.join(i, F.expr(match)).select(*_ordered("p.set_id", "i.set_id")).distinct().join(tried, ["a", "b"], "left_anti"), "rest", files)
         discard(left, tried)
         free(spark)
-        links = own.keep(first.union(_exact(rest, rows, classes, "rest-links")), "links")
-        return own.keep(_placed(found, classes, links), "placed"), links
+        links = own.keep(first.union(_exact(rest, rows, classes, "rest-links", files)), "links", files)
+        return own.keep(_placed(found, classes, links, files), "placed", files), links
 
 
-def _placed(found: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+def _placed(found: DataFrame, classes: DataFrame, links: DataFrame, files: int | None) -> DataFrame:
     """The rows with the component that the links put them in."""
-    roots = components(links)
+    roots = components(links, files)
     named = classes.select("set_id", "least").join(roots, F.col("set_id") == F.col("node"), "left")
     named = named.withColumn("root", F.coalesce("root", "set_id"))
     smallest = named.groupBy("root").agg(F.min("least").alias("first"))
-    joined = found.join(staged(split_join(named, smallest, ["root"]).select("set_id", "first"), "firsts"), "set_id", "left")
+    joined = found.join(staged(split_join(named, smallest, ["root"]).select("set_id", "first"), "firsts", files), "set_id", "left")
     empty = F.col("n_shingles") == 0
     chosen = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("rep") == F.col("first.rep"))
     component = F.when(empty, F.col("doc_id")).otherwise(F.col("first.doc_id"))
@@ -556,13 +556,14 @@ def every_link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tupl
     ``n_links`` is the number of other rows whose set is similar: the row's copies and those of each linked set. A row
     without words has none.
     """
+    files = file_count(docs)
     with scope(docs.sparkSession) as own:
-        rows, found, classes, kept = _indexed(docs, key, text)
+        rows, found, classes, kept = _indexed(docs, key, text, files)
         held = kept.groupBy("key").agg(F.count_if(F.col("flags") >= PROBES).alias("asking"), F.count("*").alias("held"))
         held = held.where("asking > 0 and held > 1")
         parts = lambda count: F.ceil(F.col(count) / BLOCK).cast("int")
         held = held.select("key", parts("asking").alias("rows_p"), parts("held").alias("rows_i"))
-        left = staged(split_join(kept, held, ["key"]).join(_parities(classes), "set_id"), "candidates")
+        left = staged(split_join(kept, held, ["key"]).join(_parities(classes), "set_id"), "candidates", files)
         discard(kept)
         free(docs.sparkSession)
 
@@ -578,18 +579,18 @@ def every_link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tupl
         # Of two sets of one size each probes for the other, so one of the two is enough.
         once = "(p.n < i.n or p.set_id < i.set_id) and p.set_id <> i.set_id"
         match = f"p.part_p = i.part_p and p.part_i = i.part_i and {once} and {_meeting()}"
-        pairs = staged(p.join(i, F.expr(match)).select(*_ordered("p.set_id", "i.set_id")).distinct(), "pairs")
+        pairs = staged(p.join(i, F.expr(match)).select(*_ordered("p.set_id", "i.set_id")).distinct(), "pairs", files)
         discard(left)
-        links = own.keep(_exact(pairs, rows, classes, "every-link"), "links")
+        links = own.keep(_exact(pairs, rows, classes, "every-link", files), "links", files)
 
         copies = classes.select("set_id", "copies")
         both = links.select(F.col("a").alias("of"), F.col("b").alias("set_id")).unionAll(links.select("b", "a"))
         linked = split_join(both, copies, ["set_id"]).groupBy("of").agg(F.sum("copies").alias("linked"))
         counted = copies.join(linked, F.col("set_id") == F.col("of"), "left")
-        counted = staged(counted.select("set_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")), "counted")
+        counted = staged(counted.select("set_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")), "counted", files)
         n_links = F.when(F.col("n_shingles") == 0, F.lit(0)).otherwise(F.col("n_links")).cast("long")
-        placed = _placed(found, classes, links).join(counted, "set_id", "left").withColumn("n_links", n_links)
-        return own.keep(placed, "placed"), links
+        placed = _placed(found, classes, links, files).join(counted, "set_id", "left").withColumn("n_links", n_links)
+        return own.keep(placed, "placed", files), links
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

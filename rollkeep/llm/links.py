@@ -26,16 +26,17 @@ def _stars(edges: DataFrame, both: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node`` and ``root``, the least node it is linked with, for every node of links (a, b) that has a link; staged."""
+def components(links: DataFrame, files: int | None = None) -> DataFrame:
+    """``node`` and ``root``, the least node it is linked with, for every node of links (a, b) that has a link; staged in at
+    most so many files."""
     with scope(links.sparkSession) as own:
-        edges, before = staged(links.select("a", "b").where("a <> b").distinct(), "links"), None
+        edges, before = staged(links.select("a", "b").where("a <> b").distinct(), "links", files), None
         while True:
             mark = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
             if mark == before:
                 break
             before, old = mark, edges
-            edges = staged(_stars(_stars(edges, True), False), "stars")
+            edges = staged(_stars(_stars(edges, True), False), "stars", files)
             discard(old)
         roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        return own.keep(roots.union(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
+        return own.keep(roots.union(roots.select(F.col("root").alias("node"), "root").distinct()), "roots", files)

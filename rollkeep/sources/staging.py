@@ -41,12 +41,12 @@ class Scope:
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.folders = spark, set()
 
-    def keep(self, df: DataFrame, label: str) -> DataFrame:
+    def keep(self, df: DataFrame, label: str, files: int | None = None) -> DataFrame:
         """Stage a table that outlives this scope: it belongs to the scope around it."""
         scopes = _OPEN.get()
         token = _OPEN.set(scopes[: scopes.index(self)] if self in scopes else scopes)
         try:
-            return staged(df, label)
+            return staged(df, label, files)
         finally:
             _OPEN.reset(token)
 
@@ -92,11 +92,11 @@ def _application_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/rollkeep/{spark.conf.get('spark.app.id')}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read it back."""
+def staged(df: DataFrame, label: str, files: int | None = None) -> DataFrame:
+    """Write once to the shared folder and read it back; ``files``: by at most so many tasks, each of which writes a file."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    (df if files is None else df.coalesce(files)).write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     _FOLDERS[table] = path
     return table

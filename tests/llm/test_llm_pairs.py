@@ -13,7 +13,7 @@ from conftest import SMALL
 from fixtures import table, texts, words
 from pyspark.sql import functions as F
 
-from rollkeep.llm import jaccard_join, links, multi_index, shingle_sets, weak_labels
+from rollkeep.llm import common, jaccard_join, links, multi_index, shingle_sets, weak_labels
 from rollkeep.llm.queries import ORACLES, QUERIES
 from rollkeep.sources import staging
 
@@ -143,6 +143,28 @@ def test_parity_bits_bound_the_difference():
             assert sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) + (1 << 64)).bit_count() for x, y in zip(pairs[0][0], pairs[1][0])) <= len(np.setxor1d(a, b))
 
 
+def test_staged_tables_have_no_more_files_than_their_size_asks_for(spark, conf, tmp_path):
+    """An exchange of many partitions left a file of a few rows for each of them, in every staged table."""
+    conf(spark__sql__shuffle__partitions="40", spark__sql__adaptive__coalescePartitions__enabled="false")
+    spark.createDataFrame(ROWS, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    most = common.file_count(docs)
+    members, found = jaccard_join.join(docs)
+    assert most < 40 and all(len(t.inputFiles()) <= most for t in (members, found))
+    assert bag((r["doc_id"], r["n_shingles"], r["component_id"]) for r in members.collect()) == bag(brute.components(ROWS))
+    roots = links.components(found, most)
+    assert len(roots.inputFiles()) <= most
+    assert bag(roots.collect()) == bag(links.components(found).collect())
+
+
+def test_files_follow_the_size_of_the_input(spark, tmp_path):
+    spark.range(50_000).selectExpr("id", "sha2(cast(id as string), 512) as text").write.parquet(str(tmp_path / "x"))
+    frame, cores = spark.read.parquet(str(tmp_path / "x")), spark.sparkContext.defaultParallelism
+    few, many = (common.file_count(frame, size) for size in (1 << 40, 1 << 10))
+    assert few == 2 * cores and many > 1000
+    assert common.file_count(spark.createDataFrame(frame.limit(2).rdd)) is None  # no source states its size
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(200, 201), (201, 200), (7, 7)]
     found = links.components(spark.createDataFrame(edges, "a long, b long")).collect()
