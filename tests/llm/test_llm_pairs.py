@@ -143,18 +143,22 @@ def test_parity_bits_bound_the_difference():
             assert sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) + (1 << 64)).bit_count() for x, y in zip(pairs[0][0], pairs[1][0])) <= len(np.setxor1d(a, b))
 
 
-def test_staged_tables_have_no_more_files_than_their_size_asks_for(spark, conf, tmp_path):
+def test_staged_tables_have_no_more_files_than_their_size_asks_for(spark, conf, tmp_path, monkeypatch):
     """An exchange of many partitions left a file of a few rows for each of them, in every staged table."""
-    conf(spark__sql__shuffle__partitions="40", spark__sql__adaptive__coalescePartitions__enabled="false")
-    spark.createDataFrame(ROWS, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
-    docs = spark.read.parquet(str(tmp_path / "docs"))
-    most = common.file_count(docs)
-    members, found = jaccard_join.join(docs)
-    assert most < 40 and all(len(t.inputFiles()) <= most for t in (members, found))
-    assert bag((r["doc_id"], r["n_shingles"], r["component_id"]) for r in members.collect()) == bag(brute.components(ROWS))
-    roots = links.components(found, most)
-    assert len(roots.inputFiles()) <= most
-    assert bag(roots.collect()) == bag(links.components(found).collect())
+    conf(spark__sql__shuffle__partitions="20", spark__sql__adaptive__coalescePartitions__enabled="false")
+    files, kept = {}, staging.staged
+
+    def counted(df, label, *most):
+        files[label] = len((found := kept(df, label, *most)).inputFiles())
+        return found
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    rows = ROWS[:80]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    members, _ = jaccard_join.join(spark.read.parquet(str(tmp_path / "docs")))
+    assert {"indexed", "allocated", "tried"} <= set(files)
+    assert max(files.values()) <= 2 * spark.sparkContext.defaultParallelism < 20, files
+    assert bag((r["doc_id"], r["n_shingles"], r["component_id"]) for r in members.collect()) == bag(brute.components(rows))
 
 
 def test_files_follow_the_size_of_the_input(spark, tmp_path):
