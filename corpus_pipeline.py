@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeep.llm import disclosure, harmonic, jaccard_join, line_rules, weak_labels
-from rollkeep.llm.common import documents, file_count
+from rollkeep.llm.common import documents, in_files, table_files
 from rollkeep.session import prepare
 from rollkeep.sources.staging import Scope, discard, owned_by, staged
 
@@ -36,8 +36,7 @@ def owned(stage: Stage) -> Stage:
         free_last()
         _LAST.append(Scope(spark))
         with owned_by(_LAST[0]):
-            result, files = stage(spark, docs, sf_dir), file_count(docs)
-            return result if files is None else result.coalesce(files)
+            return in_files(stage(spark, docs, sf_dir), table_files(docs))
 
     return run_stage
 

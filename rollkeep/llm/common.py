@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import zipfile
@@ -44,14 +45,31 @@ def split_count(df: DataFrame, target_bytes: int = 24 << 20) -> int:
     return least if size >= 1 << 60 else max(least, -(-size // target_bytes))
 
 
-def file_count(df: DataFrame, target_bytes: int = 4 << 20) -> int | None:
-    """Files for tables made from this one: as many as the optimiser's size of it asks for, and no fewer than two per core.
+def file_count(df: DataFrame, target_bytes: int = 4 << 20, least: int | None = None) -> int | None:
+    """Files for tables made from this one: as many as the optimiser's size of it asks for, and no fewer than ``least`` (two per
+    core).
 
     Where exchanges have far more partitions than that, each file of a few rows costs more than they do: on a local file
     system Hadoop starts four processes per file, and every later scan has a task for it. None: no source states the size.
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return None if size >= 1 << 60 else max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-size // target_bytes))
+    least = 2 * df.sparkSession.sparkContext.defaultParallelism if least is None else least
+    return None if size >= 1 << 60 else max(least, -(-size // target_bytes))
+
+
+def in_files(df: DataFrame, files: int | None) -> DataFrame:
+    """In at most so many partitions; before a step that numbers its rows by task, as a task then runs that step once."""
+    return df if files is None else df.coalesce(files)
+
+
+def table_files(df: DataFrame) -> int | None:
+    """Files for tables as wide as this one, with one per core at least: a step that works on texts needs every core."""
+    return file_count(df, 16 << 20, df.sparkSession.sparkContext.defaultParallelism)
+
+
+def id_files(df: DataFrame, target_bytes: int = 32 << 20) -> int | None:
+    """Files for tables of a few numbers for each row of this one; two at least, so that no task reads a whole table."""
+    return file_count(df, target_bytes, 2)
 
 
 def text_batches(spark: SparkSession, rows: int = 512) -> None:
@@ -93,6 +111,14 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     return joined if how == "left_semi" else joined.drop(*own.values())
 
 
+def give_back() -> None:
+    """Return to the system what this worker has freed; it would keep it while others wait for memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

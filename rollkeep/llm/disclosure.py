@@ -32,7 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollkeep.llm.common import file_count, free_name, python_tasks
+from rollkeep.llm.common import free_name, id_files, in_files, python_tasks, table_files
+from rollkeep.llm.encoders import tidy
 from rollkeep.sources.staging import staged
 
 # The base kinds in their order.
@@ -159,8 +160,8 @@ def find(docs: DataFrame, text: str, keep_text: bool) -> tuple[DataFrame, dict[s
             number += len(values)
             yield pa.RecordBatch.from_arrays([*columns, numbers, hashes, rows], names=[f.name for f in fields])
 
-    hashed = docs.withColumn(name["text_hash_"], F.xxhash64(text))
-    return staged(hashed.mapInArrow(run, T.StructType(fields)), "personal"), name
+    hashed = in_files(docs, table_files(docs)).withColumn(name["text_hash_"], F.xxhash64(text))
+    return staged(hashed.mapInArrow(tidy(run), T.StructType(fields)), "personal"), name
 
 
 def disclosing(found: DataFrame, docs: DataFrame, text: str, name: dict[str, str], rules: Disclosure) -> DataFrame:
@@ -169,13 +170,13 @@ def disclosing(found: DataFrame, docs: DataFrame, text: str, name: dict[str, str
         F.col(name["row_number_"]).alias("row"), F.col(name["text_hash_"]).alias("hash"), F.col(text).alias("text"), F.col(name["base_spans_"]).alias("spans")
     )
 
-    files = file_count(docs)
+    files, few = table_files(docs), id_files(docs)
     # Equal texts are one observation: one row stands for all of them.
     held = held.withColumn("entities", _entities("text", "spans"))
     alike = held.groupBy("hash").agg(F.min("row").alias("row"), F.count("*").alias("rows"))
     several = held.select("hash", F.explode("entities").alias("term")).groupBy("term", "hash").agg(F.count("*").alias("rows"))
     several = several.groupBy("term").agg(F.sum("rows").alias("n_c"), F.count("*").alias("texts")).where(f"texts >= {rules.texts}")
-    entities = staged(several.select(F.col("term").alias("entity"), "n_c"), "entities")
+    entities = staged(several.select(F.col("term").alias("entity"), "n_c"), "entities", few)
     if entities.isEmpty():  # no term can be judged, so nothing needs counting
         return entities.select("entity", F.lit("").alias("term"), F.lit("").alias("action"))
     bits = rules.filter_bits
@@ -194,7 +195,7 @@ def disclosing(found: DataFrame, docs: DataFrame, text: str, name: dict[str, str
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], texts), pa.array(columns[2], texts)], names=["rows", "entities", "terms"])
 
     firsts = held.join(alike.select("row", "rows"), "row").select("rows", "text", "spans", "entities")
-    seen = staged(firsts.mapInArrow(whole, "rows long, entities array<string>, terms array<string>"), "seen-terms", files)
+    seen = staged(firsts.mapInArrow(tidy(whole), "rows long, entities array<string>, terms array<string>"), "seen-terms", files)
     support = seen.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("texts")).where(f"texts >= {rules.texts}")
     supported = _bitmap(support.select("term"), bits)
 
@@ -213,9 +214,9 @@ def disclosing(found: DataFrame, docs: DataFrame, text: str, name: dict[str, str
                         total = {}
         yield _paired(total)
 
-    counts = seen.mapInArrow(pairs, "entity string, term string, n long, texts long")
+    counts = seen.mapInArrow(tidy(pairs), "entity string, term string, n long, texts long")
     counts = counts.groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.sum("texts").alias("texts"))
-    near = staged(counts.where(f"texts >= {rules.texts}"), "pair-counts", files)
+    near = staged(counts.where(f"texts >= {rules.texts}"), "pair-counts", few)
     bitmap = _bitmap(near.select("term"), bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,13 +240,13 @@ def disclosing(found: DataFrame, docs: DataFrame, text: str, name: dict[str, str
 
     if near.isEmpty():  # no term can be judged, so nothing needs counting
         return near.select("entity", "term", F.lit("").alias("action"))
-    totals = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
+    totals = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(tidy(count), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
     everything = docs.count()
     share = F.least(F.lit(1.0), F.col("n_ct") / F.greatest("n_t", "n_ct"))
     degree = 1 - F.log(share) / F.log((F.col("n_c") + 0.5) / (everything + 1))
     action = F.when(F.col("degree") >= rules.remove_at, ADDED[1]).when(F.col("degree") >= rules.generalise_at, ADDED[0])
     judged = near.join(totals, "term").join(entities, "entity").withColumn("degree", degree)
-    return staged(judged.select("entity", "term", action.alias("action")).where("action is not null"), "disclosing")
+    return staged(judged.select("entity", "term", action.alias("action")).where("action is not null"), "disclosing", few)
 
 
 def _entities(text: str, spans: str) -> Column:
@@ -312,7 +313,7 @@ def sanitise(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "tex
                             out = []
         yield sent(out)
 
-    hits = held.mapInArrow(present, "row long, entity string, term string").join(flagged, ["entity", "term"])
+    hits = held.mapInArrow(tidy(present), "row long, entity string, term string").join(flagged, ["entity", "term"])
     # Actions sort as wanted: the stronger one is the larger text.
     per_term = hits.groupBy("row", "term").agg(F.max("action").alias("action"))
     per_row = per_term.groupBy("row").agg(F.collect_list(F.struct("term", "action")).alias("terms")).select(F.col("row").alias(number), F.col("terms").alias(column))
@@ -338,7 +339,7 @@ def sanitise(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "tex
             yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, pa.list_(SPAN)), pa.array(texts, pa.string())], names=[f.name for f in fields])
 
     joined = found.drop(hashes).join(per_row, number, "left").drop(number)
-    marked = joined.mapInArrow(mark, T.StructType(fields))
+    marked = joined.mapInArrow(tidy(mark), T.StructType(fields))
     own = [f.name for f in marked.schema.fields[-3:]]
     result = F.struct(F.col(own[0]).alias("base"), F.col(own[1]).alias("spans"), F.col(own[2]).alias("clean_text"))
     return marked.select(*[F.col(f"`{c}`") for c in docs.columns], result.alias(column)), column

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollkeep.llm.byte_pairs import PART, class_table_of, different_slices
-from rollkeep.llm.common import python_tasks, texts
+from rollkeep.llm.common import give_back, id_files, in_files, python_tasks, table_files, texts
 from rollkeep.llm.encoders import grouped, packed, piece_encoder
 from rollkeep.sources.staging import staged
 
@@ -82,8 +82,9 @@ def pieces(
                     start += length
             frame = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
             yield frame.astype({"doc_id": "Int64"})
+        give_back()
 
-    return texts(docs, key, text).mapInPandas(run, PIECES)
+    return texts(in_files(docs, table_files(docs)), key, text).mapInPandas(run, PIECES)
 
 
 def first_fit(loads: list[tuple[int, int]], capacity: int) -> dict[int, tuple[int, int]]:
@@ -119,7 +120,7 @@ def pack(
     whole, left = F.floor(F.col("n") / F.col("kind")), F.col("n") % F.col("kind")
     before = Window.partitionBy("kind").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
     earlier = lambda x: F.coalesce(F.sum(x).over(before), F.lit(0))
-    bases = staged(counts.select("kind", "worker", whole.alias("whole"), left.alias("left"), earlier(whole).alias("sequences"), earlier(left).alias("rests")), "bases")
+    bases = staged(counts.select("kind", "worker", whole.alias("whole"), left.alias("left"), earlier(whole).alias("sequences"), earlier(left).alias("rests")), "bases", id_files(docs))
     # At most one row per class, and there are no more classes than the capacity.
     totals = bases.groupBy("kind").agg(F.sum("whole").alias("whole"), F.sum("left").alias("left")).collect()
     sizes = {r["kind"]: (r["whole"], r["left"]) for r in totals}

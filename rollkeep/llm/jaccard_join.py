@@ -39,7 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import ddl, file_count, free, free_name, python_tasks, record_batch, split_count, split_join, texts
+from rollkeep.llm.common import ddl, free, free_name, id_files, python_tasks, record_batch, split_count, split_join, table_files, texts
+from rollkeep.llm.encoders import tidy
 from rollkeep.llm.links import components
 from rollkeep.llm.shingle_sets import bits_apart, mix, parity_bits, parity_longs, shingle_sets
 from rollkeep.sources.staging import discard, scope, staged
@@ -369,8 +370,8 @@ def indexed_rows(rows: DataFrame, lacking: frozenset[int] = frozenset(), empty_o
             yield _rows(found[found["flags"] & MARK == 0], bucket)
 
     named = _named(rows).withColumn("doc_id", F.col("doc_id").cast("string"))
-    packed = named.mapInPandas(pack, PACKED)
-    return packed.repartitionById(buckets, F.col("spread")).mapInArrow(keep, ddl(INDEXED_ROWS))
+    packed = named.mapInPandas(tidy(pack), PACKED)
+    return packed.repartitionById(buckets, F.col("spread")).mapInArrow(tidy(keep), ddl(INDEXED_ROWS))
 
 
 def allocated(shared: DataFrame, classes: DataFrame) -> DataFrame:
@@ -436,9 +437,9 @@ def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str, fi
             yield batch.loc[7 * np.array(apart, dtype=np.int64) <= (batch["n"] + batch["m"]).to_numpy(), ["a", "b"]]
 
     likely = split_join(split_join(pairs, one, ["a"]), two, ["b"]).where(F.expr(_near_sql())).select("a", "b", "x", "y", F.col("p.n").alias("n"), F.col("i.n").alias("m"))
-    close = staged(likely.mapInPandas(near, "a long, b long"), "close", files)
+    close = staged(likely.mapInPandas(tidy(near), "a long, b long"), "close", files)
     wanted = close.select(F.col("a").alias("set_id")).union(close.select("b")).distinct()
-    chosen = staged(wanted.join(classes.select("set_id", "rep"), "set_id"), "wanted", files)
+    chosen = staged(wanted.join(classes.select("set_id", "rep"), "set_id"), "wanted", id_files(docs))
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -446,7 +447,7 @@ def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str, fi
             yield pd.DataFrame({"set_id": batch["set_id"], "shingles": sets})
 
     held = _named(docs).join(chosen.hint("shuffle_hash"), "rep").select("set_id", "text")
-    texts_of = staged(held.mapInPandas(expand, "set_id long, shingles binary"), "sets", files)
+    texts_of = staged(held.mapInPandas(tidy(expand), "set_id long, shingles binary"), "sets", files)
     sets = texts_of.dropDuplicates(["set_id"])
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -461,7 +462,7 @@ def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str, fi
 
     left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-    links = staged(close.join(left, "a").join(right, "b").mapInPandas(link, "a long, b long"), label, files)
+    links = staged(close.join(left, "a").join(right, "b").mapInPandas(tidy(link), "a long, b long"), label, files)
     discard(close, chosen, texts_of)
     return links
 
@@ -509,7 +510,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
     ``rep`` is a hash of the id and the text; ``kept`` marks the row with the smallest id of each component. The links are
     those that give the components; :func:`every_link` finds all. Only these two tables are left on disk.
     """
-    spark, files = docs.sparkSession, file_count(docs)
+    spark, files, few = docs.sparkSession, table_files(docs), id_files(docs)
     with scope(spark) as own:
         rows, found, classes, kept = _indexed(docs, key, text, files)
         by_key = kept.groupBy("key").agg(
@@ -517,9 +518,9 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
         )
         led = split_join(kept, by_key.where(f"most >= {PROBES}"), ["key"])
         stars = led.select("set_id", F.explode(F.array("leader1", "leader2")).alias("leader")).where("set_id <> leader")
-        tried = staged(stars.select(*_ordered("set_id", "leader")).distinct(), "tried", files)
+        tried = staged(stars.select(*_ordered("set_id", "leader")).distinct(), "tried", few)
         first = _exact(tried, rows, classes, "star-links", files)
-        roots = components(first, files)
+        roots = components(first)
 
         placed = kept.join(roots, kept["set_id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "set_id")).drop("node")
         mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("flags").alias("most"))
@@ -530,16 +531,16 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
         free(spark)
         p, i = left.where(f"flags >= {PROBES}").alias("p"), left.alias("i")
         match = f"p.root <> i.root and {_meeting()}"
-        rest = staged(p.join(i, F.expr(match)).select(*_ordered("p.set_id", "i.set_id")).distinct().join(tried, ["a", "b"], "left_anti"), "rest", files)
+        rest = staged(p.join(i, F.expr(match)).select(*_ordered("p.set_id", "i.set_id")).distinct().join(tried, ["a", "b"], "left_anti"), "rest", few)
         discard(left, tried)
         free(spark)
-        links = own.keep(first.union(_exact(rest, rows, classes, "rest-links", files)), "links", files)
-        return own.keep(_placed(found, classes, links, files), "placed", files), links
+        links = own.keep(first.union(_exact(rest, rows, classes, "rest-links", files)), "links", few)
+        return own.keep(_placed(found, classes, links, few), "placed", few), links
 
 
 def _placed(found: DataFrame, classes: DataFrame, links: DataFrame, files: int | None) -> DataFrame:
     """The rows with the component that the links put them in."""
-    roots = components(links, files)
+    roots = components(links)
     named = classes.select("set_id", "least").join(roots, F.col("set_id") == F.col("node"), "left")
     named = named.withColumn("root", F.coalesce("root", "set_id"))
     smallest = named.groupBy("root").agg(F.min("least").alias("first"))
@@ -556,7 +557,7 @@ def every_link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tupl
     ``n_links`` is the number of other rows whose set is similar: the row's copies and those of each linked set. A row
     without words has none.
     """
-    files = file_count(docs)
+    files = table_files(docs)
     with scope(docs.sparkSession) as own:
         rows, found, classes, kept = _indexed(docs, key, text, files)
         held = kept.groupBy("key").agg(F.count_if(F.col("flags") >= PROBES).alias("asking"), F.count("*").alias("held"))

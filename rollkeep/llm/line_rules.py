@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import BLANKS, GAP, free_name, text_batches
+from rollkeep.llm.common import BLANKS, GAP, free_name, table_files, text_batches
 from rollkeep.sources.staging import staged
 
 SYMBOLS = "#*$%&|<>"
@@ -142,4 +142,4 @@ def cleaned(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text")
     checked, name = with_line_rules(docs, rules, text)
     verdict = free_name(docs, "kept")
     columns = [F.col(f"{name}.clean_text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    return staged(checked.select(*columns, F.col(f"{name}.kept").alias(verdict)), "checked").where(verdict).drop(verdict)
+    return staged(checked.select(*columns, F.col(f"{name}.kept").alias(verdict)), "checked", table_files(docs)).where(verdict).drop(verdict)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollkeep.llm.common import split_join
+from rollkeep.llm.common import id_files, split_join
 from rollkeep.sources.staging import discard, scope, staged
 
 
@@ -26,9 +26,10 @@ def _stars(edges: DataFrame, both: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
-def components(links: DataFrame, files: int | None = None) -> DataFrame:
-    """``node`` and ``root``, the least node it is linked with, for every node of links (a, b) that has a link; staged in at
-    most so many files."""
+def components(links: DataFrame) -> DataFrame:
+    """``node`` and ``root``, the least node it is linked with, for every node of links (a, b) that has a link. What is staged
+    has as many files as the links' size asks for."""
+    files = id_files(links, 1 << 20)
     with scope(links.sparkSession) as own:
         edges, before = staged(links.select("a", "b").where("a <> b").distinct(), "links", files), None
         while True:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollkeep.llm.common import python_tasks
-from rollkeep.llm.encoders import forget
+from rollkeep.llm.encoders import forget, tidy
 
 TWINS = 0.8  # voters more correlated than this are taken for the same evidence
 WORD = re.compile(r"[^\W\d_]+")
@@ -106,7 +106,6 @@ def mined(rows: DataFrame, rules: WeakLabels) -> tuple[list[tuple[str, int, int]
     rows. The sample's words bound how many there are."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forget()
         toxic, clean = Counter(), Counter()
         for batch in batches:
             for text, y in zip(batch["text"], batch["y"]):
@@ -118,7 +117,7 @@ def mined(rows: DataFrame, rules: WeakLabels) -> tuple[list[tuple[str, int, int]
         if toxic or clean:
             yield _counted(toxic, clean)
 
-    counts = rows.select("text", "y").mapInPandas(count, "feature string, t long, c long")
+    counts = rows.select("text", "y").mapInPandas(tidy(count), "feature string, t long, c long")
     sums = counts.groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where("t >= 3").persist()
     try:
         total = sums.where("feature = ''").first()
@@ -149,7 +148,7 @@ def voted(rows: DataFrame, names: list[str], rules: WeakLabels) -> tuple[list[li
             if found:
                 yield pd.DataFrame({"votes": found, "y": batch["y"].to_numpy()})
 
-    found = rows.select("text", "y").mapInPandas(vote, "votes array<int>, y int").limit(rules.labelled_rows).collect()
+    found = rows.select("text", "y").mapInPandas(tidy(vote), "votes array<int>, y int").limit(rules.labelled_rows).collect()
     return [row["votes"] for row in found], np.array([row["y"] for row in found], dtype=bool)
 
 
@@ -255,13 +254,12 @@ def score(docs: DataFrame, model: Model, rules: WeakLabels = WeakLabels(), key:
     python_tasks(docs.sparkSession, 256)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forget()
         for batch in batches:
             yield batch[["doc_id", "held_out"]].assign(score=[model.score(t) for t in batch["text"]])
 
     held = F.coalesce(fold(F.col(key), rules.folds) == rules.held_out, F.lit(False))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), held.alias("held_out"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    scored = rows.mapInPandas(run, "doc_id long, held_out boolean, score double")
+    scored = rows.mapInPandas(tidy(run), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= rules.threshold).cast("int"))
 
 

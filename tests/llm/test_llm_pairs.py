@@ -161,6 +161,25 @@ def test_staged_tables_have_no_more_files_than_their_size_asks_for(spark, conf,
     assert bag((r["doc_id"], r["n_shingles"], r["component_id"]) for r in members.collect()) == bag(brute.components(rows))
 
 
+def test_tables_of_ids_have_few_files(spark, conf, tmp_path, monkeypatch):
+    """Eight files for a few pairs of numbers: each was a task, and three processes that the executor started."""
+    conf(spark__sql__shuffle__partitions="20", spark__sql__adaptive__coalescePartitions__enabled="false")
+    files, kept = {}, staging.staged
+
+    def counted(df, label, *most):
+        files[label] = len((found := kept(df, label, *most)).inputFiles())
+        return found
+
+    for module in (jaccard_join, links):
+        monkeypatch.setattr(module, "staged", counted)
+    rows = ROWS[:80]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    members, _ = jaccard_join.join(spark.read.parquet(str(tmp_path / "docs")))
+    assert {"tried", "wanted", "stars"} <= set(files) and max(files[label] for label in ("tried", "wanted", "rest", "stars", "firsts")) <= 2
+    assert max(files.values()) <= spark.sparkContext.defaultParallelism, files
+    assert bag((r["doc_id"], r["n_shingles"], r["component_id"]) for r in members.collect()) == bag(brute.components(rows))
+
+
 def test_files_follow_the_size_of_the_input(spark, tmp_path):
     spark.range(50_000).selectExpr("id", "sha2(cast(id as string), 512) as text").write.parquet(str(tmp_path / "x"))
     frame, cores = spark.read.parquet(str(tmp_path / "x")), spark.sparkContext.defaultParallelism

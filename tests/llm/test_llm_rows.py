@@ -348,3 +348,23 @@ def test_cuts_and_first_fit():
     spots = harmonic.first_fit([(1, 900), (2, 100), (3, 100), (4, 24)], 1024)
     assert spots == {1: (0, 0), 2: (0, 900), 3: (1, 0), 4: (0, 1000)}
     assert base64.b64encode(encoders.packed([1])) == b"AQAAAA=="
+
+
+def test_packing_numbers_the_pieces_of_many_small_files(spark, tmp_path):
+    rows = [(i, f"w{i} " * (i % 40)) for i in range(90)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(30).write.option("parquet.block.size", 1).parquet(str(tmp_path / "docs"))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))
+    try:
+        cut = harmonic.pieces(spark.read.parquet(str(tmp_path / "docs")), BYTE_FILE, 64, 0, (2,), False, "doc_id", "text").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len({r["worker"] for r in cut}) <= spark.sparkContext.defaultParallelism  # 30 before
+    places = [(r["worker"], r["kind"], r["place"]) for r in cut]
+    assert len(places) == len(set(places)) and {r["doc_id"] for r in cut} == set(range(90))
+
+
+def test_a_worker_that_changes_operators_drops_its_tokenizers():
+    encoders.word_encoder(WORD_FILE)(["one two"])
+    harmonic.encoded(["one two"], BYTE_FILE)
+    assert list(encoders.tidy(lambda batches: iter([encoders.word_encoder.cache_info().currsize, *batches]))([7])) == [0, 7]
+    assert encoders.piece_encoder.cache_info().currsize == 0
