@@ -304,9 +304,7 @@ _FOREIGN_SQL = " union all ".join(
 def _with_places(segments: DataFrame) -> DataFrame:
     """member_id, its segments' places from 1, and their texts."""
     own = segments.where("member_id is not null and tag <> 'SE'")
-    first = own.groupBy(F.col("member_id").alias("_m")).agg(F.min("pos").alias("_first"))
-    placed = own.join(first, F.col("member_id") == F.col("_m"))
-    return placed.select("member_id", (F.col("pos") - F.col("_first") + 1).alias("place"), F.concat_ws("*", "elements").alias("value"))
+    return own.select("member_id", (F.col("pos") - F.col("member_pos") + 1).alias("place"), F.concat_ws("*", "elements").alias("value"))
 
 
 @query(
@@ -327,15 +325,16 @@ def edi_in_place(spark, sf_dir):
     ends = spark.createDataFrame([(0, 0, "", 0, isa), (0, 2, "", 0, "SE*0*0001~GE*1*1~IEA*1*000000001")], "interchange int, section int, subscriber_id string, member_seq int, value string")
     write_segments(body.unionByName(ends), path, ["section", "subscriber_id", "member_seq"], "value")
     segments = e.read_edi(spark, path)
-    found = e.members(segments)
-    first = found.groupBy(F.col("family_id").alias("_f")).agg(F.min("member_id").alias("_first"))
-    found = found.join(first, F.col("family_id") == F.col("_f")).withColumn("member_seq", (F.col("member_id") - F.col("_first")).cast("int"))
+    keys = ["file", "txn_id", "family_id", "member_id"]
+    # a member's number comes by the keys that members are gathered on, so that no exchange carries the gathered once more
+    ins = segments.where("tag = 'INS'").select(*keys)
+    first = ins.groupBy(F.col("family_id").alias("_f")).agg(F.min("member_id").alias("_first"))
+    numbers = ins.join(first, F.col("family_id") == F.col("_f")).select(*keys, (F.col("member_id") - F.col("_first")).cast("int").alias("member_seq"))
+    # the coverages and the writer, which reads its rows several times, take them from there
+    found = staged(e.members(segments).drop("member_seq", "pos").join(numbers, keys), "read-members")
     who = found.select("file", "member_id", "subscriber_id", "member_seq")
     covers = e.coverages(segments).join(who, ["file", "member_id"]).withColumn("coverage_seq", F.lit(1))
-    keys = ["file", "txn_id", "family_id", "member_id"]
-    # the writer reads its rows several times
-    read = staged(found.drop(*keys, "pos", "_f", "_first"), "read-members"), staged(covers.drop(*keys, "coverage_id"), "read-coverages")
-    e.write_edi(*read, again)
+    e.write_edi(found.drop(*keys), staged(covers.drop(*keys, "coverage_id"), "read-coverages"), again)
     return _with_places(e.read_edi(spark, again))
 
 

@@ -64,7 +64,7 @@ def _gathered(segments: DataFrame, keys: Sequence[str], named: Sequence[str]) ->
     own = F.sort_array(F.collect_list(F.struct("pos", F.col("_name").alias("name"), "elements")))
     # Made as part of the aggregate and named inside lambdas: as columns over each other these are put into every
     # condition on a column, and into each other once per segment.
-    parts = _named_once(_named_once(own, _marked), _split_by_name)
+    parts = _named_once(own, lambda own: _named_once(_first_names(own["name"]), lambda order: _split_by_name(own, order)))
     return rows.groupBy(*keys).agg(F.min("pos").alias("pos"), parts.alias("_parts")).select(*keys, "pos", "_parts.*")
 
 
@@ -73,23 +73,22 @@ def _named_once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def _marked(own: Column) -> Column:
-    """The segments with the name only at the first of each, ``#`` at the others."""
+def _first_names(names: Column) -> Column:
+    """The names with each only at its first place, ``#`` at the others."""
 
-    def marked(segment: Column, at: Column) -> Column:
-        first = F.array_position(own["name"], segment["name"]) == at + 1
-        return F.struct(F.when(first, segment["name"]).otherwise("#").alias("name"), segment["elements"].alias("elements"))
+    def of(names: Column) -> Column:
+        return F.transform(names, lambda name, at: F.when(F.array_position(names, name) == at + 1, name).otherwise("#"))
 
-    return F.transform(own, marked)
+    return _named_once(names, of)
 
 
-def _split_by_name(marked: Column) -> Column:
-    others = F.filter(marked, lambda segment: segment["name"] == "#")
-    entries = F.filter(marked, lambda segment: segment["name"] != "#")
+def _split_by_name(own: Column, order: Column) -> Column:
+    others = F.filter(own, lambda _, at: F.get(order, at) == "#")
+    first = F.filter(own, lambda _, at: F.get(order, at) != "#")
     return F.struct(
-        F.transform(marked, lambda segment: segment["name"]).alias("segment_order"),
-        F.transform(others, lambda segment: segment["elements"]).alias("other_segments"),
-        F.map_from_entries(entries).alias("own_segments"),
+        order.alias("segment_order"),
+        others["elements"].alias("other_segments"),
+        F.map_from_arrays(first["name"], first["elements"]).alias("own_segments"),
     )
 
 
@@ -759,16 +758,16 @@ def edi_units(rows: DataFrame, covers: DataFrame, envelope: Envelope) -> tuple[D
     cover = joins.inner(kept, placed, ["subscriber_id"])
 
     zero, first = F.lit(0), envelope.first_control
-    sizes = member.select(
-        "set_no",
+    # counted before they are joined, so that no exchange carries what was read
+    sizes = rows.select(
+        "subscriber_id",
         (number_of(*_segments_of(rows, MEMBER_SEGMENTS)) + _more(rows)).alias("lines"),
         F.expr("case when is_subscriber = 'N' then 1 else 0 end").alias("dependent"),
         F.expr("case when is_subscriber = 'Y' then 1 else 0 end").alias("employee"),
         F.lit(1).alias("one"),
-        "part",
-    ).unionAll(cover.select("set_no", number_of(*_segments_of(covers, COVERAGE_SEGMENTS)) + _more(covers), zero, zero, zero, "part"))
+    ).unionAll(kept.select("subscriber_id", number_of(*_segments_of(covers, COVERAGE_SEGMENTS)) + _more(covers), zero, zero, zero))
     sets = staged(
-        sizes.groupBy("set_no").agg(
+        joins.inner(sizes, placed, ["subscriber_id"]).groupBy("set_no").agg(
             F.sum("dependent").alias("dependents"),
             F.sum("employee").alias("employees"),
             F.sum("one").alias("total"),

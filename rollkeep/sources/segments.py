@@ -3,8 +3,8 @@
 A segment file is one long line cut at a separator, so a segment's place is all that says
 which group, transaction, family, member and coverage it belongs to. Spark reads such a file in
 blocks. The counts that make the ids are taken inside each block, which is bounded by
-``spark.sql.files.maxPartitionBytes``, and completed with the totals of the blocks before it:
-one row per block. No task reads a whole file.
+``spark.sql.files.maxPartitionBytes``, by the task that reads it, and completed with the totals of
+the blocks before it: one row per block. No task reads a whole file, and no segment is exchanged.
 
 A file states its separators in its first segment, which is of fixed width. Each file's first bytes
 are looked at, and files with the same separators are read together.
@@ -13,11 +13,14 @@ are looked at, and files with the same separators are read together.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -143,18 +146,20 @@ def _texts(spark: SparkSession, path: str | Sequence[str], separators: Separator
 
 def _styled_texts(spark: SparkSession, places: Sequence[str], style: Separators) -> DataFrame:
     raw = spark.read.option("lineSep", style.segment).option("recursiveFileLookup", True).text(list(places))
+    broken = F.contains("value", F.lit("\r")) | F.contains("value", F.lit("\n"))  # few are, and translate looks at each character
     texts = raw.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
-        F.trim(F.translate("value", "\r\n", "")).alias("text"),
+        F.trim(F.when(broken, F.translate("value", "\r\n", "")).otherwise(F.col("value"))).alias("text"),
     )
     return texts.withColumn("tag", _element(style, 1)).where("tag <> ''")
 
 
 def _element(style: Separators, number: int) -> Column:
-    """An element of a segment's text, empty if there is none."""
-    value = F.split_part("text", F.lit(style.element), F.lit(number))
+    """The first or second element of a segment's text, empty if there is none. The others are not cut off."""
+    first = F.substring_index("text", style.element, 1)
+    value = first if number == 1 else F.substr(F.substring_index("text", style.element, 2), F.length(first) + 2)
     if (style.repetition, style.component) == (REPETITION, COMPONENT):
         return value
     return F.translate(value, style.repetition + style.component, REPETITION + COMPONENT)
@@ -206,77 +211,162 @@ def read_segments(spark: SparkSession, path: str | Sequence[str], separators: Se
     return segments.join(F.broadcast(blocks), ["path", "block"]).select("file", "piece", "block", "row", "elements", "tag")
 
 
-# what is counted, and what the segments after a segment are inside of until the next one with a value
+# what is counted, and what the segments after a segment are inside of until the next one with a value: the last segment of
+# these tags, the code of the last name, and the place of the last member's first segment
 _COUNTED = ("pos", "group_id", "txn_id", "family_id", "member_id", "coverage_id")
-_RUNNING = ("within", "envelope", "party")
+_RUNNING = ("within", "envelope", "party", "member_pos")
+# numbers of the tags that are counted or carried; of these INS has another one for a subscriber
+_KINDS = {tag: number for number, tag in enumerate([*ENVELOPE_TAGS, *BOUNDARY_TAGS, "NM1"], 1)}
+_SUBSCRIBER = len(_KINDS) + 1
+_COUNTED_SCHEMA = (
+    "unit long, path string, block long, text string, "
+    + "".join(f"_l_{name} long, " for name in _COUNTED)
+    + "_here_within byte, _here_envelope byte, _here_party string, _here_member_pos long"
+)
+
+
+def _count_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``path, block, row, text, kind, code`` with what :func:`_counted_in_block` adds. A block's rows come one after the
+    other, in the order of the file, and all of them to one task; what they count up to is carried from batch to batch."""
+    fields = ["unit", "path", "block", "text", *(f"_l_{n}" for n in _COUNTED), *(f"_here_{n}" for n in _RUNNING)]
+    envelope, boundary = [_KINDS[t] for t in ENVELOPE_TAGS], [*(_KINDS[t] for t in BOUNDARY_TAGS), _SUBSCRIBER]
+    counts, states, party, unit, open_at, waiting = [0] * len(_COUNTED), [0] * 3, None, None, None, None
+
+    def finished(rows: dict, last: np.ndarray) -> pa.RecordBatch:
+        at = pa.array(np.arange(len(last)), mask=~last)
+        rows |= {"path": rows["path"].take(at), "block": rows["block"].take(at)}
+        return pa.RecordBatch.from_arrays([rows[f] for f in fields], fields)
+
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        path, block, row = batch.column("path"), batch.column("block"), batch.column("row").to_numpy()
+        kind = batch.column("kind").to_numpy()
+        here = (path[0].as_py(), block[0].as_py())
+        goes_on = here == open_at
+        if waiting:
+            waiting[1][-1] = not goes_on
+            yield finished(*waiting)
+        begins = np.ones(n, dtype=bool)
+        same = pc.and_(pc.equal(path.slice(1), path.slice(0, n - 1)), pc.equal(block.slice(1), block.slice(0, n - 1)))
+        begins[1:] = ~same.to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(begins)
+        at = np.arange(n)
+        start = np.maximum.accumulate(np.where(begins, at, 0))  # of each row's block in this batch
+        carried = (start == 0) if goes_on else np.zeros(n, dtype=bool)
+        units = row[start]
+        if goes_on:
+            units = np.where(carried, unit, units)
+
+        is_member = (kind == _KINDS["INS"]) | (kind == _SUBSCRIBER)
+        marks = (
+            np.ones(n, dtype=bool), kind == _KINDS["GS"], kind == _KINDS["ST"], kind == _SUBSCRIBER, is_member, kind == _KINDS["HD"],
+        )
+        rows: dict = {"unit": pa.array(units), "path": path, "block": block, "text": batch.column("text")}
+        for i, (name, mark) in enumerate(zip(_COUNTED, marks)):
+            total = np.cumsum(mark, dtype=np.int64)
+            total = total - (total[start] - mark[start]) + carried * counts[i]
+            rows[f"_l_{name}"], counts[i] = pa.array(total), int(total[-1])
+
+        def latest(mark: np.ndarray) -> np.ndarray:
+            """The block's last marked row up to each row, or -1."""
+            found = np.maximum.accumulate(np.where(mark, at, -1))
+            return np.where(found >= start, found, -1)
+
+        pos = rows["_l_pos"].to_numpy()
+        of_boundary = np.isin(kind, boundary)
+        tag_of = np.where(kind == _SUBSCRIBER, _KINDS["INS"], kind)
+        for i, (name, mark, value) in enumerate(
+            (("within", of_boundary, tag_of), ("envelope", np.isin(kind, envelope), tag_of), ("member_pos", is_member, pos))
+        ):
+            found = latest(mark)
+            state = np.where(found >= 0, value[found], carried * states[i])
+            states[i] = int(state[-1])
+            kind_of = pa.int64() if name == "member_pos" else pa.int8()
+            rows[f"_here_{name}"] = pa.array(state.astype(kind_of.to_pandas_dtype()), mask=state == 0)
+        found = latest(of_boundary | (kind == _KINDS["NM1"]))
+        codes = batch.column("code")
+        values = pa.concat_arrays([pa.array([party], codes.type), codes])
+        rows["_here_party"] = values.take(pa.array(found + 1, mask=(found < 0) & ~carried))
+        if found[-1] >= 0 or not carried[-1]:
+            party = rows["_here_party"][-1].as_py()
+
+        last = np.zeros(n, dtype=bool)
+        last[starts[1:] - 1] = True
+        last[-1] = True  # unless the next batch goes on with the block
+        waiting = (rows, last)
+        open_at, unit = (path[-1].as_py(), block[-1].as_py()), int(units[-1])
+    if waiting:
+        yield finished(*waiting)
 
 
 def _counted_in_block(texts: DataFrame, style: Separators) -> DataFrame:
-    """Segments with the counts ``_l_`` and what they are inside of, ``_here_``, as far as their own block tells; ``_last`` is
-    true for the last of a block. Texts are exchanged and sorted, which are smaller than their elements."""
+    """Segments with the counts ``_l_`` and what they are inside of, ``_here_``, as far as their own block tells; the last of a
+    block, and no other, has its ``path`` and ``block``; ``unit`` is the block's number. A block is read by one task in the order
+    of the file, so that its rows need no exchange and no sort."""
     tag, code = F.col("tag"), _element(style, 2)
-    counted: dict[str, Column] = {
-        "pos": F.lit(1),
-        "group_id": (tag == "GS").cast("int"),
-        "txn_id": (tag == "ST").cast("int"),
-        "family_id": ((tag == "INS") & (code == "Y")).cast("int"),
-        "member_id": (tag == "INS").cast("int"),
-        "coverage_id": (tag == "HD").cast("int"),
-    }
-    running: dict[str, Column] = {
-        "within": F.when(tag.isin(*BOUNDARY_TAGS), tag),
-        "envelope": F.when(tag.isin(*ENVELOPE_TAGS), tag),
-        "party": F.when(tag == "NM1", code).when(tag.isin(*BOUNDARY_TAGS), F.lit("")),
-    }
-    inside = Window.partitionBy("path", "block").orderBy("row")
-    here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return texts.select(
-        "path",
-        "block",
-        "tag",
-        "text",
-        *[F.sum(counted[name]).over(here).alias(f"_l_{name}") for name in _COUNTED],
-        *[F.last(running[name], ignorenulls=True).over(here).alias(f"_here_{name}") for name in _RUNNING],
-        F.lead("row").over(inside).isNull().alias("_last"),
-    ).withColumn("elements", _elements(style)).drop("text")
+    kind = F.lit(0)
+    for name, number in _KINDS.items():
+        kind = F.when(tag == name, F.lit(number)).otherwise(kind)
+    named = F.when(tag == "NM1", code).when(tag.isin(*BOUNDARY_TAGS), F.lit(""))
+    rows = texts.select(
+        "path", "block", "row", "text", F.when((tag == "INS") & (code == "Y"), F.lit(_SUBSCRIBER)).otherwise(kind).alias("kind"), named.alias("code")
+    )
+    return rows.mapInArrow(_count_in_blocks, _COUNTED_SCHEMA).withColumn("tag", _element(style, 1))
 
 
 def looped_segments(spark: SparkSession, path: str | Sequence[str], separators: Separators | None = None) -> DataFrame:
     """The segments of files with ``pos`` (place in the file from 1) and the ids ``group_id``, ``txn_id``, ``family_id``,
-    ``member_id`` and ``coverage_id``, running numbers per file, null for segments outside such a loop; and ``party``, the
-    code of the name (NM1) in whose loop a segment of a member stands, null before the first one.
+    ``member_id`` and ``coverage_id``, running numbers per file, null for segments outside such a loop; ``party``, the
+    code of the name (NM1) in whose loop a segment of a member stands, null before the first one; and ``member_pos``, the place
+    of the member's first segment.
 
     The files are read once: what is known inside a block is staged, and a block's last segment says what the block holds.
+    Texts are staged, which are smaller than their elements; a reader cuts those that it keeps.
     """
-    local = staged(reduce(DataFrame.unionAll, [_counted_in_block(texts, style) for style, texts in _texts(spark, path, separators)]), "loops")
+    styles = _texts(spark, path, separators)
+    # units are numbered by style, and the rest of the number tells which
+    counted = [
+        _counted_in_block(texts, style).withColumn("unit", F.col("unit") * len(styles) + number)
+        for number, (style, texts) in enumerate(styles)
+    ]
+    local = staged(reduce(DataFrame.unionAll, counted), "loops")
     earlier = Window.partitionBy("file").orderBy("piece", "block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = _placed(local.where("_last").drop("elements", "tag", "_last"), _several(path))
+    totals = _placed(local.where("path is not null").drop("text", "tag"), _several(path))
+    totals = totals.withColumn("_b_pos", F.coalesce(F.sum("_l_pos").over(earlier), F.lit(0)))
+    totals = totals.withColumn("_here_member_pos", F.col("_here_member_pos") + F.col("_b_pos"))
     before = totals.select(
-        "path",
-        "block",
+        "unit",
         "file",
-        *[F.coalesce(F.sum(f"_l_{name}").over(earlier), F.lit(0)).alias(f"_b_{name}") for name in _COUNTED],
+        "_b_pos",
+        *[F.coalesce(F.sum(f"_l_{name}").over(earlier), F.lit(0)).alias(f"_b_{name}") for name in _COUNTED[1:]],
         *[F.last(f"_here_{name}", ignorenulls=True).over(earlier).alias(f"_carried_{name}") for name in _RUNNING],
     )
-    joined = local.join(F.broadcast(staged(before, "blocks")), ["path", "block"])  # one row per block
+    joined = local.join(F.broadcast(staged(before, "blocks")), "unit")  # one row per block
+    joined = joined.withColumn("_here_member_pos", F.col("_here_member_pos") + F.col("_b_pos"))
     tag = F.col("tag")
     state = {name: F.coalesce(f"_here_{name}", f"_carried_{name}") for name in _RUNNING}
     outside = tag.isin(*ENVELOPE_TAGS)
-    member = state["within"].isin("INS", "HD") & ~outside
+    member = state["within"].isin(_KINDS["INS"], _KINDS["HD"]) & ~outside
     valid = {
         "pos": F.lit(True),
-        "group_id": (state["envelope"] == "GS") | (tag == "GE"),
+        "group_id": (state["envelope"] == _KINDS["GS"]) | (tag == "GE"),
         "txn_id": state["within"].isNotNull() & ~outside,
         "family_id": member,
         "member_id": member,
-        "coverage_id": (state["within"] == "HD") & ~outside,
+        "coverage_id": (state["within"] == _KINDS["HD"]) & ~outside,
     }
+    elements = _elements(styles[-1][0])
+    for number, (style, _) in enumerate(styles[:-1]):
+        elements = F.when(F.col("unit") % len(styles) == number, _elements(style)).otherwise(elements)
     return joined.select(
         "file",
         "tag",
-        "elements",
+        elements.alias("elements"),
         *[F.when(valid[name], F.col(f"_l_{name}") + F.col(f"_b_{name}")).alias(name) for name in _COUNTED],
         F.when(member & (state["party"] != ""), state["party"]).alias("party"),
+        F.when(member, state["member_pos"]).alias("member_pos"),
     )
 
 
@@ -326,9 +416,12 @@ class Named(Segment):
         after = f"slice({self.raw}, {len(elements) + 2}, greatest(size({self.raw}) - {len(elements) + 1}, 0))"
         self.rest = rest or after
         if when != "true":
-            same = " and ".join(self._same(place) for place in self.read)
             held = f"exists({after}, x -> x <> '')"
-            self.when = f"({when} or coalesce({self.raw} is not null and (({same}) or {held}), false))"
+            self.when = f"({when} or coalesce({self._unchanged()} or ({self.raw} is not null and {held}), false))"
+
+    def _unchanged(self) -> str:
+        """Was read, and every column still says so."""
+        return "(" + " and ".join([f"{self.raw} is not null", *(self._same(place) for place in self.read)]) + ")"
 
     def _same(self, place: int) -> str:
         column, as_read = self.read[place]
@@ -348,9 +441,11 @@ class Named(Segment):
         return f"concat(array({', '.join(out)}), {rest})"
 
     def text(self) -> str:
+        # most segments are as they were read: these need no look at each element
+        whole = f"trim(trailing '*' from {_cleaned(self.raw)})"
         kept = f"trim(trailing '*' from concat_ws('*', '{self.tag}', {self._kept()}))"
-        text = f"case when {self.raw} is null then {Segment(self.tag, *self.elements).text()} else {kept} end"
-        return text if self.when == "true" else f"case when {self.when} then {text} end"
+        other = f"case when {self.raw} is null then {Segment(self.tag, *self.elements).text()} else {kept} end"
+        return f"case when {self._unchanged()} then {whole} when {self.when} then {other} end"
 
     def fields(self) -> str:
         new = Segment(self.tag, *self.elements).fields()
@@ -358,6 +453,11 @@ class Named(Segment):
         return f"case when {self.when} then {both} end"
 
 
+def _cleaned(elements: str) -> str:
+    """SQL of a text of elements that were read, which may hold the inner separators. Few do, and replacing looks for them only."""
+    return f"replace(replace(replace(array_join({elements}, chr(1), ''), '*', ' '), '~', ' '), chr(1), '*')"
+
+
 def joined(*segments: Segment, others: str | None = None, order: str | None = None) -> str:
     """The segments that are there, as one text, and those of a column of element arrays.
 
@@ -368,22 +468,20 @@ def joined(*segments: Segment, others: str | None = None, order: str | None = No
     texts = [s.text() for s in segments]
     if others is None:
         return f"concat_ws('{SEGMENT}', {', '.join(texts)})"
-    # elements that were read may hold the inner separators
-    clean = "translate(concat_ws(chr(1), transform(x, y -> coalesce(y, ''))), concat('*~', chr(1)), '  *')"
-    rest = f"transform({others}, x -> trim(trailing '*' from {clean}))"
+    rest = f"transform({others}, x -> trim(trailing '*' from {_cleaned('x')}))"
     if order is None:
         return f"concat_ws('{SEGMENT}', {', '.join(texts)}, {rest})"
     places = ", ".join(_place(segments, j) for j in range(len(segments)))
     names = ", ".join(f"'{s.name}'" for s in segments)
     order = f"coalesce({order}, concat(array({names}), array_repeat('#', coalesce(size({others}), 0))))"
     read_at = f"array(transform(array({names}), n -> nullif(array_position({order}, n), 0)))"
-    pair = "named_struct('k', k, 't', t)"
-    named = f"zip_with(get(transform({read_at}, p -> array({places})), 0), array({', '.join(texts)}), (k, t) -> {pair})"
+    # Only the small parts stand in functions with lambdas, whose arguments Spark does not compile; the texts do not.
+    named = f"arrays_zip(get(transform({read_at}, p -> array({places})), 0), array({', '.join(texts)}))"
     kept_at = f"filter(transform({order}, (x, i) -> case when x = '#' then cast(i as bigint) * {STEP} end), k -> k is not null)"
-    last = pair.replace("'k', k", f"'k', coalesce(k, {STEP * STEP})")
-    kept = f"zip_with({kept_at}, coalesce({rest}, cast(array() as array<string>)), (k, t) -> {last})"
-    entries = f"array_sort(filter(concat({named}, {kept}), x -> x.t is not null))"
-    return f"concat_ws('{SEGMENT}', transform({entries}, x -> x.t))"
+    pair = f"named_struct('0', coalesce(k, {STEP * STEP}), '1', t)"
+    kept = f"zip_with({kept_at}, coalesce({rest}, cast(array() as array<string>)), (k, t) -> {pair})"
+    # segments that are not there are null, which concat_ws leaves out
+    return f"concat_ws('{SEGMENT}', sort_array(concat({named}, {kept})).`1`)"
 
 
 STEP = 1_000_000  # more than there are segments to go between two that were read

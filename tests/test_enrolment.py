@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL, rows
 from pyspark.errors import PySparkException
@@ -18,7 +19,7 @@ from rollkeep.plans.snapshot import read_snapshot, refresh_snapshot
 from rollkeep.plans import runs
 from rollkeep.plans.sent import fold_sent, record_sent, sent_before, with_times_sent
 from rollkeep.plans.snapshot import drop_snapshots
-from rollkeep.sources import ledger, staging
+from rollkeep.sources import ledger, segments as sg, staging
 from rollkeep.sources.segments import Separators, read_segments, separators_of
 from rollkeep.sources.versions import new_version, newest, versions
 
@@ -613,3 +614,87 @@ def test_files_are_scanned_once(spark, tmp_path, monkeypatch):
     scans = [plan for plan in plans if " text" in plan]
     assert len(scans) == 1 and scans[0].count("Relation ") == 1
     assert "regexp" not in scans[0]
+
+
+def test_blocks_are_counted_where_they_are_read(spark, tmp_path, monkeypatch):
+    (tmp_path / "in.x12").write_text(FILE)
+    plans, kept = {}, staging.staged
+
+    def staged(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, label)
+
+    monkeypatch.setattr("rollkeep.sources.segments.staged", staged)
+    e.read_edi(spark, str(tmp_path / "in.x12"))
+    assert not [step for step in ("Exchange", "Sort", "Window") if step in plans["loops"]]
+
+
+def test_a_members_segments_know_its_first(segments):
+    place = start = None
+    for place, r in enumerate(segments.orderBy("pos").collect(), 1):
+        start = place if r["tag"] == "INS" else start
+        assert r["member_pos"] == (start if r["member_id"] else None)
+    assert place == len(FILE.split("~")) - 1
+
+
+def test_counts_are_carried_over_batches():
+    """Blocks of several files, cut into batches at any row, against a plain loop."""
+    draw = random.Random(5)
+    tags = ["ISA", "GS", "ST", "INS", "INS", "NM1", "NM1", "HD", "REF", "SE", "GE", "IEA"]
+    kinds = {**sg._KINDS, "REF": 0}
+    given, expected = [], []
+    for unit in range(40):
+        path, block = f"f{unit // 3}", unit % 3 * 100
+        counts, within, envelope, party, start = [0] * 6, None, None, None, None
+        for i in range(size := draw.choice([1, 2, 7, 30])):
+            tag = draw.choice(tags)
+            of_subscriber, name = tag == "INS" and draw.random() < 0.4, draw.choice(["IL", "31", ""])
+            code = name if tag == "NM1" else "" if tag in sg.BOUNDARY_TAGS else None
+            row, first = unit * 1000 + i, unit * 1000
+            given.append((path, block, row, f"{tag}*{row}", sg._SUBSCRIBER if of_subscriber else kinds[tag], code))
+            marks = (True, tag == "GS", tag == "ST", of_subscriber, tag == "INS", tag == "HD")
+            counts = [n + m for n, m in zip(counts, marks)]
+            within = kinds[tag] if tag in sg.BOUNDARY_TAGS else within
+            envelope = kinds[tag] if tag in sg.ENVELOPE_TAGS else envelope
+            party, start = party if code is None else code, counts[0] if tag == "INS" else start
+            at = (path, block) if i == size - 1 else (None, None)
+            expected.append((first, *at, f"{tag}*{row}", *counts, within, envelope, party, start))
+    columns = ("path", "block", "row", "text", "kind", "code")
+    types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string())
+    for most in (1, 2, 5, 1000):
+        batches, rest = [], given
+        while rest:
+            n = draw.randint(0, most)
+            batches.append(pa.RecordBatch.from_arrays([pa.array([r[i] for r in rest[:n]], t) for i, t in enumerate(types)], columns))
+            rest = rest[n:]
+        found = pa.Table.from_batches(sg._count_in_blocks(iter(batches)))
+        assert [tuple(r.values()) for r in found.to_pylist()] == expected
+    assert list(sg._count_in_blocks(iter([]))) == []
+
+
+def test_a_foreign_file_gathers_its_members_once(spark, monkeypatch):
+    gathered, kept = {}, staging.staged
+
+    def staged(df, label):
+        gathered[label] = df._jdf.queryExecution().optimizedPlan().toString().count("collect_list(")
+        return kept(df, label)
+
+    monkeypatch.setattr("rollkeep.checks.enrolling.staged", staged)
+    q.edi_in_place(spark, SMALL)
+    assert gathered == {"read-members": 1, "read-coverages": 1}
+
+
+def test_sizes_move_nothing_that_was_read(spark, tmp_path, monkeypatch):
+    _, member, covers = _read_whole(spark, tmp_path)
+    read = staging.staged(member, "m"), staging.staged(covers, "c")
+    plans, kept = {}, staging.staged
+
+    def staged(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return kept(df, label)
+
+    monkeypatch.setattr("rollkeep.plans.enrolment.staged", staged)
+    e.edi_units(*read, e.Envelope())
+    steps = plans["set-counts"].splitlines()
+    assert [s for s in steps if "own_segments" in s] and [s for s in steps if "set_no" in s]
+    assert not [s for s in steps if "own_segments" in s and "set_no" in s]
